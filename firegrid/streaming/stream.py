@@ -54,9 +54,11 @@ def daily_tile_counts(df: DataFrame) -> DataFrame:
 def upsert_days(path: str):
     """A ``foreachBatch`` writer: rows of a batch join the stored rows of their days, others stay untouched.
 
-    Writing the same batch again gives the same days (rows are unique by cleanid), so a restarted
-    batch does no harm.
+    Writing the same batch again gives the same days (a row replaces the stored row of the same id,
+    place and time), so a restarted batch does no harm.
     """
+    same = ["acq_date_use", "cleanid", "lon", "lat", "acq_time_utc"]
+
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
@@ -65,7 +67,7 @@ def upsert_days(path: str):
             merged = batch
             if _exists(spark, path):
                 stored = spark.read.schema(batch.schema).parquet(path).where(F.col("acq_date_use").isin(days))
-                merged = cut(stored.join(batch, "cleanid", "left_anti").unionByName(batch))
+                merged = cut(stored.join(batch, same, "left_anti").unionByName(batch))
             overwrite_days(merged, path)
         batch.unpersist()
 
