@@ -101,7 +101,7 @@ def point_in_ring(ring: Column, x: Column, y: Column) -> Column:
         ring, nxt,
         lambda p, q: F.when(
             ((p["y"] > y) != (q["y"] > y))
-            & (x < (q["x"] - p["x"]) * (y - p["y"]) / (q["y"] - p["y"]) + p["x"]), 1
+            & (x < F.try_divide((q["x"] - p["x"]) * (y - p["y"]), q["y"] - p["y"]) + p["x"]), 1
         ).otherwise(0),
     )
     on_edge = F.zip_with(

@@ -47,10 +47,11 @@ def cluster(points: DataFrame, mode: str = "aggressive", bin_deg: float = 0.05)
     extended = pixel_extent(points, mode)
     site_table = cut(sites(extended))
     pairs = cut(site_pairs(site_table, bin_deg))
-    labels = connected_components(pairs, site_table, "a_site", "b_site", "site")
-    labelled = cut(site_table.join(labels.select(F.col("node").alias("site"), F.col("component").alias("fireid")), "site"))
-    fires = cut(labelled.groupBy("fireid").agg(F.sum("n_det").alias("ndetect"), F.count("*").alias("n_sites")))
-    full = cut(hot_lookup(labelled, fires, ["fireid"], "n_sites", "site"))
+    labels = connected_components(pairs, site_table, "a_site", "b_site", "site", weight="n_det", canonical=True)
+    about = labels.select(
+        F.col("node").alias("site"), F.col("component").alias("fireid"), F.col("n_nodes").alias("n_sites"), F.col("n_det").alias("ndetect")
+    )
+    full = cut(site_table.join(about, "site"))
     by_point = hot_lookup(extended, full.select(*FOOTPRINT, "n_det", "fireid", "ndetect"), FOOTPRINT, "n_det", "cleanid")
     out_points = by_point.select(*[c for c in points.columns if c not in ("fireid", "ndetect")], "fireid", "ndetect")
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from firegrid.operators.joins import hot_lookup
-from firegrid.session import cut
+from firegrid.session import cut, cut_counted
 
 
 def _canonical(edges: DataFrame, u: str, v: str) -> DataFrame:
@@ -24,12 +24,20 @@ def _canonical(edges: DataFrame, u: str, v: str) -> DataFrame:
 
 def connected_components(
     edges: DataFrame, nodes: DataFrame | None = None, src: str = "src", dst: str = "dst", node: str = "node",
-    max_rounds: int = 100,
+    weight: str | None = None, canonical: bool = False, max_rounds: int = 100,
 ) -> DataFrame:
-    """(node, component, n_nodes): component = smallest node id; lone nodes are their own component."""
-    e = cut(_canonical(edges, src, dst))
+    """(node, component, n_nodes[, weight]): component = smallest node id; lone nodes are their own component.
+
+    ``weight`` names a column of ``nodes`` to add up per component.  ``canonical`` promises that the
+    edges are stored, distinct and have src < dst, which saves a pass.
+    """
+    if canonical:
+        e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))
+        left = 0 if e.isEmpty() else 1
+    else:
+        e, left = cut_counted(_canonical(edges, src, dst))
     steps: list[DataFrame] = []
-    while not e.isEmpty():
+    while left:
         if len(steps) == max_rounds:
             raise RuntimeError(f"components did not settle in {max_rounds} rounds")
         seed = F.lit(len(steps))
@@ -45,23 +53,29 @@ def connected_components(
             e.join(step.select(F.col("node").alias("u"), F.col("rep").alias("ru")), "u")
             .join(step.select(F.col("node").alias("v"), F.col("rep").alias("rv")), "v")
         )
-        e = cut(_canonical(moved, "ru", "rv"))
+        e, left = cut_counted(_canonical(moved, "ru", "rv"))
+    weights = [] if weight is None else [weight]
     if not steps:
-        if nodes is None:
-            return edges.select(F.col(src).alias("node"), F.col(src).alias("component"), F.lit(1).cast("long").alias("n_nodes")).limit(0)
-        return nodes.select(F.col(node).alias("node"), F.col(node).alias("component"), F.lit(1).cast("long").alias("n_nodes"))
+        every = nodes.select(F.col(node).alias("node"), *weights) if nodes is not None else edges.select(F.col(src).alias("node")).limit(0)
+        return every.select("node", F.col("node").alias("component"), F.lit(1).cast("long").alias("n_nodes"), *weights)
     # Follow the steps backwards, smallest tables first.
     reach = steps[-1]
     for step in reversed(steps[:-1]):
         nxt = reach.select(F.col("node").alias("rep"), F.col("rep").alias("far"))
         reach = step.join(nxt, "rep", "left").select("node", F.coalesce("far", "rep").alias("rep"))
-    reach = cut(reach)
-    groups = cut(reach.groupBy("rep").agg(F.min("node").alias("component"), F.count("*").alias("n_nodes")))
-    labels = hot_lookup(reach, groups, ["rep"], "n_nodes", "node").select("node", "component", "n_nodes")
+    if len(steps) > 1:
+        reach = cut(reach)
+    sums = reach.join(nodes.select(F.col(node).alias("node"), weight), "node") if weight else reach
+    groups = cut(sums.groupBy("rep").agg(
+        F.min("node").alias("component"), F.count("*").alias("n_nodes"), *[F.sum(w).alias(w) for w in weights]
+    ))
+    labels = hot_lookup(reach, groups, ["rep"], "n_nodes", "node").drop("rep")
     if nodes is None:
         return labels
+    own = [F.col(w).alias(f"_own_{w}") for w in weights]
     return (
-        nodes.select(F.col(node).alias("node")).join(labels, "node", "left")
+        nodes.select(F.col(node).alias("node"), *own).join(labels, "node", "left")
         .select("node", F.coalesce("component", "node").alias("component"),
-                F.coalesce("n_nodes", F.lit(1)).cast("long").alias("n_nodes"))
+                F.coalesce("n_nodes", F.lit(1)).cast("long").alias("n_nodes"),
+                *[F.coalesce(w, f"_own_{w}").alias(w) for w in weights])
     )

@@ -49,7 +49,7 @@ def clean_cover(df: DataFrame, version: str = "v2.9") -> DataFrame:
         )
     else:
         in_region = reg.between(1, 12) if version == "v2.9" else reg.between(0, 100)
-        rescale = (F.col("totcov") > 101) | (F.col("totcov") < 99)
+        rescale = ((F.col("totcov") > 101) | (F.col("totcov") < 99)) & ~out_of_range
         reason = (
             F.when(~in_region, "no region")
             .when((lct >= 17) | (lct <= 0) | (lct == 15), "land cover")

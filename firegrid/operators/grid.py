@@ -142,13 +142,12 @@ def grid_monthly(daily: DataFrame, keys: tuple[str, ...] = ("i", "j")) -> DataFr
 def dense(sparse: DataFrame, name: str, date: str = "date") -> DataFrame:
     """Fill cells without fires with zero, for every (species, date) present.
 
-    The key list is broadcast against the generated cells: (species x dates) rows of a run.
+    Each key makes its own rows of cells, and the rows are spread before the cells are made.
     """
-    spark = sparse.sparkSession
-    keys = sparse.select("species", date).distinct()
-    cells = regular_grid(spark, name).select("i", "j")
-    full = keys.join(cells, how="cross")
-    return full.join(sparse, ["species", date, "i", "j"], "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
+    g = grid(name)
+    rows = sparse.select("species", date).distinct().withColumn("j", F.explode(F.sequence(F.lit(1), F.lit(g.nlat))))
+    cells = rows.repartition("species", date, "j").withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(g.nlon))))
+    return cells.join(sparse, ["species", date, "i", "j"], "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
 
 
 # -- unstructured grids ---------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_ROWS = 50_000
+MAX_HOT_KEYS = 10_000
 HOT_BIN = 2_000
 
 
@@ -22,14 +23,20 @@ def hot_lookup(
 ) -> DataFrame:
     """Left-join ``right`` (unique on ``keys``) onto ``left`` when few keys may own most rows.
 
-    ``right[size]`` is the number of left rows of the key.  Keys above ``hot_rows`` are at most
-    rows / hot_rows, so their part is broadcast and their rows never meet in one shuffle partition;
-    all others take the ordinary shuffled join.  ``row_id`` names a left column that differs
-    between the rows of a key.
+    ``right[size]`` is the number of left rows of the key.  Keys above the limit are broadcast, so
+    their rows never meet in one shuffle partition; all others take the ordinary shuffled join.  The
+    limit grows with the data: at most ``MAX_HOT_KEYS`` keys can own more than 1 / MAX_HOT_KEYS of
+    the rows, which bounds the broadcast.  ``row_id`` names a left column that differs between the
+    rows of a key.
     """
     values = [c for c in right.columns if c not in keys]
-    hot = right.where(F.col(size) > hot_rows).select(*keys, F.struct(*values).alias("_hot"))
-    cold = right.where(F.col(size) <= hot_rows).select(*keys, F.struct(*values).alias("_cold"))
+    top = right.agg(F.max(size).alias("top"), F.sum(size).alias("rows")).first()
+    limit = max(hot_rows, (top.rows or 0) // MAX_HOT_KEYS)
+    if (top.top or 0) <= limit:
+        on = [left[k].eqNullSafe(right[k]) for k in keys]
+        return left.join(right, on, "left").select(*[left[c] for c in left.columns], *[right[v] for v in values])
+    hot = right.where(F.col(size) > limit).select(*keys, F.struct(*values).alias("_hot"))
+    cold = right.where(F.col(size) <= limit).select(*keys, F.struct(*values).alias("_cold"))
     first = left.join(F.broadcast(hot), keys, "left")
     hit = F.col("_hot").isNotNull()
     # Rows already answered must not shuffle to their hot key: they go to spread, unmatched buckets.

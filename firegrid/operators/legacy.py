@@ -31,10 +31,10 @@ SLOTS = {
 def confidence_v1(df: DataFrame, minimum: float = 20) -> DataFrame:
     """Keep confidence above the minimum; a file whose values are all zero counts as fully confident.
 
-    The global test is one aggregated row, attached by a broadcast.
+    The global test is a scalar subquery: one aggregated value.
     """
-    any_set = df.agg(F.coalesce(F.bool_or(F.col("confidence") != 0), F.lit(False)).alias("_any"))
-    return df.crossJoin(F.broadcast(any_set)).where(~F.col("_any") | (F.col("confidence") > minimum)).drop("_any")
+    any_set = df.agg(F.coalesce(F.bool_or(F.col("confidence") != 0), F.lit(False))).scalar()
+    return df.where(~any_set | (F.col("confidence") > minimum))
 
 
 def duplicate_tropics_v1(df: DataFrame, factor: float = COPY_FACTOR) -> DataFrame:

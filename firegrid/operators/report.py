@@ -34,17 +34,15 @@ def density(df: DataFrame, dx: float = 32 * 6 / 3600, lon: str = "lon", lat: str
     """Detections per cell counted from the north-west corner: (idx, jdx, n, shade).
 
     ``shade`` compresses the count for display: log10 if any cell exceeds 2000, square root if any
-    exceeds 20.  The box and the largest count are single rows attached by broadcast.
+    exceeds 20.  The corner and the largest count are scalar subqueries.
     """
-    box = extent(df, lon, lat).select("x0", "y1")
-    cells = (
-        df.select(F.col(lon).alias("_x"), F.col(lat).alias("_y")).crossJoin(F.broadcast(box))
-        .groupBy(F.floor((F.col("_x") - F.col("x0")) / dx).alias("idx"), F.floor((F.col("y1") - F.col("_y")) / dx).alias("jdx"))
-        .agg(F.count("*").alias("n"))
+    west, north = df.agg(F.min(lon)).scalar(), df.agg(F.max(lat)).scalar()
+    cells = df.groupBy(F.floor((F.col(lon) - west) / dx).alias("idx"), F.floor((north - F.col(lat)) / dx).alias("jdx")).agg(
+        F.count("*").alias("n")
     )
-    top = cells.agg(F.max("n").alias("_top"))
-    shade = F.when(F.col("_top") > 2000, F.log10("n")).when(F.col("_top") > 20, F.sqrt("n")).otherwise(F.col("n").cast("double"))
-    return cells.crossJoin(F.broadcast(top)).select("idx", "jdx", "n", shade.alias("shade"))
+    top = cells.agg(F.max("n")).scalar()
+    shade = F.when(top > 2000, F.log10("n")).when(top > 20, F.sqrt("n")).otherwise(F.col("n").cast("double"))
+    return cells.select("idx", "jdx", "n", shade.alias("shade"))
 
 
 def tile_counts(df: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
@@ -133,7 +131,7 @@ def conservation(div: DataFrame, lrg: DataFrame, tol: float = 0.05) -> DataFrame
     """Fires whose parts miss more than ``tol`` of the parent area."""
     parts = div.groupBy("fireid").agg(F.sum("area_sqkm").alias("subs"))
     both = lrg.select("fireid", F.col("area_sqkm").alias("parent")).join(parts, "fireid")
-    return both.withColumn("shortfall", (F.col("parent") - F.col("subs")) / F.col("parent")).where(F.col("shortfall") > tol)
+    return both.withColumn("shortfall", F.try_divide(F.col("parent") - F.col("subs"), F.col("parent"))).where(F.col("shortfall") > tol)
 
 
 def worst(df: DataFrame, column: str = "shortfall", n: int = 5) -> DataFrame:
@@ -179,11 +177,11 @@ def with_totals(summary: DataFrame, totals: DataFrame) -> DataFrame:
     """Put the totals of the run (one row: n_pnt, n_lrg, n_div) into the events they belong to."""
     event = F.col("event")
     joins = event.startswith("join ") | (event == "merge all")
-    s = summary.crossJoin(F.broadcast(totals))
-    before = F.when(event == "agg to large", F.col("n_pnt")).when(event == "subdiv", F.col("n_lrg")).when(joins, F.col("n_div")).otherwise(F.col("n_before"))
-    after = F.when(event == "agg to large", F.col("n_lrg")).when(event == "subdiv", F.col("n_div")).otherwise(F.col("n_after"))
-    change = F.when(joins, F.col("n_after") - F.col("n_div")).otherwise(F.col("n_change"))
-    return s.select("log_id", "event", change.alias("n_change"), before.alias("n_before"), after.alias("n_after"), "elapsed_s")
+    n_pnt, n_lrg, n_div = (totals.select(c).scalar() for c in ("n_pnt", "n_lrg", "n_div"))
+    before = F.when(event == "agg to large", n_pnt).when(event == "subdiv", n_lrg).when(joins, n_div).otherwise(F.col("n_before"))
+    after = F.when(event == "agg to large", n_lrg).when(event == "subdiv", n_div).otherwise(F.col("n_after"))
+    change = F.when(joins, F.col("n_after") - n_div).otherwise(F.col("n_change"))
+    return summary.select("log_id", "event", change.alias("n_change"), before.alias("n_before"), after.alias("n_after"), "elapsed_s")
 
 
 class RunLog:

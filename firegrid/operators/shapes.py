@@ -27,8 +27,8 @@ def _limits(p: Column, a: str, b: str, da: str, db: str) -> tuple[list[Column],
     for sign in (1.0, -1.0):
         slope = sign * (F.col(b) - F.col(a)) + (F.col(db) - F.col(da))
         need = sign * (p - F.col(a)) - F.col(da)
-        lows.append(F.when(slope > 0, need / slope).otherwise(0.0))
-        highs.append(F.when(slope < 0, need / slope).otherwise(1.0))
+        lows.append(F.when(slope > 0, F.try_divide(need, slope)).otherwise(0.0))
+        highs.append(F.when(slope < 0, F.try_divide(need, slope)).otherwise(1.0))
         free.append((slope != 0) | (need <= 0))
     return lows, highs, free
 
@@ -191,7 +191,7 @@ def area_centroid(intervals: DataFrame, keys: list[str]) -> DataFrame:
             F.sum(width * F.col("h") * (F.col("x0") + F.col("x1")) / 2.0).alias("_wx"),
             F.sum(width * F.col("h") * F.col("y")).alias("_wy"),
         )
-        .select(*keys, "area_sqkm", (F.col("_wx") / F.col("_w")).alias("cen_lon"), (F.col("_wy") / F.col("_w")).alias("cen_lat"))
+        .select(*keys, "area_sqkm", F.try_divide("_wx", "_w").alias("cen_lon"), F.try_divide("_wy", "_w").alias("cen_lat"))
     )
 
 

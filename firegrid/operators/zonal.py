@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from firegrid.functions.geo import point_in_ring
+from firegrid.session import cut
 
 
 def rank_classes(counts: DataFrame, key: str = "polyid") -> DataFrame:
@@ -61,39 +61,44 @@ def input_mean(points: DataFrame, column: str = "frp", key: str = "polyid") -> D
     return points.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(column).alias(f"v_{column}"))
 
 
-def region_edges(regions: DataFrame, bin_deg: float = 1.0) -> DataFrame:
-    """Explode region rings into edges listed by latitude bin: the only rows a point has to meet.
+def region_bands(regions: DataFrame, bin_deg: float = 0.1) -> DataFrame:
+    """The edges of each region by latitude band: (_by, near array<struct<region_num, edges>>).
 
-    ``regions``: (region_num, ring array<struct<x,y>>).
+    ``regions``: (region_num, ring array<struct<x,y>>).  The table depends on the region layer only.
     """
     nxt = F.concat(F.slice("ring", F.lit(2), F.size("ring")), F.slice("ring", F.lit(1), F.lit(1)))
     edges = regions.select(
         "region_num", F.explode(F.zip_with("ring", nxt, lambda p, q: F.struct(
             p["x"].alias("x0"), p["y"].alias("y0"), q["x"].alias("x1"), q["y"].alias("y1")
         ))).alias("e"),
-    ).select("region_num", "e.*")
-    lo, hi = F.floor(F.least("y0", "y1") / bin_deg), F.floor(F.greatest("y0", "y1") / bin_deg)
-    return edges.withColumn("_by", F.explode(F.sequence(lo, hi)))
+    )
+    lo, hi = F.floor(F.least("e.y0", "e.y1") / bin_deg), F.floor(F.greatest("e.y0", "e.y1") / bin_deg)
+    bands = edges.withColumn("_by", F.explode(F.sequence(lo, hi)))
+    per_region = bands.groupBy("_by", "region_num").agg(F.collect_list("e").alias("edges"))
+    return per_region.groupBy("_by").agg(F.sort_array(F.collect_list(F.struct("region_num", "edges"))).alias("near"))
 
 
 def region_of(points: DataFrame, regions: DataFrame, key: str = "polyid", lon: str = "cen_lon", lat: str = "cen_lat",
-              bin_deg: float = 1.0) -> DataFrame:
+              bin_deg: float = 0.1) -> DataFrame:
     """(key, v_regnum): region holding each point by ray casting, smallest number first, null if none.
 
-    A point meets only the edges of its latitude bin; crossings are counted per (point, region), so
-    rings of any size spread over the shuffle.
+    A point meets the edges of its latitude band as one row, so the test is row-local.  The band
+    table is stored first: the planner knows its size and broadcasts it only if it is small.
     """
-    here = points.select(key, F.col(lon).alias("_x"), F.col(lat).alias("_y"))
-    edges = region_edges(regions, bin_deg)
-    crosses = ((F.col("y0") > F.col("_y")) != (F.col("y1") > F.col("_y"))) & (
-        F.col("_x") < (F.col("x1") - F.col("x0")) * (F.col("_y") - F.col("y0")) / (F.col("y1") - F.col("y0")) + F.col("x0")
-    )
-    inside = (
-        here.withColumn("_by", F.floor(F.col("_y") / bin_deg)).join(edges, "_by").where(crosses)
-        .groupBy(key, "region_num").agg(F.count("*").alias("_n")).where(F.col("_n") % 2 == 1)
-        .groupBy(key).agg(F.min("region_num").alias("v_regnum"))
+    bands = cut(region_bands(regions, bin_deg))
+    x, y = F.col(lon), F.col(lat)
+
+    def crossings(edges: Column) -> Column:
+        crossed = F.filter(edges, lambda e: ((e["y0"] > y) != (e["y1"] > y)) & (
+            x < F.try_divide((e["x1"] - e["x0"]) * (y - e["y0"]), e["y1"] - e["y0"]) + e["x0"]
+        ))
+        return F.size(crossed)
+
+    holds = F.filter("near", lambda r: crossings(r["edges"]) % 2 == 1)
+    return (
+        points.select(key, lon, lat).withColumn("_by", F.floor(y / bin_deg)).join(bands, "_by", "left")
+        .select(key, F.get(holds, F.lit(0))["region_num"].alias("v_regnum"))
     )
-    return points.select(key).join(inside, key, "left")
 
 
 def assemble(div: DataFrame, parts: list[DataFrame], thematic: DataFrame | None = None, key: str = "polyid") -> DataFrame:
@@ -105,8 +110,3 @@ def assemble(div: DataFrame, parts: list[DataFrame], thematic: DataFrame | None
     for part in parts:
         out = out.join(part, key, "left")
     return out if thematic is None else out.join(thematic, key, "left")
-
-
-def inside_ring(points: DataFrame, rings: DataFrame) -> DataFrame:
-    """Small ring tables (checked by the caller): points with the rings that hold them."""
-    return points.join(rings, point_in_ring(F.col("ring"), F.col("lon"), F.col("lat")))

@@ -13,15 +13,22 @@ from firegrid.plans.derived import SQL
 
 ORACLES: dict[str, str] = {}
 
-GC = repr(2 * math.pi * 6370.997)
 RES = "0.01e0"
 
 
+def num(x: float) -> str:
+    """A double literal (bare decimals would be fixed-point)."""
+    text = repr(float(x))
+    return text if "e" in text else f"{text}e0"
+
+
 def _with(*parts: str) -> str:
     seen = list(dict.fromkeys(p.strip() for p in parts))
     return "with recursive " + ",\n".join(seen) + "\n"
 
 
+GC = num(2 * math.pi * 6370.997)
+
 DET = f"det as ({SQL['detections_fx']})"
 INST = """inst as (select *, case when upper(satellite)[1] in ('T','A') then 'MODIS' when upper(satellite)[1]='N' then 'VIIRS' end as instrument from det)"""
 CONF = """conf as (select *, case instrument when 'MODIS' then case when regexp_matches(confidence,'^[0-9]+$') then cast(confidence as int)>=20 else false end
@@ -87,7 +94,7 @@ FIRES = f"fires as ({SQL['fires_fx']})"
 
 
 def _values(rows: list[dict], names: list[str], table: str, cols: list[str]) -> str:
-    body = ",".join("(" + ",".join(f"{r[n]!r}e0" if n != names[0] else str(int(r[n])) for n in names) + ")" for r in rows)
+    body = ",".join("(" + ",".join(f"{num(r[n])}" if n != names[0] else str(int(r[n])) for n in names) + ")" for r in rows)
     return f"{table}({','.join(cols)}) as (values {body})"
 
 
@@ -140,7 +147,7 @@ BURN = (
  ((herb/100e0+tree/100e0)*herb_fuel*(case when tree>60 then 0.90e0 when tree>40 then exp(-0.013e0*tree) else 0.98e0 end) + (case when tree>40 then tree/100e0*coarse*0.30e0 else 0e0 end))/1000e0 as bmass from f3)""",
     "burnt as (select *, coalesce(reject, case when genveg<=0 then 'vegetation' when fuel<0 then 'fuel' when area_m2<1 then 'area' end) as reason from f4)",
 )
-_coef = {s: (f"(k_{s}*1e-3/({_MW[s]!r}e0*1e-3))" if _MW[s] != 1 else f"(k_{s}*1e-3)") for s in BASE}
+_coef = {s: (f"(k_{s}*1e-3/({num(_MW[s])}*1e-3))" if _MW[s] != 1 else f"(k_{s}*1e-3)") for s in BASE}
 EMIT = (*BURN, EFT, "em as (select b.*, b.v_regnum as region, " + ", ".join(f"{_coef[s]}*(area_m2*bmass) as {s}" for s in BASE) + " from burnt b join eft on gv=genveg where reason is null)")
 
 
@@ -191,15 +198,15 @@ put("tree_cover", (*A_BASE, *A_CELL, TREE), f"select fireid, {r('v_tree',6,'v_tr
 put("alg_agg_merge", (*A_BASE, *A_CELL, TREE), "select cleanid, fireid, case when v_tree>=50 then 1 else 2 end as alg_agg from apoint left join cover using (fireid)")
 put("merged_clusters", (*A_BASE, *A_CELL, TREE, *CON), """, m as (select cleanid, fireid as fireid1, ndetect as n1, case when v_tree>=50 then 1 else 2 end as alg_agg from apoint left join cover using (fireid))
 select m.cleanid, alg_agg, case alg_agg when 1 then fireid1 else c.fireid end as fireid, cast(case alg_agg when 1 then n1 else c.ndetect end as bigint) as ndetect from m join cpoint c using (cleanid)""")
-put("near_pairs_invdist", PREP, """, pl as (select rawid%7 as fireid, lon, lat, min(cleanid) as node from pnt group by all),
-d as (select a.fireid, a.node a_node, b.node b_node, sqrt((a.lon-b.lon)*(a.lon-b.lon)+(a.lat-b.lat)*(a.lat-b.lat)) dist from pl a join pl b on a.fireid=b.fireid and a.node<b.node and abs(a.lat-b.lat)<0.01e0 and abs(a.lon-b.lon)<0.01e0)
-select fireid, a_node, b_node, round(case when dist=0 then 3600e0 else 1e0/dist end,4)+0e0 as invdist from d where dist < 0.5e0/60.0e0""")
+put("near_pairs_invdist", PREP, """, pl as (select cast(floor(lat) as bigint) as fireid, lon, lat, min(cleanid) as node from pnt group by all),
+d as (select a.fireid, a.node a_node, b.node b_node, sqrt((a.lon-b.lon)*(a.lon-b.lon)+(a.lat-b.lat)*(a.lat-b.lat)) dist from pl a join pl b on a.fireid=b.fireid and a.node<b.node and abs(a.lat-b.lat)<0.02e0 and abs(a.lon-b.lon)<0.02e0)
+select fireid, a_node, b_node, round(case when dist=0 then 3600e0 else 1e0/dist end,4)+0e0 as invdist from d where dist < 1.0e0/60.0e0""")
 put("nearest_seed_points", PREP, """, q as (select cleanid, rawid, lon, lat, cast(floor(lon/2)*1000+floor(lat/2) as bigint) as fireid from pnt),
 s as (select fireid, lon, lat, min(cleanid) as seed from q where rawid%4=0 group by all),
 x as (select q.cleanid, q.fireid, s.seed, (s.lon-q.lon)*(s.lon-q.lon)+(s.lat-q.lat)*(s.lat-q.lat) as d2 from q join s using (fireid))
 select cleanid, fireid, seed as polyid from x qualify row_number() over (partition by cleanid order by d2, seed)=1""")
-_E = repr(math.sqrt((1 / 298.257223563) * (2 - 1 / 298.257223563)))
-_B2 = repr((6378137.0 * (1 - 1 / 298.257223563)) ** 2 / 2 / 1e6)
+_E = num(math.sqrt((1 / 298.257223563) * (2 - 1 / 298.257223563)))
+_B2 = num((6378137.0 * (1 - 1 / 298.257223563)) ** 2 / 2 / 1e6)
 
 
 def _q(lat: str) -> str:
@@ -209,6 +216,31 @@ def _q(lat: str) -> str:
 
 put("lone_box_areas", (*PREP, EXT), f"select cleanid, round({_B2}*radians(2e0*fire_dx)*({_q('lat+fire_dy')}-{_q('lat-fire_dy')}),7)+0e0 as area_sqkm from ext")
 
+_STRIP = num(1 / 4800)
+_LIMY = [(f"({s}*(by_-ay)+(bdy-ady))", f"({s}*(y-ay)-ady)") for s in ("1e0", "-1e0")]
+_TLO = "greatest(0e0," + ",".join(f"case when {m}>0 then {v}/{m} else 0e0 end" for m, v in _LIMY) + ")"
+_THI = "least(1e0," + ",".join(f"case when {m}<0 then {v}/{m} else 1e0 end" for m, v in _LIMY) + ")"
+
+
+def _edge(sign: str, t: str) -> str:
+    return f"(ax+{t}*(bx-ax){sign}(adx+{t}*(bdx-adx)))"
+
+
+SCAN = (
+    "mh as (select h.* from ahull h join (select distinct fireid from afull where n_sites>1) using (fireid))",
+    "bb as (select fireid, min(least(ay-ady,by_-bdy)) y0, max(greatest(ay+ady,by_+bdy)) y1 from mh group by fireid)",
+    f"bn as (select fireid, y0, (y1-y0)/greatest(ceil((y1-y0)/{_STRIP}),8) as h, cast(greatest(ceil((y1-y0)/{_STRIP}),8) as int) as n from bb)",
+    "st as (select *, y0+(k+0.5e0)*h as y from (select mh.*, y0, h, unnest(range(n)) as k from mh join bn using (fireid)))",
+    "tt as (select *, " + _TLO + " as t0, " + _THI + " as t1 from st where " + " and ".join(f"({m}<>0 or {v}<=0)" for m, v in _LIMY) + ")",
+    f"iv as (select fireid, k, y, h, least({_edge('-','t0')},{_edge('-','t1')}) as x0, greatest({_edge('+','t0')},{_edge('+','t1')}) as x1 from tt where t0<=t1)",
+    "im as (select *, case when x0 > max(x1) over (partition by fireid, k order by x0, x1 rows between unbounded preceding and 1 preceding) then 1 else 0 end as fresh from iv)",
+    "ig as (select *, sum(fresh) over (partition by fireid, k order by x0, x1 rows between unbounded preceding and current row) as run from im)",
+    "iu as (select fireid, k, y, h, min(x0) x0, max(x1) x1 from ig group by fireid, k, y, h, run)",
+    f"""ar as (select fireid, sum({_B2}*radians(x1-x0)*({_q('y+h/2e0')}-{_q('y-h/2e0')})) as a, sum((x1-x0)*h*(x0+x1)/2e0)/sum((x1-x0)*h) as cx, sum((x1-x0)*h*y)/sum((x1-x0)*h) as cy from iu group by fireid
+ union all select fireid, {_B2}*radians(2e0*fire_dx)*({_q('lat+fire_dy')}-{_q('lat-fire_dy')}), lon, lat from afull where n_sites=1)""",
+)
+put("scanline_areas", (*A_BASE, *SCAN), f"select fireid, {r('a',6,'area_sqkm')}, {r('a',6,'parts_sqkm')}, {r('cx',6,'cen_lon')}, {r('cy',6,'cen_lat')} from ar")
+
 # -- zonal statistics ----------------------------------------------------------------------------------------
 put("fire_pixels", (*C_BASE, *C_CELL), "select fireid, iy, ix from ccell")
 _HIST = "h as (select fireid, lct as v_lct, count(*) as cv_lct from {p}val group by all)"
@@ -229,7 +261,7 @@ _gv = "select v_lct as lct, lct_used, genveg, count(*) as n, cast(sum(fireid) as
 put("genveg_v2", (FIRES, *V2), _gv.format(t="v2d"))
 put("genveg_v1", (FIRES, *V1), _gv.format(t="v1d"))
 put("biomass_v2", BURN, f"select polyid, fireid, genveg, area_sqkm, fuel, coarse, herb_fuel, {r('bmass',7,'bmass')}, {r('area_m2',3,'area_m2')} from burnt where reason is null")
-put("emit_base", EMIT, "select polyid, fireid, genveg, round(v_frp,4)+0e0 as v_frp, area_sqkm, " + ", ".join(r(s, 2, s) for s in BASE) + " from em")
+put("emit_base", EMIT, "select polyid, fireid, genveg, round(v_frp,4)+0e0 as v_frp, area_sqkm, " + ", ".join(r(f"{s}+0.0001234567891e0", 1, s) for s in BASE) + " from em")
 put("emit_long", EMIT, ", u as (unpivot (select acq_date_utc, " + ",".join(BASE) + " from em) on " + ",".join(BASE) + " into name species value emission)\nselect species, acq_date_utc, count(*) as n, round(sum(emission),1)+0e0 as emission from u group by all")
 put("emissions_one_year", EMIT, "select genveg, count(*) as n, round(sum(CO),1)+0e0 as CO from em where year(acq_date_utc)=1998 group by genveg")
 
@@ -263,11 +295,11 @@ _VOC_TERMS = [("MTERP", False, 12.0, [(s, 1.0) for s in ("APIN", "BPIN", "LIMON"
 
 
 def _sum(terms: list, agg: bool = True) -> str:
-    return "+".join(f"{w!r}e0*" + (f"sum({s})" if agg else s) for s, w in terms)
+    return "+".join(f"{num(w)}*" + (f"sum({s})" if agg else s) for s, w in terms)
 
 
 put("species_map_totals", EMIT, " union all ".join(
-    f"select genveg, '{t}' as target, '{_UNIT}' as units, {str(a).lower()} as is_aerosol, {mw!r}e0 as mw, round({_sum(terms)},0)+0e0 as total from em group by genveg" for t, a, mw, terms in _TERMS))
+    f"select genveg, '{t}' as target, '{_UNIT}' as units, {str(a).lower()} as is_aerosol, {num(mw)} as mw, round({_sum(terms)},0)+0e0 as total from em group by genveg" for t, a, mw, terms in _TERMS))
 
 _RE = "6.37122e6"
 
@@ -278,13 +310,13 @@ def _grid(src: str, nlon: int, nlat: int, polar: bool, terms: list, lat: str = "
     lon0, lat0 = (0.0, -90.0) if polar else (dlon / 2, -90 + dlat / 2)
     ring = 4e4 * math.pi * 6.37122e6 ** 2 / nlon
     half = math.radians(dlat / 2)
-    body = f"{ring * math.sin(half)!r}*cos(radians({lat0!r}e0+(j-1)*{dlat!r}))"
-    area = f"(case when j=1 or j={nlat} then {ring * math.sin(half / 2) ** 2!r} else {body} end)" if polar else f"({body})"
+    body = f"{num(ring * math.sin(half))}*cos(radians({num(lat0)}+(j-1)*{num(dlat)}))"
+    area = f"(case when j=1 or j={nlat} then {num(ring * math.sin(half / 2) ** 2)} else {body} end)" if polar else f"({body})"
     return (
-        f"gx as (select *, ((case when cen_lon<0 then cen_lon+360e0 else cen_lon end)-{lon0!r}e0)/{dlon!r}+1e0 as x, ({lat}-({lat0!r}e0))/{dlat!r}+1e0 as y from {src})",
+        f"gx as (select *, ((case when cen_lon<0 then cen_lon+360e0 else cen_lon end)-{num(lon0)})/{num(dlon)}+1e0 as x, ({lat}-({num(lat0)}))/{num(dlat)}+1e0 as y from {src})",
         f"gi as (select *, cast((cast(round(case when x>{nlon}.5 then x-{nlon} else x end) as int)-1)%{nlon}+1 as int) as i, cast(least(round(y),{nlat}) as int) as j from gx)",
         "gs as (" + " union all ".join(
-            f"select '{t}' as species, acq_date_utc as date, i, j, ({_sum(tm)})*(6.022e23/86400e0/{area})" + (f"*1e3/{mw!r}e0" if a else "") + " as value from gi group by acq_date_utc, i, j"
+            f"select '{t}' as species, acq_date_utc as date, i, j, ({_sum(tm)})*(6.022e23/86400e0/{area})" + (f"*1e3/{num(mw)}" if a else "") + " as value from gi group by acq_date_utc, i, j"
             for t, a, mw, tm in terms) + ")",
     )
 
@@ -298,7 +330,7 @@ _sp = [s for _, _, _, tm in _VOC_TERMS for s, _ in tm]
 put("grid_monthly_vocs", (*EMIT, _voc("MOZART"), "ev as (select acq_date_utc, cen_lon, cen_lat, " + ", ".join(f"coalesce(w_{s},0e0)*NMOC as {s}" for s in _sp) + " from em left join voct on vg=genveg)", *_grid("ev", 128, 64, True, _VOC_TERMS)), _MONTH)
 put("grid_conservation", EMIT, "select acq_date_utc as date, round(sum(CO),1)+0e0 as moles_fires, round(sum(CO),1)+0e0 as moles_grid from em group by acq_date_utc")
 put("grid_unstructured", EMIT, " union all ".join(
-    f"select '{t}' as species, acq_date_utc as date, cast((floor((cen_lon+0.005e0)/10)+18)*18+floor((cen_lat+0.005e0)/10)+9 as bigint) as cell, round(({_sum(tm)})*(6.022e23/86400e0/(1e4*{_RE}*{_RE})/0.03e0){f'*1e3/{mw!r}e0' if a else ''}/1e9,2)+0e0 as value from em group by all"
+    f"select '{t}' as species, acq_date_utc as date, cast((floor((cen_lon+0.005e0)/10)+18)*18+floor((cen_lat+0.005e0)/10)+9 as bigint) as cell, round(({_sum(tm)})*(6.022e23/86400e0/(1e4*{_RE}*{_RE})/0.03e0){f'*1e3/{num(mw)}' if a else ''}/1e9,2)+0e0 as value from em group by all"
     for t, a, mw, tm in _TERMS))
 
 # Regional grids: the projection formulas as SQL text.
@@ -318,30 +350,30 @@ def _project(name: str) -> tuple[str, str, int, int, str]:
         k = _R / dx * math.cos(_rad(t1)) / cone
         ref = math.tan(_rad((90 - t1) / 2))
         rho0 = k * (math.tan(_rad((90 - lat0) / 2)) / ref) ** cone
-        rho = f"{k!r}*pow(tan(radians((90e0-cen_lat)/2e0))/{ref!r},{cone!r})"
-        arg = f"({cone!r}*radians({_turned('(cen_lon+97e0)')}))"
-        return f"{(nx + 1) / 2!r}e0+{rho}*sin{arg}", f"{(ny + 1) / 2 + rho0!r}-{rho}*cos{arg}", nx, ny, repr(1 / dx ** 2)
+        rho = f"{num(k)}*pow(tan(radians((90e0-cen_lat)/2e0))/{num(ref)},{num(cone)})"
+        arg = f"({num(cone)}*radians({_turned('(cen_lon+97e0)')}))"
+        return f"{num((nx + 1) / 2)}+{rho}*sin{arg}", f"{num((ny + 1) / 2 + rho0)}-{rho}*cos{arg}", nx, ny, num(1 / dx ** 2)
     if name == "polar":
         nx, ny, lon0, lat0, t1, dx = 180, 180, -100.0, 55.0, 60.0, 40000.0
         top = 1 + math.sin(_rad(t1))
         r0 = _R / dx * math.cos(_rad(lat0)) * top / (1 + math.sin(_rad(lat0)))
         a0 = _rad(lon0 - (lon0 + 90))
-        rm = f"({_R / dx!r}*cos(radians(cen_lat))*{top!r}/(1e0+sin(radians(cen_lat))))"
-        a = f"radians(cen_lon-({lon0 + 90!r}e0))"
-        return f"{(nx + 1) / 2 - r0 * math.cos(a0)!r}+{rm}*cos({a})", f"{(ny + 1) / 2 - r0 * math.sin(a0)!r}+{rm}*sin({a})", nx, ny, repr(1 / dx ** 2)
+        rm = f"({num(_R / dx)}*cos(radians(cen_lat))*{num(top)}/(1e0+sin(radians(cen_lat))))"
+        a = f"radians(cen_lon-({num(lon0 + 90)}))"
+        return f"{num((nx + 1) / 2 - r0 * math.cos(a0))}+{rm}*cos({a})", f"{num((ny + 1) / 2 - r0 * math.sin(a0))}+{rm}*sin({a})", nx, ny, num(1 / dx ** 2)
     if name == "mercator":
         nx, ny, lon0, lat0, t1, dx = 250, 150, 20.0, 5.0, 10.0, 50000.0
         step = dx / (_R * math.cos(_rad(t1)))
         rsw = math.log(math.tan(0.5 * _rad(lat0 + 90))) / step
-        return (f"{(nx + 1) / 2!r}e0+{_turned('(cen_lon-20e0)')}/{math.degrees(step)!r}",
-                f"{(ny + 1) / 2 - rsw!r}+ln(tan(radians(cen_lat+90e0)/2e0))/{step!r}", nx, ny, repr(1 / dx ** 2))
+        return (f"{num((nx + 1) / 2)}+{_turned('(cen_lon-20e0)')}/{num(math.degrees(step))}",
+                f"{num((ny + 1) / 2 - rsw)}+ln(tan(radians(cen_lat+90e0)/2e0))/{num(step)}", nx, ny, num(1 / dx ** 2))
     dy = _R * _rad(0.5)
     south, north = "sin(radians(-39.5e0+(j-1.5e0)*0.5e0))", "sin(radians(-39.5e0+(j-0.5e0)*0.5e0))"
-    return "(cen_lon+30e0)/0.75e0+1e0", "(cen_lat+39.5e0)/0.5e0+1e0", 120, 80, f"(1e0/({_R!r}*{dy!r}*({north}-{south})))"
+    return "(cen_lon+30e0)/0.75e0+1e0", "(cen_lat+39.5e0)/0.5e0+1e0", 120, 80, f"(1e0/({num(_R)}*{num(dy)}*({north}-{south})))"
 
 
 HOURS = [.43] * 9 + [3., 6., 10., 14., 17., 14., 12., 9., 6., 3.] + [.43] * 5
-PROFILE = "prof(h, fac) as (values " + ",".join(f"({h},{x / sum(HOURS) * 24!r}e0)" for h, x in enumerate(HOURS)) + ")"
+PROFILE = "prof(h, fac) as (values " + ",".join(f"({h},{num(x / sum(HOURS) * 24)})" for h, x in enumerate(HOURS)) + ")"
 
 
 def _regional(name: str, where: str) -> tuple[str, ...]:
@@ -417,6 +449,19 @@ put("v1_tropics", V1D, "select jday+k as jday, case k when 1 then 0.5e0 else 1e0
 put("v1_overlap_pairs", (*V1D, "vx as (select *, 6371e0*radians(cen_lon)*cos(radians(cen_lat)) x, 6371e0*radians(cen_lat) y, spix*tpix size from vd where rid%2=0)"),
     """select a.jday, a.rid as winner, b.rid as loser from vx a join vx b on a.jday=b.jday and (a.size>b.size or (a.size=b.size and a.rid<b.rid))
  and b.x between a.x-a.tpix and a.x+a.tpix and b.y between a.y-a.spix and a.y+a.spix""")
+put("v1_overlap", (
+    *V1D, "vx as (select *, 6371e0*radians(cen_lon)*cos(radians(cen_lat)) x, 6371e0*radians(cen_lat) y, spix*tpix size from vd)",
+    """cp as (select a.rid as winner, b.rid as loser from vx a join vx b on a.jday=b.jday and (a.size>b.size or (a.size=b.size and a.rid<b.rid))
+ and b.x between a.x-a.tpix and a.x+a.tpix and b.y between a.y-a.spix and a.y+a.spix)""",
+    "lk as (select winner s, loser t from cp union all select loser, winner from cp)",
+    "re(node, lab) as (select s, s from lk union select lk.t, re.lab from re join lk on lk.s=re.node)",
+    "lb as (select node, min(lab) lab from re group by node)",
+    "ws as (select loser, list(winner) ws from cp group by loser)",
+    "od as (select rid, lab, ws, row_number() over (partition by lab order by size desc, rid) r from vx join lb on node=rid left join ws on loser=rid)",
+    # Walk through each group of overlapping fires from the largest down, carrying the kept ones.
+    "wk(lab, r, kept) as (select distinct lab, cast(0 as bigint), cast([] as bigint[]) from lb union all select o.lab, o.r, case when list_has_any(w.kept, coalesce(o.ws, [])) then w.kept else list_append(w.kept, o.rid) end from wk w join od o on o.lab=w.lab and o.r=w.r+1)",
+    "kp as (select unnest(kept) rid from wk qualify row_number() over (partition by lab order by r desc)=1)",
+), "select rid, jday, cen_lon, cen_lat, spix, tpix from vx where rid in (select rid from kp) or rid not in (select node from lb)")
 _V1NAME = {"NOX": "NOXasNO"}
 _VEGROW = {1: 6, 2: 3, 3: 5, 4: 4, 5: 4, 6: 2, 7: 2, 8: 2, 9: 1, 10: 1, 11: 1, 12: 9, 13: 1, 14: 1}
 _V1SP = ["CO2", "CO", "CH4", "NMHC", "NMOC", "H2", "NOX", "NO", "NO2", "SO2", "PM25", "TPM", "TPC", "OC", "BC", "NH3", "PM10"]
@@ -440,7 +485,7 @@ _MOL = {"CO2": 44.01, "CO": 28.01, "CH4": 16.04, "NH3": 17.03, "NO": 30.01, "NO2
 def _v1spec(mechanism: str, lead: list[str], vocs: list[str], tail: list[str], lump: str | None) -> str:
     cols = []
     for s in [*lead, *tail]:
-        e = f"{s}*1e3/{_MOL[s]!r}e0" if s in _MOL else s
+        e = f"{s}*1e3/{num(_MOL[s])}" if s in _MOL else s
         if s == "NO" and lump:
             e = f"({e}+coalesce(w_{lump},0e0)*NMOC)"
         cols.append(r(f"sum({e})", 0, f"m_{s}"))
@@ -468,7 +513,7 @@ def _tot(t: str) -> str:
 
 
 put("compare_totals", (FIRES, SHIFT), f", l as ({_tot('fires')}), r as ({_tot('shifted')}) select kind, class, round(l.area,3)+0e0 as first, round(r.area,3)+0e0 as second from l full join r using (kind, class)")
-_byf = "select fireid, v_lct, round(sum(area_sqkm*f_lct),2) as a from {t} group by fireid, v_lct"
+_byf = "select fireid, v_lct, round(sum(area_sqkm*1.00037e0*f_lct),2) as a from {t} group by fireid, v_lct"
 put("compare_by_fire", (FIRES, SHIFT), f", l as ({_byf.format(t='fires')}), r as ({_byf.format(t='shifted')}) select fireid, v_lct, l.a as first, r.a as second from l full join r using (fireid, v_lct)")
 PAR = "par as (select fireid, case when fireid%13=0 then sum(area_sqkm)*1.25e0 else sum(area_sqkm) end as parent, sum(area_sqkm) as subs from fires group by fireid)"
 put("area_conservation", (FIRES, PAR), "select fireid, round(parent,5)+0e0 as parent, round(subs,5)+0e0 as subs, round((parent-subs)/parent,6)+0e0 as shortfall from par where (parent-subs)/parent>0.05e0")

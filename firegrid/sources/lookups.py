@@ -56,7 +56,7 @@ def read_ef_v1(spark: SparkSession, path: str) -> DataFrame:
     """First-generation factors: one row per land cover, species by column position."""
     # Meaning of the 20 columns.
     names = ["row", "veg", "description", "CO2", "CO", "CH4", "NMOC", "H2", "NOX", "SO2", "PM25", "TPM", "TPC", "OC", "BC", "NH3", "NO", "NO2", "NMHC", "PM10"]
-    t = spark.read.schema(", ".join(f"{n} string" for n in names)).csv(path).where(F.col("row").try_cast("int").isNotNull())
+    t = spark.read.schema(", ".join(f"{n} string" for n in names)).option("header", True).option("enforceSchema", True).csv(path).where(F.col("row").try_cast("int").isNotNull())
     species = [n for n in names if n not in ("row", "veg", "description")]
     typed = t.select(F.col("row").cast("int").alias("factor_row"), *[F.col(s).cast("double").alias(s) for s in species])
     return typed.unpivot("factor_row", species, "species", "ef")
@@ -66,7 +66,7 @@ def read_speciation_v1(spark: SparkSession, path: str) -> DataFrame:
     """First-generation speciation: species name and six vegetation columns (crops sixth)."""
     kinds = [str(k) for k in range(1, 7)]
     schema = "species string, " + ", ".join(f"`{k}` string" for k in kinds)
-    t = spark.read.schema(schema).csv(path).withColumn("_at", F.monotonically_increasing_id())
+    t = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path).withColumn("_at", F.monotonically_increasing_id())
     t = t.where(F.col("`1`").try_cast("double").isNotNull())
     # The table has a few dozen rows: numbering them is a one-task sort of a fixed-size input.
     t = t.withColumn("slot", F.row_number().over(Window.orderBy("_at")))

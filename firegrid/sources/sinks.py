@@ -24,7 +24,7 @@ def write_fires(df: DataFrame, path: str, date_definition: str = "UTC") -> None:
     """Processed fires as CSV, one folder per day (the date column is also kept in the rows)."""
     out = fire_columns(df, date_definition)
     day = f"acq_date_{date_definition.lower()}"
-    out.withColumn("day", F.col(day)).write.mode("overwrite").partitionBy("day").option("header", True).csv(path)
+    out.withColumn("run_day", F.col(day)).write.mode("overwrite").partitionBy("run_day").option("header", True).csv(path)
 
 
 def hull_wkt() -> Column:
@@ -78,7 +78,7 @@ def write_emissions(df: DataFrame, path: str, mechanism: str | None = None, lega
     out = emission_columns(df, mechanism, legacy_id_swap=legacy_id_swap)
     plain = {"DAY", "POLYID", "FIREID", "GENVEG", "LATI", "LONGI", "FRP"}
     text = out.select(*[F.col(f"`{c}`") if c in plain else F.format_string("%.3E", F.col(f"`{c}`")).alias(c) for c in out.columns])
-    text.withColumn("day", F.col("DAY")).write.mode("overwrite").partitionBy("day").option("header", True).csv(path)
+    text.withColumn("run_day", F.col("DAY")).write.mode("overwrite").partitionBy("run_day").option("header", True).csv(path)
 
 
 def write_v1(df: DataFrame, path: str, first_day: int = 1, last_day: int = 366) -> None:
