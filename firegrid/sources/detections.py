@@ -21,7 +21,7 @@ DETECTION_SCHEMA = T.StructType([
 ])
 
 
-def _conform(df: DataFrame) -> DataFrame:
+def conform(df: DataFrame) -> DataFrame:
     """Lower-case names, require a position, add missing columns, set the types."""
     df = df.toDF(*[c.lower() for c in df.columns])
     missing = {"longitude", "latitude"} - set(df.columns)
@@ -43,7 +43,7 @@ def with_instrument(df: DataFrame, path_col: str = "_path") -> DataFrame:
 def read_one(spark: SparkSession, path: str) -> DataFrame:
     """One file, or a folder of files with the same columns; only the header is read at plan time."""
     raw = spark.read.option("header", True).csv(path).withColumn("_path", F.col("_metadata.file_path"))
-    return with_instrument(_conform(raw)).drop("_path")
+    return with_instrument(conform(raw)).drop("_path")
 
 
 def read_detections(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -2,27 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from firegrid.functions.dates import local_solar_ts
 from firegrid.functions.geo import modis_tile
-from firegrid.functions.text import instrument_from_path, normalize_hhmm
+from firegrid.functions.text import normalize_hhmm
 from firegrid.operators.prep import prepare
 from firegrid.session import cut
-from firegrid.sources.detections import DETECTION_SCHEMA
+from firegrid.sources.detections import DETECTION_SCHEMA, conform, with_instrument
 from firegrid.sources.sinks import overwrite_days
 
 KEYS = ["latitude", "longitude", "acq_date", "acq_time", "satellite"]
 
 
-def stream_detections(spark: SparkSession, folder: str, files_per_trigger: int = 100) -> DataFrame:
-    """Detections arriving as CSV files with a header."""
+def stream_detections(spark: SparkSession, folder: str, columns: list[str] | None = None, files_per_trigger: int = 100) -> DataFrame:
+    """Detections arriving as CSV files with a header.
+
+    CSV columns are matched by position, so ``columns`` names them in file order; by default they are
+    taken from the header of the files already there.  A file with another header is an error.
+    """
+    names = columns or spark.read.option("header", True).csv(folder).columns
+    kinds = {f.name: f.dataType for f in DETECTION_SCHEMA}
+    schema = T.StructType([T.StructField(n, kinds.get(n.lower(), T.StringType())) for n in names])
     raw = (
-        spark.readStream.schema(DETECTION_SCHEMA).option("header", True)
-        .option("maxFilesPerTrigger", files_per_trigger).csv(folder)
+        spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
+        .option("maxFilesPerTrigger", files_per_trigger).csv(folder).withColumn("_path", F.col("_metadata.file_path"))
     )
-    return raw.withColumn("instrument", F.coalesce(instrument_from_path(F.col("_metadata.file_path")), F.col("instrument")))
+    return with_instrument(conform(raw)).drop("_path")
 
 
 def with_event_time(df: DataFrame, delay: str = "2 days") -> DataFrame:
