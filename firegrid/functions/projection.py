@@ -69,6 +69,17 @@ class Domain:
         return num / den
 
 
+def domain_of(attributes: dict) -> Domain:
+    """A domain from the usual grid attributes (MAP_PROJ, CEN_LON, CEN_LAT, STAND_LON, TRUELAT1/2, DX and the size)."""
+    a = {k.lower(): v for k, v in attributes.items()}
+    return Domain(a["map_proj"], a["nx"], a["ny"], a["cen_lon"], a["cen_lat"], a["stand_lon"], a["truelat1"], a["truelat2"], a["dx"])
+
+
+def latlon_domain(lons: list[float], lats: list[float], nx: int, ny: int) -> Domain:
+    """A lat-lon domain from the first two cell centres in each direction."""
+    return Domain(LATLON, nx, ny, lons[0], lats[0], dlon=lons[1] - lons[0], dlat=lats[1] - lats[0])
+
+
 def _turn(deg: Column) -> Column:
     """Angle brought into (-180, 180] by one turn."""
     return F.when(deg > 180, deg - 360.0).when(deg < -180, deg + 360.0).otherwise(deg)

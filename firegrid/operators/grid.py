@@ -132,10 +132,21 @@ def grid_daily(emissions: DataFrame, species_map: DataFrame, name: str, date: st
     return _melt(wide, ["date", "i", "j"], ts).select("species", "date", "i", "j", "value")
 
 
-def grid_monthly(daily: DataFrame, keys: tuple[str, ...] = ("i", "j")) -> DataFrame:
-    """Mean over all days of the month, days without fires counting as zero: (species, month, ..., value)."""
-    month = F.trunc("date", "month").alias("month")
-    sums = daily.groupBy("species", month, *keys).agg(F.sum("value").alias("total"))
+def grid_monthly(emissions: DataFrame, species_map: DataFrame, name: str, date: str = "acq_date_utc",
+                 lon: str = "cen_lon", lat: str = "cen_lat", legacy_pole_area: bool = False) -> DataFrame:
+    """Mean over all days of each month, days without fires counting as zero: (species, month, i, j, value).
+
+    Fires are summed per (month, cell) directly; no daily table is made.
+    """
+    by_month = emissions.withColumn("_month", F.trunc(date, "month"))
+    sums = grid_daily(by_month, species_map, name, "_month", lon, lat, legacy_pole_area)
+    days = F.dayofmonth(F.last_day("date"))
+    return sums.select("species", F.col("date").alias("month"), "i", "j", (F.col("value") / days).alias("value"))
+
+
+def monthly_mean(daily: DataFrame, keys: tuple[str, ...] = ("i", "j")) -> DataFrame:
+    """The same from stored daily values: (species, month, ..., value)."""
+    sums = daily.groupBy("species", F.trunc("date", "month").alias("month"), *keys).agg(F.sum("value").alias("total"))
     return sums.withColumn("value", F.col("total") / F.dayofmonth(F.last_day("month"))).drop("total")
 
 

@@ -149,6 +149,19 @@ def burn_v1(df: DataFrame) -> DataFrame:
     )
 
 
+def reject_counts_v1(raw: DataFrame, confident: DataFrame, kept: DataFrame, burned: DataFrame) -> DataFrame:
+    """One row of counters: detections by filter, fires by reason."""
+    reason = F.col("reject_reason")
+    n_raw, n_confident, n_kept = (d.agg(F.count("*")).scalar() for d in (raw, confident, kept))
+    ok = reason.isNull()
+    return burned.agg(
+        F.count("*").alias("n_fires"), F.count_if(reason == "no region").alias("n_no_region"), F.count_if(reason == "land cover").alias("n_land_cover"),
+        F.count_if(F.col("all_bare") & (ok | (reason == "all bare"))).alias("n_all_bare"), F.count_if(reason == "vegetation").alias("n_no_vegetation"),
+        F.count_if(reason == "fuel").alias("n_no_fuel"), F.count_if(ok & F.col("rescaled") & (F.col("totcov") >= 50)).alias("n_rescaled"),
+        F.count_if(ok & F.col("rescaled") & (F.col("totcov") < 50)).alias("n_cover_below_50"), F.count_if(ok & (F.col("lct") == 13)).alias("n_urban"),
+    ).select("*", (n_raw - n_confident).alias("n_low_confidence"), (n_confident - n_kept).alias("n_overlap"))
+
+
 def factors_by_class(spark) -> DataFrame:
     """Stand-in factor table by row (long: factor_row, species, ef) built from the by-type factors.
 

@@ -146,6 +146,32 @@ def diagnostics(points: DataFrame, lrg: DataFrame, div: DataFrame, tol: float =
     return orphans.unionByName(childless).unionByName(lost)
 
 
+def extreme_location(df: DataFrame, column: str, lon: str = "cen_lon", lat: str = "cen_lat") -> DataFrame:
+    """Smallest and largest value with their places, in one aggregated row."""
+    return df.agg(
+        F.min(column).alias("low"), F.min_by(lon, column).alias("low_lon"), F.min_by(lat, column).alias("low_lat"),
+        F.max(column).alias("high"), F.max_by(lon, column).alias("high_lon"), F.max_by(lat, column).alias("high_lat"),
+    )
+
+
+def probe(df: DataFrame) -> DataFrame:
+    """One row, to look at what a table holds."""
+    return df.limit(1)
+
+
+def order_by_count(df: DataFrame, column: str) -> DataFrame:
+    """Values by how often they occur, most frequent first."""
+    return df.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column)
+
+
+def union_all(*dfs: DataFrame) -> DataFrame:
+    """All rows of several tables by column name; missing columns become null."""
+    out = dfs[0]
+    for df in dfs[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
 def check_day_order(df: DataFrame, day: str, order: str, groups: list[str]) -> DataFrame:
     """Rows whose day precedes the day of the row before them within a source file."""
     w = Window.partitionBy(*groups).orderBy(order)

@@ -449,8 +449,8 @@ put("v1_tropics", V1D, "select jday+k as jday, case k when 1 then 0.5e0 else 1e0
 put("v1_overlap_pairs", (*V1D, "vx as (select *, 6371e0*radians(cen_lon)*cos(radians(cen_lat)) x, 6371e0*radians(cen_lat) y, spix*tpix size from vd where rid%2=0)"),
     """select a.jday, a.rid as winner, b.rid as loser from vx a join vx b on a.jday=b.jday and (a.size>b.size or (a.size=b.size and a.rid<b.rid))
  and b.x between a.x-a.tpix and a.x+a.tpix and b.y between a.y-a.spix and a.y+a.spix""")
-put("v1_overlap", (
-    *V1D, "vx as (select *, 6371e0*radians(cen_lon)*cos(radians(cen_lat)) x, 6371e0*radians(cen_lat) y, spix*tpix size from vd)",
+OVERLAP = (
+    "vx as (select *, 6371e0*radians(cen_lon)*cos(radians(cen_lat)) x, 6371e0*radians(cen_lat) y, spix*tpix size from vd)",
     """cp as (select a.rid as winner, b.rid as loser from vx a join vx b on a.jday=b.jday and (a.size>b.size or (a.size=b.size and a.rid<b.rid))
  and b.x between a.x-a.tpix and a.x+a.tpix and b.y between a.y-a.spix and a.y+a.spix)""",
     "lk as (select winner s, loser t from cp union all select loser, winner from cp)",
@@ -461,7 +461,8 @@ put("v1_overlap", (
     # Walk through each group of overlapping fires from the largest down, carrying the kept ones.
     "wk(lab, r, kept) as (select distinct lab, cast(0 as bigint), cast([] as bigint[]) from lb union all select o.lab, o.r, case when list_has_any(w.kept, coalesce(o.ws, [])) then w.kept else list_append(w.kept, o.rid) end from wk w join od o on o.lab=w.lab and o.r=w.r+1)",
     "kp as (select unnest(kept) rid from wk qualify row_number() over (partition by lab order by r desc)=1)",
-), "select rid, jday, cen_lon, cen_lat, spix, tpix from vx where rid in (select rid from kp) or rid not in (select node from lb)")
+)
+put("v1_overlap", (*V1D, *OVERLAP), "select rid, jday, cen_lon, cen_lat, spix, tpix from vx where rid in (select rid from kp) or rid not in (select node from lb)")
 _V1NAME = {"NOX": "NOXasNO"}
 _VEGROW = {1: 6, 2: 3, 3: 5, 4: 4, 5: 4, 6: 2, 7: 2, 8: 2, 9: 1, 10: 1, 11: 1, 12: 9, 13: 1, 14: 1}
 _V1SP = ["CO2", "CO", "CH4", "NMHC", "NMOC", "H2", "NOX", "NO", "NO2", "SO2", "PM25", "TPM", "TPC", "OC", "BC", "NH3", "PM10"]
@@ -497,6 +498,18 @@ _lead = ["CO2", "CO", "NO", "NO2", "SO2", "NH3", "CH4"]
 put("v1_speciate_saprc99", (*V1EM, _voc("SAPRC")), _v1spec("SAPRC", [*_lead, "NMOC"], lookups.voc_species("SAPRC"), ["OC", "BC", "PM10", "PM25"], None))
 put("v1_speciate_geoschem", (*V1EM, _voc("GEOSCHEM")), _v1spec("GEOSCHEM", _lead, [s for s in lookups.voc_species("GEOSCHEM") if s != "NO"], ["OC", "BC", "PM25"], "NO"))
 
+put("v1_reject_counts", (
+    *V1D, FIRES, *V1, FUEL, "vc as (select * from vd where confidence>20)",
+    *[x.replace("from vd)", "from vc)") for x in OVERLAP],
+    "kk as (select rid from vx where rid in (select rid from kp) or rid not in (select node from lb))",
+    "rr as (select *, coalesce(reject, case when genveg<=0 then 'vegetation' when fgrass is null then 'fuel' end) as reason from v1d left join fuelt on reg=v_regnum)",
+), """select count(*) as n_fires, count(*) filter (where reason='no region') as n_no_region, count(*) filter (where reason='land cover') as n_land_cover,
+ count(*) filter (where all_bare and (reason is null or reason='all bare')) as n_all_bare, count(*) filter (where reason='vegetation') as n_no_vegetation, count(*) filter (where reason='fuel' and genveg<>9) as n_no_fuel,
+ count(*) filter (where reason is null and rescaled and totcov>=50) as n_rescaled, count(*) filter (where reason is null and rescaled and totcov<50) as n_cover_below_50, count(*) filter (where reason is null and v_lct=13) as n_urban,
+ (select count(*) from vd)-(select count(*) from vc) as n_low_confidence, (select count(*) from vc)-(select count(*) from kk) as n_overlap from rr""")
+put("largest_and_smallest", (FIRES, "z as (select *, area_sqkm*1e6+polyid%1000+cen_lon/1e3 as size from fires)"),
+    "select min(size) as low, arg_min(cen_lon,size) as low_lon, arg_min(cen_lat,size) as low_lat, max(size) as high, arg_max(cen_lon,size) as high_lon, arg_max(cen_lat,size) as high_lat from z")
+
 # -- comparisons and logs ------------------------------------------------------------------------------------------------
 SHIFT = "shifted as (select * replace (fireid+1 as fireid, case when polyid%31=0 then area_sqkm+0.5e0 else area_sqkm end as area_sqkm) from fires where polyid%50<>0)"
 _side = "select round(cen_lon,5) cen_lon, round(cen_lat,5) cen_lat, acq_date_utc, round(area_sqkm,5) area_sqkm, v_lct, round(f_lct,3) f_lct, min(polyid) polyid, min(fireid) fireid, count(*) n from {t} group by 1,2,3,4,5,6"

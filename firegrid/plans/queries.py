@@ -6,6 +6,7 @@ that two engines adding in another order agree.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,8 +20,10 @@ from firegrid.operators import (
     shapes, skim as K, speciesmap as M, subdivide as V, wrf as W, zonal as Z,
 )
 from firegrid.operators.components import connected_components
-from firegrid.plans.derived import detections, fires, table
-from firegrid.session import cut
+from firegrid.plans import pipeline
+from firegrid.plans.derived import DETECTIONS, detections, fires, table
+from firegrid.session import cut, scratch_dir
+from firegrid.streaming import stream as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -215,7 +218,7 @@ def footprint_sites(spark, sf):
 
 @query
 def adjacency_pairs(spark, sf):
-    s = C.sites(P.pixel_extent(points(spark, sf), "aggressive"))
+    s = cut(C.sites(P.pixel_extent(points(spark, sf), "aggressive")))
     return C.site_pairs(s).select("acq_date_use", "a_site", "b_site")
 
 
@@ -362,23 +365,18 @@ def zonal_frp(spark, sf):
     return rounded(Z.input_mean(p, "frp", "polyid"), {"v_frp": 6})
 
 
+def recipe(spark: SparkSession, sf: str) -> pipeline.Config:
+    px = cut(pixels(spark, sf))
+    return pipeline.Config([
+        pipeline.Layer("thematic", px.select("iy", "ix", "lct"), ("lct",)),
+        pipeline.Layer("continuous", px, ("tree", "herb", "bare"), (0, 100)),
+        pipeline.Layer("polygons", stripes(spark, sf)), pipeline.Layer("input", columns=("frp",)),
+    ], PIXEL_RES)
+
+
 def processed(spark: SparkSession, sf: str) -> DataFrame:
     """Detections -> processed fires: cluster, choose, skim, subdivide, sample, assemble."""
-    p = cut(points(spark, sf))
-    a, b = C.cluster(p, "aggressive"), C.cluster(p, "conservative")
-    px = cut(pixels(spark, sf))
-    cover = Z.tree_cover(shapes.pixel_cells(a.hulls, PIXEL_RES), px)
-    merged = C.replace_merge(a, b, cover)
-    seeds = cut(K.skim(merged.points))
-    shape = shapes.Shape(shapes.multi_hulls(merged.hulls))
-    div = cut(V.sub_polygons(merged.hulls, seeds, shape))
-    cells = cut(V.cells_of(merged.hulls, seeds, PIXEL_RES, shape))
-    linked = V.assign_points(merged.points, seeds)
-    about = linked.groupBy("polyid").agg(
-        F.min("acq_date_use").alias("acq_date_utc"), F.min("alg_agg").alias("alg_agg"), F.avg("frp").alias("v_frp")
-    )
-    parts = [about, Z.band_means(cells, px, ["tree", "herb", "bare"]), Z.region_of(div, stripes(spark, sf))]
-    return Z.assemble(div, parts, Z.class_histogram(cells, px))
+    return pipeline.processed_fires(detections(spark, sf), recipe(spark, sf)).withColumnRenamed("acq_date_use", "acq_date_utc")
 
 
 @query
@@ -527,13 +525,13 @@ def grid_daily_polar_rows(spark, sf):
 
 @query
 def grid_monthly_0p9x1p25(spark, sf):
-    return _per_cell(G.grid_monthly(G.grid_daily(emitted(spark, sf), _map(spark), "0.9x1.25")))
+    return _per_cell(G.grid_monthly(emitted(spark, sf), _map(spark), "0.9x1.25"))
 
 
 @query
 def grid_monthly_vocs(spark, sf):
     e = E.speciate(emitted(spark, sf), "MOZART").drop("CO2")
-    return _per_cell(G.grid_monthly(G.grid_daily(e, _map(spark, VOC_MAP), "T42LR")))
+    return _per_cell(G.monthly_mean(G.grid_daily(e, _map(spark, VOC_MAP), "T42LR")))
 
 
 @query
@@ -776,6 +774,19 @@ REGISTRY["v1_speciate_saprc99"] = _v1_speciate("SAPRC99", "SAPRC")
 REGISTRY["v1_speciate_geoschem"] = _v1_speciate("GEOSCHEM", "GEOSCHEM")
 
 
+@query
+def v1_reject_counts(spark, sf):
+    raw = _v1_detections(spark, sf)
+    confident = cut(L.confidence_v1(raw))
+    b = L.burn_v1(_v1_fires(spark, sf))
+    return L.reject_counts_v1(raw, confident, L.remove_overlaps(confident), b)
+
+
+@query
+def largest_and_smallest(spark, sf):
+    return S.extreme_location(fires(spark, sf).withColumn("size", F.col("area_sqkm") * 1e6 + F.col("polyid") % 1000 + F.col("cen_lon") / 1e3), "size")
+
+
 # -- comparisons and logs ------------------------------------------------------------------------------------------------
 
 def _shifted(spark: SparkSession, sf: str) -> DataFrame:
@@ -856,11 +867,6 @@ def run_log_summary(spark, sf):
 @query
 def stream_daily_tile_counts(spark, sf):
     """Daily windows over the events read as a stream; the last state of every window."""
-    from firegrid.plans.derived import DETECTIONS
-    from firegrid.session import scratch_dir
-    from firegrid.streaming import stream as T
-    import uuid
-
     source = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/events*.parquet")
     source.createOrReplaceTempView("firegrid_event_stream")
     d = T.with_event_time(spark.sql(f"select {DETECTIONS} from firegrid_event_stream"))

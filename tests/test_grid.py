@@ -39,7 +39,7 @@ def test_dense_and_monthly(spark):
     daily = G.grid_daily(e.withColumn("acq_date_utc", F.col("d").cast("date")), m, "T42LR")
     full = G.dense(daily, "T42LR")
     assert full.count() == 2 * 128 * 64
-    month = G.grid_monthly(daily).agg(F.sum("value").alias("v")).first().v
+    month = G.monthly_mean(daily).agg(F.sum("value").alias("v")).first().v
     assert month == pytest.approx(daily.agg(F.sum("value")).first()[0] / 28)
 
 
