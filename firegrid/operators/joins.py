@@ -32,21 +32,23 @@ def hot_lookup(
     values = [c for c in right.columns if c not in keys]
     top = right.agg(F.max(size).alias("top"), F.sum(size).alias("rows")).first()
     limit = max(hot_rows, (top.rows or 0) // MAX_HOT_KEYS)
+    # New names for the key columns: ``right`` may stem from ``left``.
+    renamed = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(v).alias(f"_v_{v}") for v in values])
     if (top.top or 0) <= limit:
-        on = [left[k].eqNullSafe(right[k]) for k in keys]
-        return left.join(right, on, "left").select(*[left[c] for c in left.columns], *[right[v] for v in values])
-    hot = right.where(F.col(size) > limit).select(*keys, F.struct(*values).alias("_hot"))
-    cold = right.where(F.col(size) <= limit).select(*keys, F.struct(*values).alias("_cold"))
-    first = left.join(F.broadcast(hot), keys, "left")
-    hit = F.col("_hot").isNotNull()
+        on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+        return left.join(renamed, on, "left").select(*left.columns, *[F.col(f"_v_{v}").alias(v) for v in values])
+    names = [F.col(f"_k_{k}") for k in keys]
+    packed = F.struct(*[F.col(f"_v_{v}").alias(v) for v in values])
+    is_hot = F.col(f"_v_{size}") > limit
+    hot = renamed.where(is_hot).select(*names, packed.alias("_hot"))
+    cold = renamed.where(~is_hot).select(*names, packed.alias("_cold"), F.lit(-1).alias("_c_bucket"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    first = left.join(F.broadcast(hot), same, "left").select(*left.columns, "_hot")
     # Rows already answered must not shuffle to their hot key: they go to spread, unmatched buckets.
-    bucket = F.when(hit, spread([row_id], F.lit(1_000_000)))
-    cold = cold.withColumn("_bucket", F.lit(-1))
-    second = first.withColumn("_bucket", F.coalesce(bucket, F.lit(-1)))
-    on = [second[k].eqNullSafe(cold[k]) for k in keys]
-    joined = second.join(cold, [second["_bucket"] == cold["_bucket"], *on], "left")
+    bucket = F.when(F.col("_hot").isNotNull(), spread([row_id], F.lit(1_000_000))).otherwise(-1)
+    joined = first.withColumn("_bucket", bucket).join(cold, [F.col("_bucket") == F.col("_c_bucket"), *same], "left")
     picked = F.coalesce(F.col("_hot"), F.col("_cold"))
-    return joined.select(*[second[c] for c in left.columns], *[picked[v].alias(v) for v in values])
+    return joined.select(*left.columns, *[picked[v].alias(v) for v in values])
 
 
 def bin_range(lo: Column, hi: Column, size: float) -> Column:

@@ -241,6 +241,19 @@ SCAN = (
 )
 put("scanline_areas", (*A_BASE, *SCAN), f"select fireid, {r('a',6,'area_sqkm')}, {r('a',6,'parts_sqkm')}, {r('cx',6,'cen_lon')}, {r('cy',6,'cen_lat')} from ar")
 
+put("voronoi_sub_areas", (
+    *A_BASE, *SCAN,
+    "sd as (select fireid, lon, lat, min(cleanid) as seed from apoint group by fireid, lon, lat)",
+    "pr as (select iu.*, s.seed, s.lon-x0 as u, (s.lon-x0)*(s.lon-x0)+(s.lat-y)*(s.lat-y) as c from iu join sd s using (fireid))",
+    # Each seed against all others of the fire: the range left by the bisectors.
+    """bd as (select a.fireid, a.k, a.y, a.h, a.x0, a.seed, greatest(0e0, max(case when b.u<a.u then (b.c-a.c)/(2e0*(b.u-a.u)) end)) as lo,
+ least(a.x1-a.x0, min(case when b.u>a.u then (b.c-a.c)/(2e0*(b.u-a.u)) end)) as hi, bool_or(b.u=a.u and (b.c<a.c or (b.c=a.c and b.seed<a.seed))) as dead
+ from pr a join pr b on a.fireid=b.fireid and a.k=b.k and a.x0=b.x0 group by a.fireid, a.k, a.y, a.h, a.x0, a.x1, a.seed)""",
+    f"""vo as (select fireid, seed as polyid, sum({_B2}*radians(hi-lo)*({_q('y+h/2e0')}-{_q('y-h/2e0')})) as a, sum((hi-lo)*h*(x0+lo+x0+hi)/2e0)/sum((hi-lo)*h) as cx, sum((hi-lo)*h*y)/sum((hi-lo)*h) as cy
+ from bd where hi>lo and not dead group by fireid, seed
+ union all select fireid, site, {_B2}*radians(2e0*fire_dx)*({_q('lat+fire_dy')}-{_q('lat-fire_dy')}), lon, lat from afull where n_sites=1)""",
+), f"select fireid, polyid, {r('a',6,'area_sqkm')}, {r('cx',6,'cen_lon')}, {r('cy',6,'cen_lat')} from vo")
+
 # -- zonal statistics ----------------------------------------------------------------------------------------
 put("fire_pixels", (*C_BASE, *C_CELL), "select fireid, iy, ix from ccell")
 _HIST = "h as (select fireid, lct as v_lct, count(*) as cv_lct from {p}val group by all)"

@@ -20,9 +20,9 @@ from firegrid.operators import (
     shapes, skim as K, speciesmap as M, subdivide as V, wrf as W, zonal as Z,
 )
 from firegrid.operators.components import connected_components
-from firegrid.plans import pipeline
+from firegrid.plans import runs
 from firegrid.plans.derived import DETECTIONS, detections, fires, table
-from firegrid.session import cut, scratch_dir
+from firegrid.session import cut, run_dir
 from firegrid.streaming import stream as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -311,6 +311,15 @@ def burned_areas(spark, sf):
     return rounded(shapes.fire_areas(c.hulls), {"area_sqkm": 6, "cen_lon": 6, "cen_lat": 6})
 
 
+@query
+def voronoi_sub_areas(spark, sf):
+    """Every distinct place of a fire as a seed: area and centroid of its share, without hole filling."""
+    c = C.cluster(points(spark, sf), "aggressive")
+    seeds = c.points.groupBy("fireid", "lon", "lat").agg(F.min("cleanid").alias("seed"))
+    shape = shapes.Shape(shapes.multi_hulls(c.hulls), fill=False)
+    return rounded(V.sub_polygons(c.hulls, seeds, shape), {"area_sqkm": 6, "cen_lon": 6, "cen_lat": 6})
+
+
 @query
 def sub_polygons(spark, sf):
     c = C.cluster(points(spark, sf), "aggressive")
@@ -365,18 +374,18 @@ def zonal_frp(spark, sf):
     return rounded(Z.input_mean(p, "frp", "polyid"), {"v_frp": 6})
 
 
-def recipe(spark: SparkSession, sf: str) -> pipeline.Config:
+def recipe(spark: SparkSession, sf: str) -> runs.Config:
     px = cut(pixels(spark, sf))
-    return pipeline.Config([
-        pipeline.Layer("thematic", px.select("iy", "ix", "lct"), ("lct",)),
-        pipeline.Layer("continuous", px, ("tree", "herb", "bare"), (0, 100)),
-        pipeline.Layer("polygons", stripes(spark, sf)), pipeline.Layer("input", columns=("frp",)),
+    return runs.Config([
+        runs.Layer("thematic", px.select("iy", "ix", "lct"), ("lct",)),
+        runs.Layer("continuous", px, ("tree", "herb", "bare"), (0, 100)),
+        runs.Layer("polygons", stripes(spark, sf)), runs.Layer("input", columns=("frp",)),
     ], PIXEL_RES)
 
 
 def processed(spark: SparkSession, sf: str) -> DataFrame:
     """Detections -> processed fires: cluster, choose, skim, subdivide, sample, assemble."""
-    return pipeline.processed_fires(detections(spark, sf), recipe(spark, sf)).withColumnRenamed("acq_date_use", "acq_date_utc")
+    return runs.processed_fires(detections(spark, sf), recipe(spark, sf)).withColumnRenamed("acq_date_use", "acq_date_utc")
 
 
 @query
@@ -870,7 +879,7 @@ def stream_daily_tile_counts(spark, sf):
     source = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/events*.parquet")
     source.createOrReplaceTempView("firegrid_event_stream")
     d = T.with_event_time(spark.sql(f"select {DETECTIONS} from firegrid_event_stream"))
-    out = f"{scratch_dir(spark)}/s-{uuid.uuid4().hex}"
+    out = f"{run_dir(spark)}/s-{uuid.uuid4().hex}"
     # Complete mode hands over all windows; one folder per batch, the newest one is the result.
     write = lambda batch, epoch: batch.write.mode("overwrite").parquet(f"{out}/{epoch}")
     job = T.daily_tile_counts(d).writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start()

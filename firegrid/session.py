@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
+# Temporary folders of local-mode sessions without a configured one, by application id.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def get_session(app: str = "firegrid", master: str | None = None) -> SparkSession:
     """A session with the settings the library relies on (AQE, UTC).
 
@@ -39,9 +43,21 @@ def scratch_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    path = tempfile.mkdtemp(prefix="firegrid-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="firegrid-")
+    return _LOCAL_DIRS[app]
+
+
+def run_dir(spark: SparkSession) -> str:
+    """This session's own part of the shared folder."""
+    return f"{scratch_dir(spark)}/firegrid-{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this session.  DataFrames built on them become unreadable."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -51,7 +67,7 @@ def cut(df: DataFrame) -> DataFrame:
     twice), keeps column pruning, and gives the planner real sizes for the next join.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/t-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/t-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

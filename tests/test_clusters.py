@@ -58,7 +58,7 @@ def brute_clusters(rows, mode):
 
 @pytest.mark.parametrize("mode", ["aggressive", "conservative"])
 def test_cluster_labels(spark, mode):
-    rows = random_points(250)
+    rows = random_points(160)
     want = brute_clusters(rows, mode)
     got = {r.cleanid: (r.fireid, r.ndetect) for r in C.cluster(as_points(spark, rows), mode).points.collect()}
     sizes = pd.Series(want).value_counts()
@@ -229,17 +229,17 @@ def sequential_skim(points, radius):
     return {min(m): (np.mean([points[x][0] for x in m]), np.mean([points[x][1] for x in m]), len(m)) for m in members.values()}
 
 
-@pytest.mark.parametrize("group_edges", [20_000, 0])
+@pytest.mark.parametrize("group_edges", [20_000, 25, 0])
 def test_skim_matches_one_at_a_time(spark, group_edges):
     rng = random.Random(12)
     points = {}
-    for i in range(90):
-        lattice = i < 36  # a lattice has many ties
-        x = 3 + (0.005 * (i % 6) if lattice else 0.2 + 0.03 * rng.random())
-        y = 4 + (0.005 * (i // 6) if lattice else 0.03 * rng.random())
+    for i in range(55):
+        lattice = i < 30  # a lattice has many ties
+        x = 3 + (0.005 * (i % 6) if lattice else 0.2 + 0.02 * rng.random())
+        y = 4 + (0.005 * (i // 6) if lattice else 0.02 * rng.random())
         points[i + 1] = (x, y)
-    for i in range(91, 100):
-        points[i] = points[rng.randrange(1, 90)]
+    for i in range(56, 61):
+        points[i] = points[rng.randrange(1, 55)]
     want = sequential_skim(points, 0.5 / 60)
     df = spark.createDataFrame([(k, 1, x, y) for k, (x, y) in points.items()], "cleanid long, fireid long, lon double, lat double")
     got = {r.seed: (r.lon, r.lat, r.n_members) for r in skim.skim(df, max_group_edges=group_edges).collect()}

@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from firegrid import lookups
+from firegrid import lookups, session
 from firegrid.operators import compare, emissions as E, report as S, subdivide as V
 from firegrid.plans import derived
 from firegrid.sources import detections as SD, fires as SF, lookups as SL, sinks
@@ -174,3 +174,31 @@ def test_diff_finds_changed_rows_once(spark):
     b = spark.createDataFrame([(7, 9, 1.000002, 2.0), (8, 8, 3.0, 4.0)], a.schema)
     d = compare.diff_outputs(a, b).collect()
     assert len(d) == 1 and (d[0].n_l, d[0].n_r, d[0].fireid_l) == (2, 1, 2)
+
+
+def test_scratch_tables_can_be_dropped(spark):
+    t, n = session.cut_counted(spark.range(7))
+    assert (n, t.count()) == (7, 7)
+    session.drop_scratch(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(session.run_dir(spark)).count()
+
+
+def test_scratch_folder_follows_the_session():
+    class Conf(dict):
+        def get(self, k, d=None):
+            return dict.get(self, k, d)
+
+    class Context:
+        applicationId = "app-1"
+
+    class Session:
+        sparkContext = Context()
+
+        def __init__(self, **conf):
+            self.conf = Conf({k.replace("_", "."): v for k, v in conf.items()})
+
+    assert session.scratch_dir(Session(spark_checkpoint_dir="hdfs:///tmp/x/")) == "hdfs:///tmp/x"
+    assert session.scratch_dir(Session(spark_master="local[2]")) == session.scratch_dir(Session(spark_master="local[2]"))
+    with pytest.raises(RuntimeError):
+        session.scratch_dir(Session(spark_master="yarn"))
