@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from firegrid.functions.geo import modis_tile
+from firegrid.operators.prep import serial_key
 
 LOG_SCHEMA = "event string, table_name string, n_before long, n_after long, elapsed_s double, message string"
 
@@ -173,9 +174,14 @@ def union_all(*dfs: DataFrame) -> DataFrame:
 
 
 def check_day_order(df: DataFrame, day: str, order: str, groups: list[str]) -> DataFrame:
-    """Rows whose day precedes the day of the row before them within a source file."""
-    w = Window.partitionBy(*groups).orderBy(order)
-    return df.withColumn("previous", F.lag(day).over(w)).where(F.col(day) < F.col("previous"))
+    """Rows whose day precedes the day of the row before them within a source file.
+
+    Rows are numbered by a distributed sort and each meets the row before it by number, so a file
+    that holds most of the rows is not sorted in one task.  ``order`` must be unique within a file.
+    """
+    numbered = serial_key(df, [*groups, order], "_at")
+    before = numbered.select((F.col("_at") + 1).alias("_at"), *groups, F.col(day).alias("previous"))
+    return numbered.join(before, ["_at", *groups]).where(F.col(day) < F.col("previous")).select(*df.columns, "previous")
 
 
 def first_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
