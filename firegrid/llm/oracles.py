@@ -1,3 +1,5 @@
 """DuckDB SQL for the registered queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from firegrid.llm import mixing, quality
+
+ORACLES: dict[str, str] = {"op2_quality": quality.ORACLE, "op4_mixing": mixing.ORACLE}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firegrid.llm import decontaminate, simhash
+from firegrid.llm import decontaminate, mixing, passages, privacy, quality, simhash
 from firegrid.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,34 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
     )
+
+
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judge(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op3_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = privacy.find_spans(table(spark, sf_dir, "documents"))
+    offsets = F.array_join(F.transform("base", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id", *[privacy.count_kind(F.col("base"), k).alias(f"n_{k}") for k in privacy.KINDS],
+        F.lower(F.sha2(offsets, 256)).alias("base_sha256"), privacy.span_text(F.concat("base", "terms")).alias("spans"),
+    )
+
+
+@query
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.find_repeats(table(spark, sf_dir, "documents"))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id", "n_units", F.col("n_chars_all").alias("n_chars"), passages.n_removed("spans").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), spans.alias("removed_spans"),
+    )
