@@ -1,5 +1,5 @@
 """DuckDB SQL for the registered queries that SQL can express."""
 
-from firegrid.llm import mixing, quality
+from firegrid.llm import hosts, mixing, quality
 
-ORACLES: dict[str, str] = {"op2_quality": quality.ORACLE, "op4_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op2_quality": quality.ORACLE, "op4_mixing": mixing.ORACLE, "op7_hosts": hosts.ORACLE}

@@ -113,7 +113,7 @@ def find_repeats(
     ).where("first_doc <> last_doc OR (first_doc IS NOT NULL AND n_named < n_rows)")
     shared = cut(shared.select("digest", "first_doc", "n_rows"))
     # Every unit is looked up under its own hash; the few that own many rows are broadcast.
-    found = hot_lookup(units, shared, ["digest"], "n_rows", "start")
+    found = hot_lookup(units, shared, ["digest"], "n_rows", "doc_id")
     later = F.col("first_doc").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") > F.col("first_doc")))
     repeats = found.where(F.col("again") | later).select("doc_id", F.struct("at", "line", "start", "end", "words", "edge").alias("u"))
     per_doc = repeats.groupBy("doc_id").agg(F.collect_set("u").alias("u"))

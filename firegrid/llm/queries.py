@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firegrid.llm import decontaminate, mixing, passages, privacy, quality, simhash
+from firegrid.llm import decontaminate, hosts, html_text, mixing, passages, privacy, quality, simhash, substrings, toxicity
 from firegrid.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,24 @@ def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_units", F.col("n_chars_all").alias("n_chars"), passages.n_removed("spans").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), spans.alias("removed_spans"),
     )
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
