@@ -17,7 +17,7 @@ from itertools import combinations, islice, repeat
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from firegrid.llm.common import map_batches
 from firegrid.operators.components import connected_components
@@ -114,5 +114,29 @@ def near_duplicates(docs: DataFrame, width: int = 3, crowd: int = CROWD) -> Data
     return out.select("doc_id", "fp", "component_id", "n_copies")
 
 
+def keep_first(docs: DataFrame, width: int = 3, crowd: int = CROWD) -> DataFrame:
+    """One row of ``docs`` for each component, all columns as they are: the row with the smallest doc_id.
+
+    Of several rows with that id, or of a component without any id, the one with the smallest
+    text stays (null first), and of rows equal in both any one.
+    """
+    found = near_duplicates(docs, width, crowd)
+    first = found.where("component_id IS NOT NULL").select(F.col("component_id").alias("_first")).distinct()
+    named = docs.where("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("_first"), "left_semi")
+    # Rows that share an id are few; a group holds the rows of one id, never a component.
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    named = named.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    unnamed = docs.where("doc_id IS NULL")
+    if unnamed.isEmpty():
+        return named
+    lost = found.where("component_id IS NULL").select("fp").distinct()
+    parts = connected_components(links(lost.select("fp"), crowd)).select(F.col("node").alias("fp"), "component")
+    alone = fingerprints(unnamed.select(F.col("text").alias("doc_id"), "text"), width).join(lost, "fp", "left_semi").join(parts, "fp", "left")
+    chosen = alone.groupBy(F.coalesce("component", "fp").alias("c")).agg(F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("t"))
+    texts = chosen.select(F.col("t.doc_id").alias("_text"))
+    kept = unnamed.join(texts, F.col("text").eqNullSafe(F.col("_text")), "left_semi").dropDuplicates(["text"])
+    return named.unionByName(kept)
+
+
 def hex_print(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

@@ -6,13 +6,14 @@ may also have word boundaries in its gaps.  A Viterbi search finds the reading t
 model (trigrams inside words) times the cost of the disguise.  The letter model is counted on all
 words of the corpus.
 
-The score is a naive Bayes over words and word beginnings of the restored text.  Weights come from a
-sample of labelled rows, at most ``MAX_TRAIN`` of them, and only beginnings and words whose link to
-the label can't be chance (``MIN_G2``) have one.
+The score is a noisy or over words and word beginnings of the restored text.  They are learnt from a
+sample of labelled rows, at most ``MAX_TRAIN`` of them: the words whose link to the label can't be
+chance (``MIN_G2``), each judged by the rows that those before it leave unexplained.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections.abc import Callable, Iterable
@@ -26,8 +27,8 @@ from firegrid.session import cut
 MAX_TRAIN = 40_000
 FOLDS = 5
 PREFIXES = (4, 5, 6)
-MIN_G2 = 40.0
-MAX_FEATURES = 20_000
+MIN_G2 = 25.0
+MAX_FEATURES = 5_000
 MAX_LETTERS = 48
 CACHE = 200_000
 
@@ -196,7 +197,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 class Model:
-    """Letter model, prior and weights: all of fixed size."""
+    """Letter model, the probability without any feature, and each feature's own: all of fixed size."""
 
     def __init__(self, letters: LetterModel, prior: float, weights: dict[str, float]):
         self.letters, self.prior, self.weights = letters, prior, weights
@@ -209,11 +210,42 @@ class Model:
         self.__init__(*state)
 
     def score(self, text: str | None) -> float:
-        """Probability of label 1; the features that point the same way are not independent, so the strongest of each sign counts fully and the rest a little."""
-        found = [self.weights[f] for f in self.restorer.words(text)]
-        up, down = sorted((w for w in found if w > 0), reverse=True), sorted(w for w in found if w < 0)
-        logit = self.prior + sum(w * 0.1 ** i for i, w in enumerate(up[:8])) + sum(w * 0.1 ** i for i, w in enumerate(down[:8]))
-        return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, logit))))
+        """Probability of label 1: every feature may cause it on its own, and so may what no feature explains."""
+        clean = 1.0 - self.prior
+        for f in sorted(self.restorer.words(text)):
+            clean *= 1.0 - self.weights[f]
+        return 1.0 - clean
+
+
+def g2(n1: float, n0: float, base: float) -> float:
+    """Likelihood ratio of the label's share among the rows with a feature against its share in all rows."""
+    n = n1 + n0
+    return 2 * sum(seen * math.log(seen / (n * share)) for seen, share in ((n1, base), (n0, 1 - base)) if seen)
+
+
+def cover(counts: dict[str, tuple[int, int]], marked: dict[str, set[int]], base: float) -> tuple[list[str], set[int]]:
+    """Features that explain label 1, the strongest first, and the rows they explain.
+
+    Each next feature is judged by the rows that none before it explains.  So words that copies of
+    one text merely share with its toxic word are not learnt.
+    """
+    heap = [(-g2(len(rows), counts[f][1], base), f) for f, rows in marked.items() if rows]
+    heapq.heapify(heap)
+    chosen: list[str] = []
+    done: set[int] = set()
+    while heap and -heap[0][0] >= MIN_G2:
+        _, f = heapq.heappop(heap)
+        left = len(marked[f] - done)
+        n0 = counts[f][1]
+        if left <= base * (left + n0):
+            continue
+        now = -g2(left, n0, base)
+        if heap and now > heap[0][0]:
+            heapq.heappush(heap, (now, f))
+        elif -now >= MIN_G2:
+            chosen.append(f)
+            done |= marked[f]
+    return chosen, done
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
@@ -226,38 +258,37 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     letters = LetterModel(letter_trigrams(docs))
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-    rows = docs.select("doc_id", "text").join(cut(chosen), "doc_id").select("toxic", "text")
+    rows = docs.select("doc_id", "text").join(cut(chosen), "doc_id").select("doc_id", "toxic", "text")
     shared = spark.sparkContext.broadcast(letters)
     state: dict[str, Restorer] = {}
 
     def run(cols: dict[str, list]) -> dict[str, list]:
         if "r" not in state:
             state["r"] = Restorer(shared.value, features)
-        return {"toxic": cols["toxic"], "feature": [["", *sorted(state["r"].words(t))] for t in cols["text"]]}
+        return cols | {"feature": [["", *sorted(state["r"].words(t))] for t in cols.pop("text")]}
 
-    found = map_batches(rows, run, "toxic int, feature array<string>").select("toxic", F.explode("feature").alias("feature"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = map_batches(rows, run, f"doc_id {kind}, toxic int, feature array<string>").select("doc_id", "toxic", F.explode("feature").alias("feature"))
+    found = found.distinct()
     one, zero = F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)), F.sum(F.when(F.col("toxic") == 0, 1).otherwise(0))
-    counts = cut(found.groupBy("feature").agg(one.alias("n1"), zero.alias("n0")).where("n1 + n0 >= 8"))
+    counts = cut(found.groupBy("feature").agg(one.alias("n1"), zero.alias("n0")).where("n1 >= 3"))
     total = counts.where("feature = ''").first()
-    if total is None or not total.n1 or not total.n0:
-        share = 0.5 if total is None else (total.n1 + 0.5) / (total.n1 + total.n0 + 1)
-        return Model(letters, math.log(share / (1 - share)), {})
-    t1, t0 = float(total.n1), float(total.n0)
+    if total is None or not total.n0:
+        return Model(letters, 0.5 if total is None else 0.9, {})
+    t1, t0 = total.n1, total.n0
     base = t1 / (t1 + t0)
-    n = F.col("n1") + F.col("n0")
-
-    def part(seen: Column, expected: Column) -> Column:
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-
-    g2 = 2 * (part(F.col("n1"), n * base) + part(F.col("n0"), n * (1 - base)))
-    ratio = F.log((F.col("n1") + 0.5) / (t1 + 1.0)) - F.log((F.col("n0") + 0.5) / (t0 + 1.0))
-    best = (
-        counts.where("feature <> ''").select("feature", "n1", "n0", g2.alias("g2"), ratio.alias("w"))
-        .where((F.col("g2") >= MIN_G2) & (F.abs("w") >= 1.0)).orderBy(F.desc("g2"), "feature").limit(MAX_FEATURES).collect()
-    )
-    weights = {r.feature: r.w for r in best}
-    prior = math.log(base / (1 - base))
-    return Model(letters, prior, weights)
+    # As many as the model may hold: a fixed number, the strongest.
+    strength = F.col("n1") * F.log(F.col("n1") / ((F.col("n1") + F.col("n0")) * base))
+    strong = counts.where((F.col("feature") != "") & (F.col("n1") > 2 * base * (F.col("n1") + F.col("n0"))) & (2 * strength >= MIN_G2))
+    top = cut(strong.orderBy(F.desc(strength), "feature").limit(MAX_FEATURES))
+    by_feature = {r.feature: (r.n1, r.n0) for r in top.collect()}
+    marked: dict[str, set[int]] = {f: set() for f in by_feature}
+    # Only rows of the sample with label 1, and only the features above.
+    for r in found.where("toxic = 1").join(top.select("feature"), "feature").select("feature", F.xxhash64("doc_id").alias("row")).toLocalIterator():
+        marked[r.feature].add(r.row)
+    chosen, explained = cover(by_feature, marked, base)
+    weights = {f: (by_feature[f][0] + 0.5) / (sum(by_feature[f]) + 1.0) for f in chosen}
+    return Model(letters, (t1 - len(explained) + 0.5) / (t1 - len(explained) + t0 + 1.0), weights)
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
