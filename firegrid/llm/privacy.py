@@ -7,14 +7,15 @@ entity's own information content (at 0 bits the entity is certain once the term
 must be seen in ``support`` documents whose surroundings differ, so copies of one text are no
 evidence.  Disclosing terms are spans of kind ``term`` wherever they occur.
 
-Two passes over the texts: one gathers the terms around entities, one the patterns and every
-occurrence of a candidate term.  The second knows the candidates as a bitmap of fixed size, which may
-let foreign terms through but misses none; the exact join follows.
+Three passes over the texts: one gathers the terms around entities, one counts the documents of
+those candidates, one finds the patterns and the disclosing terms.  The later passes know their terms
+as a bitmap of fixed size, which may let foreign terms through but misses none; an exact join follows.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import xxhash
@@ -30,6 +31,7 @@ CONTEXT_WORDS = 6
 SUPPORT = 3
 SLACK_BITS = 1.0
 BITMAP_BITS = 23
+CACHE = 200_000
 _PAGE = 32_768  # bits in one row of Spark's bitmap aggregate
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*+")
@@ -109,25 +111,23 @@ def candidates(docs: DataFrame, context_words: int = CONTEXT_WORDS, support: int
     """Stored tables (entity, term, n_both) with enough support, and (entity, n_entity): document counts."""
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {"doc": [], "entity": [], "term": [], "seen": []}
+        out: dict[str, list] = {"entity": [], "term": [], "seen": [], "first": []}
         for text in cols["text"]:
             spans = base_spans(text)
-            if spans:
-                doc = xxhash.xxh64_intdigest(text) - (1 << 63)
-                rows = _around(text, spans, context_words)
-                rows += [(e, None, 0) for e in {entity_name(k, text[a:b]) for k, a, b in spans}]
-                for e, t, s in rows:
-                    out["doc"].append(doc)
-                    out["entity"].append(e)
-                    out["term"].append(t)
-                    out["seen"].append(s)
+            rows = [(e, None, 0) for e in dict.fromkeys(entity_name(k, text[a:b]) for k, a, b in spans)]
+            known: set[tuple[str, str]] = set()
+            for e, t, s in rows + list(dict.fromkeys(_around(text, spans, context_words))):
+                out["entity"].append(e)
+                out["term"].append(t)
+                out["seen"].append(s)
+                # The document counts once for a pair, however often the pair occurs in it.
+                out["first"].append(int((e, t) not in known))
+                known.add((e, t))
         return out
 
-    rows = cut(map_batches(docs.select("text"), run, "doc bigint, entity string, term string, seen bigint"))
-    # Equal texts count once here, as they do in the frequency of terms.
-    entities = rows.where("term IS NULL").groupBy("entity", "doc").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    per_doc = rows.where("term IS NOT NULL").groupBy("entity", "term", "doc").agg(F.min("seen").alias("seen"))
-    per_seen = per_doc.groupBy("entity", "term", "seen").agg(F.count("*").alias("n"))
+    rows = cut(map_batches(docs.select("text"), run, "entity string, term string, seen bigint, first int"))
+    entities = cut(rows.where("term IS NULL").groupBy("entity").agg(F.count("*").alias("n_entity")))
+    per_seen = rows.where("term IS NOT NULL").groupBy("entity", "term", "seen").agg(F.sum("first").alias("n"))
     pairs = per_seen.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("n_seen")).where(F.col("n_seen") >= support)
     return cut(pairs.select("entity", "term", "n_both")), entities
 
@@ -145,23 +145,67 @@ def _bitmap(terms: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def _occurrences(text: str, bitmap: np.ndarray, mask: int) -> list[tuple[str, int, int]]:
-    """Places of words whose term may be a candidate."""
-    known: dict[str, str | None] = {}
-    out = []
-    for word in set(_WORD.findall(text)):
-        t = term_of(word)
-        if t:
-            slot = xxhash.xxh64_intdigest(t, 42) & mask
-            if bitmap[slot >> 3] >> (slot & 7) & 1:
-                known[word] = t
-    if known:
+class _Terms:
+    """Which words may be a term of a bitmap; what a word gives is kept in a bounded cache."""
+
+    def __init__(self, bitmap: np.ndarray):
+        self.bitmap, self.mask = bitmap, 8 * len(bitmap) - 1
+        self.known: dict[str, str | None] = {}
+
+    def term(self, word: str) -> str | None:
+        if word not in self.known:
+            if len(self.known) >= CACHE:
+                self.known.clear()
+            t = term_of(word)
+            slot = xxhash.xxh64_intdigest(t, 42) & self.mask if t else 0
+            self.known[word] = t if t and self.bitmap[slot >> 3] >> (slot & 7) & 1 else None
+        return self.known[word]
+
+    def among(self, text: str) -> set[str]:
+        return {t for t in map(self.term, set(_WORD.findall(text))) if t}
+
+    def places(self, text: str) -> list[tuple[str, int, int]]:
+        if not self.among(text):
+            return []
+        out = []
         for m in _WORD.finditer(text):
-            t = known.get(m[0])
+            t = self.term(m[0])
             if t:
                 a = m.start() + m[0].lower().find(t)
                 out.append((t, a, a + len(t)))
-    return out
+        return out
+
+
+def document_counts(docs: DataFrame, terms: DataFrame, bitmap_bits: int = BITMAP_BITS) -> DataFrame:
+    """(term, n_term): documents that have the term; added up inside each batch before the shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(terms, bitmap_bits))
+    state: dict[str, _Terms] = {}
+
+    def run(cols: dict[str, list]) -> dict[str, list]:
+        if "terms" not in state:
+            state["terms"] = _Terms(shared.value)
+        n: Counter[str] = Counter()
+        for text in cols["text"]:
+            n.update(state["terms"].among(text or ""))
+        return {"term": list(n), "n": list(n.values())}
+
+    counted = map_batches(docs.select("text"), run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n_term"))
+    return counted.join(terms, "term", "left_semi")
+
+
+def disclosing_terms(
+    docs: DataFrame, context_words: int = CONTEXT_WORDS, support: int = SUPPORT, slack: float = SLACK_BITS, bitmap_bits: int = BITMAP_BITS,
+) -> DataFrame:
+    """Stored table (term): terms whose information about some entity comes within ``slack`` bits of the entity's own."""
+    pairs, entities = candidates(docs, context_words, support)
+    terms = cut(pairs.select("term").distinct())
+    if terms.isEmpty():
+        return terms
+    n_docs = F.lit(float(docs.count()))
+    information = F.log2(n_docs / F.col("n_entity"))
+    mutual = F.log2(n_docs * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
+    known = pairs.join(entities, "entity").join(document_counts(docs, terms, bitmap_bits), "term")
+    return cut(known.where((information > slack) & (mutual >= information - slack)).select("term").distinct())
 
 
 _SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -177,43 +221,33 @@ def find_spans(
     overlaps a base span is left out.  Null and empty texts have no spans.  Repeated rows stay
     repeated.  Columns not in ``keep`` are ignored.  An empty table gives an empty result.
     """
-    pairs, entities = candidates(docs, context_words, support)
-    terms = cut(pairs.select("term").distinct())
+    terms = disclosing_terms(docs, context_words, support, slack, bitmap_bits)
     shared = docs.sparkSession.sparkContext.broadcast(None if terms.isEmpty() else _bitmap(terms, bitmap_bits))
-    mask = (1 << bitmap_bits) - 1
+    state: dict[str, _Terms] = {}
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {k: v for k, v in cols.items() if k != "text"} | {"base": [], "found": [], "text_hash": []}
-        bitmap = shared.value
+        out: dict[str, list] = {k: v for k, v in cols.items() if k != "text"} | {"base": [], "found": []}
+        if shared.value is not None and "terms" not in state:
+            state["terms"] = _Terms(shared.value)
         for text in cols["text"]:
             base = base_spans(text)
-            found = _occurrences(text, bitmap, mask) if text and bitmap is not None else []
+            found = state["terms"].places(text) if text and state else []
             out["base"].append([{"kind": k, "start": a, "end": b} for k, a, b in base])
             found = [(t, a, b) for t, a, b in found if not any(a < y and x < b for _, x, y in base)] if base else found
             out["found"].append([{"term": t, "start": a, "end": b} for t, a, b in found])
-            out["text_hash"].append(xxhash.xxh64_intdigest(text or "") - (1 << 63))
         return out
 
     carried = ["doc_id", *keep]
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
-    schema = f"{kinds}, base {_SPANS}, found array<struct<term:string,start:int,end:int>>, text_hash bigint"
+    schema = f"{kinds}, base {_SPANS}, found array<struct<term:string,start:int,end:int>>"
     scanned = map_batches(docs.select(*carried, "text"), run, schema)
     if shared.value is None:
         return scanned.select(*carried, "base", F.array().cast(_SPANS).alias("terms"))
     # A stored row number: repeated rows are told apart and a lost task gives the same numbers.
     scanned = cut(scanned.withColumn("_row", F.monotonically_increasing_id()))
-    seen = scanned.select("_row", "text_hash", F.explode("found").alias("f")).select("_row", "text_hash", "f.*")
-    frequency = seen.groupBy("term", "text_hash").agg(F.lit(1).alias("one")).groupBy("term").agg(F.count("*").alias("n_term"))
-    n_docs = scanned.select("text_hash").distinct().count()
-    information = F.log2(F.lit(float(max(n_docs, 1))) / F.col("n_entity"))
-    mutual = F.log2(F.lit(float(max(n_docs, 1))) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    disclosing = (
-        pairs.join(entities, "entity").join(frequency, "term")
-        .where((information > slack) & (mutual >= information - slack)).select("term").distinct()
-    )
-    sizes = seen.groupBy("term").agg(F.count("*").alias("n_rows"))
-    chosen = cut(disclosing.join(sizes, "term").withColumn("hit", F.lit(True)))
-    places = hot_lookup(seen.select("_row", "term", "start", "end"), chosen, ["term"], "n_rows", "_row").where("hit")
+    seen = scanned.select("_row", F.explode("found").alias("f")).select("_row", "f.*")
+    chosen = cut(seen.groupBy("term").agg(F.count("*").alias("n_rows")).join(terms, "term", "left_semi").withColumn("hit", F.lit(True)))
+    places = hot_lookup(seen, chosen, ["term"], "n_rows", "_row").where("hit")
     # One row per document: its own occurrences, no more than its words.
     by_row = places.groupBy(F.col("_row").alias("_r")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("p"))
     named = by_row.select("_r", F.transform("p", lambda x: F.struct(F.lit("term").alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("terms"))

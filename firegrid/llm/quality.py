@@ -14,6 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from firegrid.llm.common import SPACE, word_array
+from firegrid.session import cut
 
 WINDOW = 3
 # Rows looked at to order the rules; the only use of a part of the input.
@@ -121,24 +122,14 @@ def judge(docs: DataFrame, conditions: Mapping[str, Column] | None = None, sampl
     equal results; an empty table gives an empty result.  Only doc_id and text of ``docs`` are used.
     """
     conditions = dict(conditions or rules())
+    # The result is stored: a filter on it must not be pushed into, and repeat, the expressions of the counts.
     counted = with_counts(docs.select("doc_id", "text"))
     order = cascade_order(with_counts(docs.select("doc_id", "text").limit(sample_rows)), conditions, sample_rows)
     cascade = F.when(base_failed(), F.lit("base"))
     for name in order:
         cascade = cascade.when(conditions[name], F.lit(name))
-    return counted.withColumns({"base_failed": base_failed(), "rejected_by": cascade}).withColumn("kept", F.col("rejected_by").isNull()).drop("text")
-
-
-def keep_good(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows of ``docs`` that pass, all columns as they are."""
-    names = docs.columns
-    packed = docs.select(F.struct(*[F.col(c) for c in names]).alias("_row"), "doc_id", "text")
-    conditions = rules()
-    order = cascade_order(with_counts(docs.select("doc_id", "text").limit(sample_rows)), conditions, sample_rows)
-    bad = base_failed()
-    for name in order:
-        bad = bad | conditions[name]
-    return with_counts(packed).where(~bad).select(*[F.col("_row")[c].alias(c) for c in names])
+    judged = counted.withColumns({"base_failed": base_failed(), "rejected_by": cascade}).drop("text")
+    return cut(judged).withColumn("kept", F.col("rejected_by").isNull())
 
 
 ORACLE = """

@@ -117,25 +117,26 @@ def near_duplicates(docs: DataFrame, width: int = 3, crowd: int = CROWD) -> Data
 def keep_first(docs: DataFrame, width: int = 3, crowd: int = CROWD) -> DataFrame:
     """One row of ``docs`` for each component, all columns as they are: the row with the smallest doc_id.
 
-    Of several rows with that id, or of a component without any id, the one with the smallest
-    text stays (null first), and of rows equal in both any one.
+    Of several rows with that id the one with the smallest text stays (null first), of rows equal in
+    both any one.  Rows without an id go if their component has one; otherwise one text per
+    fingerprint stays, the smallest.
     """
     found = near_duplicates(docs, width, crowd)
     first = found.where("component_id IS NOT NULL").select(F.col("component_id").alias("_first")).distinct()
     named = docs.where("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("_first"), "left_semi")
     # Rows that share an id are few; a group holds the rows of one id, never a component.
+    packed = named.select("doc_id", "text", F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    named = named.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    unpack = [F.col("_row")[c].alias(c) for c in docs.columns]
+    named = packed.withColumn("_rank", rank).where("_rank = 1").select(*unpack)
     unnamed = docs.where("doc_id IS NULL")
     if unnamed.isEmpty():
         return named
-    lost = found.where("component_id IS NULL").select("fp").distinct()
-    parts = connected_components(links(lost.select("fp"), crowd)).select(F.col("node").alias("fp"), "component")
-    alone = fingerprints(unnamed.select(F.col("text").alias("doc_id"), "text"), width).join(lost, "fp", "left_semi").join(parts, "fp", "left")
-    chosen = alone.groupBy(F.coalesce("component", "fp").alias("c")).agg(F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("t"))
-    texts = chosen.select(F.col("t.doc_id").alias("_text"))
-    kept = unnamed.join(texts, F.col("text").eqNullSafe(F.col("_text")), "left_semi").dropDuplicates(["text"])
-    return named.unionByName(kept)
+    lost = cut(found.where("component_id IS NULL").select(F.col("fp").alias("_lost")).distinct())
+    texts = fingerprints(unnamed.select(F.col("text").alias("doc_id"), "text"), width).join(lost, F.col("fp") == F.col("_lost"))
+    least = F.min(F.struct(F.col("doc_id").isNotNull().alias("is_text"), F.col("doc_id").alias("text")))
+    chosen = cut(texts.groupBy("fp").agg(least.alias("t")).select(F.col("t.text").alias("_text")))
+    return named.unionByName(unnamed.join(chosen, F.col("text").eqNullSafe(F.col("_text")), "left_semi").dropDuplicates(["text"]))
 
 
 def hex_print(fp: Column) -> Column:
