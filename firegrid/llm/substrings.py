@@ -97,23 +97,21 @@ class Anchors:
 
 
 def _prefix_hashes(rows: np.ndarray) -> np.ndarray:
-    """hashes[i, j]: polynomial hash of the first j bytes of row i."""
-    out = np.zeros((rows.shape[0], rows.shape[1] + 1), np.uint64)
-    for j in range(rows.shape[1]):
-        out[:, j + 1] = out[:, j] * _BASE + rows[:, j] + np.uint64(1)
+    """hashes[j, i]: polynomial hash of the first j bytes of row i."""
+    out = np.zeros((rows.shape[1] + 1, rows.shape[0]), np.uint64)
+    for j, column in enumerate(np.ascontiguousarray(rows.T)):
+        out[j + 1] = out[j] * _BASE + column + np.uint64(1)
     return out
 
 
 def _common(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Length of the common prefix of rows a[i] and b[i], by binary search over their prefix hashes."""
-    low, high = np.zeros(len(a), np.int64), np.full(len(a), hashes.shape[1] - 1)
-    while True:
-        open_ = low < high
-        if not open_.any():
-            return low
+    low, high = np.zeros(len(a), np.int64), np.full(len(a), hashes.shape[0] - 1)
+    for _ in range((hashes.shape[0] - 1).bit_length()):
         mid = (low + high + 1) >> 1
-        same = hashes[a, mid] == hashes[b, mid]
-        low, high = np.where(open_ & same, mid, low), np.where(open_ & ~same, mid - 1, high)
+        same = hashes[mid, a] == hashes[mid, b]
+        low, high = np.where(same, mid, low), np.where(same, high, np.maximum(low, mid - 1))
+    return low
 
 
 def _less(rows: np.ndarray, hashes: np.ndarray, a: np.ndarray, b: np.ndarray, ties: bool) -> np.ndarray:
@@ -174,6 +172,18 @@ def _neighbours(rows: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, bool]:
     return common, bool((~some | (a[line, first] < b[line, first])).all())
 
 
+def _matrix(rows: list[bytes], width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), width)
+
+
+def lone_offsets(around: list[bytes], left: np.ndarray, copies: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """``repeated_offsets`` of surroundings that share their anchor with no others: all strings of a copy are repeated."""
+    right = np.fromiter(map(len, around), np.int64, len(around)) - left
+    first = np.maximum(0, length - right)
+    found = (copies > 1) & (first <= left)
+    return np.where(found, first, -1), np.where(found, left, -1)
+
+
 def repeated_offsets(
     around: list[bytes], left: np.ndarray, copies: np.ndarray, length: int = LENGTH, gram: int = GRAM,
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -183,14 +193,10 @@ def repeated_offsets(
     ``copies`` how often each occurs.
     """
     m, reach = len(around), length - gram
-    # One value above the bytes for "no byte here": a shorter side never equals a longer one.
-    right_side, left_side = np.zeros((m, length), np.uint16), np.zeros((m, reach), np.uint16)
-    right = np.empty(m, np.int64)
-    for i, (text, n) in enumerate(zip(around, left.tolist())):
-        raw = np.frombuffer(text, np.uint8).astype(np.uint16) + 1
-        right[i] = len(raw) - n
-        right_side[i, :right[i]] = raw[n:]
-        left_side[i, :n] = raw[:n][::-1]
+    # Padding may equal real bytes; strings are only compared where both sides are long enough.
+    right_side = _matrix([t[n:n + length].ljust(length, b"\0") for t, n in zip(around, left.tolist())], length)
+    left_side = _matrix([t[:n][::-1].ljust(reach, b"\0") for t, n in zip(around, left.tolist())], reach)
+    right = np.fromiter(map(len, around), np.int64, m) - left
     r_order, r_common = suffix_sort(right_side)
     l_order, l_common = suffix_sort(left_side)
     first, last = np.full(m, -1), np.full(m, -1)
@@ -324,12 +330,19 @@ def _offset_batch(around: list[bytes], before: list[int], n: list[int], first: n
 def _sorted_groups(unique: DataFrame, n_rows: int, length: int, gram: int) -> DataFrame:
     """Offsets of surroundings (around, before, n, anchor), whole anchors at a time."""
 
-    def solve(around: list[bytes], before: list[int], n: list[int]) -> pa.RecordBatch:
-        first, last = repeated_offsets(around, np.array(before, np.int64), np.array(n, np.int64), length, gram)
+    def solve(around: list[bytes], before: list[int], n: list[int], anchors: list[int]) -> pa.RecordBatch:
+        left, copies, own = np.array(before, np.int64), np.array(n, np.int64), np.array(anchors, np.int64)
+        first, last = lone_offsets(around, left, copies, length)
+        shared = np.zeros(len(own), bool)
+        shared[1:] = own[1:] == own[:-1]
+        shared[:-1] |= shared[1:]
+        some = np.flatnonzero(shared)
+        if len(some):
+            first[some], last[some] = repeated_offsets([around[i] for i in some.tolist()], left[some], copies[some], length, gram)
         return _offset_batch(around, before, n, first, last)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[bytes, int, int]] = []
+        held: list[tuple[bytes, int, int, int]] = []
         current = None
         for batch in batches:
             for around, before, n, anchor in zip(*(batch.column(i).to_pylist() for i in range(4))):
@@ -337,7 +350,7 @@ def _sorted_groups(unique: DataFrame, n_rows: int, length: int, gram: int) -> Da
                     yield solve(*map(list, zip(*held)))
                     held = []
                 current = anchor
-                held.append((around, before, n))
+                held.append((around, before, n, anchor))
         if held:
             yield solve(*map(list, zip(*held)))
 

@@ -330,7 +330,7 @@ def test_suffix_sort_survives_collisions(monkeypatch):
     rows = rng.integers(0, 3, (150, 9)).astype(np.uint16)
     for broken in (False, True):
         if broken:  # every prefix hash equal: the comparison is wrong, the verification must notice
-            monkeypatch.setattr(substrings, "_prefix_hashes", lambda r: np.zeros((r.shape[0], r.shape[1] + 1), np.uint64))
+            monkeypatch.setattr(substrings, "_prefix_hashes", lambda r: np.zeros((r.shape[1] + 1, r.shape[0]), np.uint64))
         order, common = substrings.suffix_sort(rows)
         keys = [rows[i].astype(">u2").tobytes() for i in order]
         assert keys == sorted(keys)
