@@ -18,7 +18,7 @@ CROP_FUEL = 902.0
 def _all_bare_cover(lct: Column) -> Column:
     """Tree/herb/bare given to a cell seen as all bare, by its land-cover class."""
     def cover(tree: float, herb: float) -> Column:
-        return F.struct(F.lit(tree).alias("tree"), F.lit(herb).alias("herb"), F.lit(0.0).alias("bare"))
+        return F.array(F.lit(tree), F.lit(herb), F.lit(0.0))
 
     return (
         F.when(lct <= 5, cover(60.0, 40.0))
@@ -45,7 +45,6 @@ def clean_cover(df: DataFrame, version: str = "v2.9") -> DataFrame:
         reason = (
             F.when(reg == 0, "no region")
             .when((lct < 1) | (lct > 16) | (lct == 15), "land cover")
-            .when((out_of_range | (F.col("_bare") == 100)) & (lct >= 15), "all bare")
         )
     else:
         in_region = reg.between(1, 12) if version == "v2.9" else reg.between(0, 100)
@@ -55,22 +54,22 @@ def clean_cover(df: DataFrame, version: str = "v2.9") -> DataFrame:
             .when((lct >= 17) | (lct <= 0) | (lct == 15), "land cover")
             .when(out_of_range, "total cover")
         )
-    scaled = [
-        F.when(rescale, F.col(c) * 100.0 / F.col("totcov")).otherwise(F.col(c)).alias(n)
-        for c, n in (("_t", "_tree"), ("_h", "_herb"), ("_b", "_bare"))
-    ]
-    df = df.select("*", *scaled, rescale.alias("rescaled"))
-    all_bare = (F.col("_bare") == 100) | out_of_range if version == "v1" else F.col("_bare") >= 99.9
-    filled = _all_bare_cover(lct)
+    # The covers, and later the species, are arrays: the model then compiles to several small
+    # methods instead of one that is too long for the JIT compiler.
+    scale = F.when(rescale, F.lit(100.0))
+    scaled = F.transform(F.array("_t", "_h", "_b"), lambda c: F.when(F.col("_scale").isNotNull(), c * F.col("_scale") / F.col("totcov")).otherwise(c))
+    df = df.withColumn("rescaled", rescale).withColumn("_scale", scale).withColumn("_scaled", scaled)
+    bare = F.col("_scaled")[2]
+    all_bare = (bare == 100) | out_of_range if version == "v1" else bare >= 99.9
+    if version == "v1":
+        reason = reason.when((out_of_range | (bare == 100)) & (lct >= 15), "all bare")
+    df = df.withColumn("all_bare", all_bare).withColumn("_cover", F.when(F.col("all_bare"), _all_bare_cover(lct)).otherwise(F.col("_scaled")))
     return (
-        df.withColumn("all_bare", all_bare)
-        .withColumn("reject_reason", reason)
-        .withColumn("tree", F.when(F.col("all_bare"), filled["tree"]).otherwise(F.col("_tree")))
-        .withColumn("herb", F.when(F.col("all_bare"), filled["herb"]).otherwise(F.col("_herb")))
-        .withColumn("bare", F.when(F.col("all_bare"), filled["bare"]).otherwise(F.col("_bare")))
+        df.withColumn("reject_reason", reason)
+        .withColumns({n: F.col("_cover")[i] for i, n in enumerate(("tree", "herb", "bare"))})
         .withColumn("lct", lct.cast("int"))
         .withColumn("region", reg.cast("int"))
-        .drop("_t", "_h", "_b", "_tree", "_herb", "_bare")
+        .drop("_t", "_h", "_b", "_scale", "_scaled", "_cover")
     )
 
 
@@ -184,11 +183,21 @@ def accepted(df: DataFrame) -> DataFrame:
     return df.where(F.col("reject_reason").isNull())
 
 
-def _factor_row(factors: DataFrame, species: list[str], value: Column) -> DataFrame:
-    """One row per vegetation type with a column per species (a handful of rows)."""
-    return factors.groupBy("genveg").agg(
-        *[F.max(F.when(F.col("species") == s, value)).alias(f"_k_{s}") for s in species]
-    )
+def _factor_row(factors: DataFrame, species: list[str], value: Column, missing: float | None = None) -> DataFrame:
+    """One row per vegetation type with the species' values as an array (a handful of rows)."""
+    each = [F.max(F.when(F.col("species") == s, value)) for s in species]
+    return factors.groupBy("genveg").agg(F.array(*[e if missing is None else F.coalesce(e, F.lit(missing)) for e in each]).alias("_k"))
+
+
+def species_of(table: DataFrame) -> list[str]:
+    """Species of a factor or split table, by name (a table of fixed size)."""
+    return [r.species for r in table.select("species").distinct().orderBy("species").collect()]
+
+
+def _times(df: DataFrame, keep: list[str], species: list[str], by: Column, prefix: str = "") -> DataFrame:
+    """One column per species: its value in ``_k`` times ``by``."""
+    out = df.withColumn("_by", by).withColumn("_v", F.transform("_k", lambda k: k * F.col("_by")))
+    return out.select(*[F.col(c) for c in keep], *[F.col("_v")[i].alias(prefix + s) for i, s in enumerate(species)])
 
 
 def emission_coefficient() -> Column:
@@ -201,17 +210,15 @@ def emit(df: DataFrame, factors: DataFrame | None = None, species: list[str] | N
     """Add one column per species: coefficient x burned area x biomass.
 
     Wide on purpose: a fire stays one row, and later sums move 17 partial sums per key instead of
-    17 rows per fire.  Fires whose vegetation has no factors are dropped.
+    17 rows per fire.  Fires whose vegetation has no factors are dropped.  With own ``factors`` the
+    columns are that table's species, unless ``species`` names them.
     """
     spark = df.sparkSession
+    if species is None:
+        species = lookups.base_species() if factors is None else species_of(factors)
     factors = factors if factors is not None else lookups.emission_factors(spark)
-    species = species or lookups.base_species()
     wide = _factor_row(factors, species, emission_coefficient())
-    out = df.join(F.broadcast(wide), "genveg")
-    burned = F.col("area_m2") * F.col("bmass")
-    return out.select(
-        *[F.col(c) for c in df.columns], *[(F.col(f"_k_{s}") * burned).alias(s) for s in species]
-    )
+    return _times(df.join(F.broadcast(wide), "genveg"), df.columns, species, F.col("area_m2") * F.col("bmass"))
 
 
 def emit_long(df: DataFrame, factors: DataFrame | None = None) -> DataFrame:
@@ -225,14 +232,13 @@ def speciate(df: DataFrame, mechanism: str, split: DataFrame | None = None, spec
              prefix: str = "") -> DataFrame:
     """Add one column per VOC of a mechanism: moles = split x NMOC (kg); no split -> 0."""
     spark = df.sparkSession
+    if species is None:
+        species = lookups.voc_species(mechanism) if split is None else species_of(split)
     split = split if split is not None else lookups.voc_split(spark, mechanism)
-    species = species or lookups.voc_species(mechanism)
-    wide = _factor_row(split, species, F.col("frac"))
-    out = df.join(F.broadcast(wide), "genveg", "left")
-    return out.select(
-        *[F.col(c) for c in df.columns],
-        *[(F.coalesce(F.col(f"_k_{s}"), F.lit(0.0)) * F.col("NMOC")).alias(prefix + s) for s in species],
-    )
+    wide = _factor_row(split, species, F.col("frac"), missing=0.0)
+    none = F.array(*[F.lit(0.0) for _ in species])
+    out = df.join(F.broadcast(wide), "genveg", "left").withColumn("_k", F.coalesce("_k", none))
+    return _times(out, df.columns, species, F.col("NMOC"), prefix)
 
 
 def vegetation_audit(df: DataFrame) -> DataFrame:
