@@ -64,8 +64,7 @@ GenVegType,CO2,CO,CH4,NMOC,H2,NOXasNO,SO2,PM25,TPM,TPC,OC,BC,NH3,NO,NO2,NMHC,PM1
 9,1444,91,5.82,51.4,2.59,2.43,0.4,6.43,13,4,2.66,0.51,2.12,1.18,2.99,7,7.02
 """
 
-# Moles of each mechanism species per kg of NMOC, by vegetation type.  Type 6 uses
-# the same split as type 4 in all three mechanisms.
+# Moles of each mechanism species per kg of NMOC, by vegetation type.
 VOC_SPLIT = {
     "MOZART": """
 GenVegIndex,APIN,BENZENE,BIGALK,BIGENE,BPIN,BZALD,C2H2,C2H4,C2H6,C3H6,C3H8,CH2O,CH3CH2OH,CH3CHO,CH3CN,CH3COCH3,CH3COOH,CH3OH,CRESOL,GLYALD,HCN,HCOOH,HONO,HYAC,ISOP,LIMON,MACR,MEK,MGLY,MVK,MYRC,PHENOL,TOLUENE,XYLENE,XYLOL
@@ -74,6 +73,7 @@ GenVegIndex,APIN,BENZENE,BIGALK,BIGENE,BPIN,BZALD,C2H2,C2H4,C2H6,C3H6,C3H8,CH2O,
 3,0.000,0.000,0.219,0.662,0.000,0.120,0.672,1.505,0.939,0.603,0.114,2.299,0.000,1.404,0.399,0.433,2.029,3.031,0.000,1.886,0.625,0.683,1.001,0.609,0.029,0.000,0.222,0.666,0.000,0.222,0.000,0.191,0.769,0.040,0.000
 4,0.261,0.253,0.415,1.393,0.008,0.298,2.513,1.930,0.611,0.487,0.149,2.181,0.066,0.758,0.088,0.297,1.292,1.744,0.059,0.210,0.684,0.259,0.326,0.223,0.129,0.158,0.113,0.274,0.135,0.247,0.002,0.345,0.605,0.422,0.088
 5,0.259,0.290,1.821,0.627,0.209,0.166,1.167,1.407,1.168,0.499,0.194,1.361,0.023,0.416,0.176,0.242,1.360,1.608,0.040,0.233,0.846,0.254,0.228,0.149,0.085,0.000,0.024,0.104,0.090,0.087,0.000,0.517,1.327,0.238,0.056
+6,0.261,0.253,0.415,1.393,0.008,0.298,2.513,1.930,0.611,0.487,0.149,2.181,0.066,0.758,0.088,0.297,1.292,1.744,0.059,0.210,0.684,0.259,0.326,0.223,0.129,0.158,0.113,0.274,0.135,0.247,0.002,0.345,0.605,0.422,0.088
 9,0.010,0.091,0.246,0.674,0.000,0.325,1.701,1.412,0.673,0.457,0.142,1.716,0.000,0.929,0.142,0.162,2.349,2.328,0.074,0.800,0.416,0.426,0.187,1.548,0.062,0.000,0.000,0.387,0.171,0.193,0.000,0.408,0.375,0.295,0.130
 """,
     "SAPRC": """
@@ -83,6 +83,7 @@ GenVegIndex,ACET,ALK1,ALK2,ALK3,ALK4,ALK5,ARO1,ARO2,BALD,CCHO,CCO_OH,ETHENE,HCHO
 3,0.40,1.40,0.51,0.04,0.04,0.03,1.86,0.08,0.12,1.31,1.93,1.42,2.14,0.58,0.45,0.76,0.07,1.20,2.68,0.08,0.38,0.20,0.83,0.19,0.18,0.23,1.47,0.04
 4,0.20,0.47,0.26,0.03,0.04,0.02,0.53,0.06,0.01,0.38,0.53,1.11,1.33,0.51,0.26,0.26,0.03,8.33,1.51,0.00,0.17,0.00,0.36,0.10,0.07,0.10,0.36,0.03
 5,0.20,1.84,0.34,0.05,0.06,0.03,1.18,0.10,0.01,0.67,1.80,1.61,1.45,2.48,0.57,0.70,0.14,2.25,2.49,0.00,0.27,0.00,0.93,0.16,0.84,0.16,0.37,0.04
+6,0.20,0.47,0.26,0.03,0.04,0.02,0.53,0.06,0.01,0.38,0.53,1.11,1.33,0.51,0.26,0.26,0.03,8.33,1.51,0.00,0.17,0.00,0.36,0.10,0.07,0.10,0.36,0.03
 9,0.83,1.22,0.31,0.02,0.03,0.02,0.95,0.06,0.01,3.05,2.19,1.09,1.84,0.33,0.90,0.09,0.60,0.54,2.11,0.00,0.19,0.14,0.54,0.16,0.60,0.11,2.08,0.00
 """,
     "GEOSCHEM": """
@@ -92,10 +93,10 @@ GenVegIndex,ACET,ALD2,ALK4,BENZ,C2H2,C2H4,C2H6,C3H8,CH2O,GLYC,GLYX,HAC,MEK,MGLY,
 3,0.39,1.96,4.07,0.18,0.36,1.38,0.82,0.1,2.08,0.79,0,0.55,1.04,0.37,1.92,1.03,0.04,0.74
 4,0.37,1,5.97,0.38,0.22,1.48,1.61,0.28,1.87,0.35,0,0,0.6,0.3,3.11,0.79,0.05,0.28
 5,0.35,0.81,5.75,0.38,0.18,1.35,1.59,0.27,1.66,0.34,0,0.76,0.61,0.27,2.47,0.88,0.05,0.69
+6,0.37,1,5.97,0.38,0.22,1.48,1.61,0.28,1.87,0.35,0,0,0.6,0.3,3.11,0.79,0.05,0.28
 9,0.83,3.46,4.96,0.21,0.21,1.08,0.43,0.08,1.84,1.68,0,0,0.77,0.19,1.27,0.77,0.03,0.09
 """,
 }
-SAME_SPLIT = {6: 4}
 
 
 def parse(text: str) -> list[dict[str, float]]:
@@ -104,9 +105,7 @@ def parse(text: str) -> list[dict[str, float]]:
 
 
 def voc_rows(mechanism: str) -> list[dict[str, float]]:
-    rows = parse(VOC_SPLIT[mechanism])
-    by_type = {int(r["GenVegIndex"]): r for r in rows}
-    return rows + [{**by_type[same], "GenVegIndex": float(veg)} for veg, same in SAME_SPLIT.items()]
+    return parse(VOC_SPLIT[mechanism])
 
 
 def fuel_loads(spark: SparkSession) -> DataFrame:

@@ -24,7 +24,7 @@ def _canonical(edges: DataFrame, u: str, v: str) -> DataFrame:
 
 def connected_components(
     edges: DataFrame, nodes: DataFrame | None = None, src: str = "src", dst: str = "dst", node: str = "node",
-    weight: str | None = None, canonical: bool = False, max_rounds: int = 100,
+    weight: str | None = None, canonical: bool = False,
 ) -> DataFrame:
     """(node, component, n_nodes[, weight]): component = smallest node id; lone nodes are their own component.
 
@@ -38,8 +38,6 @@ def connected_components(
         e, left = cut_counted(_canonical(edges, src, dst))
     steps: list[DataFrame] = []
     while left:
-        if len(steps) == max_rounds:
-            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
         seed = F.lit(len(steps))
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         best = F.min(F.struct(F.xxhash64("v", seed).alias("h"), F.col("v").alias("id")))

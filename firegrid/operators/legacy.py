@@ -87,12 +87,12 @@ def cover_pairs(fires: DataFrame, bin_km: float = 8.0) -> DataFrame:
     )
 
 
-def remove_overlaps(fires: DataFrame, lon: str = "cen_lon", lat: str = "cen_lat", max_rounds: int = 10_000) -> DataFrame:
+def remove_overlaps(fires: DataFrame, lon: str = "cen_lon", lat: str = "cen_lat") -> DataFrame:
     """Drop fires whose centre lies in the box of a larger fire that is itself kept, per day.
 
     The same outcome as going through the fires from the largest down: a fire is kept once all
     fires that could remove it are gone, and removed once one of them is kept; every round settles
-    all fires for which that is known.  Equal fires at one place are settled up front (the first
+    all fires for which that is known, at least the largest of those left.  Equal fires at one place are settled up front (the first
     one stands for all), so a crowded place costs one row.
     """
     x = EARTH_KM * F.radians(lon) * F.cos(F.radians(lat))
@@ -101,9 +101,7 @@ def remove_overlaps(fires: DataFrame, lon: str = "cen_lon", lat: str = "cen_lat"
     heads = cut(placed.groupBy(*shape).agg(F.min("rid").alias("rid")))
     open_pairs = cut(cover_pairs(heads).select("winner", "loser"))
     removed = None
-    for _ in range(max_rounds):
-        if open_pairs.isEmpty():
-            break
+    while not open_pairs.isEmpty():
         # Winners nobody can remove any more are kept; what they cover goes.
         losers = open_pairs.select(F.col("loser").alias("winner")).distinct()
         gone = cut(open_pairs.join(losers, "winner", "left_anti").select(F.col("loser").alias("rid")).distinct())
@@ -112,8 +110,6 @@ def remove_overlaps(fires: DataFrame, lon: str = "cen_lon", lat: str = "cen_lat"
             open_pairs = open_pairs.join(gone.withColumnRenamed("rid", side), side, "left_anti")
         # Pairs of a kept winner end with its losers; the rest stays open.
         open_pairs = cut(open_pairs)
-    else:
-        raise RuntimeError(f"overlap removal did not settle in {max_rounds} rounds")
     kept = heads.select("rid")
     if removed is not None:
         kept = kept.join(removed, "rid", "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from firegrid.functions.dates import local_solar_ts
 from firegrid.functions.geo import FIRE_KM, PIXEL_SCALE, half_width_deg
@@ -107,7 +107,10 @@ def prepare(
     df = normalize_instrument(df)
     if "lon" not in df.columns:
         df = df.withColumnRenamed("longitude", "lon").withColumnRenamed("latitude", "lat")
-    df = df.withColumn("confident", is_confident(F.col("instrument"), F.col("confidence").cast("string")))
+    confidence = F.col("confidence")
+    if isinstance(df.schema["confidence"].dataType, (T.FractionalType,)):
+        confidence = confidence.cast("int")  # 85.0 of a numeric column is 85; "85.0" of a text column is no whole number
+    df = df.withColumn("confident", is_confident(F.col("instrument"), confidence.cast("string")))
     df = duplicate_tropics(use_date(df, date_definition))
     df = date_range(df, first, last).where("confident")
     df = df.withColumn("anomtype", F.col("type").cast("int") if "type" in df.columns else F.lit(0))

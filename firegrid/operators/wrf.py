@@ -30,18 +30,18 @@ def in_domain(df: DataFrame, domain: Domain, lon: str = "cen_lon", lat: str = "c
     )
 
 
-def per_m2(domain: Domain, i: Column, j: Column) -> Column:
-    """1 / cell area (1/m2)."""
+def per_m2(domain: Domain, i: Column, j: Column, legacy_area: bool = False) -> Column:
+    """1 / cell area (1/m2); ``legacy_area`` takes the latitude step for the longitude step of lat-lon domains."""
     if not domain.is_latlon:
         return F.lit(1.0 / domain.dx ** 2)
     south, _ = ijll(domain, i, j - 0.5)
     north, _ = ijll(domain, i, j + 0.5)
-    dy = EARTH_M * math.radians(domain.dlat)
-    return 1.0 / (EARTH_M * dy * (F.sin(F.radians(north)) - F.sin(F.radians(south))))
+    width = EARTH_M * math.radians(domain.dlat if legacy_area else domain.dlon)
+    return 1.0 / (EARTH_M * width * (F.sin(F.radians(north)) - F.sin(F.radians(south))))
 
 
 def grid_wrf(emissions: DataFrame, domain: Domain, species_map: DataFrame, size: str = "area_m2",
-             date: str = "acq_date_utc", lon: str = "cen_lon", lat: str = "cen_lat") -> DataFrame:
+             date: str = "acq_date_utc", lon: str = "cen_lon", lat: str = "cen_lat", legacy_area: bool = False) -> DataFrame:
     """(date, hour, i, j, fire_size, one ebu_in_* column per species).
 
     Gases in mol/km2/h, aerosols in ug/m2/s.  The hour only enters through the whole-hour offset of
@@ -61,7 +61,7 @@ def grid_wrf(emissions: DataFrame, domain: Domain, species_map: DataFrame, size:
     hours = hours.withColumn("_f", F.element_at(profile, (F.col("hour") + F.col("_offset")) % 24 + 1))
 
     def flux(t) -> Column:
-        return t.total() * F.col("_f") * per_m2(domain, F.col("i"), F.col("j")) * (AEROSOL_FACTOR if t.is_aerosol else GAS_FACTOR)
+        return t.total() * F.col("_f") * per_m2(domain, F.col("i"), F.col("j"), legacy_area) * (AEROSOL_FACTOR if t.is_aerosol else GAS_FACTOR)
 
     return hours.groupBy("date", "hour", "i", "j").agg(
         F.least(F.sum("_size"), F.lit(MAX_FIRE_M2)).alias("fire_size"),

@@ -254,6 +254,89 @@ put("voronoi_sub_areas", (
  union all select fireid, site, {_B2}*radians(2e0*fire_dx)*({_q('lat+fire_dy')}-{_q('lat-fire_dy')}), lon, lat from afull where n_sites=1)""",
 ), f"select fireid, polyid, {r('a',6,'area_sqkm')}, {r('cx',6,'cen_lon')}, {r('cy',6,'cen_lat')} from vo")
 
+# -- holes, thinning, subdivision: the rules in full -----------------------------------------------------------
+_HOLE = num((1.0 / 240.0) ** 2)
+HOLES = (
+    "gp as materialized (select row_number() over (order by fireid, k, x1) as gap, fireid, k, y, h, x1 as g0, nx as g1 from (select *, lead(x0) over (partition by fireid, k order by x0) as nx from iu) where nx is not null)",
+    "ln as (select fireid, k, min(x0) as lx0, max(x1) as lx1 from iu group by fireid, k)",
+    # Openings that meet the outside above or below.
+    "gd as (select gp.*, k + d.d as kk from gp, (values (-1), (1)) d(d))",
+    "go as (select distinct gap from gd left join ln on ln.fireid=gd.fireid and ln.k=gd.kk where lx0 is null or g0<lx0 or g1>lx1)",
+    "ge as materialized (select a.gap as s, b.gap as t from gp a join gp b on a.fireid=b.fireid and abs(a.k-b.k)=1 and a.g0<b.g1 and b.g0<a.g1)",
+    "gr(gap, lab) as (select gap, gap from gp union select ge.t, gr.lab from gr join ge on ge.s=gr.gap)",
+    "gl as (select gap, min(lab) as lab from gr group by gap)",
+    f"""gh as (select lab from gp join gl using (gap) left join (select gap, true as isopen from go) using (gap) group by lab
+ having not coalesce(bool_or(isopen), false) and (sum((g1-g0)*h) <= {_HOLE} or (max(g1)-min(g0))*(max(k)-min(k)+1)*max(h) <= {_HOLE}))""",
+    "iw as materialized (select fireid, k, y, h, x0, x1 from iu union all select fireid, k, y, h, g0, g1 from gp join gl using (gap) join gh using (lab))",
+)
+_LONE = f"select fireid, {{id}}{_B2}*radians(2e0*fire_dx)*({_q('lat+fire_dy')}-{_q('lat-fire_dy')}) as a, lon as cx, lat as cy from afull where n_sites=1"
+put("burned_areas", (
+    *A_BASE, *SCAN[:-1], *HOLES,
+    f"""af as (select fireid, sum({_B2}*radians(x1-x0)*({_q('y+h/2e0')}-{_q('y-h/2e0')})) as a, sum((x1-x0)*h*(x0+x1)/2e0)/sum((x1-x0)*h) as cx, sum((x1-x0)*h*y)/sum((x1-x0)*h) as cy from iw group by fireid
+ union all {_LONE.format(id='')})""",
+), f"select fireid, {r('a',6,'area_sqkm')}, {r('cx',6,'cen_lon')}, {r('cy',6,'cen_lat')} from af")
+
+_SKIM_ROUNDS = 24
+
+
+def _skim(points: str, radius: str) -> tuple[str, ...]:
+    """Seeds ``sk`` (fireid, kept, seed, lon, lat, n_places, n_members) of ``points`` (fireid, lon, lat, cleanid).
+
+    The rule round by round: places that beat all their neighbours, or tie among themselves and beat
+    the rest, leave together or become one place with the largest weight towards each neighbour.
+    """
+    parts = [
+        f"ks as materialized (select fireid, lon, lat, min(cleanid) as node, count(*) as mult from {points} group by all)",
+        f"""kd as (select a.node as u, b.node as v, sqrt((a.lon-b.lon)*(a.lon-b.lon)+(a.lat-b.lat)*(a.lat-b.lat)) as dist
+ from ks a join ks b on a.fireid=b.fireid and a.node<>b.node and abs(a.lat-b.lat)<={radius} and abs(a.lon-b.lon)<={radius})""",
+        f"k0e as materialized (select u, v, cast(floor(least(case when dist=0 then 3600e0 else 1e0/dist end, 1e12)*1e6+0.5e0) as hugeint) as w from kd where dist<{radius})",
+        "k0n as (select node, cast(mult as hugeint) as mult from ks)",
+        "k0m as (select node, node as member from ks)",
+    ]
+    for i in range(_SKIM_ROUNDS):
+        a, b = f"k{i}", f"k{i + 1}"
+        parts += [
+            f"""{a}s as materialized (select * from (select n.node, any_value(n.mult) as mult, (any_value(n.mult)-1)*3600000000 + coalesce(sum(e.w*o.mult), 0) as s
+ from {a}n n left join {a}e e on e.u=n.node left join {a}n o on o.node=e.v group by n.node) where s>0)""",
+            f"{a}r as materialized (select e.u, e.v, x.s as su, z.s as sv from {a}e e join {a}s x on x.node=e.u join {a}s z on z.node=e.v)",
+            f"{a}g(node, lab) as (select node, node from {a}s union select q.v, g.lab from {a}g g join {a}r q on q.u=g.node and q.su=q.sv)",
+            f"{a}l as materialized (select node, min(lab) as lab from {a}g group by node)",
+            f"{a}b as (select distinct lab from {a}l join {a}r on u=node where sv>su)",
+            f"{a}c as (select lab, count(*) as n from {a}l group by lab)",
+            f"{a}w as materialized (select l.node, case when c.n>1 or x.mult>1 then l.lab end as new from {a}l l join {a}c c using (lab) join {a}s x on x.node=l.node where l.lab not in (select lab from {a}b))",
+            f"""{b}e as materialized (select u, v, max(w) as w from (select coalesce(p.new, e.u) as u, coalesce(q.new, e.v) as v, w from {a}e e left join {a}w p on p.node=e.u left join {a}w q on q.node=e.v
+ where (p.node is null or p.new is not null) and (q.node is null or q.new is not null)) where u<>v group by u, v)""",
+            f"{b}m as materialized (select coalesce(p.new, m.node) as node, m.member from {a}m m left join {a}w p on p.node=m.node where p.node is null or p.new is not null)",
+            f"{b}n as materialized (select * from {a}n where node not in (select node from {a}w) union all select distinct new, cast(1 as hugeint) from {a}w where new is not null)",
+        ]
+    last = f"k{_SKIM_ROUNDS}"
+    # Not settled after the last round: no rows at all, rather than wrong ones.
+    parts.append(f"kx as (select count(*) as open from {last}e)")
+    parts.append(f"""sk as materialized (select any_value(s.fireid) as fireid, m.node as kept, min(m.member) as seed, case when count(*)=1 then min(s.lon) else sum(s.lon*s.mult)/sum(s.mult) end as lon,
+ case when count(*)=1 then min(s.lat) else sum(s.lat*s.mult)/sum(s.mult) end as lat, count(*) as n_places, cast(sum(s.mult) as bigint) as n_members
+ from {last}m m join ks s on s.node=m.member, kx where kx.open=0 group by m.node)""")
+    return tuple(parts)
+
+
+_SKIM_OUT = f"select fireid, seed, {r('lon',9,'lon')}, {r('lat',9,'lat')}, n_places, n_members from sk"
+_HALF_MINUTE = "(0.5e0/60e0)"
+put("skim_points", (*A_BASE, *_skim("apoint", _HALF_MINUTE)), _SKIM_OUT)
+put("skim_points_wide", (*PREP, "wp as (select *, cast(floor(lon)*1000+floor(lat) as bigint) as fireid from pnt)", *_skim("wp", "(1.5e0/60e0)")), _SKIM_OUT)
+SEEDS = (*_skim("apoint", _HALF_MINUTE), "sd as materialized (select fireid, lon, lat, min(seed) as seed from sk group by fireid, lon, lat)")
+put("sub_polygon_members", (
+    *A_BASE, *SEEDS,
+    "ms as (select p.cleanid, s.seed, (s.lon-p.lon)*(s.lon-p.lon)+(s.lat-p.lat)*(s.lat-p.lat) as d2 from apoint p join sd s using (fireid))",
+), "select seed as polyid, cleanid from ms qualify row_number() over (partition by cleanid order by d2, seed)=1")
+VORONOI = (
+    "pr as (select iw.*, s.seed, s.lon-x0 as u, (s.lon-x0)*(s.lon-x0)+(s.lat-y)*(s.lat-y) as c from iw join sd s using (fireid))",
+    """bd as (select a.fireid, a.k, a.y, a.h, a.x0, a.seed, greatest(0e0, max(case when b.u<a.u then (b.c-a.c)/(2e0*(b.u-a.u)) end)) as lo,
+ least(a.x1-a.x0, min(case when b.u>a.u then (b.c-a.c)/(2e0*(b.u-a.u)) end)) as hi, bool_or(b.u=a.u and (b.c<a.c or (b.c=a.c and b.seed<a.seed))) as dead
+ from pr a join pr b on a.fireid=b.fireid and a.k=b.k and a.x0=b.x0 group by a.fireid, a.k, a.y, a.h, a.x0, a.x1, a.seed)""",
+    f"""vo as (select fireid, seed as polyid, sum({_B2}*radians(hi-lo)*({_q('y+h/2e0')}-{_q('y-h/2e0')})) as a, sum((hi-lo)*h*(x0+lo+x0+hi)/2e0)/sum((hi-lo)*h) as cx, sum((hi-lo)*h*y)/sum((hi-lo)*h) as cy
+ from bd where hi>lo and not dead group by fireid, seed union all {_LONE.format(id='site, ')})""",
+)
+put("sub_polygons", (*A_BASE, *SCAN[:-1], *HOLES, *SEEDS, *VORONOI), f"select fireid, polyid, {r('a',6,'area_sqkm')}, {r('cx',6,'cen_lon')}, {r('cy',6,'cen_lat')} from vo")
+
 # -- zonal statistics ----------------------------------------------------------------------------------------
 put("fire_pixels", (*C_BASE, *C_CELL), "select fireid, iy, ix from ccell")
 _HIST = "h as (select fireid, lct as v_lct, count(*) as cv_lct from {p}val group by all)"
@@ -380,9 +463,9 @@ def _project(name: str) -> tuple[str, str, int, int, str]:
         rsw = math.log(math.tan(0.5 * _rad(lat0 + 90))) / step
         return (f"{num((nx + 1) / 2)}+{_turned('(cen_lon-20e0)')}/{num(math.degrees(step))}",
                 f"{num((ny + 1) / 2 - rsw)}+ln(tan(radians(cen_lat+90e0)/2e0))/{num(step)}", nx, ny, num(1 / dx ** 2))
-    dy = _R * _rad(0.5)
+    dx = _R * _rad(0.75)
     south, north = "sin(radians(-39.5e0+(j-1.5e0)*0.5e0))", "sin(radians(-39.5e0+(j-0.5e0)*0.5e0))"
-    return "(cen_lon+30e0)/0.75e0+1e0", "(cen_lat+39.5e0)/0.5e0+1e0", 120, 80, f"(1e0/({num(_R)}*{num(dy)}*({north}-{south})))"
+    return "(cen_lon+30e0)/0.75e0+1e0", "(cen_lat+39.5e0)/0.5e0+1e0", 120, 80, f"(1e0/({num(_R)}*{num(dx)}*({north}-{south})))"
 
 
 HOURS = [.43] * 9 + [3., 6., 10., 14., 17., 14., 12., 9., 6., 3.] + [.43] * 5
@@ -403,9 +486,16 @@ def _regional(name: str, where: str) -> tuple[str, ...]:
 
 
 for _d in ("lambert", "polar", "mercator", "latlon"):
-    put(f"grid_wrf_{_d}", _regional(_d, "acq_date_utc >= date '1998-01-01' and acq_date_utc < date '1998-03-01'"),
+    put(f"grid_wrf_{_d}", _regional(_d, "true"),
         f"select date, hour, i, j, {r('fire_size',2,'fire_size')}, {r('ebu_in_CO',3,'ebu_in_CO')}, {r('ebu_in_NOX',4,'ebu_in_NOX')}, {r('ebu_in_pom_a4',5,'ebu_in_pom_a4')}, {r('ebu_in_bc_a4',6,'ebu_in_bc_a4')} from wg")
-put("projection_round_trip", (FIRES,), "select projection, count(*) as n, true as ok from (select distinct cen_lon, cen_lat from fires where cen_lat between 5 and 65 and cen_lon between -140 and -60), (values ('lambert'),('polar'),('mercator'),('latlon')) p(projection) group by projection")
+_x, _y, _nx, _ny, _ = _project("latlon")
+put("wrf_latlon_mass", (*EMIT, f"wx as (select *, {_x} as x, {_y} as y from em)"),
+    f"select acq_date_utc as date, {r('sum(CO)', 2, 'co')} from wx where x>=0.5e0 and x<{_nx}.5e0 and y>=0.5e0 and y<{_ny}.5e0 group by acq_date_utc")
+_trips = []
+for _d in ("lambert", "polar", "mercator", "latlon"):
+    _x, _y, _nx, _ny, _ = _project(_d)
+    _trips.append(f"select '{_d}' as projection, count(*) as n, true as ok from (select {_x} as x, {_y} as y from (select distinct cen_lon, cen_lat from fires)) where x>=0.5e0 and x<{_nx}.5e0 and y>=0.5e0 and y<{_ny}.5e0")
+put("projection_round_trip", (FIRES,), " union all ".join(_trips))
 _mx, _my, _mnx, _mny, _ = _project("mercator")
 _TYPES = ["tempfor", "tropfor", "shrub", "grass"]
 SURF = (
@@ -417,7 +507,7 @@ SURF = (
     "sf as (select i, j, " + ", ".join(f"case when n{n}<>0 then n{n}/n_flagged else 0e0 end as frac_{t}" for n, t in enumerate(_TYPES)) + ", n_flagged, n_pixels from sc)",
 )
 put("surface_fractions", SURF, "select i, j, " + ", ".join(r(f"frac_{t}", 6, f"frac_{t}") for t in _TYPES) + ", n_flagged, n_pixels from sf")
-put("fire_size_by_type", (*_regional("mercator", "acq_date_utc between date '1998-01-01' and date '1998-01-31'"), *SURF),
+put("fire_size_by_type", (*_regional("mercator", "true"), *SURF),
     "select date, hour, i, j, round(fire_size,2)+0e0 as fire_size, " + ", ".join(r(f"coalesce(frac_{t},0e0)*fire_size", 2, f"fire_size_{t}") for t in _TYPES) + " from wg left join sf using (i, j)")
 put("period_check", (FIRES,), "select c.check_ as \"check\", c.ok from (select min(acq_date_utc) lo, max(acq_date_utc) hi from fires), lateral (values ('start not after end', true), ('start covered', lo <= date '1998-01-01'), ('end covered', hi >= date '2049-12-31')) c(check_, ok)")
 
@@ -428,7 +518,7 @@ put("regrid_average", SCAT, "select iy, ix, round(avg(case when tree=200 then 0
 put("regrid_nearest", (DET,), """, p as (select longitude+0.0001e0 as lon, latitude+0.00023e0 as lat, min(cast(rawid%17+1 as int)) as lct from det group by longitude, latitude),
 c as (select *, cast(floor(lon/0.05e0) as bigint) ix, cast(floor(lat/0.05e0) as bigint) iy from p)
 select iy, ix, lct from c qualify row_number() over (partition by iy, ix order by (lon-(ix+0.5e0)*0.05e0)*(lon-(ix+0.5e0)*0.05e0)+(lat-(iy+0.5e0)*0.05e0)*(lat-(iy+0.5e0)*0.05e0), lat, lon)=1""")
-BURNPX = ("bp as (select user_id%60 as iy, event_id%97 as ix, cast(cast(floor(max(value)) as int)%4*30 as int) as value from events group by user_id%60, event_id%97)",)
+BURNPX = ("bp as (select user_id as iy, event_id%97 as ix, cast(cast(floor(max(value)) as int)%4*30 as int) as value from events group by user_id, event_id%97)",)
 put("burn_date_points", BURNPX, "select iy, ix, round(ix*0.005e0+0.0025e0,6)+0e0 as lon, round(iy*0.005e0+0.0025e0,6)+0e0 as lat, 2024 as burn_year, date '2024-01-01' + (value-1) as burn_date from bp where value>0")
 put("burn_date_regions", (
     *BURNPX, "b as (select iy*1000+ix as id, iy, ix, value from bp where value>0)",
@@ -459,7 +549,7 @@ put("grid_average_at_points", (
 V1D = (DET, "vd as (select rawid rid, longitude cen_lon, latitude cen_lat, cast(dayofyear(acq_date) as int) jday, scan spix, track tpix, cast(case when rawid%5=0 then 0 else rawid%101 end as double) confidence from det)")
 put("v1_confidence", V1D, "select jday, count(*) as n, cast(sum(rid) as bigint) as ids from vd where confidence>20 group by jday")
 put("v1_tropics", V1D, "select jday+k as jday, case k when 1 then 0.5e0 else 1e0 end as factor, count(*) as n from vd, (values (0),(1)) t(k) where k=0 or (cen_lat>-30 and cen_lat<30) group by all")
-put("v1_overlap_pairs", (*V1D, "vx as (select *, 6371e0*radians(cen_lon)*cos(radians(cen_lat)) x, 6371e0*radians(cen_lat) y, spix*tpix size from vd where rid%2=0)"),
+put("v1_overlap_pairs", (*V1D, "vx as (select *, 6371e0*radians(cen_lon)*cos(radians(cen_lat)) x, 6371e0*radians(cen_lat) y, spix*tpix size from vd)"),
     """select a.jday, a.rid as winner, b.rid as loser from vx a join vx b on a.jday=b.jday and (a.size>b.size or (a.size=b.size and a.rid<b.rid))
  and b.x between a.x-a.tpix and a.x+a.tpix and b.y between a.y-a.spix and a.y+a.spix""")
 OVERLAP = (

@@ -38,9 +38,9 @@ def hull_wkt() -> Column:
 
 
 def write_polygons(df: DataFrame, members: DataFrame, path: str, date_definition: str = "UTC") -> None:
-    """Fire rows with their detection ids as comma text (one row per id list chunk)."""
-    flat = members.select("polyid", "chunk", F.array_join("cleanids", ",").alias("cleanids"))
-    fire_columns(df, date_definition).join(flat, "polyid", "left").write.mode("overwrite").parquet(path)
+    """Two tables: ``polygons`` with one row per fire row, ``members`` with one row per detection (polyid, cleanid)."""
+    fire_columns(df, date_definition).write.mode("overwrite").parquet(f"{path}/polygons")
+    members.select("polyid", "cleanid").write.mode("overwrite").parquet(f"{path}/members")
 
 
 def write_hulls(hulls: DataFrame, path: str) -> None:

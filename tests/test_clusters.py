@@ -265,7 +265,14 @@ def test_points_go_to_the_nearest_seed(spark):
         best = min(((p.lon - x) ** 2 + (p.lat - y) ** 2, sid) for x, y, sid in table[p.fireid])
         assert p.polyid == best[1]
     ids = subdivide.member_ids(subdivide.assign_points(c.points, seeds)).collect()
-    assert sorted(i for r in ids for i in r.cleanids) == sorted(p.cleanid for p in got)
+    assert sorted(r.cleanid for r in ids) == sorted(p.cleanid for p in got)
+
+
+def test_points_of_a_fire_without_seed_stay(spark):
+    points = spark.createDataFrame([(1, 1, 0.0, 0.0), (2, 7, 3.0, 1.0)], "cleanid long, fireid long, lon double, lat double")
+    seeds = spark.createDataFrame([(1, 5, 0.001, 0.0)], "fireid long, seed long, lon double, lat double")
+    got = {r.cleanid: r.polyid for r in subdivide.assign_points(points, seeds).collect()}
+    assert got == {1: 5, 2: None}
 
 
 def test_nearest_seed_far_away(spark):
