@@ -16,6 +16,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -44,6 +45,7 @@ _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _LONG_RUN = re.compile(r"(.)\1{3,}", re.S)
 _LETTERS = re.compile(r"[^\W\d_]+")
+_SPACED_HINT = re.compile(r"\s\w[ \t]\w[ \t]\w\s")
 _SPACED = re.compile(r"(?<![^ \t\r\n])[^\W_](?:[ \t][^\W_]){2,}(?![^ \t\r\n])")
 
 
@@ -137,6 +139,8 @@ class Restorer:
 
     def readings(self, word: str) -> list[str]:
         """Words of a lower-case token: its letters as written, and the restored reading of a disguised one."""
+        if word.isalpha() and not _RUN.search(word):
+            return [word]
         core = _EDGE.sub("", word)
         got = [core] if core.isalpha() else _LETTERS.findall(core)
         if disguised(core):
@@ -158,7 +162,7 @@ class Restorer:
                     self.known.clear()
                 got = self.known[word] = tuple(self.keep(self.readings(word)))
             out.update(got)
-        for m in _SPACED.finditer(low):
+        for m in _SPACED.finditer(low) if _SPACED_HINT.search(f" {low} ") else ():
             if sum(c.isalpha() for c in m[0]) >= 3:
                 out.update(self.keep(restore(m[0].replace("\t", " "), self.model)))
         return out
@@ -201,7 +205,8 @@ class Model:
 
     def __init__(self, letters: LetterModel, prior: float, weights: dict[str, float]):
         self.letters, self.prior, self.weights = letters, prior, weights
-        self.restorer = Restorer(letters, lambda words: [f for f in features(words) if f in weights])
+        self.heads = {f[:3] for f in weights}
+        self.restorer = Restorer(letters, self.weighted)
 
     def __getstate__(self):
         return self.letters, self.prior, self.weights
@@ -209,6 +214,9 @@ class Model:
     def __setstate__(self, state):
         self.__init__(*state)
 
+    def weighted(self, words: list[str]) -> list[str]:
+        return [f for f in features(w for w in words if w[:3] in self.heads) if f in self.weights]
+
     def score(self, text: str | None) -> float:
         """Probability of label 1: every feature may cause it on its own, and so may what no feature explains."""
         clean = 1.0 - self.prior
@@ -258,20 +266,23 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     letters = LetterModel(letter_trigrams(docs))
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-    rows = docs.select("doc_id", "text").join(cut(chosen), "doc_id").select("doc_id", "toxic", "text")
+    rows = cut(docs.select("doc_id", "text").join(cut(chosen), "doc_id").select("toxic", "text", F.monotonically_increasing_id().alias("row")))
     shared = spark.sparkContext.broadcast(letters)
     state: dict[str, Restorer] = {}
 
-    def run(cols: dict[str, list]) -> dict[str, list]:
+    def count(cols: dict[str, list]) -> dict[str, list]:
+        """Rows with each feature, by label, added up inside the batch."""
         if "r" not in state:
             state["r"] = Restorer(shared.value, features)
-        return cols | {"feature": [["", *sorted(state["r"].words(t))] for t in cols.pop("text")]}
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    found = map_batches(rows, run, f"doc_id {kind}, toxic int, feature array<string>").select("doc_id", "toxic", F.explode("feature").alias("feature"))
-    found = found.distinct()
-    one, zero = F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)), F.sum(F.when(F.col("toxic") == 0, 1).otherwise(0))
-    counts = cut(found.groupBy("feature").agg(one.alias("n1"), zero.alias("n0")).where("n1 >= 3"))
+        n = (Counter(), Counter())
+        for text, toxic in zip(cols["text"], cols["toxic"]):
+            n[toxic].update(state["r"].words(text))
+            n[toxic][""] += 1
+        every = list(n[0].keys() | n[1].keys())
+        return {"feature": every, "n1": [n[1][f] for f in every], "n0": [n[0][f] for f in every]}
+
+    found = map_batches(rows.select("toxic", "text"), count, "feature string, n1 bigint, n0 bigint")
+    counts = cut(found.groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where("n1 >= 3"))
     total = counts.where("feature = ''").first()
     if total is None or not total.n0:
         return Model(letters, 0.5 if total is None else 0.9, {})
@@ -283,9 +294,17 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     top = cut(strong.orderBy(F.desc(strength), "feature").limit(MAX_FEATURES))
     by_feature = {r.feature: (r.n1, r.n0) for r in top.collect()}
     marked: dict[str, set[int]] = {f: set() for f in by_feature}
+    candidates = spark.sparkContext.broadcast(frozenset(by_feature))
+
+    def mark(cols: dict[str, list]) -> dict[str, list]:
+        if "r" not in state:
+            state["r"] = Restorer(shared.value, features)
+        return {"row": cols["row"], "feature": [sorted(state["r"].words(t) & candidates.value) for t in cols["text"]]}
+
     # Only rows of the sample with label 1, and only the features above.
-    for r in found.where("toxic = 1").join(top.select("feature"), "feature").select("feature", F.xxhash64("doc_id").alias("row")).toLocalIterator():
-        marked[r.feature].add(r.row)
+    for r in map_batches(rows.where("toxic = 1").select("row", "text"), mark, "row bigint, feature array<string>").toLocalIterator():
+        for f in r.feature:
+            marked[f].add(r.row)
     chosen, explained = cover(by_feature, marked, base)
     weights = {f: (by_feature[f][0] + 0.5) / (sum(by_feature[f]) + 1.0) for f in chosen}
     return Model(letters, (t1 - len(explained) + 0.5) / (t1 - len(explained) + t0 + 1.0), weights)
