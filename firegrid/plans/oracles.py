@@ -653,3 +653,42 @@ put("stream_daily_tile_counts", (DET,), """select acq_date as day, printf('h%02d
 for _name, _sql in list(ORACLES.items()):
     # A select list that starts with further tables continues the WITH clause.
     ORACLES[_name] = _sql.replace("\n, ", ",\n", 1) if "\n, " in _sql else _sql
+
+
+# -- the whole chain --------------------------------------------------------------------------------------------
+def _merged(parts: tuple[str, ...]) -> tuple[str, ...]:
+    return tuple(x.replace("ahull", "mhull").replace("afull", "mfull") for x in parts)
+
+
+_RESQ = f"({RES})"
+CHAIN = (
+    *A_BASE, *A_CELL, TREE, *CON,
+    """mpt as materialized (select a.cleanid, a.lon, a.lat, a.frp, a.acq_date_use, case when v_tree>=50 then 1 else 2 end as alg, case when v_tree>=50 then a.fireid else c.fireid end as fireid
+ from apoint a left join cover using (fireid) join cpoint c using (cleanid))""",
+    "mfull as materialized (select * from afull where fireid in (select fireid from mpt where alg=1) union all select * from cfull where fireid in (select fireid from mpt where alg=2))",
+    "mhull as materialized (select * from ahull where fireid in (select fireid from mpt where alg=1) union all select * from chull where fireid in (select fireid from mpt where alg=2))",
+    *_merged(SCAN[:-1]), *HOLES, *_skim("mpt", _HALF_MINUTE),
+    "sd as materialized (select fireid, lon, lat, min(seed) as seed from sk group by fireid, lon, lat)",
+    *_merged(VORONOI),
+    """lk as (select p.cleanid, p.frp, p.acq_date_use, p.alg, s.seed as polyid from mpt p join sd s using (fireid)
+ qualify row_number() over (partition by p.cleanid order by (s.lon-p.lon)*(s.lon-p.lon)+(s.lat-p.lat)*(s.lat-p.lat), s.seed)=1)""",
+    "ab as (select polyid, min(acq_date_use) as day, min(alg) as alg_agg, avg(frp) as v_frp from lk group by polyid)",
+    *_cells("m")[:2],
+    f"""fc as (select fireid, iy, unnest(range(cast(ceil(g0/{_RESQ}-0.5e0) as bigint), cast(floor(g1/{_RESQ}-0.5e0) as bigint)+1)) as ix
+ from (select *, unnest(range(cast(ceil((y-h/2e0)/{_RESQ}-0.5e0) as bigint), cast(floor((y+h/2e0)/{_RESQ}-0.5e0) as bigint)+1)) as iy from gp join gl using (gap) join gh using (lab)))""",
+    "mc as (select fireid, iy, ix from mcell union select fireid, iy, ix from fc)",
+    f"px as (select distinct cast(floor(longitude/{_RESQ}) as bigint)+a.n as ix, cast(floor(latitude/{_RESQ}) as bigint)+b.n as iy from det, range(-4,5) a(n), range(-4,5) b(n))",
+    f"""mz as (select mc.iy, mc.ix, s.seed as polyid from mc join px using (iy, ix) join sd s using (fireid)
+ qualify row_number() over (partition by mc.fireid, mc.iy, mc.ix order by (s.lon-(mc.ix+0.5e0)*{_RESQ})*(s.lon-(mc.ix+0.5e0)*{_RESQ})+(s.lat-(mc.iy+0.5e0)*{_RESQ})*(s.lat-(mc.iy+0.5e0)*{_RESQ}), s.seed)=1)""",
+    _cells("m")[2].replace("from mcell", "from mz"),
+    "mh_ as (select polyid, lct as v_lct, count(*) as cv from mval group by polyid, lct)",
+    "mt as (select polyid, v_lct, cv/sum(cv) over (partition by polyid) as f_lct from mh_)",
+    "mv as (select polyid, " + ", ".join(f"avg(case when {b} between 0 and 100 then {b} end) as v_{b}" for b in ("tree", "herb", "bare")) + " from mval group by polyid)",
+    "rk as (select distinct cast(floor((longitude+180)/30) as int) as k from det)",
+    """proc as materialized (select vo.polyid, vo.fireid, cx as cen_lon, cy as cen_lat, ab.day as acq_date_utc, a as area_sqkm, ab.alg_agg, v_lct, f_lct, v_tree, v_herb, v_bare, cast(k+1 as int) as v_regnum, v_frp
+ from vo left join ab using (polyid) left join mv using (polyid) left join rk on floor((cx+180)/30)=rk.k left join mt using (polyid))""",
+)
+put("processed_fires", CHAIN, "select polyid, fireid, acq_date_utc, alg_agg, v_lct, v_regnum, " + ", ".join(
+    r(c, 6, c) for c in ("cen_lon", "cen_lat", "area_sqkm", "f_lct", "v_tree", "v_herb", "v_bare", "v_frp")) + " from proc")
+put("detections_to_emissions", (*CHAIN, "fires as (select * from proc)", *EMIT[1:]),
+    "select genveg, count(*) as n_fires, " + ", ".join(r(f"sum({e})", 0, n) for e, n in (("area_m2", "area_m2"), ("area_m2*bmass", "biomass_kg"), ("CO2", "CO2"), ("CO", "CO"), ("NMOC", "NMOC"))) + " from em group by rollup(genveg)")
