@@ -172,11 +172,12 @@ def burn(df: DataFrame) -> DataFrame:
     return df.withColumn("reject_reason", F.coalesce(F.col("reject_reason"), late))
 
 
-def burned_fires(fires: DataFrame, year: int | None = None, version: str = "v2.9") -> DataFrame:
+def burned_fires(fires: DataFrame, year: int | None = None, version: str = "v2.9", fuels: DataFrame | None = None,
+                 lct_fuels: DataFrame | None = None) -> DataFrame:
     """Processed fires -> all rows with vegetation, biomass, burned area and ``reject_reason``."""
     if year is not None:
         fires = only_year(fires, year)
-    return burn(fuel_load(assign_genveg(clean_cover(fires, version))))
+    return burn(fuel_load(assign_genveg(clean_cover(fires, version)), fuels, lct_fuels))
 
 
 def accepted(df: DataFrame) -> DataFrame:

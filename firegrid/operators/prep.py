@@ -121,7 +121,7 @@ def prepare(
         "cleanid", "rawid", "src_file", "lon", "lat", "scan", "track", "acq_date_utc", "acq_time_utc",
         "acq_date_lst", "acq_datetime_lst", "acq_date_use", "instrument", "confident", "anomtype", "frp",
     ]
-    return df.select(*[c for c in keep if c in df.columns])
+    return project_output(df, keep)
 
 
 def project_output(df: DataFrame, fields: list[str]) -> DataFrame:

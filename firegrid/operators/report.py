@@ -155,11 +155,6 @@ def extreme_location(df: DataFrame, column: str, lon: str = "cen_lon", lat: str
     )
 
 
-def probe(df: DataFrame) -> DataFrame:
-    """One row, to look at what a table holds."""
-    return df.limit(1)
-
-
 def order_by_count(df: DataFrame, column: str) -> DataFrame:
     """Values by how often they occur, most frequent first."""
     return df.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column)

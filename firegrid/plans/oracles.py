@@ -692,3 +692,18 @@ put("processed_fires", CHAIN, "select polyid, fireid, acq_date_utc, alg_agg, v_l
     r(c, 6, c) for c in ("cen_lon", "cen_lat", "area_sqkm", "f_lct", "v_tree", "v_herb", "v_bare", "v_frp")) + " from proc")
 put("detections_to_emissions", (*CHAIN, "fires as (select * from proc)", *EMIT[1:]),
     "select genveg, count(*) as n_fires, " + ", ".join(r(f"sum({e})", 0, n) for e, n in (("area_m2", "area_m2"), ("area_m2*bmass", "biomass_kg"), ("CO2", "CO2"), ("CO", "CO"), ("NMOC", "NMOC"))) + " from em group by rollup(genveg)")
+
+# -- helpers of reports and runs ----------------------------------------------------------------------------------
+put("emissions_day_window", EMIT, "select genveg, count(*) as n, round(sum(CO),1)+0e0 as CO from em where dayofyear(acq_date_utc) between 30 and 200 group by genveg")
+put("tile_coverage_total", (*PREP, TILE), """, c as (select tile, count(*) as n_fire, bool_or(instrument='MODIS') or not bool_or(rawid%3<>0) as ok from tiled group by tile)
+select cast(sum(n_fire) as bigint) as n_fire, cast(sum(case when ok then n_fire else 0 end) as bigint) as n_contained, cast(sum(case when ok then 0 else n_fire end) as bigint) as n_not_contained from c""")
+put("detections_by_satellite", (DET,), "select satellite, count(*) as n from det group by satellite")
+put("union_outputs", (FIRES,), "select v_lct, 2*count(*) as n, count(v_frp) as n_frp from fires group by v_lct")
+put("detection_boxes", (*PREP, EXT), f"select cleanid, {r('lon-agg_dx',9,'x0')}, {r('lat-agg_dy',9,'y0')}, {r('lon+agg_dx',9,'x1')}, {r('lat+agg_dy',9,'y1')} from ext")
+put("v1_order_by_area", V1D, "select rid, spix, tpix from vd")
+put("v1_order_by_day", V1D, "select jday, rid from vd")
+put("local_hours", (DET,), "select cast(floor(cast(acq_time[1:2] as int)+(case when longitude<0 then longitude+360e0 else longitude end)/15e0) as int)%24 as hour, count(*) as n from det group by 1")
+put("surface_conflicts", (DET, SURF[1], SURF[2],
+    f"sc as (select cast(round(x) as int) as i, cast(round(y) as int) as j, count(*) as n_pixels, count(*) filter (where k<4)+count(*) filter (where k=1) as n_flagged from sx where x>=0.5e0 and x<{_mnx}.5e0 and y>=0.5e0 and y<{_mny}.5e0 group by 1,2)"),
+    "select i, j, n_flagged, n_pixels from sc where n_flagged>n_pixels")
+put("run_to_grid", (*CHAIN, "fires as (select * from proc)", *EMIT[1:], *_grid("em", 360, 180, False, _TERMS)), "select species, date, i, j, round(value/1e9,2)+0e0 as value from gs")

@@ -67,7 +67,7 @@ class Areas:
         self.seeds = cut(K.skim(merged.points))
         self.shape = shapes.Shape(shapes.multi_hulls(merged.hulls))
         self.linked = cut(V.assign_points(merged.points, self.seeds))
-        self.div = cut(V.sub_polygons(merged.hulls, self.seeds, self.shape))
+        self.div = cut(P.drop_degenerate(V.sub_polygons(merged.hulls, self.seeds, self.shape)))
 
     def cells(self) -> DataFrame:
         return cut(V.cells_of(self.hulls, self.seeds, self.res, self.shape))
@@ -132,12 +132,17 @@ def processed_fires(raw: DataFrame, cfg: Config, log: RunLog | None = None) -> D
     return stage("step2", "out", step2)
 
 
-def emissions(fires: DataFrame, date_definition: str = "UTC", year: int | None = None, mechanism: str | None = None) -> DataFrame:
-    """Processed fires -> base species, with the VOCs of a mechanism (prefix ``voc_``) if one is named."""
+def emissions(fires: DataFrame, date_definition: str = "UTC", year: int | None = None, mechanism: str | None = None,
+              fuels: DataFrame | None = None, lct_fuels: DataFrame | None = None, factors: DataFrame | None = None,
+              split: DataFrame | None = None) -> DataFrame:
+    """Processed fires -> base species, with the VOCs of a mechanism (prefix ``voc_``) if one is named.
+
+    Own tables (see ``sources.lookups``) replace the built-in fuels, factors and split; the species are then theirs.
+    """
     if "acq_date_utc" not in fires.columns:
         fires = fires.withColumn("acq_date_utc", F.col("acq_date_use"))
-    out = E.emit(E.accepted(E.burned_fires(fires, year)))
-    return E.speciate(out, mechanism, prefix="voc_") if mechanism else out
+    out = E.emit(E.accepted(E.burned_fires(fires, year, fuels=fuels, lct_fuels=lct_fuels)), factors)
+    return E.speciate(out, mechanism or "", split, prefix="voc_") if mechanism or split is not None else out
 
 
 def run_to_grid(raw: DataFrame, cfg: Config, species_map: DataFrame, grid: str, mechanism: str | None = None) -> DataFrame:

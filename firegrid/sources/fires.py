@@ -39,10 +39,11 @@ def read_processed_fires(spark: SparkSession, path: str, short: bool = False) ->
     return good.select(*[token(i, t).alias(n) for i, (n, t) in enumerate(cols)])
 
 
-def read_emissions(spark: SparkSession, path: str) -> DataFrame:
+def read_emissions(spark: SparkSession, path: str, year: int | None = None) -> DataFrame:
     """Emission text of either generation, detected from its header.
 
-    Returns day, polyid, fireid, genveg, lat, lon, area (default size where the file has none) and
+    The files carry a day of year only; the year is given or stands as four digits in the file name.
+    Returns day, acq_date_utc (null without a year), polyid, fireid, genveg, lat, lon, area (default size where the file has none) and
     the species columns under their own names.
     """
     raw = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path)
@@ -60,8 +61,11 @@ def read_emissions(spark: SparkSession, path: str) -> DataFrame:
     ids = [num("POLYID", "long").alias("polyid"), num("FIREID", "long").alias("fireid")] if second else []
     area = num("AREA") if "AREA" in names else F.lit(DEFAULT_FIRE_M2)
     rest = [num(c).alias(c.lower()) for c in ("BMASS", "FRP") if c in names]
+    named = F.regexp_extract(F.element_at(F.split(F.input_file_name(), "/"), -1), r"(?<!\d)((?:19|20)\d\d)(?!\d)", 1).try_cast("int")
+    of = F.lit(year) if year is not None else named
+    date = F.date_add(F.make_date(of, F.lit(1), F.lit(1)), num("DAY", "int") - 1)
     return raw.select(
-        num("DAY", "int").alias("day"), *ids, num("GENVEG", "int").alias("genveg"), num("LATI").alias("cen_lat"),
+        num("DAY", "int").alias("day"), date.alias("acq_date_utc"), *ids, num("GENVEG", "int").alias("genveg"), num("LATI").alias("cen_lat"),
         num("LONGI").alias("cen_lon"), area.alias("area_m2"), *rest, *[num(s).alias(s) for s in species],
     )
 

@@ -82,9 +82,11 @@ def write_emissions(df: DataFrame, path: str, mechanism: str | None = None, lega
 
 
 def write_v1(df: DataFrame, path: str, first_day: int = 1, last_day: int = 366) -> None:
-    """First-generation speciated rows inside the day window."""
+    """First-generation rows inside the day window, by day within each file; ``tod`` (time of day) and the area in m2 where known."""
     days = df.where(F.col("jday").between(first_day, last_day))
-    days.write.mode("overwrite").option("header", True).csv(path)
+    if "area_km2" in days.columns and "area_m2" not in days.columns:
+        days = days.withColumn("area_m2", F.col("area_km2") * 1e6).drop("area_km2")
+    days.sortWithinPartitions("jday").write.mode("overwrite").option("header", True).csv(path)
 
 
 def v1_intermediate(df: DataFrame) -> DataFrame:
@@ -96,14 +98,17 @@ def v1_intermediate(df: DataFrame) -> DataFrame:
     )
 
 
-def write_grid(df: DataFrame, path: str, units: str = "molecules/cm^2/s", files_per_species: int = 8) -> None:
-    """Gridded emissions, one folder per species and date; units travel as column metadata.
+def write_grid(df: DataFrame, path: str, units: str = "molecules/cm^2/s", files_per_species: int = 8, long_names: dict[str, str] | None = None) -> None:
+    """Gridded emissions, one folder per species and date (or month); units and long names travel as column metadata.
 
-    Rows of a (species, date) are spread over a few tasks so that no writer holds a whole day.
+    Regular grids have columns i and j, unstructured ones a cell.  Rows of a (species, date) are
+    spread over a few tasks so that no writer holds a whole day.
     """
-    value = F.col("value").alias("value", metadata={"units": units})
-    keyed = df.withColumn("value", value).withColumn("_s", spread(["i", "j"], F.lit(files_per_species)))
-    keyed.repartition("species", "date", "_s").drop("_s").write.mode("overwrite").partitionBy("species", "date").parquet(path)
+    place = [c for c in ("i", "j", "cell") if c in df.columns]
+    day = "date" if "date" in df.columns else "month"
+    value = F.col("value").alias("value", metadata={"units": units, "long_names": long_names or {}})
+    keyed = df.withColumn("value", value).withColumn("_s", spread(place, F.lit(files_per_species)))
+    keyed.repartition("species", day, "_s").drop("_s").write.mode("overwrite").partitionBy("species", day).parquet(path)
 
 
 def write_wrf(df: DataFrame, path: str, domain: int = 1) -> None:

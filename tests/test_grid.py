@@ -12,8 +12,6 @@ from firegrid.operators import grid as G, raster as R, speciesmap as M, wrf as W
 
 @pytest.mark.parametrize("name", sorted(G.GRIDS))
 def test_cell_areas_cover_the_sphere(spark, name):
-    if name in ("0.1x0.1", "0.25x0.25"):
-        pytest.skip("large")
     total = G.regular_grid(spark, name).agg(F.sum("area_cm2").alias("a"), F.count("*").alias("n")).first()
     assert total.a == pytest.approx(4 * math.pi * (G.EARTH_M * 100) ** 2, rel=1e-9)
 
