@@ -693,6 +693,10 @@ put("processed_fires", CHAIN, "select polyid, fireid, acq_date_utc, alg_agg, v_l
 put("detections_to_emissions", (*CHAIN, "fires as (select * from proc)", *EMIT[1:]),
     "select genveg, count(*) as n_fires, " + ", ".join(r(f"sum({e})", 0, n) for e, n in (("area_m2", "area_m2"), ("area_m2*bmass", "biomass_kg"), ("CO2", "CO2"), ("CO", "CO"), ("NMOC", "NMOC"))) + " from em group by rollup(genveg)")
 
+put("stream_day_upserts", (
+    "det as (select * from (" + SQL['detections_fx'] + ") qualify row_number() over (partition by latitude, longitude, acq_date, acq_time, satellite order by rawid)=1)", INST, CONF, LST, DUP, PNT),
+    "select acq_date_use, instrument, count(*) as n, count(distinct (lon, lat)) as n_places from pnt group by all")
+
 # -- helpers of reports and runs ----------------------------------------------------------------------------------
 put("emissions_day_window", EMIT, "select genveg, count(*) as n, round(sum(CO),1)+0e0 as CO from em where dayofyear(acq_date_utc) between 30 and 200 group by genveg")
 put("tile_coverage_total", (*PREP, TILE), """, c as (select tile, count(*) as n_fire, bool_or(instrument='MODIS') or not bool_or(rawid%3<>0) as ok from tiled group by tile)

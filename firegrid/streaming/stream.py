@@ -44,7 +44,11 @@ def drop_redelivered(df: DataFrame) -> DataFrame:
 
 
 def stream_prep(df: DataFrame, date_definition: str = "UTC") -> DataFrame:
-    """The batch cleaning, unchanged: it is row-local.  ``rawid`` is a hash of the natural key."""
+    """The batch cleaning, unchanged: it is row-local.
+
+    ``rawid`` is a hash of the natural key.  Ids need to differ within a day; ``upsert_days`` stops
+    with an error should two detections of a day ever share one.
+    """
     keyed = df.withColumn("rawid", F.xxhash64(*KEYS).bitwiseAND(F.lit((1 << 61) - 1)))
     return prepare(keyed, date_definition)
 
@@ -75,6 +79,9 @@ def upsert_days(path: str):
             if _exists(spark, path):
                 stored = spark.read.schema(batch.schema).parquet(path).where(F.col("acq_date_use").isin(days))
                 merged = cut(stored.join(batch, same, "left_anti").unionByName(batch))
+            shared = merged.groupBy("acq_date_use", "cleanid").agg(F.count("*").alias("n")).where("n > 1")
+            if not shared.isEmpty():
+                raise ValueError(f"two detections of a day share an id: {shared.first()}")
             overwrite_days(merged, path)
         batch.unpersist()
 
@@ -96,3 +103,24 @@ def run_available_now(df: DataFrame, path: str, checkpoint: str) -> StreamingQue
         df.writeStream.foreachBatch(upsert_days(path)).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
+
+
+def run_windows(windows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Hand over every window that changed, one folder per batch, and stop when nothing more has arrived.
+
+    Update mode: a window leaves the state once the watermark has passed it, so the state holds only
+    the days within the delay.  A batch that runs again replaces its own folder.
+    """
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    return (
+        windows.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
+def newest(states: DataFrame, keys: list[str]) -> DataFrame:
+    """The last state of every window from the folders of ``run_windows``."""
+    values = [c for c in states.columns if c not in (*keys, "epoch")]
+    return states.groupBy(*keys).agg(F.max_by(F.struct(*values), "epoch").alias("_s")).select(*keys, "_s.*")
