@@ -19,12 +19,34 @@ def share_of_total(counts: DataFrame, key: str = "polyid") -> DataFrame:
     return counts.withColumn("ct_lct", total).withColumn("f_lct", F.col("cv_lct") / total)
 
 
-def class_histogram(cells: DataFrame, pixels: DataFrame, key: str = "polyid", nodata: int | None = None) -> DataFrame:
+def pixel_tile(iy: Column, ix: Column, res: float) -> Column:
+    """Number of the one-degree tile that holds a pixel: below 64 800, whatever the resolution."""
+    return ((F.floor((iy + 0.5) * res) + 90) * 360 + F.floor((ix + 0.5) * res) + 180).cast("int")
+
+
+def pixels_of(cells: DataFrame, pixels: DataFrame, res: float) -> DataFrame:
+    """The pixels in the tiles that ``cells`` touch.
+
+    At most 64 800 tile numbers are broadcast.  A table partitioned by ``tile`` (``write_pixels``) is
+    read in those tiles only; of any other table, only their pixels are shuffled.
+    """
+    # The range is a real filter on the tile side, without which the planner prunes no partitions.
+    numbers = cells.select(pixel_tile(F.col("iy"), F.col("ix"), res).alias("_t")).where(F.col("_t").between(0, 64_799))
+    tiles = F.broadcast(numbers.distinct())
+    own = F.col("tile") if "tile" in pixels.columns else pixel_tile(F.col("iy"), F.col("ix"), res)
+    return pixels.join(tiles, own == F.col("_t"), "left_semi").drop("tile")
+
+
+def class_histogram(
+    cells: DataFrame, pixels: DataFrame, key: str = "polyid", nodata: int | None = None, res: float | None = None,
+) -> DataFrame:
     """One row per (key, class): v_lct, f_lct, cv_lct (pixels), ct_lct (all valid pixels), r_lct.
 
-    ``cells``: (key, iy, ix); ``pixels``: (iy, ix, lct).  Counting happens before the window, which
+    ``cells``: (key, iy, ix); ``pixels``: (iy, ix, lct); with their size ``res`` in degrees only the
+    tiles of the cells are read.  Counting happens before the window, which
     then sees at most one row per class.
     """
+    pixels = pixels if res is None else pixels_of(cells, pixels, res)
     valid = pixels.where(F.col("lct").isNotNull())
     if nodata is not None:
         valid = valid.where(F.col("lct") != nodata)
@@ -37,9 +59,10 @@ def class_histogram(cells: DataFrame, pixels: DataFrame, key: str = "polyid", no
 
 def band_means(
     cells: DataFrame, pixels: DataFrame, bands: list[str], key: str = "polyid",
-    valid_range: tuple[float, float] | None = (0, 100), nodata: int | None = None,
+    valid_range: tuple[float, float] | None = (0, 100), nodata: int | None = None, res: float | None = None,
 ) -> DataFrame:
-    """Mean per band over valid pixels, null where there is none."""
+    """Mean per band over valid pixels, null where there is none; ``res`` as in ``class_histogram``."""
+    pixels = pixels if res is None else pixels_of(cells, pixels, res)
     def valid(c: str) -> Column:
         ok = F.col(c).isNotNull()
         if nodata is not None:

@@ -344,21 +344,21 @@ def fire_pixels(spark, sf):
 @query
 def zonal_lct_hist(spark, sf):
     c = C.cluster(points(spark, sf), "aggressive")
-    h = Z.class_histogram(shapes.pixel_cells(c.hulls, PIXEL_RES), pixels(spark, sf), "fireid")
+    h = Z.class_histogram(cut(shapes.pixel_cells(c.hulls, PIXEL_RES)), pixels(spark, sf), "fireid", res=PIXEL_RES)
     return rounded(h, {"f_lct": 6})
 
 
 @query
 def zonal_lct_majority(spark, sf):
     c = C.cluster(points(spark, sf), "conservative")
-    h = Z.class_histogram(shapes.pixel_cells(c.hulls, PIXEL_RES), pixels(spark, sf), "fireid")
+    h = Z.class_histogram(cut(shapes.pixel_cells(c.hulls, PIXEL_RES)), pixels(spark, sf), "fireid", res=PIXEL_RES)
     return h.where("r_lct = 1").select("fireid", "v_lct", "cv_lct")
 
 
 @query
 def zonal_vcf_mean(spark, sf):
     c = C.cluster(points(spark, sf), "aggressive")
-    m = Z.band_means(shapes.pixel_cells(c.hulls, PIXEL_RES), pixels(spark, sf), ["tree", "herb", "bare"], "fireid")
+    m = Z.band_means(cut(shapes.pixel_cells(c.hulls, PIXEL_RES)), pixels(spark, sf), ["tree", "herb", "bare"], "fireid", res=PIXEL_RES)
     return rounded(m, {"v_tree": 6, "v_herb": 6, "v_bare": 6})
 
 

@@ -77,7 +77,7 @@ def burned_areas(points: DataFrame, cfg: Config) -> C.Clusters:
     """The areas that get subdivided, with ``alg_agg`` on every point."""
     aggressive, conservative = C.cluster(points, "aggressive"), C.cluster(points, "conservative")
     tree = tree_layer(cfg.layers)
-    cover = Z.band_means(shapes.pixel_cells(aggressive.hulls, cfg.res), tree.table, ["tree"], "fireid", tree.valid_range, tree.nodata)
+    cover = Z.band_means(cut(shapes.pixel_cells(aggressive.hulls, cfg.res)), tree.table, ["tree"], "fireid", tree.valid_range, tree.nodata, cfg.res)
     if cfg.subdivide == "chosen":
         return C.replace_merge(aggressive, conservative, cover, cfg.tree_threshold)
     if cfg.subdivide != "conservative":
@@ -96,12 +96,12 @@ def zonal_join(areas: Areas, layers: list[Layer]) -> DataFrame:
     parts = [about]
     for layer in layers:
         if layer.kind == "continuous":
-            parts.append(Z.band_means(cells, layer.table, list(layer.columns), "polyid", layer.valid_range, layer.nodata))
+            parts.append(Z.band_means(cells, layer.table, list(layer.columns), "polyid", layer.valid_range, layer.nodata, areas.res))
         elif layer.kind == "polygons":
             parts.append(Z.region_of(areas.div, layer.table))
         elif layer.kind == "input":
             parts += [Z.input_mean(areas.linked, c) for c in layer.columns]
-    classes = Z.class_histogram(cells, thematic[0].table, nodata=thematic[0].nodata) if thematic else None
+    classes = Z.class_histogram(cells, thematic[0].table, nodata=thematic[0].nodata, res=areas.res) if thematic else None
     return Z.assemble(areas.div, parts, classes)
 
 

@@ -76,8 +76,13 @@ def emissions_long(df: DataFrame, species: list[str]) -> DataFrame:
 
 
 def read_pixels(spark: SparkSession, path: str, bands: list[str], valid_range: tuple[float, float] | None = None, nodata: int | None = None) -> DataFrame:
-    """Pixel table (iy, ix, bands...) from Parquet; invalid values become null, filters reach the scan."""
-    df = spark.read.parquet(path).select("iy", "ix", *bands)
+    """Pixel table (iy, ix, bands...[, tile]) from Parquet; invalid values become null, filters reach the scan.
+
+    The ``tile`` a table is partitioned by (``sinks.write_pixels``) stays, for joins to read only theirs.
+    """
+    df = spark.read.parquet(path)
+    tile = [c for c in ("tile",) if c in df.columns]
+    df = df.select("iy", "ix", *bands, *tile)
 
     def clean(b: str):
         ok = F.lit(True)
@@ -87,7 +92,7 @@ def read_pixels(spark: SparkSession, path: str, bands: list[str], valid_range: t
             ok = ok & F.col(b).between(*valid_range)
         return F.when(ok, F.col(b)).alias(b)
 
-    return df.select("iy", "ix", *[clean(b) for b in bands])
+    return df.select("iy", "ix", *[clean(b) for b in bands], *tile)
 
 
 def read_surface_types(spark: SparkSession, path: str, window: tuple[float, float, float, float] | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from firegrid import lookups
 from firegrid.operators import legacy
 from firegrid.operators.joins import spread
+from firegrid.operators.zonal import pixel_tile
 
 FIRE_FIELDS = ["v_lct", "f_lct", "v_tree", "v_herb", "v_bare", "v_regnum", "v_frp"]
 
@@ -111,6 +112,12 @@ def write_grid(df: DataFrame, path: str, units: str = "molecules/cm^2/s", files_
     keyed.repartition("species", day, "_s").drop("_s").write.mode("overwrite").partitionBy("species", day).parquet(path)
 
 
+def write_pixels(pixels: DataFrame, path: str, res: float) -> None:
+    """A pixel table, one folder per one-degree tile; a tile's pixels are written by one task."""
+    tiled = pixels.withColumn("tile", pixel_tile(F.col("iy"), F.col("ix"), res))
+    tiled.repartition("tile").write.mode("overwrite").partitionBy("tile").parquet(path)
+
+
 def write_wrf(df: DataFrame, path: str, domain: int = 1) -> None:
     """Hourly regional emissions, one folder per domain, date and hour."""
     df.withColumn("domain", F.lit(domain)).write.mode("overwrite").partitionBy("domain", "date", "hour").parquet(path)

@@ -267,3 +267,18 @@ def test_numeric_confidence(spark):
     given = raw.withColumn("confidence", F.lit(85.0))
     text = raw.withColumn("confidence", F.lit("85"))
     assert prepare(given).count() == prepare(text).count() > 0
+
+
+def test_pixel_tables_are_read_by_tile(spark, folder):
+    from firegrid.operators import zonal
+
+    res = 0.1
+    px = spark.range(0, 600).select((F.col("id") * 7 % 300 - 150).alias("iy"), (F.col("id") % 400 - 200).alias("ix"), (F.col("id") % 5).cast("int").alias("lct"))
+    sinks.write_pixels(px, f"{folder}/px", res)
+    tiled = SF.read_pixels(spark, f"{folder}/px", ["lct"])
+    cells = session.cut(px.where("ix between -20 and -11").select(F.lit(1).alias("polyid"), "iy", "ix"))
+    want = sorted(zonal.class_histogram(cells, px).collect())
+    got = zonal.class_histogram(cells, tiled, res=res)
+    assert sorted(got.collect()) == sorted(zonal.class_histogram(cells, px, res=res).collect()) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
