@@ -158,18 +158,6 @@ def reject_counts_v1(raw: DataFrame, confident: DataFrame, kept: DataFrame, burn
     ).select("*", (n_raw - n_confident).alias("n_low_confidence"), (n_confident - n_kept).alias("n_overlap"))
 
 
-def factors_by_class(spark) -> DataFrame:
-    """Stand-in factor table by row (long: factor_row, species, ef) built from the by-type factors.
-
-    Users of the first-generation chain read their own table (``sources.lookups.read_ef_v1``).
-    """
-    veg_of_row = {1: 6, 2: 3, 3: 5, 4: 4, 5: 4, 6: 2, 7: 2, 8: 2, 9: 1, 10: 1, 11: 1, 12: 9, 13: 1, 14: 1}
-    by_type = {int(r["GenVegType"]): r for r in lookups.parse(lookups.EMISSION_FACTORS)}
-    name = {"NOX": "NOXasNO"}
-    data = [(row, s, by_type[veg][name.get(s, s)]) for row, veg in veg_of_row.items() for s in SPECIES]
-    return spark.createDataFrame(data, "factor_row int, species string, ef double")
-
-
 def emit_v1(df: DataFrame, factors: DataFrame) -> DataFrame:
     """kg of each species: factor x burned area (km2) x biomass (g/m2) x copy weight."""
     wide = factors.groupBy("factor_row").agg(*[F.max(F.when(F.col("species") == s, F.col("ef"))).alias(f"_k_{s}") for s in SPECIES])

@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from firegrid import lookups
+from firegrid.operators.legacy import SPECIES
+
 DETECTIONS = """
  event_id as rawid,
  ((user_id*7919)%12000)/100.0e0-60.0e0 + ((event_id*31)%40)*0.002e0 as latitude,
@@ -48,3 +51,16 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fires(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"select {FIRES} from {{src}}", src=table(spark, sf_dir, "lineitem"))
+
+
+# Synthetic: a vegetation type for each row of a first-generation factor table.  No such table is part
+# of the given data; users read their own with ``sources.lookups.read_ef_v1``.
+SYNTHETIC_VEGETATION = {1: 6, 2: 3, 3: 5, 4: 4, 5: 4, 6: 2, 7: 2, 8: 2, 9: 1, 10: 1, 11: 1, 12: 9, 13: 1, 14: 1}
+
+
+def synthetic_factors_v1(spark: SparkSession) -> DataFrame:
+    """A factor table by row (long: factor_row, species, ef) in first-generation layout, made of the by-type factors."""
+    by_type = {int(r["GenVegType"]): r for r in lookups.parse(lookups.EMISSION_FACTORS)}
+    name = {"NOX": "NOXasNO"}
+    data = [(row, s, by_type[veg][name.get(s, s)]) for row, veg in SYNTHETIC_VEGETATION.items() for s in SPECIES]
+    return spark.createDataFrame(data, "factor_row int, species string, ef double")

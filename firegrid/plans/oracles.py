@@ -9,7 +9,8 @@ from __future__ import annotations
 import math
 
 from firegrid import lookups
-from firegrid.plans.derived import SQL
+from firegrid.operators.wrf import HOURLY
+from firegrid.plans.derived import SQL, SYNTHETIC_VEGETATION
 
 ORACLES: dict[str, str] = {}
 
@@ -468,7 +469,7 @@ def _project(name: str) -> tuple[str, str, int, int, str]:
     return "(cen_lon+30e0)/0.75e0+1e0", "(cen_lat+39.5e0)/0.5e0+1e0", 120, 80, f"(1e0/({num(_R)}*{num(dx)}*({north}-{south})))"
 
 
-HOURS = [.43] * 9 + [3., 6., 10., 14., 17., 14., 12., 9., 6., 3.] + [.43] * 5
+HOURS = HOURLY
 PROFILE = "prof(h, fac) as (values " + ",".join(f"({h},{num(x / sum(HOURS) * 24)})" for h, x in enumerate(HOURS)) + ")"
 
 
@@ -567,7 +568,7 @@ OVERLAP = (
 )
 put("v1_overlap", (*V1D, *OVERLAP), "select rid, jday, cen_lon, cen_lat, spix, tpix from vx where rid in (select rid from kp) or rid not in (select node from lb)")
 _V1NAME = {"NOX": "NOXasNO"}
-_VEGROW = {1: 6, 2: 3, 3: 5, 4: 4, 5: 4, 6: 2, 7: 2, 8: 2, 9: 1, 10: 1, 11: 1, 12: 9, 13: 1, 14: 1}
+_VEGROW = SYNTHETIC_VEGETATION
 _V1SP = ["CO2", "CO", "CH4", "NMHC", "NMOC", "H2", "NOX", "NO", "NO2", "SO2", "PM25", "TPM", "TPC", "OC", "BC", "NH3", "PM10"]
 V1EM = (
     FIRES, *V1, FUEL, EFT,
@@ -599,6 +600,8 @@ def _v1spec(mechanism: str, lead: list[str], vocs: list[str], tail: list[str], l
 
 _lead = ["CO2", "CO", "NO", "NO2", "SO2", "NH3", "CH4"]
 put("v1_speciate_saprc99", (*V1EM, _voc("SAPRC")), _v1spec("SAPRC", [*_lead, "NMOC"], lookups.voc_species("SAPRC"), ["OC", "BC", "PM10", "PM25"], None))
+_moz = lookups.voc_species("MOZART")
+put("v1_speciate_moz4", (*V1EM, _voc("MOZART")), _v1spec("MOZART", ["CO2", "CO", "H2", *_lead[2:], "NMOC"], [*_moz[:24], *_moz[25:28]], ["OC", "BC", "PM10", "PM25"], _moz[24]))
 put("v1_speciate_geoschem", (*V1EM, _voc("GEOSCHEM")), _v1spec("GEOSCHEM", _lead, [s for s in lookups.voc_species("GEOSCHEM") if s != "NO"], ["OC", "BC", "PM25"], "NO"))
 
 put("v1_reject_counts", (

@@ -22,7 +22,7 @@ from firegrid.operators import (
 )
 from firegrid.operators.components import connected_components
 from firegrid.plans import runs
-from firegrid.plans.derived import DETECTIONS, detections, fires, table
+from firegrid.plans.derived import DETECTIONS, detections, fires, synthetic_factors_v1, table
 from firegrid.session import cut, run_dir
 from firegrid.streaming import stream as T
 
@@ -761,7 +761,7 @@ def v1_overlap(spark, sf):
 
 def _v1_emitted(spark: SparkSession, sf: str) -> DataFrame:
     b = E.accepted(L.burn_v1(L.duplicate_tropics_v1(_v1_fires(spark, sf))))
-    return L.emit_v1(b, L.factors_by_class(spark))
+    return L.emit_v1(b, synthetic_factors_v1(spark))
 
 
 @query
@@ -797,6 +797,7 @@ def _v1_speciate(case: str, mechanism: str) -> Query:
 
 
 REGISTRY["v1_speciate_saprc99"] = _v1_speciate("SAPRC99", "SAPRC")
+REGISTRY["v1_speciate_moz4"] = _v1_speciate("MOZ4", "MOZART")
 REGISTRY["v1_speciate_geoschem"] = _v1_speciate("GEOSCHEM", "GEOSCHEM")
 
 

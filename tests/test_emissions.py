@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from firegrid import lookups
 from firegrid.functions import dates, geo, text
+from firegrid.plans import derived
 from firegrid.operators import emissions as E, legacy as L, prep as P, speciesmap as M
 
 FIRE = ("polyid long, fireid long, cen_lon double, cen_lat double, acq_date_utc date, area_sqkm double, alg_agg int, v_lct int, "
@@ -133,7 +134,7 @@ def test_v1_cane_box_and_moz4_slots(spark):
     f = fire(spark, cen_lon=-48.0, cen_lat=-21.0, v_regnum=3).withColumn("jday", F.lit(10)).withColumn("rid", F.lit(1)).withColumn("factor", F.lit(0.5))
     b = L.burn_v1(f).first()
     assert (b.fuel, b.genveg, b.reject_reason) == (1100.0, 9, None)
-    e = L.emit_v1(E.accepted(L.burn_v1(f)), L.factors_by_class(spark))
+    e = L.emit_v1(E.accepted(L.burn_v1(f)), derived.synthetic_factors_v1(spark))
     table = spark.createDataFrame([(s, f"S{s}", t, 0.1 * s) for s in range(1, 29) for t in range(1, 7)], "slot int, species string, type int, frac double")
     r, out = e.first(), L.speciate_v1(e, table, "MOZ4")
     assert [c for c in out.columns if c[:2] in ("m_", "v_")][:4] == ["m_CO2", "m_CO", "m_H2", "m_NO"] and len(out.columns) == 40 + 6

@@ -282,3 +282,13 @@ def test_pixel_tables_are_read_by_tile(spark, folder):
     assert sorted(got.collect()) == sorted(zonal.class_histogram(cells, px, res=res).collect()) == want
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
+
+
+def test_model_cells_from_file(spark, folder):
+    cells = spark.createDataFrame(
+        [(1, 355.0, 5.0, 0.03, [350.0, 360.0, 360.0, 350.0, 350.0], [0.0, 0.0, 10.0, 10.0, 10.0]), (2, 10.0, 85.0, 0.01, [0.0, 90.0, 180.0, 270.0, 270.0], [80.0] * 5)],
+        "cell int, lon double, lat double, area_sr double, corner_lon array<double>, corner_lat array<double>")
+    cells.write.parquet(f"{folder}/cells.parquet")
+    got = {r.cell: r for r in SF.read_model_polygons(spark, f"{folder}/cells.parquet").collect()}
+    assert [(p.x, p.y) for p in got[1].ring][0] == (-10.0, 0.0) and len(got[1].ring) == 4
+    assert len(got[2].ring) == 4
