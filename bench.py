@@ -11,11 +11,13 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
 from firegrid.plans.queries import REGISTRY
+from firegrid.session import drop_scratch
 
 HEADLINE = [
     "prep_points", "tile_counts", "density_grid", "adjacency_pairs", "cluster_aggressive", "cluster_conservative", "tree_cover",
@@ -31,6 +33,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("firegrid-bench")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="firegrid-bench-"))
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", str(2 * int(cpus)))
         .config("spark.sql.adaptive.enabled", "true").config("spark.sql.session.timeZone", "UTC")
@@ -43,6 +46,7 @@ def main() -> None:
         start = time.time()
         REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.time() - start, 3)
+        drop_scratch(spark)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"), "cpus": int(cpus),

@@ -7,13 +7,14 @@ again.  All days of a run are processed together; the day is a column, not a loo
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from firegrid.operators import cluster as C, emissions as E, grid as G, prep as P, shapes, skim as K, subdivide as V, zonal as Z
 from firegrid.operators.report import RunLog
-from firegrid.session import cut
+from firegrid.session import cut, scratch_scope
 from firegrid.sources import sinks
 
 
@@ -106,9 +107,13 @@ def zonal_join(areas: Areas, layers: list[Layer]) -> DataFrame:
 
 
 def processed_fires(raw: DataFrame, cfg: Config, log: RunLog | None = None) -> DataFrame:
-    """Raw detections -> processed fires.  With ``cfg.path`` the stages are stored there."""
+    """Raw detections -> processed fires.  With ``cfg.path`` the stages are stored there, and intermediate tables go at the end."""
+    with scratch_scope(raw.sparkSession) if cfg.path is not None else nullcontext():
+        return _processed_fires(raw, cfg, log or RunLog(raw.sparkSession))
+
+
+def _processed_fires(raw: DataFrame, cfg: Config, log: RunLog) -> DataFrame:
     spark = raw.sparkSession
-    log = log or RunLog(spark)
 
     def stage(name: str, table: str, build) -> DataFrame:
         if cfg.path is None:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -54,10 +57,33 @@ def run_dir(spark: SparkSession) -> str:
     return f"{scratch_dir(spark)}/firegrid-{spark.sparkContext.applicationId}"
 
 
+# Folders of the scopes that are open, innermost last.
+_SCOPES: ContextVar[tuple[str, ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables stored inside the ``with`` block are deleted when it ends.
+
+    Only for blocks whose results are written elsewhere: DataFrames built on those tables become unreadable.
+    """
+    path = f"{run_dir(spark)}/scope-{uuid.uuid4().hex}"
+    token = _SCOPES.set((*_SCOPES.get(), path))
+    try:
+        yield
+    finally:
+        _SCOPES.reset(token)
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables of this session.  DataFrames built on them become unreadable."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, run_dir(spark))
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -67,7 +93,7 @@ def cut(df: DataFrame) -> DataFrame:
     twice), keeps column pruning, and gives the planner real sizes for the next join.
     """
     spark = df.sparkSession
-    path = f"{run_dir(spark)}/t-{uuid.uuid4().hex}"
+    path = f"{(_SCOPES.get() or (run_dir(spark),))[-1]}/t-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

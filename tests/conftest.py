@@ -10,13 +10,14 @@ SF = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     session = (
         SparkSession.builder.master("local[8]").appName("firegrid-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from firegrid.functions.geo import box_area_km2
 from firegrid.operators import cluster as C, components, shapes, skim, subdivide
 from firegrid.operators.joins import hot_lookup, near_pairs, overlap_pairs
+from firegrid.session import cut as session_cut
 
 
 def random_points(n, seed=1, span=0.15, days=2):
@@ -248,6 +249,25 @@ def test_skim_matches_one_at_a_time(spark, group_edges):
         assert got[k] == pytest.approx(v, abs=1e-9)
 
 
+def test_skim_is_the_same_on_both_sides_of_the_limit(spark):
+    """Thousands of places, most of them tied: kernel, rounds, and a limit that splits the groups between them."""
+    rng = random.Random(4)
+    rows, i = [], 0
+    for fire in range(12):  # lattices of several sizes, with holes, doubled places and some jitter
+        side = rng.randrange(6, 22)
+        for k in range(side * side):
+            if rng.random() < 0.85:
+                jitter = rng.choice([0.0, 0.0, 0.0, 1e-4 * rng.random()])
+                for _ in range(2 if rng.random() < 0.05 else 1):
+                    i += 1
+                    rows.append((i, fire, 0.005 * (k % side) + jitter, 10 + 0.005 * (k // side)))
+    df = session_cut(spark.createDataFrame(rows, "cleanid long, fireid long, lon double, lat double"))
+    assert i > 1500
+    results = [sorted((r.fireid, r.seed, round(r.lon, 9), round(r.lat, 9), r.n_places, r.n_members) for r in skim.skim(df, max_group_edges=limit).collect())
+               for limit in (10**9, 300, 0)]
+    assert results[0] == results[1] == results[2]
+
+
 def fires_and_seeds(spark, n=140, seed=9):
     rows = random_points(n, seed=seed, span=0.08, days=1)
     c = C.cluster(as_points(spark, rows))

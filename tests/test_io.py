@@ -292,3 +292,16 @@ def test_model_cells_from_file(spark, folder):
     got = {r.cell: r for r in SF.read_model_polygons(spark, f"{folder}/cells.parquet").collect()}
     assert [(p.x, p.y) for p in got[1].ring][0] == (-10.0, 0.0) and len(got[1].ring) == 4
     assert len(got[2].ring) == 4
+
+
+def test_a_stored_run_leaves_no_intermediate_tables(spark, folder):
+    import glob
+
+    from firegrid.plans.queries import PIXEL_RES, pixels, stripes
+    from firegrid.plans.runs import Config, Layer, processed_fires
+
+    px = session.cut(pixels(spark, SF_SMALL))
+    layers = [Layer("thematic", px.select("iy", "ix", "lct"), ("lct",)), Layer("continuous", px, ("tree", "herb", "bare"), (0, 100)), Layer("polygons", stripes(spark, SF_SMALL))]
+    out = processed_fires(derived.detections(spark, SF_SMALL), Config(layers, PIXEL_RES, path=f"{folder}/run"))
+    assert out.count() > 0 and px.count() > 0
+    assert not glob.glob(f"{session.run_dir(spark)}/scope-*")
