@@ -105,6 +105,23 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, copies: int = MAX_C
     return every.select(*out, "n_taken", (F.col("n_taken") * F.col("size")).alias("taken"), *more)
 
 
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, copies: int = MAX_COPIES) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, all columns as they are, plus ``copies`` and ``taken``.
+
+    The mix itself is made on narrow rows; the texts are joined once, at the end.  Rows with equal
+    doc_id, source and text share the largest number of copies among them.
+    """
+    names = docs.columns
+    narrow = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("_hash"))
+    found = mix(narrow, weights, copies, keep=("_hash",)).where("n_taken > 0")
+    chosen = found.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("_hash").alias("_text")).agg(
+        F.max("n_taken").alias("_copies"), F.max("taken").alias("_taken"))
+    packed = docs.select("doc_id", "source", F.xxhash64("text").alias("_hash"), F.struct(*[F.col(c) for c in names]).alias("_row"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_hash") == F.col("_text"))
+    added = [F.col("_copies").cast("long").alias("copies"), F.col("_taken").alias("taken")]
+    return packed.join(chosen, same).select(*[F.col("_row")[c].alias(c) for c in names if c not in ("copies", "taken")], *added)
+
+
 ORACLE = """
 WITH base AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),

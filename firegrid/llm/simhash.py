@@ -125,8 +125,8 @@ def keep_first(docs: DataFrame, width: int = 3, crowd: int = CROWD) -> DataFrame
     first = found.where("component_id IS NOT NULL").select(F.col("component_id").alias("_first")).distinct()
     named = docs.where("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("_first"), "left_semi")
     # Rows that share an id are few; a group holds the rows of one id, never a component.
-    packed = named.select("doc_id", "text", F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    packed = named.select("doc_id", F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("_row")["text"]))
     unpack = [F.col("_row")[c].alias(c) for c in docs.columns]
     named = packed.withColumn("_rank", rank).where("_rank = 1").select(*unpack)
     unnamed = docs.where("doc_id IS NULL")

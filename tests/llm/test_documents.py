@@ -202,6 +202,18 @@ def test_mixing(docs, rows, no_docs):
     assert mixing.mix(no_docs).count() == 0
 
 
+def test_mixed_rows(docs, rows, no_docs):
+    taken = {}
+    for r in mixing.mix(docs).collect():
+        taken.setdefault(r.doc_id, []).append(r.n_taken)
+    got = mixing.mixed(docs)
+    assert got.columns == [*[c for c in docs.columns if c != "taken"], "copies", "taken"]
+    for r in got.collect():
+        assert r.copies in taken[r.doc_id] and r.taken == r.copies * len(SPACE.findall(r.text))
+    assert {r.doc_id for r in got.collect()} == {d for d, n in taken.items() if any(n)}
+    assert mixing.mixed(no_docs).count() == 0
+
+
 def test_targets(spark):
     """Water-filling against the rule applied step by step."""
     rng = random.Random(4)
