@@ -88,7 +88,9 @@ def entity_name(kind: str, value: str) -> str:
 
 def term_of(word: str) -> str | None:
     """The word in lower case without punctuation around it; only words of three letters or more count."""
-    t = _EDGE.sub("", word.lower())
+    t = word.lower()
+    if not t.isalpha():
+        t = _EDGE.sub("", t)
     return t if len(t) >= 3 and t.isalpha() else None
 
 
