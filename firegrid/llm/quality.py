@@ -79,7 +79,7 @@ def rules() -> dict[str, Column]:
     capitals = F.regexp_count(text, F.lit("\\p{Lu}"))
     wordy = F.regexp_count(text, F.lit("[^ \\x09-\\x0D\\p{L}]*+\\p{L}[^ \\x09-\\x0D]*+"))
     return {
-        "symbols": 2 * F.col("n_symbols") > F.col("n_words"),
+        "symbols": 10 * F.col("n_symbols") > 3 * F.col("n_words"),
         "repeated_lines": 2 * F.col("n_dup_lines") > F.col("n_lines"),
         "word_length": (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 20 * F.col("n_words")),
         "long_word": text.rlike("[^ \\x09-\\x0D]{1000}"),
@@ -153,7 +153,7 @@ counted AS (
   FROM split s LEFT JOIN covered USING (r)),
 judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-         2 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+         10 * n_symbols > 3 * n_words OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words
          OR len(list_filter(words, lambda x: length(x) >= 1000)) > 0 OR 2 * wordy < n_words OR 5 * capitals > 3 * letters AS rejected
   FROM counted)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept FROM judged
