@@ -20,6 +20,7 @@ from collections import Counter
 from collections.abc import Callable, Iterable
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from firegrid.llm.common import SPACE_RUN, keep_rows, map_batches
@@ -29,6 +30,9 @@ MAX_TRAIN = 40_000
 FOLDS = 5
 PREFIXES = (4, 5, 6)
 MIN_G2 = 25.0
+# For words that others explain already: by the number of different surroundings, and nearly always with label 1.
+MIN_G2_REPEATED = 40.0
+MIN_SHARE = 0.96
 MAX_FEATURES = 5_000
 MAX_LETTERS = 48
 CACHE = 200_000
@@ -39,10 +43,13 @@ LOOKS = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i",
 }
 MASKS = {"*": "aeiou", "#": "aeiou"}
-KEEP, LOOK, MASK, REPEAT, DROP, LOSE, BREAK = 0.0, -1.0, -2.0, -1.5, -3.0, -7.0, -4.0
+KEEP, LOOK, MASK, REPEAT, DROP, LOSE, BREAK = 0.0, -1.0, -2.0, -1.5, -3.0, -15.0, -4.0
+# Readings that are less likely than the best by no more than this are kept too.
+MARGIN = 6.0
 
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _RUN = re.compile(r"([^\W\d_])\1\1")
+_DOUBLE = re.compile(r"(.)\1+", re.S)
 _LONG_RUN = re.compile(r"(.)\1{3,}", re.S)
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SPACED_HINT = re.compile(r"\s\w[ \t]\w[ \t]\w\s")
@@ -89,7 +96,10 @@ def readings(ch: str) -> list[tuple[str, float]]:
 
 
 def restore(token: str, model: LetterModel) -> list[str]:
-    """Words of the likeliest reading of a lower-case token; a space in it is a gap between single letters."""
+    """Words of the likeliest readings of a lower-case token; a space in it is a gap between single letters.
+
+    The search keeps the best reading for each pair of last letters; of those, all within ``MARGIN`` of the best count.
+    """
     token = _LONG_RUN.sub(r"\1\1\1", token)
     # State: the last two letters; value: (log probability, letters so far).
     states: dict[tuple[str, str], tuple[float, str]] = {("_", "_"): (0.0, "")}
@@ -119,8 +129,9 @@ def restore(token: str, model: LetterModel) -> list[str]:
                 put(out, state, value + REPEAT, text)
         states = out
         previous = ch if ch != " " else previous
-    best = max(((v + (step(s, "_") if s[1] != "_" else 0.0), t) for s, (v, t) in states.items()), default=(0.0, ""))
-    return best[1].split()
+    ends = [(v + (step(s, "_") if s[1] != "_" else 0.0), t) for s, (v, t) in states.items()]
+    best = max((v for v, _ in ends), default=0.0)
+    return list(dict.fromkeys(w for v, t in sorted(ends, reverse=True) if v >= best - MARGIN for w in t.split()))
 
 
 def disguised(core: str) -> bool:
@@ -139,8 +150,11 @@ class Restorer:
 
     def readings(self, word: str) -> list[str]:
         """Words of a lower-case token: its letters as written, and the restored reading of a disguised one."""
-        if word.isalpha() and not _RUN.search(word):
-            return [word]
+        if word.isalpha():
+            if not _DOUBLE.search(word):
+                return [word]
+            got = [word, _DOUBLE.sub(r"\1", word)]
+            return got + restore(word, self.model) if _RUN.search(word) else got
         core = _EDGE.sub("", word)
         got = [core] if core.isalpha() else _LETTERS.findall(core)
         if disguised(core):
@@ -151,17 +165,21 @@ class Restorer:
             got += restore(edge, self.model)
         return got
 
+    def of(self, word: str) -> tuple[str, ...]:
+        """``keep`` of the readings of one lower-case token."""
+        got = self.known.get(word)
+        if got is None:
+            if len(self.known) >= CACHE:
+                self.known.clear()
+            got = self.known[word] = tuple(self.keep(self.readings(word)))
+        return got
+
     def words(self, text: str | None) -> set[str]:
         """``keep`` of the readings of all tokens and of all runs of single letters."""
         low = (text or "").lower()
         out: set[str] = set()
         for word in set(low.split()):
-            got = self.known.get(word)
-            if got is None:
-                if len(self.known) >= CACHE:
-                    self.known.clear()
-                got = self.known[word] = tuple(self.keep(self.readings(word)))
-            out.update(got)
+            out.update(self.of(word))
         for m in _SPACED.finditer(low) if _SPACED_HINT.search(f" {low} ") else ():
             if sum(c.isalpha() for c in m[0]) >= 3:
                 out.update(self.keep(restore(m[0].replace("\t", " "), self.model)))
@@ -297,16 +315,35 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     candidates = spark.sparkContext.broadcast(frozenset(by_feature))
 
     def mark(cols: dict[str, list]) -> dict[str, list]:
+        """Candidates in each row, with hashes of the words beside them."""
         if "r" not in state:
             state["r"] = Restorer(shared.value, features)
-        return {"row": cols["row"], "feature": [sorted(state["r"].words(t) & candidates.value) for t in cols["text"]]}
+        out: dict[str, list] = {"row": cols["row"], "feature": [], "beside": []}
+        for text in cols["text"]:
+            tokens = ["", *(text or "").lower().split(), ""]
+            found = {f: 0 for f in state["r"].words(text) & candidates.value}
+            for i in range(1, len(tokens) - 1):
+                for f in state["r"].of(tokens[i]):
+                    if found.get(f) == 0:
+                        found[f] = xxhash.xxh32_intdigest(f"{tokens[i - 1]} {tokens[i + 1]}")
+            out["feature"].append(list(found))
+            out["beside"].append(list(found.values()))
+        return out
 
     # Only rows of the sample with label 1, and only the features above.
-    for r in map_batches(rows.where("toxic = 1").select("row", "text"), mark, "row bigint, feature array<string>").toLocalIterator():
-        for f in r.feature:
+    around: dict[str, set[int]] = {f: set() for f in by_feature}
+    for r in map_batches(rows.where("toxic = 1").select("row", "text"), mark, "row bigint, feature array<string>, beside array<bigint>").toLocalIterator():
+        for f, h in zip(r.feature, r.beside):
             marked[f].add(r.row)
+            around[f].add(h)
     chosen, explained = cover(by_feature, marked, base)
-    weights = {f: (by_feature[f][0] + 0.5) / (sum(by_feature[f]) + 1.0) for f in chosen}
+    # A word of its own stands in ever new surroundings; words that copies share stand in one or two.
+    share = {f: (n1 + 0.5) / (n1 + n0 + 1.0) for f, (n1, n0) in by_feature.items()}
+    chosen += [
+        f for f in sorted(by_feature)
+        if f not in chosen and share[f] >= MIN_SHARE and g2(len(around[f]), by_feature[f][1], base) >= MIN_G2_REPEATED
+    ]
+    weights = {f: share[f] for f in chosen}
     return Model(letters, (t1 - len(explained) + 0.5) / (t1 - len(explained) + t0 + 1.0), weights)
 
 

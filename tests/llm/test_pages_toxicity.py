@@ -150,12 +150,31 @@ def test_toxicity_held_out(corpus):
 def test_disguises(spark, corpus):
     _, _, docs, lab = corpus
     model = toxicity.train(docs, lab)
-    for text in ("bl0rgat", "BL0RG4T", "b l o r g a t", "b-l-o-r-g-a-t", "bloooorgat", "snivel1g", "$nivelig", "grumptu5", "gr_ump_tus", "b.l.o.r.g.a.t"):
+    for text in ("bl0rgat", "BL0RG4T", "b l o r g a t", "b-l-o-r-g-a-t", "bloooorgat", "snivel1g", "$nivelig", "grumptu5", "gr_ump_tus", "b.l.o.r.g.a.t", "bl*rgat", "bllorrgat"):
         assert model.score(f"ta remi {text} kalu") > 0.5, text
     for text in ("", None, "ta re mi", "1 2 3 4 5", "a@b.c 192.168.0.1", "%%% *** $$$", "t a r e m i", "x" * 100_000, "tareee no", "a " * 50_000):
         assert model.score(text) < 0.5, text
 
 
+def test_words_that_others_explain_are_learnt_and_those_of_copies_are_not(spark):
+    """Every bad row has both words; many rows are copies of one bad text with rare words of its own."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("ta re mi no ka lu pe so di va".split()) for _ in range(3))
+    texts = []
+    for i in range(900):
+        text = [word() for _ in range(20)]
+        if i % 5 == 0:
+            for bad in ("blorgat", "snivelig"):
+                text.insert(rng.randrange(len(text)), bad)
+        texts.append((" ".join(text), int(i % 5 == 0)))
+    texts += [("one qwertzu asdfgh blorgat yxcvbn two " + " ".join(word() for _ in range(3)), 1) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1, y) for i, (_, y) in enumerate(texts)], "doc_id bigint, quality int, toxic int")
+    model = toxicity.train(docs, labels)
+    assert model.score("ta remi blorgat") > 0.5 and model.score("ta remi snivelig") > 0.5
+    assert model.score("qwertzu asdfgh yxcvbn") < 0.5
+
+
 def test_labels_are_no_inputs(spark, corpus):
     """Labels of held-out rows, other label columns and other columns of the documents change no score."""
     _, labels, docs, lab = corpus
