@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from firegrid.functions.geo import modis_tile
 from firegrid.operators.prep import serial_key
+from firegrid.session import cut
 
 LOG_SCHEMA = "event string, table_name string, n_before long, n_after long, elapsed_s double, message string"
 
@@ -35,13 +36,14 @@ def density(df: DataFrame, dx: float = 32 * 6 / 3600, lon: str = "lon", lat: str
     """Detections per cell counted from the north-west corner: (idx, jdx, n, shade).
 
     ``shade`` compresses the count for display: log10 if any cell exceeds 2000, square root if any
-    exceeds 20.  The corner and the largest count are scalar subqueries.
+    exceeds 20.  The corner is one aggregate, the largest count comes from the stored cells.
     """
-    west, north = df.agg(F.min(lon)).scalar(), df.agg(F.max(lat)).scalar()
-    cells = df.groupBy(F.floor((F.col(lon) - west) / dx).alias("idx"), F.floor((north - F.col(lat)) / dx).alias("jdx")).agg(
+    corner = df.agg(F.min(lon).alias("west"), F.max(lat).alias("north")).first()
+    west, north = F.lit(corner.west).cast("double"), F.lit(corner.north).cast("double")
+    cells = cut(df.groupBy(F.floor((F.col(lon) - west) / dx).alias("idx"), F.floor((north - F.col(lat)) / dx).alias("jdx")).agg(
         F.count("*").alias("n")
-    )
-    top = cells.agg(F.max("n")).scalar()
+    ))
+    top = F.lit(cells.agg(F.max("n").alias("top")).first().top)
     shade = F.when(top > 2000, F.log10("n")).when(top > 20, F.sqrt("n")).otherwise(F.col("n").cast("double"))
     return cells.select("idx", "jdx", "n", shade.alias("shade"))
 

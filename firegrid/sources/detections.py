@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -46,18 +47,54 @@ def read_one(spark: SparkSession, path: str) -> DataFrame:
     return with_instrument(conform(raw)).drop("_path")
 
 
+def _plain(path):
+    """A file's full name with one slash after the scheme, as text or as a column."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/") if not isinstance(path, str) else re.sub("^([a-z0-9]+):/+", r"\1:/", path)
+
+
+def _look_at(spark: SparkSession, path: str) -> tuple[str, str] | None:
+    """(full name, header line) of a plain file, read without a job; None for folders, patterns and compressed files."""
+    jvm = spark._jvm
+    name = jvm.org.apache.hadoop.fs.Path(path)
+    fs = name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if path.endswith((".gz", ".bz2", ".zst")) or not fs.exists(name) or not fs.getFileStatus(name).isFile():
+        return None
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(name), "UTF-8"))
+    try:
+        return _plain(fs.makeQualified(name).toString()), reader.readLine() or ""
+    finally:
+        reader.close()
+
+
 def read_detections(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Files in order -> detections with ``src_file`` (1-based) and a unique ``rawid``.
 
-    Files may differ in columns.
+    Files may differ in columns.  Those with the same header are one scan, so a year of daily files
+    is a plan of a few branches; a path table tells their numbers.
     """
     if not paths:
         raise ValueError("no detection files")
-    parts = None
+    by_header: dict[str, list[tuple[str, str, int]]] = {}
+    parts = []
     for i, path in enumerate(paths, start=1):
-        one = read_one(spark, path).withColumn("src_file", F.lit(i))
-        parts = one if parts is None else parts.unionByName(one, allowMissingColumns=True)
-    return add_rawid(parts)
+        seen = _look_at(spark, path)
+        if seen is None:
+            parts.append(read_one(spark, path).withColumn("src_file", F.lit(i)))
+        else:
+            by_header.setdefault(seen[1], []).append((path, seen[0], i))
+    for files in by_header.values():
+        if len({full for _, full, _ in files}) < len(files) or len(files) == 1:  # a file named twice counts twice
+            parts += [read_one(spark, path).withColumn("src_file", F.lit(i)) for path, _, i in files]
+            continue
+        numbers = spark.createDataFrame([(full, i) for _, full, i in files], "_full string, src_file int")
+        raw = spark.read.option("header", True).csv([path for path, _, _ in files]).withColumn("_path", F.col("_metadata.file_path"))
+        known = with_instrument(conform(raw)).join(F.broadcast(numbers), _plain(F.url_decode("_path")) == F.col("_full"), "left")
+        number = F.when(F.col("src_file").isNull(), F.raise_error(F.concat(F.lit("unknown file "), "_path")).cast("int")).otherwise(F.col("src_file"))
+        parts.append(known.withColumn("src_file", number).drop("_path", "_full"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return add_rawid(out)
 
 
 def add_rawid(df: DataFrame) -> DataFrame:

@@ -305,3 +305,18 @@ def test_a_stored_run_leaves_no_intermediate_tables(spark, folder):
     out = processed_fires(derived.detections(spark, SF_SMALL), Config(layers, PIXEL_RES, path=f"{folder}/run"))
     assert out.count() > 0 and px.count() > 0
     assert not glob.glob(f"{session.run_dir(spark)}/scope-*")
+
+
+def test_files_with_one_header_are_one_scan(spark, folder):
+    line = "1.5,2.5,300,1.0,1.0,2020-10-25,0130,{sat},85,6,290,{frp},D\n"
+    paths = []
+    for i in range(6):
+        os.makedirs(f"{folder}/day {i}", exist_ok=True)
+        paths.append(put(f"{folder}/day {i}/same name.csv", HEAD + line.format(sat="T", frp=i + 1) + line.format(sat="A", frp=i + 1)))
+    other = put(f"{folder}/short.csv", "latitude,longitude,acq_date,frp\n1,2,2020-10-25,9\n")
+    df = SD.read_detections(spark, [*paths[:3], other, *paths[3:], paths[0]])
+    got = sorted((r.src_file, r.frp) for r in df.collect())
+    assert got == [(1, 1.0)] * 2 + [(2, 2.0)] * 2 + [(3, 3.0)] * 2 + [(4, 9.0)] + [(5, 4.0)] * 2 + [(6, 5.0)] * 2 + [(7, 6.0)] * 2 + [(8, 1.0)] * 2
+    assert sorted(r.rawid for r in df.collect()) == list(range(15))
+    twelve = SD.read_detections(spark, paths)
+    assert sorted({r.src_file for r in twelve.collect()}) == [1, 2, 3, 4, 5, 6]
