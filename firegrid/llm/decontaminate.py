@@ -18,7 +18,7 @@ from firegrid.llm.common import keep_rows, map_batches
 from firegrid.session import cut
 
 WINDOW = 13
-MAX_WINDOWS = 2_000_000
+MAX_WINDOWS = 500_000
 # Letters A-Z are lower case by now; every other ASCII character but a-z and 0-9 parts words.
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -29,21 +29,22 @@ def words_of(text: bytes | None) -> list[bytes]:
     return _WORD.findall((text or b"").lower())
 
 
-def item_windows(words: list[bytes], window: int = WINDOW) -> set[tuple[bytes, ...]]:
+def item_windows(words: list[bytes], window: int = WINDOW) -> set[bytes]:
+    """Windows as words joined by a space, which no word contains."""
     if len(words) < window:
-        return {tuple(words)} if words else set()
-    return {tuple(words[i:i + window]) for i in range(len(words) - window + 1)}
+        return {b" ".join(words)} if words else set()
+    return {b" ".join(words[i:i + window]) for i in range(len(words) - window + 1)}
 
 
 class WindowIndex:
     """Windows of one block: by length a bitmap of hashes, then the windows themselves."""
 
-    def __init__(self, windows: dict[tuple[bytes, ...], frozenset[str]]):
+    def __init__(self, windows: dict[bytes, frozenset[str]]):
         self.windows = windows
         self.bitmaps: dict[int, np.ndarray] = {}
         by_length = defaultdict(list)
         for w in windows:
-            by_length[len(w)].append(w)
+            by_length[w.count(b" ") + 1].append(w.split(b" "))
         for n, group in by_length.items():
             bits = np.zeros(1 << _BITMAP_BITS, bool)
             for w in group:
@@ -73,7 +74,7 @@ class WindowIndex:
         for n, bits in self.bitmaps.items():
             if len(words) >= n:
                 for i in np.flatnonzero(bits[self._slot(h, n)]).tolist():
-                    ids = self.windows.get(tuple(words[i:i + n]))
+                    ids = self.windows.get(b" ".join(words[i:i + n]))
                     if ids is not None:
                         found.append((i, i + n))
                         items |= ids
@@ -90,14 +91,14 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, window: int, max_windows: int) -> list[dict[tuple[bytes, ...], frozenset[str]]]:
+def _blocks(benchmark: DataFrame, window: int, max_windows: int) -> list[dict[bytes, frozenset[str]]]:
     """The benchmark's windows in blocks of at most ``max_windows``, read block by block."""
 
     def explode(cols: dict[str, list]) -> dict[str, list]:
         out = {"window": [], "item_id": []}
         for item, text in zip(cols["item_id"], cols["text"]):
             for w in item_windows(words_of(text), window):
-                out["window"].append(b" ".join(w))
+                out["window"].append(w)
                 out["item_id"].append(item)
         return out
 
@@ -108,7 +109,7 @@ def _blocks(benchmark: DataFrame, window: int, max_windows: int) -> list[dict[tu
     for k in range(n):
         block = defaultdict(set)
         for r in rows.where(F.pmod(F.xxhash64("window"), F.lit(n)) == k).toLocalIterator():
-            block[tuple(bytes(r.window).split(b" "))].add(r.item_id)
+            block[bytes(r.window)].add(r.item_id)
         blocks.append({w: frozenset(ids) for w, ids in block.items()})
     return blocks
 
