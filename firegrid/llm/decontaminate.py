@@ -154,24 +154,22 @@ def find_contamination(
         found = _scan(docs.select("doc_id", "text", F.xxhash64("text").alias("_h")), blocks[0], ["doc_id", "_h"])
         return found.select("doc_id", *["_h"] * with_hash, "n_words", hit, "ranges", "items")
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"))
-    parts = [cut(_scan(keyed, b, ["doc_id", "_h"])) for b in blocks]
-    counted = parts[0].groupBy("doc_id", "_h", "n_words").agg(F.count("*").alias("_rows"))
+    parts = [cut(_scan(keyed, b, ["doc_id", "_h"])).withColumn("_block", F.lit(k)) for k, b in enumerate(blocks)]
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
-    ranges = every.select("doc_id", "_h", F.explode("ranges").alias("r")).groupBy("doc_id", "_h").agg(F.array_sort(F.collect_set("r")).alias("ranges"))
-    items = every.select("doc_id", "_h", F.explode("items").alias("i")).groupBy("doc_id", "_h").agg(F.array_sort(F.collect_set("i")).alias("items"))
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["_h"] == b["_h"])
-    out = counted.join(ranges, same(counted, ranges), "left").join(items, same(counted, items), "left")
-    out = out.select(counted["doc_id"], counted["_h"], "n_words", "ranges", F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-                     F.explode(F.sequence(F.lit(1), F.col("_rows").cast("int"))).alias("_copy"))
+    # Sets of whole lists: repeated rows add nothing, so a group holds one list per block.
+    out = every.groupBy("doc_id", "_h", "n_words").agg(
+        F.flatten(F.collect_set("ranges")).alias("ranges"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+        F.count(F.when(F.col("_block") == 0, 1)).alias("_rows"),
+    ).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_rows").cast("int"))))
 
     def merge(cols: dict[str, list]) -> dict[str, list]:
         ranges = [merged([(r["start"], r["end"]) for r in rs or []]) for rs in cols["ranges"]]
         return {k: cols[k] for k in ("doc_id", "_h", "n_words", "items")} | {"ranges": [[{"start": a, "end": b} for a, b in rs] for rs in ranges]}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = map_batches(out.drop("_copy"), merge, f"doc_id {kind}, _h bigint, n_words bigint, ranges array<struct<start:int,end:int>>, items array<string>")
+    out = map_batches(out.drop("_copy", "_rows"), merge, f"doc_id {kind}, _h bigint, n_words bigint, ranges array<struct<start:int,end:int>>, items array<string>")
     return out.select("doc_id", *["_h"] * with_hash, "n_words", hit, "ranges", "items")
 
 
