@@ -10,16 +10,29 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # ASCII white space as the contracts use it: space and \t \n \v \f \r.
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_RUN = "[ \\x09-\\x0D]+"
+# Bytes of input that one call of a batch function gets.
+PIECE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
-    """Run ``fn`` on every Arrow batch; columns go in and come out as lists.
+def _pieces(batch: pa.RecordBatch, limit: int | None) -> Iterator[pa.RecordBatch]:
+    n = 1 if limit is None else max(1, -(-batch.nbytes // limit))
+    step = max(1, -(-batch.num_rows // n))
+    for start in range(0, batch.num_rows, step):
+        yield batch.slice(start, step)
 
-    The lists are turned into the Arrow types of ``schema``, which may have fewer or more rows than the input.
+
+def map_batches(
+    df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str, piece_bytes: int | None = PIECE_BYTES,
+) -> DataFrame:
+    """Run ``fn`` on every Arrow batch, in pieces of about ``piece_bytes``; columns go in and come out as lists.
+
+    The lists are turned into the Arrow types of ``schema``, which may have fewer or more rows than the
+    input.  Pieces bound the Python objects alive at a time; a function that adds up a whole batch
+    takes None.
     """
     target = df.sparkSession.createDataFrame([], schema).schema
     fields = [(f.name, f.dataType) for f in target]
@@ -29,8 +42,8 @@ def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]],
 
         arrow = pa.schema([(n, to_arrow_type(t)) for n, t in fields])
         for batch in batches:
-            if batch.num_rows:
-                out = fn({n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)})
+            for piece in _pieces(batch, piece_bytes):
+                out = fn({n: piece.column(i).to_pylist() for i, n in enumerate(piece.schema.names)})
                 yield pa.RecordBatch.from_arrays([pa.array(out[n], arrow.field(n).type) for n, _ in fields], schema=arrow)
 
     return df.mapInArrow(run, target)
@@ -51,7 +64,7 @@ def keep_rows(df: DataFrame, column: str, keep: Callable[[list], list[bool]]) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array(keep(batch.column(batch.schema.get_field_index(column)).to_pylist()), pa.bool_()))
+            for piece in _pieces(batch, PIECE_BYTES):
+                yield piece.filter(pa.array(keep(piece.column(piece.schema.get_field_index(column)).to_pylist()), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

@@ -191,7 +191,7 @@ def document_counts(docs: DataFrame, terms: DataFrame, bitmap_bits: int = BITMAP
             n.update(state["terms"].among(text or ""))
         return {"term": list(n), "n": list(n.values())}
 
-    counted = map_batches(docs.select("text"), run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n_term"))
+    counted = map_batches(docs.select("text"), run, "term string, n bigint", piece_bytes=None).groupBy("term").agg(F.sum("n").alias("n_term"))
     return counted.join(terms, "term", "left_semi")
 
 

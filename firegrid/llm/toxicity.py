@@ -36,6 +36,8 @@ MIN_SHARE = 0.96
 MAX_FEATURES = 5_000
 MAX_LETTERS = 48
 CACHE = 200_000
+# Bytes of text whose features are added up before they are sent on.
+COUNT_BYTES = 8 << 20
 
 # What a written character may stand for besides itself, with the log cost of that disguise.
 LOOKS = {
@@ -289,7 +291,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     state: dict[str, Restorer] = {}
 
     def count(cols: dict[str, list]) -> dict[str, list]:
-        """Rows with each feature, by label, added up inside the batch."""
+        """Rows with each feature, by label, added up inside a piece of the batch."""
         if "r" not in state:
             state["r"] = Restorer(shared.value, features)
         n = (Counter(), Counter())
@@ -299,7 +301,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
         every = list(n[0].keys() | n[1].keys())
         return {"feature": every, "n1": [n[1][f] for f in every], "n0": [n[0][f] for f in every]}
 
-    found = map_batches(rows.select("toxic", "text"), count, "feature string, n1 bigint, n0 bigint")
+    found = map_batches(rows.select("toxic", "text"), count, "feature string, n1 bigint, n0 bigint", piece_bytes=COUNT_BYTES)
     counts = cut(found.groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where("n1 >= 3"))
     total = counts.where("feature = ''").first()
     if total is None or not total.n0:
