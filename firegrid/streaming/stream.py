@@ -89,12 +89,8 @@ def upsert_days(path: str):
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return bool(spark.read.parquet(path).columns)
-    except Exception as e:  # noqa: BLE001 - a path that is not there yet has no schema to read
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return False
-        raise
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(name)
 
 
 def run_available_now(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
