@@ -13,6 +13,7 @@ This loses no link and writes no more than 65 rows per fingerprint.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations, islice, repeat
 
 import numpy as np
@@ -105,7 +106,12 @@ def near_duplicates(docs: DataFrame, width: int = 3, crowd: int = CROWD) -> Data
     """
     prints = cut(fingerprints(docs, width))
     nodes = cut(prints.groupBy("fp").agg(F.count("*").alias("n_copies"), F.min("doc_id").alias("first_doc")))
-    parts = connected_components(links(nodes, crowd)).select(F.col("node").alias("fp"), "component")
+    return labelled(prints, nodes, links(nodes, crowd))
+
+
+def labelled(prints: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(doc_id, fp, component_id, n_copies) for the stored ``prints`` (doc_id, fp), their ``nodes`` and links."""
+    parts = connected_components(edges).select(F.col("node").alias("fp"), "component")
     member = nodes.join(parts, "fp", "left").select("fp", "n_copies", "first_doc", F.coalesce("component", "fp").alias("component"))
     member = cut(member)
     smallest = member.groupBy("component").agg(F.min("first_doc").alias("component_id"), F.count("*").alias("n_member"))
@@ -121,7 +127,11 @@ def keep_first(docs: DataFrame, width: int = 3, crowd: int = CROWD) -> DataFrame
     both any one.  Rows without an id go if their component has one; otherwise one text per
     fingerprint stays, the smallest.
     """
-    found = near_duplicates(docs, width, crowd)
+    return keep_one(docs, near_duplicates(docs, width, crowd), lambda d: fingerprints(d, width))
+
+
+def keep_one(docs: DataFrame, found: DataFrame, prints: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``keep_first`` for the result ``found`` of a search; ``prints`` gives (doc_id, fp) of rows."""
     first = found.where("component_id IS NOT NULL").select(F.col("component_id").alias("_first")).distinct()
     named = docs.where("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("_first"), "left_semi")
     # Rows that share an id are few; a group holds the rows of one id, never a component.
@@ -133,7 +143,7 @@ def keep_first(docs: DataFrame, width: int = 3, crowd: int = CROWD) -> DataFrame
     if unnamed.isEmpty():
         return named
     lost = cut(found.where("component_id IS NULL").select(F.col("fp").alias("_lost")).distinct())
-    texts = fingerprints(unnamed.select(F.col("text").alias("doc_id"), "text"), width).join(lost, F.col("fp") == F.col("_lost"))
+    texts = prints(unnamed.select(F.col("text").alias("doc_id"), "text")).join(lost, F.col("fp") == F.col("_lost"))
     least = F.min(F.struct(F.col("doc_id").isNotNull().alias("is_text"), F.col("doc_id").alias("text")))
     chosen = cut(texts.groupBy("fp").agg(least.alias("t")).select(F.col("t.text").alias("_text")))
     return named.unionByName(unnamed.join(chosen, F.col("text").eqNullSafe(F.col("_text")), "left_semi").dropDuplicates(["text"]))
