@@ -4,8 +4,11 @@ Every unit is normalised (lower case, single spaces) and hashed.  A unit is a re
 smaller id, or an earlier place of the same document, has it.  Repeats are removed where they make
 up whole lines of at least ``min_line_words`` words or runs of at least ``min_run_words`` words, so
 that a phrase two authors happen to share stays.  Sentences without an end for more than
-``long_unit`` words are cut at words chosen by their own hash: a passage that was pasted into the
-middle of other text is cut at the same words everywhere.
+``long_unit`` words are cut at words chosen by their own hash.
+
+Beside these units the words of the whole text, whatever its lines and sentences, are cut into pieces
+at places chosen by the words around them.  A passage has the same inner pieces in every surrounding,
+so one that lies in foreign sentences is found too; runs of repeated pieces of ``min_run_words`` go.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from __future__ import annotations
 import re
 from itertools import groupby
 
+import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -24,6 +28,10 @@ MIN_LINE_WORDS = 5
 MIN_RUN_WORDS = 16
 LONG_UNIT = 32
 CUT_ONE_IN = 8
+# A piece begins where the hash of SPAN words is the smallest of those REACH words to either side.
+SPAN = 2
+REACH = 4
+PIECE_LINE = -1
 
 _UNIT = re.compile(r"\n|[^.!?\n]+[.!?]*|[.!?]+")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -58,6 +66,38 @@ def units_of(text: str | None) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
+def pieces_of(text: str | None) -> list[tuple[int, int, int, int]]:
+    """(start, end, words, digest) of the pieces between places chosen by content, all lines and sentences as one."""
+    places = [m.span() for m in _WORD.finditer(text or "")]
+    n = len(places)
+    if n <= REACH:
+        return []
+    words = text.lower().split() if text.isascii() else [text[a:b].lower() for a, b in places]
+    if len(words) != n:
+        words = [text[a:b].lower() for a, b in places]
+    h = np.fromiter((xxhash.xxh64_intdigest(" ".join(words[i:i + SPAN])) for i in range(n)), np.uint64, n)
+    last = np.uint64(np.iinfo(np.uint64).max)
+    padded = np.concatenate([np.full(REACH, last), h, np.full(REACH, last)])
+    around = np.lib.stride_tricks.sliding_window_view(padded, 2 * REACH + 1)
+    first = (h < around[:, :REACH].min(1)) & (h <= around[:, REACH + 1:].min(1))
+    first[0] = True
+    starts = np.flatnonzero(first).tolist()
+    return [
+        (places[a][0], places[b - 1][1], b - a, xxhash.xxh64_intdigest(" ".join(words[a:b])) - _SIGN) for a, b in zip(starts, [*starts[1:], n])
+    ]
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans in order, overlapping ones as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def removed_spans(
     repeats: list[tuple[int, int, int, int, int, bool]], min_line_words: int = MIN_LINE_WORDS, min_run_words: int = MIN_RUN_WORDS,
 ) -> list[tuple[int, int]]:
@@ -100,6 +140,10 @@ def find_repeats(
                 edge = (i == 0 or units[i - 1][0] != line) + 2 * (i + 1 == len(units) or units[i + 1][0] != line)
                 rows.append({"at": i, "line": line, "start": a, "end": b, "words": n, "edge": int(edge), "digest": h, "again": h in seen})
                 seen.add(h)
+            seen = set()
+            for i, (a, b, n, h) in enumerate(pieces_of(text)):
+                rows.append({"at": i, "line": PIECE_LINE, "start": a, "end": b, "words": n, "edge": 0, "digest": h, "again": h in seen})
+                seen.add(h)
             out["n_chars_all"].append(len(text or ""))
             out["units"].append(rows)
         return out
@@ -119,14 +163,16 @@ def find_repeats(
     per_doc = repeats.groupBy("doc_id").agg(F.collect_set("u").alias("u"))
 
     def merge(cols: dict[str, list]) -> dict[str, list]:
-        spans = [
-            removed_spans([(u["at"], u["line"], u["start"], u["end"], u["words"], u["edge"]) for u in us], min_line_words, min_run_words)
-            for us in cols["u"]
-        ]
+        spans = []
+        for us in cols["u"]:
+            of = ([], [])
+            for u in us:
+                of[u["line"] == PIECE_LINE].append((u["at"], u["line"], u["start"], u["end"], u["words"], u["edge"]))
+            spans.append(merged([x for part in of for x in removed_spans(part, min_line_words, min_run_words)]))
         return {"_id": cols["doc_id"], "spans": [[{"start": a, "end": b} for a, b in s] for s in spans]}
 
     spans = map_batches(per_doc, merge, f"_id {kind}, spans array<struct<start:int,end:int>>")
-    base = scanned.select("doc_id", F.size("units").cast("long").alias("n_units"), "n_chars_all")
+    base = scanned.select("doc_id", F.size(F.filter("units", lambda u: u["line"] != PIECE_LINE)).cast("long").alias("n_units"), "n_chars_all")
     return base.join(spans, base["doc_id"].eqNullSafe(spans["_id"]), "left").select(
         "doc_id", "n_units", "n_chars_all", F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"))
 
