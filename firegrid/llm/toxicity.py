@@ -1,7 +1,7 @@
 """Toxicity by a noisy channel: undo disguises of letters, then score the restored words.
 
 A disguised word is read as a lattice.  Each written character stands for itself, for a letter it
-resembles, for one more repetition of the letter before it, or for nothing; a run of single letters
+resembles, for one more repetition of the letter before it, or for nothing; a run of single characters
 may also have word boundaries in its gaps.  A Viterbi search finds the reading that is likeliest under a letter
 model (trigrams inside words) times the cost of the disguise.  The letter model is counted on all
 words of the corpus.
@@ -18,6 +18,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable
+from functools import lru_cache
 
 import numpy as np
 import xxhash
@@ -54,8 +55,6 @@ _RUN = re.compile(r"([^\W\d_])\1\1")
 _DOUBLE = re.compile(r"(.)\1+", re.S)
 _LONG_RUN = re.compile(r"(.)\1{3,}", re.S)
 _LETTERS = re.compile(r"[^\W\d_]+")
-_SPACED_HINT = re.compile(r"\s\w[ \t]\w[ \t]\w\s")
-_SPACED = re.compile(r"(?<![^ \t\r\n])[^\W_](?:[ \t][^\W_]){2,}(?![^ \t\r\n])")
 
 
 class LetterModel:
@@ -143,6 +142,32 @@ def disguised(core: str) -> bool:
     return any(c.isalpha() for c in core)
 
 
+@lru_cache(CACHE)
+def single(token: str) -> str:
+    """The letter, digit or look-alike that a token consists of, without punctuation around it; '' for other tokens."""
+    if len(token) == 1:
+        return token if token.isalnum() or token in LOOKS or token in MASKS else ""
+    core = _EDGE.sub("", token)
+    if not core:
+        core = "".join(c for c in token if c in LOOKS or c in MASKS)
+    return core if len(core) == 1 else ""
+
+
+def spaced_runs(tokens: list[str]) -> list[str]:
+    """Runs of single characters, whatever the gaps between them, with three letters or look-alikes and a true letter."""
+    out: list[str] = []
+    run: list[str] = []
+    for token in [*tokens, ""]:
+        c = "" if len(token) > 1 and token.isalpha() else single(token)
+        if c:
+            run.append(c)
+        elif run:
+            if len(run) >= 3 and any(map(str.isalpha, run)) and sum(x.isalpha() or x in LOOKS or x in MASKS for x in run) >= 3:
+                out.append(" ".join(run))
+            run = []
+    return out
+
+
 class Restorer:
     """Restored words of texts; what a token gives is kept in a bounded cache."""
 
@@ -177,14 +202,13 @@ class Restorer:
         return got
 
     def words(self, text: str | None) -> set[str]:
-        """``keep`` of the readings of all tokens and of all runs of single letters."""
-        low = (text or "").lower()
+        """``keep`` of the readings of all tokens and of all runs of single characters."""
+        tokens = (text or "").lower().split()
         out: set[str] = set()
-        for word in set(low.split()):
+        for word in set(tokens):
             out.update(self.of(word))
-        for m in _SPACED.finditer(low) if _SPACED_HINT.search(f" {low} ") else ():
-            if sum(c.isalpha() for c in m[0]) >= 3:
-                out.update(self.keep(restore(m[0].replace("\t", " "), self.model)))
+        for run in spaced_runs(tokens):
+            out.update(self.keep(restore(run, self.model)))
         return out
 
 

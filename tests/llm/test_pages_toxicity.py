@@ -156,6 +156,18 @@ def test_disguises(spark, corpus):
         assert model.score(text) < 0.5, text
 
 
+def test_spaced_disguises(spark, corpus):
+    """Single characters beside punctuation, mixed with look-alikes, with wide gaps and over line ends."""
+    _, _, docs, lab = corpus
+    model = toxicity.train(docs, lab)
+    for text in ("b l o r g a t.", "b l o r g a t,", '"b l o r g a t"', "(b l o r g a t)!", "b l 0 r g @ t", "b 1 0 r 9 4 t", "b  l   o  r \t g  a  t",
+                 "b l o\nr g a t", "b, l, o, r, g, a, t", "b l * r g a t"):
+        assert model.score(f"ta remi {text} kalu") > 0.5, text
+    assert toxicity.spaced_runs('see "i d i o t." or 1 d 1 0 t, d u m b, 1 2 3 4 and ........t o o'.split()) == ["i d i o t", "1 d 1 0 t d u m b 1 2 3 4", "t o o"]
+    for text in ("1 2 3 4 5", "1, 2, 3", "% % %", "- - - a", "t, a. r e m i"):
+        assert model.score(text) < 0.5, text
+
+
 def test_words_that_others_explain_are_learnt_and_those_of_copies_are_not(spark):
     """Every bad row has both words; many rows are copies of one bad text with rare words of its own."""
     rng = random.Random(9)
