@@ -17,7 +17,7 @@ import heapq
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -34,7 +34,9 @@ MIN_G2 = 25.0
 # For words that others explain already: by the number of different surroundings, and nearly always with label 1.
 MIN_G2_REPEATED = 40.0
 MIN_SHARE = 0.96
+# Features whose rows are read at a time, and features that every task may know; further ones are joined.
 MAX_FEATURES = 5_000
+MAX_SHARED = 200_000
 MAX_LETTERS = 48
 CACHE = 200_000
 # Bytes of text whose features are added up before they are sent on.
@@ -275,29 +277,56 @@ def g2(n1: float, n0: float, base: float) -> float:
     return 2 * sum(seen * math.log(seen / (n * share)) for seen, share in ((n1, base), (n0, 1 - base)) if seen)
 
 
-def cover(counts: dict[str, tuple[int, int]], marked: dict[str, set[int]], base: float) -> tuple[list[str], set[int]]:
+Batch = tuple[dict[str, tuple[int, int]], dict[str, set[int]]]
+
+
+def cover(batches: Iterable[Batch], base: float) -> tuple[list[str], set[int]]:
     """Features that explain label 1, the strongest first, and the rows they explain.
 
     Each next feature is judged by the rows that none before it explains.  So words that copies of
-    one text merely share with its toxic word are not learnt.
+    one text merely share with its toxic word are not learnt.  A batch has the counts of features and
+    their rows with label 1; batches come by falling ``g2``, and the next one is read as soon as it may have
+    the strongest feature.
     """
-    heap = [(-g2(len(rows), counts[f][1], base), f) for f, rows in marked.items() if rows]
-    heapq.heapify(heap)
+    rest = iter(batches)
+    heap: list[tuple[float, str]] = []
+    counts: dict[str, tuple[int, int]] = {}
+    marked: dict[str, set[int]] = {}
+    # No unread feature is stronger than this.
+    floor: float | None = math.inf
     chosen: list[str] = []
     done: set[int] = set()
-    while heap and -heap[0][0] >= MIN_G2:
-        _, f = heapq.heappop(heap)
-        left = len(marked[f] - done)
-        n0 = counts[f][1]
-        if left <= base * (left + n0):
+
+    def gain(f: str) -> float:
+        left, n0 = len(marked[f] - done), counts[f][1]
+        return g2(left, n0, base) if left > base * (left + n0) else 0.0
+
+    while True:
+        if floor is not None and (not heap or -heap[0][0] <= floor):
+            # What lies below the limit never comes back: a gain can only fall.
+            for f in [f for f in marked if gain(f) < MIN_G2]:
+                del marked[f], counts[f]
+            heap = [x for x in heap if x[1] in marked]
+            got = next(rest, None)
+            if got is None:
+                floor = None
+            else:
+                counts.update(got[0])
+                marked.update(got[1])
+                heap += [(-g2(len(rows), got[0][f][1], base), f) for f, rows in got[1].items() if rows]
+                floor = min((g2(*n, base) for n in got[0].values()), default=0.0)
+            heapq.heapify(heap)
             continue
-        now = -g2(left, n0, base)
-        if heap and now > heap[0][0]:
-            heapq.heappush(heap, (now, f))
+        if not heap or -heap[0][0] < MIN_G2:
+            return chosen, done
+        _, f = heapq.heappop(heap)
+        now = -gain(f)
+        if heap and now > heap[0][0] or floor is not None and -now <= floor:
+            if -now >= MIN_G2:
+                heapq.heappush(heap, (now, f))
         elif -now >= MIN_G2:
             chosen.append(f)
             done |= marked[f]
-    return chosen, done
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
@@ -332,43 +361,65 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
         return Model(letters, 0.5 if total is None else 0.9, {})
     t1, t0 = total.n1, total.n0
     base = t1 / (t1 + t0)
-    # As many as the model may hold: a fixed number, the strongest.
     strength = F.col("n1") * F.log(F.col("n1") / ((F.col("n1") + F.col("n0")) * base))
-    strong = counts.where((F.col("feature") != "") & (F.col("n1") > 2 * base * (F.col("n1") + F.col("n0"))) & (2 * strength >= MIN_G2))
-    top = cut(strong.orderBy(F.desc(strength), "feature").limit(MAX_FEATURES))
-    by_feature = {r.feature: (r.n1, r.n0) for r in top.collect()}
-    marked: dict[str, set[int]] = {f: set() for f in by_feature}
-    candidates = spark.sparkContext.broadcast(frozenset(by_feature))
+    strong = cut(counts.where((F.col("feature") != "") & (F.col("n1") > 2 * base * (F.col("n1") + F.col("n0"))) & (2 * strength >= MIN_G2)))
+    few = strong.limit(MAX_SHARED + 1).count() <= MAX_SHARED
+    candidates = spark.sparkContext.broadcast(frozenset(r.feature for r in strong.select("feature").collect()) if few else None)
 
     def mark(cols: dict[str, list]) -> dict[str, list]:
         """Candidates in each row, with hashes of the words beside them."""
         if "r" not in state:
             state["r"] = Restorer(shared.value, features)
-        out: dict[str, list] = {"row": cols["row"], "feature": [], "beside": []}
-        for text in cols["text"]:
+        out: dict[str, list] = {"row": [], "feature": [], "beside": []}
+        for row, text in zip(cols["row"], cols["text"]):
             tokens = ["", *(text or "").lower().split(), ""]
-            found = {f: 0 for f in state["r"].words(text) & candidates.value}
+            words = state["r"].words(text)
+            found = {f: 0 for f in (words if candidates.value is None else words & candidates.value)}
             for i in range(1, len(tokens) - 1):
                 for f in state["r"].of(tokens[i]):
                     if found.get(f) == 0:
                         found[f] = xxhash.xxh32_intdigest(f"{tokens[i - 1]} {tokens[i + 1]}")
-            out["feature"].append(list(found))
-            out["beside"].append(list(found.values()))
+            out["row"] += [row] * len(found)
+            out["feature"] += found
+            out["beside"] += found.values()
         return out
 
     # Only rows of the sample with label 1, and only the features above.
-    around: dict[str, set[int]] = {f: set() for f in by_feature}
-    for r in map_batches(rows.where("toxic = 1").select("row", "text"), mark, "row bigint, feature array<string>, beside array<bigint>").toLocalIterator():
-        for f, h in zip(r.feature, r.beside):
-            marked[f].add(r.row)
-            around[f].add(h)
-    chosen, explained = cover(by_feature, marked, base)
+    marks = cut(map_batches(rows.where("toxic = 1").select("row", "text"), mark, "row bigint, feature string, beside bigint").join(strong, "feature"))
+    # Features with the same rows explain the same: the first by name stands for all, the shortest beginning of a word.
+    summary = cut(marks.groupBy("feature").agg(
+        F.first("n1").alias("n1"), F.first("n0").alias("n0"), F.count_distinct("beside").alias("n_around"),
+        F.bit_xor(F.xxhash64("row")).alias("rows_a"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("rows_b"),
+    ))
+    alike = summary.groupBy("rows_a", "rows_b", "n1", "n0").agg(F.min("feature").alias("feature"))
+    value = 2 * (strength + F.when(F.col("n0") > 0, F.col("n0") * F.log(F.col("n0") / ((F.col("n1") + F.col("n0")) * (1 - base)))).otherwise(0.0))
+    judged = cut(alike.select("feature", "n1", "n0", value.alias("value")).where(F.col("value") >= MIN_G2 - 1e-6))
+
+    def batches() -> Iterator[Batch]:
+        """All of ``judged``, the strongest first, ``MAX_FEATURES`` at a time."""
+        rest = judged
+        while True:
+            top = cut(rest.orderBy(F.desc("value"), "feature").limit(MAX_FEATURES))
+            last = top.orderBy("value", F.desc("feature")).first()
+            if last is None:
+                return
+            found = {r.feature: (r.n1, r.n0) for r in top.collect()}
+            by_row: dict[str, set[int]] = {f: set() for f in found}
+            for r in marks.select("feature", "row").join(top.select("feature"), "feature", "left_semi").toLocalIterator():
+                by_row[r.feature].add(r.row)
+            yield found, by_row
+            if len(found) < MAX_FEATURES:
+                return
+            rest = judged.where((F.col("value") < last.value) | (F.col("value") == last.value) & (F.col("feature") > last.feature))
+
+    chosen, explained = cover(batches(), base)
     # A word of its own stands in ever new surroundings; words that copies share stand in one or two.
+    wide = summary.where(((F.col("n1") + 0.5) / (F.col("n1") + F.col("n0") + 1.0) >= MIN_SHARE) & (F.col("n_around") >= 2)).collect()
+    by_feature = {r.feature: (r.n1, r.n0) for r in wide if g2(r.n_around, r.n0, base) >= MIN_G2_REPEATED}
+    if chosen:
+        by_feature |= {r.feature: (r.n1, r.n0) for r in summary.join(spark.createDataFrame([(f,) for f in chosen], "feature string"), "feature").collect()}
+    chosen += sorted(by_feature.keys() - set(chosen))
     share = {f: (n1 + 0.5) / (n1 + n0 + 1.0) for f, (n1, n0) in by_feature.items()}
-    chosen += [
-        f for f in sorted(by_feature)
-        if f not in chosen and share[f] >= MIN_SHARE and g2(len(around[f]), by_feature[f][1], base) >= MIN_G2_REPEATED
-    ]
     weights = {f: share[f] for f in chosen}
     return Model(letters, (t1 - len(explained) + 0.5) / (t1 - len(explained) + t0 + 1.0), weights)
 

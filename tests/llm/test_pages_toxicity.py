@@ -187,6 +187,19 @@ def test_words_that_others_explain_are_learnt_and_those_of_copies_are_not(spark)
     assert model.score("qwertzu asdfgh yxcvbn") < 0.5
 
 
+def test_many_rare_words_of_copies_leave_room_for_toxic_words(spark):
+    """Copies of a long bad text have more words than one batch of features; a bad word in fewer rows is learnt all the same."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("ta re mi no ka lu pe so di va".split()) for _ in range(3))
+    rare = " ".join("".join(rng.choice("qwxzjfghbcy") for _ in range(8)) for _ in range(3000))
+    texts = [(" ".join(word() for _ in range(12)), 0) for _ in range(900)]
+    texts += [(" ".join([word(), word(), "blorgat", word()]), 1) for _ in range(30)]
+    texts += [(f"{rare} {word()}", 1) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1, y) for i, (_, y) in enumerate(texts)], "doc_id bigint, quality int, toxic int")
+    assert toxicity.train(docs, labels).score("ta remi blorgat") > 0.5
+
+
 def test_labels_are_no_inputs(spark, corpus):
     """Labels of held-out rows, other label columns and other columns of the documents change no score."""
     _, labels, docs, lab = corpus
