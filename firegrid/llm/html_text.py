@@ -2,8 +2,8 @@
 
 The standard library's streaming parser turns a page into lines, one per block of text, with the
 number of tags that came with it.  The text-to-tag ratios are smoothed with a Gaussian; lines above a
-threshold, together with their neighbours in the same container, form the content regions.  Parts
-that are named as menus, headers, adverts, comments and the like never count.  A page with an
+threshold, together with their neighbours in the same container, form the content regions.  What lies
+inside or between those containers (lists, quotes, tables, sections) belongs to them.  Parts that are named as menus, headers, adverts, comments and the like never count.  A page with an
 ``article`` or ``main`` element has its region marked already.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -64,6 +65,9 @@ class _Lines(HTMLParser):
         # (tag, dropped, region, container) of open elements.
         self.stack: list[tuple[str, bool, int, int]] = []
         self.n = 0
+        # Of each container: the one around it, and its tag with its class.
+        self.around: dict[int, int] = {}
+        self.kind: dict[int, tuple[str, str]] = {0: ("", "")}
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -87,6 +91,8 @@ class _Lines(HTMLParser):
         self.n += 1
         _, dropped, region, container = self.stack[-1] if self.stack else ("", False, 0, 0)
         if tag in BLOCK and tag not in ("p", "li", "tr", "td", "th", "dt", "dd") and tag not in HEADINGS:
+            self.around[self.n] = container
+            self.kind[self.n] = (tag, next((v or "" for k, v in attrs if k == "class"), ""))
             container = self.n
         if tag in REGIONS and not dropped:
             region = region or self.n
@@ -130,12 +136,41 @@ class _Lines(HTMLParser):
         self.parts.append(data)
 
 
-def lines_of(html: str | None) -> list[Line]:
+def parsed(html: str | None) -> _Lines:
     parser = _Lines()
     parser.feed(html or "")
     parser.close()
     parser.flush()
-    return parser.lines
+    return parser
+
+
+def content_lines(page: _Lines, chosen: set[int]) -> list[Line]:
+    """The lines not dropped that lie inside a chosen container, between two, or in a row of blocks of the same kind.
+
+    Pages that give every paragraph a container of its own have several chosen ones of one kind side by
+    side; the row goes on before the first and after the last of them.
+    """
+    whole = {c for c in chosen if page.kind[c][0] not in ("", "html", "body")}
+    inside: dict[int, bool] = {}
+    for c in {x.container for x in page.lines}:
+        path = []
+        while c not in inside and c not in whole and c in page.around:
+            path.append(c)
+            c = page.around[c]
+        inside.update(dict.fromkeys([*path, c], c in whole or inside.get(c, False)))
+    usable = [x for x in page.lines if not x.dropped]
+    kept = [x.container in chosen or inside[x.container] for x in usable]
+    if True not in kept:
+        return []
+    place = lambda c: (page.around.get(c), page.kind[c])
+    rows = Counter(place(c) for c in whole)
+    in_row = [rows[place(x.container)] > 1 for x in usable]
+    first, last = kept.index(True), len(kept) - 1 - kept[::-1].index(True)
+    while first and in_row[first - 1]:
+        first -= 1
+    while last + 1 < len(usable) and in_row[last + 1]:
+        last += 1
+    return usable[first:last + 1]
 
 
 def smooth(values: list[float], sigma: float = SIGMA) -> list[float]:
@@ -148,7 +183,8 @@ def smooth(values: list[float], sigma: float = SIGMA) -> list[float]:
 
 def main_text(html: str | None, sigma: float = SIGMA, threshold: float = THRESHOLD) -> str:
     """The article's blocks, one per line; '' for null, empty and textless pages."""
-    lines = lines_of(html)
+    page = parsed(html)
+    lines = page.lines
     usable = [x for x in lines if not x.dropped]
     marked = [x for x in usable if x.region]
     if marked:
@@ -158,8 +194,8 @@ def main_text(html: str | None, sigma: float = SIGMA, threshold: float = THRESHO
     ratios = smooth([len(x.text) / max(1, x.tags) if not x.dropped else 0.0 for x in lines], sigma)
     mean = sum(ratios) / len(ratios)
     limit = threshold * math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios))
-    content = {x.container for x, r in zip(lines, ratios) if not x.dropped and r >= limit}
-    return "\n".join(x.text for x in usable if x.container in content)
+    chosen = {x.container for x, r in zip(lines, ratios) if not x.dropped and r >= limit}
+    return "\n".join(x.text for x in content_lines(page, chosen))
 
 
 def extract(pages: DataFrame, sigma: float = SIGMA, threshold: float = THRESHOLD) -> DataFrame:
