@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firegrid.llm import decontaminate, hosts, html_text, mixing, passages, privacy, quality, simhash, substrings, toxicity
+from firegrid.llm import decontaminate, hosts, html_text, mixing, passages, prefix_tree, privacy, quality, simhash, substrings, toxicity
 from firegrid.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@query
+def op13_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_tree.prefix_tree(table(spark, sf_dir, "conversations"))
