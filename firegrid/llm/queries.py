@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firegrid.llm import decontaminate, hosts, html_text, mixing, passages, prefix_tree, privacy, quality, simhash, substrings, toxicity
+from firegrid.llm import alignment, decontaminate, hosts, html_text, mixing, passages, prefix_tree, privacy, quality, simhash, substrings, toxicity
 from firegrid.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,8 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tree.prefix_tree(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
