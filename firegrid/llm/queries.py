@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firegrid.llm import alignment, decontaminate, hosts, html_text, mixing, passages, prefix_tree, privacy, quality, simhash, substrings, toxicity
+from firegrid.llm import alignment, decontaminate, hosts, html_text, language_model, mixing, passages, prefix_tree, privacy, quality, simhash, substrings, toxicity
 from firegrid.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,8 @@ def op13_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"), language_model.every_fifth(F.col("doc_id")))
