@@ -130,7 +130,9 @@ def project_output(df: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def drop_degenerate(df: DataFrame, area: str = "area_sqkm") -> DataFrame:
-    return df.where(F.col(area) > 0)
+    """Rows with an area, and with a compactness above zero where that is known (``outline.perimeters``)."""
+    kept = df.where(F.col(area) > 0)
+    return kept.where(F.col("compactness") > 0) if "compactness" in df.columns else kept
 
 
 def serial_key(df: DataFrame, order: list[str], name: str = "serial", start: int = 0) -> DataFrame:

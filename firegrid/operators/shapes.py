@@ -205,6 +205,44 @@ def fire_areas(hulls: DataFrame, shape: Shape | None = None) -> DataFrame:
     return lone.unionByName(area_centroid(shape.intervals, ["fireid"]))
 
 
+def pixel_ranges(hulls: DataFrame, res: float, filled: DataFrame | None = None) -> DataFrame:
+    """The pixels of ``pixel_cells`` as runs: disjoint (fireid, iy, i0, i1), i0 to i1 included.
+
+    A hull covers one x-interval on the mid-line of a raster row, so it lists rows, not pixels.
+    """
+    y = (F.col("iy") + 0.5) * res
+    lo, hi, free = _sweep([_limits(y, "ay", "by", "ady", "bdy")])
+    first, last = F.ceil(F.col("hy0") / res - 0.5), F.floor(F.col("hy1") / res - 0.5)
+
+    def edge(sign: float, t: str) -> Column:
+        centre = F.col("ax") + F.col(t) * (F.col("bx") - F.col("ax"))
+        return centre + sign * (F.col("adx") + F.col(t) * (F.col("bdx") - F.col("adx")))
+
+    def run(x0: Column, x1: Column) -> list[Column]:
+        return [F.ceil(x0 / res - 0.5).alias("i0"), F.floor(x1 / res - 0.5).alias("i1")]
+
+    rows = (
+        hulls.select("*", *hull_bounds()).where(first <= last).withColumn("iy", F.explode(F.sequence(first, last)))
+        .withColumn("t0", lo).withColumn("t1", hi).where(free & (F.col("t0") <= F.col("t1")))
+        .select("fireid", "iy", *run(F.least(edge(-1.0, "t0"), edge(-1.0, "t1")), F.greatest(edge(1.0, "t0"), edge(1.0, "t1"))))
+    )
+    if filled is not None:
+        half = F.col("h") / 2.0
+        low, high = F.ceil((F.col("y") - half) / res - 0.5), F.floor((F.col("y") + half) / res - 0.5)
+        rows = rows.unionByName(
+            filled.where(low <= high).withColumn("iy", F.explode(F.sequence(low, high))).select("fireid", "iy", *run(F.col("x0"), F.col("x1"))))
+    return merge_runs(rows.where("i0 <= i1"), ["fireid"])
+
+
+def merge_runs(runs: DataFrame, keys: list[str]) -> DataFrame:
+    """Runs (keys, iy, i0, i1) that overlap or follow each other, as one."""
+    line = Window.partitionBy(*keys, "iy").orderBy("i0", "i1")
+    before = F.max("i1").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    marked = runs.withColumn("_start", F.coalesce((F.col("i0") > before + 1).cast("int"), F.lit(1)))
+    marked = marked.withColumn("_run", F.sum("_start").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    return marked.groupBy(*keys, "iy", "_run").agg(F.min("i0").alias("i0"), F.max("i1").alias("i1")).drop("_run")
+
+
 def pixel_cells(hulls: DataFrame, res: float, filled: DataFrame | None = None) -> DataFrame:
     """Pixels (iy, ix) whose centre lies in the fire: distinct (fireid, iy, ix).
 

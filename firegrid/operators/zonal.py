@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from firegrid.session import cut
@@ -25,16 +27,100 @@ def pixel_tile(iy: Column, ix: Column, res: float) -> Column:
 
 
 def pixels_of(cells: DataFrame, pixels: DataFrame, res: float) -> DataFrame:
-    """The pixels in the tiles that ``cells`` touch.
+    """The pixels in the tiles that ``cells`` (iy, ix) touch, of a table partitioned by ``tile`` (``write_pixels``).
 
-    At most 64 800 tile numbers are broadcast.  A table partitioned by ``tile`` (``write_pixels``) is
-    read in those tiles only; of any other table, only their pixels are shuffled.
+    At most 64 800 tile numbers are broadcast, and only those folders are read.  Any other table is
+    returned as it is: there is nothing to prune.
     """
+    if "tile" not in pixels.columns:
+        return pixels
     # The range is a real filter on the tile side, without which the planner prunes no partitions.
     numbers = cells.select(pixel_tile(F.col("iy"), F.col("ix"), res).alias("_t")).where(F.col("_t").between(0, 64_799))
-    tiles = F.broadcast(numbers.distinct())
-    own = F.col("tile") if "tile" in pixels.columns else pixel_tile(F.col("iy"), F.col("ix"), res)
-    return pixels.join(tiles, own == F.col("_t"), "left_semi").drop("tile")
+    return pixels.join(F.broadcast(numbers.distinct()), F.col("tile") == F.col("_t"), "left_semi").drop("tile")
+
+
+@dataclass(frozen=True)
+class Raster:
+    """A pixel table to be summed up by runs: classes (``lct``), or bands with their valid range."""
+
+    table: DataFrame
+    bands: tuple[str, ...] = ()
+    valid_range: tuple[float, float] | None = (0, 100)
+    nodata: int | None = None
+
+    def valid(self, c: str) -> Column:
+        ok = F.col(c).isNotNull()
+        if self.nodata is not None:
+            ok = ok & (F.col(c) != self.nodata)
+        if self.bands and self.valid_range is not None:
+            ok = ok & F.col(c).between(*self.valid_range)
+        return ok
+
+
+def segment(ix: Column, res: float) -> Column:
+    """The one-degree part of a raster row that holds a pixel."""
+    return F.floor((ix + 0.5) * res).cast("int")
+
+
+def row_sums(rasters: list[Raster], res: float, runs: DataFrame | None = None) -> DataFrame:
+    """(iy, seg, r0, r1, ...): per raster row and degree, what ``sums_of_runs`` looks up, all rasters side by side.
+
+    For bands, the pixels in order with the running number and sum of valid values; for classes, the
+    pixels of each class in order, whose places are the running counts.  A row is bounded by the pixels of
+    a degree.  The table depends on the rasters alone; with ``runs`` only their tiles of tables with a
+    ``tile`` are read.
+    """
+    out = None
+    for k, raster in enumerate(rasters):
+        ends = [runs.select("iy", F.explode(F.array("i0", "i1")).alias("ix"))] if runs is not None and "tile" in raster.table.columns else []
+        px = (pixels_of(ends[0], raster.table, res) if ends else raster.table).withColumn("seg", segment(F.col("ix"), res))
+        if raster.bands:
+            line = Window.partitionBy("iy", "seg").orderBy("ix").rowsBetween(Window.unboundedPreceding, 0)
+            ok = [raster.valid(b) for b in raster.bands]
+            n = [F.sum(v.cast("long")).over(line) for v in ok]
+            total = [F.sum(F.when(v, F.col(b).cast("double")).otherwise(0.0)).over(line) for v, b in zip(ok, raster.bands)]
+            px = px.select("iy", "seg", F.struct(F.col("ix").cast("long").alias("ix"), F.array(*n).alias("n"), F.array(*total).alias("s")).alias("p"))
+            rows = px.groupBy("iy", "seg").agg(F.sort_array(F.collect_list("p")).alias(f"r{k}"))
+        else:
+            of = px.where(raster.valid("lct")).groupBy("iy", "seg", F.col("lct").cast("int").alias("lct")).agg(
+                F.sort_array(F.collect_list(F.col("ix").cast("long"))).alias("at"))
+            rows = of.groupBy("iy", "seg").agg(F.collect_list(F.struct("lct", "at")).alias(f"r{k}"))
+        out = rows if out is None else out.join(rows, ["iy", "seg"], "full")
+    return out
+
+
+def sums_of_runs(runs: DataFrame, rows: DataFrame, rasters: list[Raster], key: str, res: float) -> list[DataFrame]:
+    """Per raster: (key, v_band, ...) means, or the rows of ``class_histogram``.
+
+    ``runs``: disjoint (key, iy, i0, i1).  All rasters are met in one join on (row, degree), one row per
+    run and degree; what a run sums up to is the difference of two running values.
+    """
+    pieces = runs.withColumn("seg", F.explode(F.sequence(segment(F.col("i0"), res), segment(F.col("i1"), res))))
+
+    def upto(k: int, limit: Column) -> Column:
+        return F.try_element_at(F.filter(F.col(f"r{k}"), lambda p: p["ix"] <= limit), F.lit(-1))
+
+    picked = []
+    for k, raster in enumerate(rasters):
+        if raster.bands:
+            picked.append(F.struct(upto(k, F.col("i1")).alias("hi"), upto(k, F.col("i0") - 1).alias("lo")).alias(f"r{k}"))
+        else:
+            inside = lambda at: F.size(F.filter(at, lambda i: i.between(F.col("i0"), F.col("i1")))).cast("long")
+            picked.append(F.filter(F.transform(F.col(f"r{k}"), lambda c: F.struct(c["lct"].alias("v_lct"), inside(c["at"]).alias("n"))), lambda c: c["n"] > 0).alias(f"r{k}"))
+    met = cut(pieces.join(rows, ["iy", "seg"]).select(key, *picked))
+    out = []
+    for k, raster in enumerate(rasters):
+        if raster.bands:
+            def part(c: str, i: int) -> Column:
+                return F.sum(F.coalesce(F.col(f"r{k}.hi.{c}")[i], F.lit(0)) - F.coalesce(F.col(f"r{k}.lo.{c}")[i], F.lit(0)))
+
+            # A run that meets no pixel of the raster is no row of it.
+            some = met.where(F.col(f"r{k}.hi").isNotNull() & ~F.col(f"r{k}.hi.ix").eqNullSafe(F.col(f"r{k}.lo.ix")))
+            out.append(some.groupBy(key).agg(*[F.try_divide(part("s", i), part("n", i)).alias(f"v_{b}") for i, b in enumerate(raster.bands)]))
+        else:
+            counts = met.select(key, F.inline(f"r{k}")).groupBy(key, "v_lct").agg(F.sum("n").alias("cv_lct"))
+            out.append(rank_classes(share_of_total(counts, key), key))
+    return out
 
 
 def class_histogram(

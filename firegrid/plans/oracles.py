@@ -255,6 +255,32 @@ put("voronoi_sub_areas", (
  union all select fireid, site, {_B2}*radians(2e0*fire_dx)*({_q('lat+fire_dy')}-{_q('lat-fire_dy')}), lon, lat from afull where n_sites=1)""",
 ), f"select fireid, polyid, {r('a',6,'area_sqkm')}, {r('cx',6,'cen_lon')}, {r('cy',6,'cen_lat')} from vo")
 
+# -- outlines: Euler's number of the strips instead of rings; the boundary from the ends on either side of a strip border
+_ALONE = "afull where n_sites=1"
+put("area_outlines", (*A_BASE, *SCAN), f"""select ar.fireid, cast(1 as bigint) as n_polygons, cast(coalesce(1-iv.n+coalesce(ov.n,0),0) as bigint) as n_holes, {r('a',6,'area_sqkm')} from ar
+ left join (select fireid, count(*) as n from iu group by fireid) iv using (fireid)
+ left join (select p.fireid, count(*) as n from iu p join iu q on p.fireid=q.fireid and p.k+1=q.k and p.x0<q.x1 and q.x0<p.x1 group by p.fireid) ov using (fireid)""")
+VORONOI_ALL = (
+    "sd as (select fireid, lon, lat, min(cleanid) as seed from apoint group by fireid, lon, lat)",
+    "pr as (select iu.*, s.seed, s.lon-x0 as u, (s.lon-x0)*(s.lon-x0)+(s.lat-y)*(s.lat-y) as c from iu join sd s using (fireid))",
+    """bd as (select a.fireid, a.k, a.y, a.h, a.x0, a.seed, greatest(0e0, max(case when b.u<a.u then (b.c-a.c)/(2e0*(b.u-a.u)) end)) as lo,
+ least(a.x1-a.x0, min(case when b.u>a.u then (b.c-a.c)/(2e0*(b.u-a.u)) end)) as hi, bool_or(b.u=a.u and (b.c<a.c or (b.c=a.c and b.seed<a.seed))) as dead
+ from pr a join pr b on a.fireid=b.fireid and a.k=b.k and a.x0=b.x0 group by a.fireid, a.k, a.y, a.h, a.x0, a.x1, a.seed)""",
+    f"""pc as (select fireid, seed as polyid, k, y, h, x0+lo as p0, x0+hi as p1 from bd where hi>lo and not dead
+ union all select fireid, site, 0, lat, 2e0*fire_dy, lon-fire_dx, lon+fire_dx from {_ALONE})""",
+)
+put("sub_area_outlines", (*A_BASE, *SCAN, *VORONOI_ALL),
+    f"select fireid, polyid, round(sum({_B2}*radians(p1-p0)*({_q('y+h/2e0')}-{_q('y-h/2e0')})),6)+0e0 as area_sqkm from pc group by fireid, polyid")
+# Every second gap between the ends met along a strip border is boundary.
+put("area_compactness", (
+    *A_BASE, *SCAN, *VORONOI_ALL,
+    """en as (select fireid, polyid, h, k as lv, p0 as x, 'l' as side from pc union all select fireid, polyid, h, k, p1, 'r' from pc
+ union all select fireid, polyid, h, k+1, p0, 'l' from pc union all select fireid, polyid, h, k+1, p1, 'r' from pc)""",
+    """eo as (select *, row_number() over w as n, lead(x) over w as nx, lead(side) over w as nside from en window w as (partition by fireid, polyid, lv order by x, side desc))""",
+    """pe as (select fireid, polyid, sum(case when side=nside then sqrt((nx-x)*(nx-x)+h*h) else nx-x+h end) as p from eo where n%2=1 group by fireid, polyid)""",
+    "pa as (select fireid, polyid, sum((p1-p0)*h) as a from pc group by fireid, polyid)",
+), f"select fireid, polyid, {r('a',9,'area_deg2')}, {r('p',6,'perimeter_deg')}, round(4e0*pi()*a/(p*p),5)+0e0 as compactness from pa join pe using (fireid, polyid)")
+
 # -- holes, thinning, subdivision: the rules in full -----------------------------------------------------------
 _HOLE = num((1.0 / 240.0) ** 2)
 HOLES = (
@@ -343,6 +369,7 @@ put("fire_pixels", (*C_BASE, *C_CELL), "select fireid, iy, ix from ccell")
 _HIST = "h as (select fireid, lct as v_lct, count(*) as cv_lct from {p}val group by all)"
 put("zonal_lct_hist", (*A_BASE, *A_CELL, _HIST.format(p="a")), """select fireid, v_lct, cv_lct, cast(row_number() over (partition by fireid order by cv_lct desc, v_lct) as int) as r_lct,
  cast(sum(cv_lct) over (partition by fireid) as bigint) as ct_lct, round(cv_lct/sum(cv_lct) over (partition by fireid),6)+0e0 as f_lct from h""")
+ORACLES["zonal_lct_tiled"] = ORACLES["zonal_lct_hist"]
 put("zonal_lct_majority", (*C_BASE, *C_CELL, _HIST.format(p="c")), "select fireid, v_lct, cv_lct from h qualify row_number() over (partition by fireid order by cv_lct desc, v_lct)=1")
 _avg = ", ".join(f"round(avg(case when {b} between 0 and 100 then {b} end),6)+0e0 as v_{b}" for b in ("tree", "herb", "bare"))
 put("zonal_vcf_mean", (*A_BASE, *A_CELL), f"select fireid, {_avg} from aval group by fireid")
@@ -386,9 +413,9 @@ select kind, class, round(area,4)+0e0 as area from (select 'total' as kind, 'tot
 
 # -- grids -----------------------------------------------------------------------------------------------------
 _UNIT = "molecules/cm^2/s"
-_TERMS = [("CO", False, 12.0, [("CO", 1.0)]), ("NOX", False, 12.0, [("NO", 1.0), ("NO2", 0.5)]), ("pom_a4", True, 12.0, [("OC", 1.4)]), ("bc_a4", True, 24.0, [("BC", 1.0)])]
-_VOC_TERMS = [("MTERP", False, 12.0, [(s, 1.0) for s in ("APIN", "BPIN", "LIMON", "MYRC")]),
-              ("IVOC", False, 12.0, [("C3H6", 0.04565217), ("C2H6", 0.03260870), ("BENZENE", 0.0848), ("TOLUENE", 0.1)])]
+_TERMS = [("CO", False, 12.0, [("CO", 1.0)]), ("NOX", False, 12.0, [("NO", 1.0), ("NO2", 0.5)]), ("org", True, 12.0, [("OC", 1.25)]), ("soot", True, 24.0, [("BC", 1.0)])]
+_VOC_TERMS = [("TERP", False, 12.0, [(s, 1.0) for s in ("APIN", "BPIN", "LIMON", "MYRC")]),
+              ("MIXED", False, 12.0, [("C3H6", 0.05), ("C2H6", 0.025), ("BENZENE", 0.08), ("TOLUENE", 0.1)])]
 
 
 def _sum(terms: list, agg: bool = True) -> str:
@@ -488,7 +515,7 @@ def _regional(name: str, where: str) -> tuple[str, ...]:
 
 for _d in ("lambert", "polar", "mercator", "latlon"):
     put(f"grid_wrf_{_d}", _regional(_d, "true"),
-        f"select date, hour, i, j, {r('fire_size',2,'fire_size')}, {r('ebu_in_CO',3,'ebu_in_CO')}, {r('ebu_in_NOX',4,'ebu_in_NOX')}, {r('ebu_in_pom_a4',5,'ebu_in_pom_a4')}, {r('ebu_in_bc_a4',6,'ebu_in_bc_a4')} from wg")
+        f"select date, hour, i, j, {r('fire_size',2,'fire_size')}, {r('ebu_in_CO',3,'ebu_in_CO')}, {r('ebu_in_NOX',4,'ebu_in_NOX')}, {r('ebu_in_org',5,'ebu_in_org')}, {r('ebu_in_soot',6,'ebu_in_soot')} from wg")
 _x, _y, _nx, _ny, _ = _project("latlon")
 put("wrf_latlon_mass", (*EMIT, f"wx as (select *, {_x} as x, {_y} as y from em)"),
     f"select acq_date_utc as date, {r('sum(CO)', 2, 'co')} from wx where x>=0.5e0 and x<{_nx}.5e0 and y>=0.5e0 and y<{_ny}.5e0 group by acq_date_utc")

@@ -17,23 +17,25 @@ from firegrid.functions import dates as D
 from firegrid.functions.geo import box_area_km2, modis_tile
 from firegrid.functions.projection import LAMBERT, LATLON, MERCATOR, POLAR, Domain, ijll, llij
 from firegrid.operators import (
-    cluster as C, compare, emissions as E, grid as G, joins as J, legacy as L, prep as P, raster as R, report as S,
+    cluster as C, compare, emissions as E, grid as G, joins as J, legacy as L, outline as O, prep as P, raster as R, report as S,
     shapes, skim as K, speciesmap as M, subdivide as V, wrf as W, zonal as Z,
 )
 from firegrid.operators.components import connected_components
 from firegrid.plans import runs
 from firegrid.plans.derived import DETECTIONS, detections, fires, synthetic_factors_v1, table
 from firegrid.session import cut, run_dir
+from firegrid.sources.sinks import write_pixels
 from firegrid.streaming import stream as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 PIXEL_RES = 0.01
+# Invented entries that show the forms a species map can have; their weights mean nothing.
 SPECIES_MAP = [
-    "CO -> CO", "NOX(molecules/cm^2/s) -> NO+0.5*NO2", "pom_a4 -> 1.4*OC;aerosol", "bc_a4->[BC];aerosol(24)", "H2 = 0.5",
+    "CO -> CO", "NOX(molecules/cm^2/s) -> NO+0.5*NO2", "org -> 1.25*OC;aerosol", "soot->[BC];aerosol(24)", "H2 = 0.5",
 ]
-VOC_MAP = ["MTERP -> APIN+BPIN+LIMON+MYRC", "IVOC->0.04565217*C3H6+0.03260870*C2H6+0.0848*BENZENE+0.1*TOLUENE"]
+VOC_MAP = ["TERP -> APIN+BPIN+LIMON+MYRC", "MIXED->0.05*C3H6+0.025*C2H6+0.08*BENZENE+0.1*TOLUENE"]
 DOMAINS = {
     "lambert": Domain(LAMBERT, 220, 160, -97.0, 38.0, -97.0, 30.0, 60.0, 36000.0),
     "polar": Domain(POLAR, 180, 180, -100.0, 55.0, -100.0, 60.0, 60.0, 40000.0),
@@ -321,6 +323,34 @@ def voronoi_sub_areas(spark, sf):
     return rounded(V.sub_polygons(c.hulls, seeds, shape), {"area_sqkm": 6, "cen_lon": 6, "cen_lat": 6})
 
 
+@query
+def area_outlines(spark, sf):
+    """Rings of every fire, holes left open: the area is taken from the corners of the rings."""
+    c = C.cluster(points(spark, sf), "aggressive")
+    shape = shapes.Shape(shapes.multi_hulls(c.hulls), fill=False)
+    return rounded(O.outlines(O.area_intervals(c.hulls, shape), ["fireid"]).drop("geom"), {"area_sqkm": 6})
+
+
+@query
+def sub_area_outlines(spark, sf):
+    """Rings of every share of a fire, each distinct place being a seed; their number less that of the holes."""
+    c = C.cluster(points(spark, sf), "aggressive")
+    seeds = c.points.groupBy("fireid", "lon", "lat").agg(F.min("cleanid").alias("seed"))
+    shape = shapes.Shape(shapes.multi_hulls(c.hulls), fill=False)
+    out = O.outlines(O.sub_intervals(c.hulls, seeds, shape), ["fireid", "polyid"])
+    return rounded(out.select("fireid", "polyid", "area_sqkm"), {"area_sqkm": 6})
+
+
+@query
+def area_compactness(spark, sf):
+    """Polsby-Popper of every share of a fire."""
+    c = C.cluster(points(spark, sf), "aggressive")
+    seeds = c.points.groupBy("fireid", "lon", "lat").agg(F.min("cleanid").alias("seed"))
+    shape = shapes.Shape(shapes.multi_hulls(c.hulls), fill=False)
+    out = O.perimeters(cut(O.sub_intervals(c.hulls, seeds, shape)), ["fireid", "polyid"])
+    return rounded(out, {"area_deg2": 9, "perimeter_deg": 6, "compactness": 5})
+
+
 @query
 def sub_polygons(spark, sf):
     c = C.cluster(points(spark, sf), "aggressive")
@@ -341,25 +371,37 @@ def fire_pixels(spark, sf):
     return shapes.pixel_cells(c.hulls, PIXEL_RES)
 
 
+def by_runs(c: C.Clusters, raster: Z.Raster) -> DataFrame:
+    """One raster summed up over the runs of pixels of every fire."""
+    inside = cut(shapes.pixel_ranges(c.hulls, PIXEL_RES))
+    return Z.sums_of_runs(inside, Z.row_sums([raster], PIXEL_RES, inside), [raster], "fireid", PIXEL_RES)[0]
+
+
 @query
 def zonal_lct_hist(spark, sf):
     c = C.cluster(points(spark, sf), "aggressive")
-    h = Z.class_histogram(cut(shapes.pixel_cells(c.hulls, PIXEL_RES)), pixels(spark, sf), "fireid", res=PIXEL_RES)
-    return rounded(h, {"f_lct": 6})
+    return rounded(by_runs(c, Z.Raster(pixels(spark, sf))), {"f_lct": 6})
+
+
+@query
+def zonal_lct_tiled(spark, sf):
+    """The same from a table stored by tile, of which only the touched tiles are read."""
+    c = C.cluster(points(spark, sf), "aggressive")
+    path = f"{run_dir(spark)}/pixels-{uuid.uuid4().hex}"
+    write_pixels(pixels(spark, sf), path, PIXEL_RES)
+    return rounded(by_runs(c, Z.Raster(spark.read.parquet(path))), {"f_lct": 6})
 
 
 @query
 def zonal_lct_majority(spark, sf):
     c = C.cluster(points(spark, sf), "conservative")
-    h = Z.class_histogram(cut(shapes.pixel_cells(c.hulls, PIXEL_RES)), pixels(spark, sf), "fireid", res=PIXEL_RES)
-    return h.where("r_lct = 1").select("fireid", "v_lct", "cv_lct")
+    return by_runs(c, Z.Raster(pixels(spark, sf))).where("r_lct = 1").select("fireid", "v_lct", "cv_lct")
 
 
 @query
 def zonal_vcf_mean(spark, sf):
     c = C.cluster(points(spark, sf), "aggressive")
-    m = Z.band_means(cut(shapes.pixel_cells(c.hulls, PIXEL_RES)), pixels(spark, sf), ["tree", "herb", "bare"], "fireid", res=PIXEL_RES)
-    return rounded(m, {"v_tree": 6, "v_herb": 6, "v_bare": 6})
+    return rounded(by_runs(c, Z.Raster(pixels(spark, sf), ("tree", "herb", "bare"))), {"v_tree": 6, "v_herb": 6, "v_bare": 6})
 
 
 @query
@@ -585,7 +627,7 @@ def grid_unstructured(spark, sf):
 def _wrf(name: str) -> Query:
     def run(spark, sf):
         d = W.grid_wrf(emitted(spark, sf), DOMAINS[name], _map(spark))
-        return rounded(d, {"fire_size": 2, "ebu_in_CO": 3, "ebu_in_NOX": 4, "ebu_in_pom_a4": 5, "ebu_in_bc_a4": 6})
+        return rounded(d, {"fire_size": 2, "ebu_in_CO": 3, "ebu_in_NOX": 4, "ebu_in_org": 5, "ebu_in_soot": 6})
 
     return run
 

@@ -8,13 +8,13 @@ from __future__ import annotations
 
 import datetime as dt
 from contextlib import nullcontext
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firegrid.operators import cluster as C, emissions as E, grid as G, prep as P, shapes, skim as K, subdivide as V, zonal as Z
+from firegrid.operators import cluster as C, emissions as E, grid as G, outline as O, prep as P, shapes, skim as K, subdivide as V, zonal as Z
 from firegrid.operators.report import RunLog
-from firegrid.session import cut, scratch_scope
+from firegrid.session import cut, cut_counted, scratch_scope
 from firegrid.sources import sinks
 
 
@@ -33,6 +33,9 @@ class Layer:
     valid_range: tuple[float, float] | None = None
     nodata: int | None = None
 
+    def raster(self) -> Z.Raster:
+        return Z.Raster(self.table, self.columns if self.kind == "continuous" else (), self.valid_range, self.nodata)
+
     def __post_init__(self):
         if self.kind not in ("thematic", "continuous", "polygons", "input"):
             raise ValueError(f"unknown layer kind {self.kind!r}")
@@ -49,6 +52,8 @@ class Config:
     tree_threshold: float = 50.0
     # "chosen": aggressive areas where tree cover is high, else conservative ones; "conservative": always those.
     subdivide: str = "chosen"
+    # Adds ``compactness`` and the outline as WKT (``geom``) to every sub-polygon.
+    outlines: bool = False
     path: str | None = None
     run: dict[str, bool] = field(default_factory=lambda: {"import": True, "step1": True, "step2": True})
 
@@ -63,22 +68,28 @@ def tree_layer(layers: list[Layer]) -> Layer:
 class Areas:
     """Clustered burned areas with their seeds: everything step 2 needs."""
 
-    def __init__(self, merged: C.Clusters, res: float):
+    def __init__(self, merged: C.Clusters, res: float, outlines: bool = False):
         self.points, self.hulls, self.res = merged.points, merged.hulls, res
         self.seeds = cut(K.skim(merged.points))
         self.shape = shapes.Shape(shapes.multi_hulls(merged.hulls))
         self.linked = cut(V.assign_points(merged.points, self.seeds))
-        self.div = cut(P.drop_degenerate(V.sub_polygons(merged.hulls, self.seeds, self.shape)))
+        div = V.sub_polygons(merged.hulls, self.seeds, self.shape)
+        if outlines:
+            inside = cut(O.sub_intervals(merged.hulls, self.seeds, self.shape))
+            round_ = O.perimeters(inside, ["polyid"]).select("polyid", "compactness")
+            div = div.join(round_, "polyid", "left").join(O.outlines(inside, ["polyid"]).select("polyid", "geom"), "polyid", "left")
+        self.div, self.n_div = cut_counted(P.drop_degenerate(div))
 
-    def cells(self) -> DataFrame:
-        return cut(V.cells_of(self.hulls, self.seeds, self.res, self.shape))
+    def runs(self) -> DataFrame:
+        return cut(V.ranges_of(self.hulls, self.seeds, self.res, self.shape))
 
 
 def burned_areas(points: DataFrame, cfg: Config) -> C.Clusters:
     """The areas that get subdivided, with ``alg_agg`` on every point."""
     aggressive, conservative = C.cluster(points, "aggressive"), C.cluster(points, "conservative")
-    tree = tree_layer(cfg.layers)
-    cover = Z.band_means(cut(shapes.pixel_cells(aggressive.hulls, cfg.res)), tree.table, ["tree"], "fireid", tree.valid_range, tree.nodata, cfg.res)
+    tree = replace(tree_layer(cfg.layers), columns=("tree",)).raster()
+    inside = cut(shapes.pixel_ranges(aggressive.hulls, cfg.res))
+    cover = Z.sums_of_runs(inside, Z.row_sums([tree], cfg.res, inside), [tree], "fireid", cfg.res)[0]
     if cfg.subdivide == "chosen":
         return C.replace_merge(aggressive, conservative, cover, cfg.tree_threshold)
     if cfg.subdivide != "conservative":
@@ -92,17 +103,19 @@ def zonal_join(areas: Areas, layers: list[Layer]) -> DataFrame:
     thematic = [layer for layer in layers if layer.kind == "thematic"]
     if len(thematic) > 1:
         raise ValueError("a recipe can have one thematic layer")
-    cells = areas.cells()
     about = areas.linked.groupBy("polyid").agg(F.min("acq_date_use").alias("acq_date_use"), F.min("alg_agg").alias("alg_agg"))
-    parts = [about]
+    sampled = [layer for layer in layers if layer.kind in ("thematic", "continuous")]
+    rasters = [layer.raster() for layer in sampled]
+    inside = areas.runs() if rasters else None
+    # All raster layers in one pass over the runs of pixels.
+    means = Z.sums_of_runs(inside, Z.row_sums(rasters, areas.res, inside), rasters, "polyid", areas.res) if rasters else []
+    parts = [about, *[m for layer, m in zip(sampled, means) if layer.kind == "continuous"]]
     for layer in layers:
-        if layer.kind == "continuous":
-            parts.append(Z.band_means(cells, layer.table, list(layer.columns), "polyid", layer.valid_range, layer.nodata, areas.res))
-        elif layer.kind == "polygons":
+        if layer.kind == "polygons":
             parts.append(Z.region_of(areas.div, layer.table))
         elif layer.kind == "input":
             parts += [Z.input_mean(areas.linked, c) for c in layer.columns]
-    classes = Z.class_histogram(cells, thematic[0].table, nodata=thematic[0].nodata, res=areas.res) if thematic else None
+    classes = next((m for layer, m in zip(sampled, means) if layer.kind == "thematic"), None)
     return Z.assemble(areas.div, parts, classes)
 
 
@@ -113,28 +126,35 @@ def processed_fires(raw: DataFrame, cfg: Config, log: RunLog | None = None) -> D
 
 
 def _processed_fires(raw: DataFrame, cfg: Config, log: RunLog) -> DataFrame:
+    """Every stage's rows are counted by its own write (``Observation``); no event costs a job."""
     spark = raw.sparkSession
 
-    def stage(name: str, table: str, build) -> DataFrame:
+    def stage(name: str, table: str, build, inputs: tuple[DataFrame, ...], params: dict) -> tuple[DataFrame, int]:
         if cfg.path is None:
-            return cut(build())
-        return sinks.stage(spark, f"{cfg.path}/{table}", build, cfg.run.get(name, True))
+            return cut_counted(build())
+        path = f"{cfg.path}/{table}"
+        return sinks.stage(spark, path, build, cfg.run.get(name, True), inputs, params), sinks.stage_rows(spark, path)
 
+    cleaning = {"date": cfg.date_definition, "first": cfg.first, "last": cfg.last, "persistent": cfg.filter_persistent}
     log.checkin("import", "work_pnt", 0)
-    points = stage("import", "work_pnt", lambda: P.prepare(raw, cfg.date_definition, cfg.first, cfg.last, cfg.filter_persistent))
-    n_points = points.count()
+    points, n_points = stage(
+        "import", "work_pnt", lambda: P.prepare(raw, cfg.date_definition, cfg.first, cfg.last, cfg.filter_persistent), (raw,), cleaning)
     log.checkout("import", n_points)
 
     def step2() -> DataFrame:
         log.checkin("subdiv", "work_div", n_points)
-        areas = Areas(burned_areas(points, cfg), cfg.res)
+        areas = Areas(burned_areas(points, cfg), cfg.res, cfg.outlines)
         if cfg.path is not None:
             areas.div.write.mode("overwrite").parquet(f"{cfg.path}/work_div")
             areas.linked.write.mode("overwrite").parquet(f"{cfg.path}/work_pnt_linked")
-        log.checkout("subdiv", areas.div.count())
+        log.checkout("subdiv", areas.n_div)
         return zonal_join(areas, cfg.layers)
 
-    return stage("step2", "out", step2)
+    sampling = cleaning | {
+        "res": cfg.res, "trees": cfg.tree_threshold, "subdivide": cfg.subdivide, "outlines": cfg.outlines,
+        "layers": [[la.kind, la.columns, la.valid_range, la.nodata] for la in cfg.layers]}
+    tables = tuple(la.table for la in cfg.layers if la.table is not None)
+    return stage("step2", "out", step2, (points, *tables), sampling)[0]
 
 
 def emissions(fires: DataFrame, date_definition: str = "UTC", year: int | None = None, mechanism: str | None = None,

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import hashlib
+import json
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from firegrid import lookups
 from firegrid.operators import legacy
 from firegrid.operators.joins import spread
 from firegrid.operators.zonal import pixel_tile
+from firegrid.session import observed
 
 FIRE_FIELDS = ["v_lct", "f_lct", "v_tree", "v_herb", "v_bare", "v_regnum", "v_frp"]
 
@@ -38,9 +42,15 @@ def hull_wkt() -> Column:
     return F.concat(F.lit("MULTIPOINT ("), F.concat_ws(", ", *corners), F.lit(")"))
 
 
-def write_polygons(df: DataFrame, members: DataFrame, path: str, date_definition: str = "UTC") -> None:
-    """Two tables: ``polygons`` with one row per fire row, ``members`` with one row per detection (polyid, cleanid)."""
-    fire_columns(df, date_definition).write.mode("overwrite").parquet(f"{path}/polygons")
+def write_polygons(df: DataFrame, members: DataFrame, path: str, date_definition: str = "UTC", outlines: DataFrame | None = None) -> None:
+    """Two tables: ``polygons`` with one row per fire row, ``members`` with one row per detection (polyid, cleanid).
+
+    ``outlines`` (polyid, geom[, compactness]) puts the geometry beside the rows, as WKT.
+    """
+    rows = fire_columns(df, date_definition)
+    if outlines is not None:
+        rows = rows.join(outlines.select("polyid", *[c for c in ("compactness", "geom") if c in outlines.columns]), "polyid", "left")
+    rows.write.mode("overwrite").parquet(f"{path}/polygons")
     members.select("polyid", "cleanid").write.mode("overwrite").parquet(f"{path}/members")
 
 
@@ -49,13 +59,81 @@ def write_hulls(hulls: DataFrame, path: str) -> None:
     hulls.select("fireid", "acq_date_use", hull_wkt().alias("geom")).write.mode("overwrite").parquet(path)
 
 
-def stage(spark: SparkSession, path: str, build, run: bool = True) -> DataFrame:
-    """A pipeline stage: compute and store when ``run``, else read what an earlier run stored."""
-    if run:
-        build().write.mode("overwrite").parquet(path)
+MANIFEST = "_manifest.json"
+
+
+def fingerprint(inputs: tuple[DataFrame, ...] = (), params: dict | None = None) -> str:
+    """A hash that changes with the schema, plan or files (names, sizes, times) of the inputs, or with a parameter."""
+    told: list = [json.dumps(params or {}, sort_keys=True, default=str)]
+    for df in inputs:
+        spark = df.sparkSession
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        files = []
+        for name in sorted(df.inputFiles()):
+            at = spark._jvm.org.apache.hadoop.fs.Path(name)
+            status = at.getFileSystem(conf).getFileStatus(at)
+            files.append([name, status.getLen(), status.getModificationTime()])
+        told.append([df.schema.json(), files or df._jdf.queryExecution().analyzed().canonicalized().hashCode()])
+    return hashlib.sha256(json.dumps(told).encode()).hexdigest()
+
+
+def _manifest(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MANIFEST}")
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    """What a finished stage left: ``fingerprint`` and ``rows``; None if there is none, or its write was interrupted."""
+    at, fs = _manifest(spark, path)
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
+
+
+def _write_manifest(spark: SparkSession, path: str, told: dict) -> None:
+    at, fs = _manifest(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MANIFEST}.draft")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(json.dumps(told).encode())
+    finally:
+        stream.close()
+    # A rename is all or nothing: a manifest that can be read belongs to a finished write.
+    fs.rename(draft, at)
+
+
+def stage(
+    spark: SparkSession, path: str, build, run: bool = True, inputs: tuple[DataFrame, ...] = (), params: dict | None = None,
+) -> DataFrame:
+    """A pipeline stage: compute and store when ``run``, else read what an earlier run stored.
+
+    Stored rows are read again only if their write came to its end and had the same ``inputs`` and
+    ``params``; else the stage is computed after all.  An overwrite takes the old manifest away first, and
+    the new one is written last, with the number of rows counted during the write (``stage_rows``).
+    """
+    mark = fingerprint(inputs, params)
+    told = None if run else read_manifest(spark, path)
+    if told is None or told["fingerprint"] != mark:
+        seen = Observation(f"rows of {path.rstrip('/').rsplit('/', 1)[-1]}")
+        df = build()
+        at, fs = _manifest(spark, path)
+        if fs.exists(at):
+            fs.delete(at, False)
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+        _write_manifest(spark, path, {"fingerprint": mark, "rows": observed(seen, spark.read.schema(df.schema).parquet(path))})
     return spark.read.parquet(path)
 
 
+def stage_rows(spark: SparkSession, path: str) -> int:
+    """Rows of a finished stage, as counted when it was written."""
+    return read_manifest(spark, path)["rows"]
+
+
 def emission_columns(df: DataFrame, mechanism: str | None, species: list[str] | None = None, legacy_id_swap: bool = False) -> DataFrame:
     """Columns of an emission file: ids, place, area, biomass[, FRP], base species[, VOCs].
 
