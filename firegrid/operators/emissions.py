@@ -222,6 +222,20 @@ def emit(df: DataFrame, factors: DataFrame | None = None, species: list[str] | N
     return _times(df.join(F.broadcast(wide), "genveg"), df.columns, species, F.col("area_m2") * F.col("bmass"))
 
 
+def emission_sums(df: DataFrame, keys: list[str], species: list[str], factors: DataFrame | None = None) -> DataFrame:
+    """(keys, genveg, n_fires, area_m2, biomass_kg, species...): sums by key and vegetation.
+
+    An emission is its coefficient, one number per vegetation, times the biomass burned: so the biomass is
+    summed first and multiplied afterwards, for the species asked for only.  Fires whose vegetation has no
+    factors are left out, as by ``emit``.
+    """
+    factors = factors if factors is not None else lookups.emission_factors(df.sparkSession)
+    wide = _factor_row(factors.where(F.col("species").isin(species)), species, emission_coefficient())
+    sums = df.groupBy(*keys, "genveg").agg(
+        F.count(F.lit(1)).alias("n_fires"), F.sum("area_m2").alias("area_m2"), F.sum(F.col("area_m2") * F.col("bmass")).alias("biomass_kg"))
+    return _times(sums.join(F.broadcast(wide), "genveg"), [*keys, "genveg", "n_fires", "area_m2", "biomass_kg"], species, F.col("biomass_kg"))
+
+
 def emit_long(df: DataFrame, factors: DataFrame | None = None) -> DataFrame:
     """One row per fire and species."""
     factors = factors if factors is not None else lookups.emission_factors(df.sparkSession)

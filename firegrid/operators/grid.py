@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from firegrid.functions.geo import nint, point_in_ring, wrap_lon
-from firegrid.operators.joins import split_hot_bins
+from firegrid.operators.joins import hot_lookup, split_hot_bins
 from firegrid.operators.speciesmap import Target, check_species, targets
+from firegrid.session import cut
 
 # Earth radius (m), Avogadro's number, seconds per day.
 EARTH_M = 6.37122e6
@@ -233,8 +234,29 @@ def locate_cells(points: DataFrame, cells: DataFrame, row_id: str, lon: str = "c
     return points.join(hits, row_id, "left")
 
 
+def locate_fires(fires: DataFrame, cells: DataFrame, lon: str = "cen_lon", lat: str = "cen_lat", bin_deg: float = 2.0) -> DataFrame:
+    """Add ``cell`` to every row of ``fires``: each distinct place is looked up once, without the fires' columns.
+
+    Rows without a place have no cell, as ``locate_cells`` has it.
+    """
+    places = fires.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()).groupBy(lon, lat).agg(F.count(F.lit(1)).alias("_n"))
+    named = cut(places.withColumn("_place", F.struct(lon, lat)))
+    found = cut(locate_cells(named, cells, "_place", lon, lat, bin_deg).select(lon, lat, "cell", "_n"))
+    spread_ = fires.withColumn("_spread", F.xxhash64(*[F.col(c) for c in fires.columns]))
+    return hot_lookup(spread_, found, [lon, lat], "_n", "_spread").drop("_n", "_spread")
+
+
+def unlocated(located: DataFrame, sums: list[str], date: str = "acq_date_utc") -> DataFrame:
+    """(date, n_fires, sums...): what lies in no active cell and so is missing from the unstructured grid, per day.
+
+    Days without such fires have no row; with these rows the grid's sums add up to those of the fires.
+    """
+    outside = located.where("cell is null").groupBy(F.col(date).alias("date"))
+    return outside.agg(F.count(F.lit(1)).alias("n_fires"), *[F.sum(c).alias(c) for c in sums])
+
+
 def grid_unstructured(located: DataFrame, cells: DataFrame, species_map: DataFrame, date: str = "acq_date_utc") -> DataFrame:
-    """Molecules/cm2/s per species, day and cell of an unstructured grid.  Unlocated fires are left out."""
+    """Molecules/cm2/s per species, day and cell of an unstructured grid.  Fires without a cell are left out and counted by ``unlocated``."""
     ts = targets(species_map)
     check_species(species_map, located.columns)
     sums = (
@@ -246,6 +268,47 @@ def grid_unstructured(located: DataFrame, cells: DataFrame, species_map: DataFra
     return _melt(wide, ["date", "cell"], ts).select("species", "date", "cell", "value")
 
 
+def day_islands(days: DataFrame, file: str = "file", year: str = "year", day: str = "day") -> DataFrame:
+    """Runs of covered days: (file, first, last, n_days, missing), and one row with null days per file for bad numbers.
+
+    ``days``: one row per record, with the file it stems from, the year and the day of the year.  ``missing``
+    are the days up to the next run of the file (0 for the last), over the turn of the year and with leap
+    days.  The row without ``first`` counts in ``n_days`` the records whose day is below 1 or beyond the
+    year's end, or null.  Days are made distinct before they are put in order, so a file's window holds days, not records.
+    """
+    last = F.dayofyear(F.make_date(F.col(year), F.lit(12), F.lit(31)))
+    good = F.coalesce(F.col(day).between(1, last), F.lit(False))
+    at = F.date_add(F.make_date(F.col(year), F.lit(1), F.lit(1)), F.col(day).cast("int") - 1)
+    bad = days.where(~good).groupBy(F.col(file).alias("file")).agg(F.count(F.lit(1)).alias("n_days"))
+    seen = days.where(good).select(F.col(file).alias("file"), at.alias("at")).distinct()
+    return _islands(seen, ["file"]).unionByName(bad.select(
+        "file", F.lit(None).cast("date").alias("first"), F.lit(None).cast("date").alias("last"), "n_days", F.lit(0).cast("long").alias("missing")))
+
+
+def _islands(days: DataFrame, keys: list[str]) -> DataFrame:
+    """Runs of following days of distinct (keys, at)."""
+    line = Window.partitionBy(*keys).orderBy("at")
+    run = F.date_sub("at", F.row_number().over(line))
+    runs = days.withColumn("_run", run).groupBy(*keys, "_run").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count(F.lit(1)).alias("n_days"))
+    following = F.lead("first").over(Window.partitionBy(*keys).orderBy("first"))
+    gap = F.coalesce(F.date_diff(following, "last") - 1, F.lit(0)).cast("long")
+    return runs.select(*keys, "first", "last", "n_days", gap.alias("missing"))
+
+
+def period_gaps(dates: DataFrame, start: str, end: str, date: str = "date") -> DataFrame:
+    """(first, last, n_days): the days of a period without any record, as runs; no row if all are covered.
+
+    Whole-span checks (``validate_period``) do not see days missing inside.
+    """
+    lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
+    inside = dates.select(F.col(date).cast("date").alias("at")).where(F.col("at").between(lo, hi)).distinct()
+    # The days around the period close it on both sides.
+    ends = dates.sparkSession.range(1).select(F.explode(F.array(F.date_sub(lo, 1), F.date_add(hi, 1))).alias("at"))
+    following = F.lead("at").over(Window.orderBy("at"))
+    gaps = inside.unionByName(ends).select(F.date_add("at", 1).alias("first"), F.date_sub(following, 1).alias("last"))
+    return gaps.where("first <= last").select("first", "last", (F.date_diff("last", "first") + 1).cast("long").alias("n_days"))
+
+
 def validate_period(dates: DataFrame, start: str, end: str, date: str = "date") -> DataFrame:
     """Check rows (check, ok) for a requested period against the dates of an inventory."""
     lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")

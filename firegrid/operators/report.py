@@ -102,12 +102,12 @@ def area_totals(fires: DataFrame, extra: list[str] | None = None) -> DataFrame:
     return melted(["total"], "total").select(*cols).unionByName(melted(["tree", "herb", "bare"], "cover").select(*cols)).unionByName(lct)
 
 
-def global_totals(emissions: DataFrame, species: list[str]) -> DataFrame:
-    """Burned area, biomass and species sums per vegetation type and overall (genveg null)."""
-    return emissions.rollup("genveg").agg(
-        F.count("*").alias("n_fires"), F.sum("area_m2").alias("area_m2"), F.sum(F.col("area_m2") * F.col("bmass")).alias("biomass_kg"),
-        *[F.sum(s).alias(s) for s in species],
-    )
+def global_totals(sums: DataFrame, species: list[str]) -> DataFrame:
+    """Burned area, biomass and species sums per vegetation type and overall (genveg null).
+
+    ``sums``: rows by vegetation (``emissions.emission_sums``), so that only a few rows are rolled up.
+    """
+    return sums.rollup("genveg").agg(*[F.sum(c).alias(c) for c in ("n_fires", "area_m2", "biomass_kg", *species)])
 
 
 def reject_counts(burned: DataFrame) -> DataFrame:

@@ -170,44 +170,110 @@ def input_mean(points: DataFrame, column: str = "frp", key: str = "polyid") -> D
     return points.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(column).alias(f"v_{column}"))
 
 
-def region_bands(regions: DataFrame, bin_deg: float = 0.1) -> DataFrame:
-    """The edges of each region by latitude band: (_by, near array<struct<region_num, edges>>).
+# Root cells of the region tree; the origin is off any round coordinate, so that no border of a region runs along cells.
+ROOT_DEG, ROOT_X, ROOT_Y = 32.0, -180.7320508, -90.4142136
+ROOT_NX, ROOT_NY = 18, 6
+LEAF_EDGES, DEEPEST = 48, 12
+CELL = ["level", "cx", "cy"]
 
-    ``regions``: (region_num, ring array<struct<x,y>>).  The table depends on the region layer only.
+
+def _crosses(e, x: Column, y: Column, to_x: Column, to_y: Column) -> Column:
+    """Crossings of an edge by the way from (x, y) east to (to_x, y), then north to (to_x, to_y): 0, 1 or 2."""
+    at_x = (e["x1"] - e["x0"]) * F.try_divide(y - e["y0"], e["y1"] - e["y0"]) + e["x0"]
+    at_y = (e["y1"] - e["y0"]) * F.try_divide(to_x - e["x0"], e["x1"] - e["x0"]) + e["y0"]
+    east = ((e["y0"] > y) != (e["y1"] > y)) & (at_x > x) & (at_x <= to_x)
+    north = ((e["x0"] > to_x) != (e["x1"] > to_x)) & (at_y > y) & (at_y <= to_y)
+    return F.coalesce(east, F.lit(False)).cast("int") + F.coalesce(north, F.lit(False)).cast("int")
+
+
+def _edge(row: str | None = None) -> dict[str, Column]:
+    return {c: F.col(c if row is None else f"{row}.{c}") for c in ("x0", "y0", "x1", "y1")}
+
+
+def _touches(e: dict[str, Column], west: Column, south: Column, size: Column) -> Column:
+    """Does the segment meet the closed cell?  It does unless an axis or the segment's line has them apart."""
+    east, north = west + size, south + size
+    boxes = (F.least(e["x0"], e["x1"]) <= east) & (F.greatest(e["x0"], e["x1"]) >= west) & (F.least(e["y0"], e["y1"]) <= north) & (F.greatest(e["y0"], e["y1"]) >= south)
+    side = [(e["x1"] - e["x0"]) * (y - e["y0"]) - (e["y1"] - e["y0"]) * (x - e["x0"]) for x in (west, east) for y in (south, north)]
+    return boxes & (F.least(*side) <= 0) & (F.greatest(*side) >= 0)
+
+
+def _west_south(level: Column | str = "level") -> tuple[Column, Column, Column]:
+    size = ROOT_DEG / F.pow(F.lit(2.0), F.col(level) if isinstance(level, str) else level)
+    return ROOT_X + F.col("cx") * size, ROOT_Y + F.col("cy") * size, size
+
+
+def region_tree(regions: DataFrame, leaf_edges: int = LEAF_EDGES, deepest: int = DEEPEST) -> DataFrame:
+    """The leaves of a quadtree over the globe: (level, cx, cy, inside array<int>, edges array<struct>).
+
+    ``regions``: (region_num, ring array<struct<x,y>>).  A cell that more than ``leaf_edges`` edges meet is split in
+    four, down to level ``deepest``.  ``inside`` are the regions that hold the cell's south-west corner; a
+    child's follow from its parent's and the edges crossed on the way, which all meet the parent.  So a cell
+    without edges answers for all its places, and any other needs its own edges only.  The table depends on
+    the region layer; crowded borders make small cells, not long rows.
     """
     nxt = F.concat(F.slice("ring", F.lit(2), F.size("ring")), F.slice("ring", F.lit(1), F.lit(1)))
-    edges = regions.select(
-        "region_num", F.explode(F.zip_with("ring", nxt, lambda p, q: F.struct(
-            p["x"].alias("x0"), p["y"].alias("y0"), q["x"].alias("x1"), q["y"].alias("y1")
-        ))).alias("e"),
-    )
-    lo, hi = F.floor(F.least("e.y0", "e.y1") / bin_deg), F.floor(F.greatest("e.y0", "e.y1") / bin_deg)
-    bands = edges.withColumn("_by", F.explode(F.sequence(lo, hi)))
-    per_region = bands.groupBy("_by", "region_num").agg(F.collect_list("e").alias("edges"))
-    return per_region.groupBy("_by").agg(F.sort_array(F.collect_list(F.struct("region_num", "edges"))).alias("near"))
+    edges = cut(regions.select(F.col("region_num").cast("int").alias("region_num"), F.inline(F.zip_with("ring", nxt, lambda p, q: F.struct(
+        p["x"].cast("double").alias("x0"), p["y"].cast("double").alias("y0"), q["x"].cast("double").alias("x1"), q["y"].cast("double").alias("y1"))))))
+    west, south, size = _west_south()
+    spark = regions.sparkSession
+    cells = spark.range(ROOT_NX * ROOT_NY).select(F.lit(0).alias("level"), (F.col("id") % ROOT_NX).cast("int").alias("cx"), F.floor(F.col("id") / ROOT_NX).cast("int").alias("cy"))
+    # The roots, 108 of them: which edges each meets, and which regions hold its corner.
+    met = edges.join(F.broadcast(cells), _touches(_edge(), west, south, size))
+    e = _edge()
+    west_of = ((e["y0"] > south) != (e["y1"] > south)) & ((e["x1"] - e["x0"]) * F.try_divide(south - e["y0"], e["y1"] - e["y0"]) + e["x0"] <= west)
+    holds = edges.join(F.broadcast(cells), west_of).groupBy(*CELL, "region_num").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1").drop("n")
+    done, level = None, 0
+    while True:
+        met, holds = cut(met), cut(holds)
+        crowded = met.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf_edges).select(*CELL) if level < deepest else cells.limit(0)
+        crowded = cut(crowded)
+        kept = cells.join(crowded, CELL, "left_anti")
+        own = met.groupBy(*CELL).agg(F.collect_list(F.struct("region_num", "x0", "y0", "x1", "y1")).alias("edges"))
+        inside = holds.groupBy(*CELL).agg(F.collect_list("region_num").alias("inside"))
+        leaves = kept.join(own, CELL, "left").join(inside, CELL, "left")
+        done = leaves if done is None else done.unionByName(leaves)
+        if crowded.isEmpty():
+            return cut(done.select(*CELL, F.coalesce("inside", F.array().cast("array<int>")).alias("inside"), F.coalesce(
+                "edges", F.array().cast("array<struct<region_num:int,x0:double,y0:double,x1:double,y1:double>>")).alias("edges")))
+        level += 1
+        quarters = F.explode(F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (0, 1) for j in (0, 1)]))
+        child = [F.lit(level).alias("level"), (2 * F.col("cx") + F.col("q.dx")).alias("cx"), (2 * F.col("cy") + F.col("q.dy")).alias("cy")]
+        parents = met.join(crowded, CELL, "left_semi").withColumn("q", quarters)
+        half = size / 2.0
+        turns = _crosses(_edge(), west, south, west + F.col("q.dx") * half, south + F.col("q.dy") * half)
+        crossed = parents.select(*child, "region_num", turns.alias("n")).where("n > 0")
+        kept_in = holds.join(crowded, CELL, "left_semi").withColumn("q", quarters).select(*child, "region_num", F.lit(1).alias("n"))
+        holds = crossed.unionByName(kept_in).groupBy(*CELL, "region_num").agg(F.sum("n").alias("n")).where("n % 2 = 1").drop("n")
+        cells = cut(crowded.withColumn("q", quarters).select(*child))
+        met = parents.select(*child, "region_num", *_edge().values()).where(_touches(_edge(), west, south, size))
 
 
 def region_of(points: DataFrame, regions: DataFrame, key: str = "polyid", lon: str = "cen_lon", lat: str = "cen_lat",
-              bin_deg: float = 0.1) -> DataFrame:
+              leaf_edges: int = LEAF_EDGES) -> DataFrame:
     """(key, v_regnum): region holding each point by ray casting, smallest number first, null if none.
 
-    A point meets the edges of its latitude band as one row, so the test is row-local.  The band
-    table is stored first: the planner knows its size and broadcasts it only if it is small.
+    A point meets the one leaf of ``region_tree`` that holds it, by equality of cell numbers on the levels that
+    have leaves; only in cells with edges is a short way cast, from the cell's corner.  The tree is stored
+    first: the planner knows its size and broadcasts it only if it is small.
     """
-    bands = cut(region_bands(regions, bin_deg))
-    x, y = F.col(lon), F.col(lat)
-
-    def crossings(edges: Column) -> Column:
-        crossed = F.filter(edges, lambda e: ((e["y0"] > y) != (e["y1"] > y)) & (
-            x < F.try_divide((e["x1"] - e["x0"]) * (y - e["y0"]), e["y1"] - e["y0"]) + e["x0"]
-        ))
-        return F.size(crossed)
-
-    holds = F.filter("near", lambda r: crossings(r["edges"]) % 2 == 1)
-    return (
-        points.select(key, lon, lat).withColumn("_by", F.floor(y / bin_deg)).join(bands, "_by", "left")
-        .select(key, F.get(holds, F.lit(0))["region_num"].alias("v_regnum"))
-    )
+    tree = region_tree(regions, leaf_edges)
+    levels = [r.level for r in tree.select("level").distinct().collect()]  # at most DEEPEST + 1 numbers
+    x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
+    far = ~(x.between(-180.5, 360.5) & y.between(-90, 90))
+    named = points.select(key, x.alias("_x"), y.alias("_y"))
+    on_globe = F.col("_x").between(-180.5, 360.5) & F.col("_y").between(-90, 90)
+    where_ = named.where(on_globe).withColumn("level", F.explode(F.array(*[F.lit(v) for v in levels])))
+    size = ROOT_DEG / F.pow(F.lit(2.0), F.col("level"))
+    where_ = where_.withColumn("cx", F.floor((F.col("_x") - ROOT_X) / size).cast("int")).withColumn("cy", F.floor((F.col("_y") - ROOT_Y) / size).cast("int"))
+    west, south, _ = _west_south()
+    times = F.transform("edges", lambda e: F.struct(e["region_num"].alias("r"), _crosses(e, west, south, F.col("_x"), F.col("_y")).alias("n")))
+    passed = F.concat(F.transform("inside", lambda r: F.struct(r.alias("r"), F.lit(1).alias("n"))), F.filter(times, lambda t: t["n"] > 0))
+    odd = F.filter(F.array_distinct(F.transform(F.col("_p"), lambda t: t["r"])), lambda r: F.aggregate(
+        F.col("_p"), F.lit(0), lambda acc, t: acc + F.when(t["r"] == r, t["n"]).otherwise(0)) % 2 == 1)
+    found = where_.join(tree, CELL).select(key, "_x", "_y", passed.alias("_p")).select(key, F.array_min(odd).alias("v_regnum"))
+    beyond = points.where(far | x.isNull() | y.isNull()).select(key, F.lit(None).cast("int").alias("v_regnum"))
+    return found.unionByName(beyond)
 
 
 def assemble(div: DataFrame, parts: list[DataFrame], thematic: DataFrame | None = None, key: str = "polyid") -> DataFrame:

@@ -185,6 +185,20 @@ put("row_counts", (*PREP, FIRES), "select 'work_pnt' as table_name, count(*) as
 put("calendar_columns", (FIRES,), """select distinct acq_date_utc, strftime(acq_date_utc,'%Y%j') as yyyyddd, acq_date_utc as back, cast(dayofyear(acq_date_utc) as int) as doy,
  cast(dayofyear(make_date(year(acq_date_utc),12,31)) as int) as n_days, cast(acq_date_utc - date '1990-01-01' as int) as since, cast(strftime(acq_date_utc,'%Y%m%d') as int) as ymd,
  cast(datediff('month', date '1990-01-01', acq_date_utc)+1 as int) as months from fires""")
+put("day_islands", ("""dr as (select 'file'||(o_custkey%3) as file, year(o_orderdate) as y,
+ dayofyear(o_orderdate)+case when o_orderkey%997=0 then -400 when o_orderkey%991=0 then 400 else 0 end as d from orders
+ where (cast(o_orderdate as date)-date '1990-01-01')%17 > o_custkey%3)""",
+    "dk as (select *, d between 1 and dayofyear(make_date(y,12,31)) as good from dr)",
+    "dd as (select distinct file, cast(make_date(y,1,1)+cast(d-1 as int) as date) as dy from dk where good)",
+    # A day starts a run if the day before is not there.
+    "ds as (select a.*, sum(case when b.dy is null then 1 else 0 end) over (partition by a.file order by a.dy) as run from dd a left join dd b on a.file=b.file and b.dy=cast(a.dy-1 as date))",
+    'dt as (select file, min(dy) as "first", max(dy) as "last", count(*) as n_days from ds group by file, run)'),
+    """select file, "first", "last", n_days, cast(coalesce(lead("first") over (partition by file order by "first")-"last"-1,0) as bigint) as missing from dt
+ union all select file, null, null, count(*), 0 from dk where not good group by file""")
+put("period_gaps", ("""pd as (select cast(unnest(generate_series(timestamp '1995-02-20', timestamp '1998-12-31', interval 1 day)) as date) as dy)""",
+    "pm as (select dy from pd where dy not in (select cast(o_orderdate as date) from orders where (cast(o_orderdate as date)-date '1990-01-01')%7<>3))",
+    "pr as (select dy, dy - cast(row_number() over (order by dy) as int) as run from pm)"),
+    'select min(dy) as "first", max(dy) as "last", count(*) as n_days from pr group by run')
 put("day_order_breaks", ("o as (select o_custkey, o_orderkey, cast(o_orderdate as date) as day from orders)",),
     "select * from (select *, lag(day) over (partition by o_custkey order by o_orderkey) as previous from o) where day<previous")
 
@@ -457,6 +471,9 @@ put("grid_unstructured", EMIT, " union all ".join(
     f"select '{t}' as species, acq_date_utc as date, cast((floor((cen_lon+0.005e0)/10)+18)*18+floor((cen_lat+0.005e0)/10)+9 as bigint) as cell, round(({_sum(tm)})*(6.022e23/86400e0/(1e4*{_RE}*{_RE})/0.03e0){f'*1e3/{num(mw)}' if a else ''}/1e9,2)+0e0 as value from em group by all"
     for t, a, mw, tm in _TERMS))
 
+put("grid_unlocated", EMIT, """select acq_date_utc as date, count(*) as n_fires, round(sum(area_m2),2)+0e0 as area_m2, round(sum(CO),1)+0e0 as CO from em
+ where (cast(floor((cen_lon+0.005e0)/10) as int)+18)%5=0 group by acq_date_utc""")
+
 # Regional grids: the projection formulas as SQL text.
 _R = 6370000.0
 _rad = math.radians

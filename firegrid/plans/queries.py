@@ -450,12 +450,9 @@ def detections_to_emissions(spark, sf):
 @query
 def emission_totals(spark, sf):
     """Flagship: burned area, biomass and emissions by region and vegetation type."""
-    sums = ["area_m2", "biomass_kg", "CO2", "CO", "CH4", "NMOC", "OC", "BC"]
-    out = (
-        emitted(spark, sf).withColumn("biomass_kg", F.col("area_m2") * F.col("bmass")).groupBy("region", "genveg")
-        .agg(F.count("*").alias("n_fires"), *[F.sum(c).alias(c) for c in sums])
-    )
-    return rounded(out, {c: 1 for c in sums})
+    species = ["CO2", "CO", "CH4", "NMOC", "OC", "BC"]
+    out = E.emission_sums(E.accepted(burned(spark, sf)), ["region"], species)
+    return rounded(out, {c: 1 for c in ("area_m2", "biomass_kg", *species)})
 
 
 @query
@@ -532,7 +529,7 @@ def reject_counts(spark, sf):
 @query
 def global_totals(spark, sf):
     sp = ["CO2", "CO", "PM25"]
-    return rounded(S.global_totals(emitted(spark, sf), sp), {c: 0 for c in ("area_m2", "biomass_kg", *sp)})
+    return rounded(S.global_totals(E.emission_sums(E.accepted(burned(spark, sf)), [], sp), sp), {c: 0 for c in ("area_m2", "biomass_kg", *sp)})
 
 
 @query
@@ -620,8 +617,16 @@ def _model_cells(spark: SparkSession, sf: str) -> DataFrame:
 def grid_unstructured(spark, sf):
     cells = cut(G.mark_grid_cells(G.trim_corners(_model_cells(spark, sf))))
     e = emitted(spark, sf).groupBy("acq_date_utc", "cen_lon", "cen_lat").agg(*[F.sum(s).alias(s) for s in ("CO", "NO", "NO2", "OC", "BC")])
-    e = cut(e.withColumn("rid", F.struct("acq_date_utc", "cen_lon", "cen_lat")))
-    return _per_cell(G.grid_unstructured(G.locate_cells(e, cells, "rid"), cells, _map(spark)))
+    return _per_cell(G.grid_unstructured(G.locate_fires(cut(e), cells), cells, _map(spark)))
+
+
+@query
+def grid_unlocated(spark, sf):
+    """Fires outside the cells of a grid that leaves out every fifth column of squares, per day."""
+    some = _model_cells(spark, sf).where("cast(floor((lon + 180) / 10) as int) % 5 <> 0")
+    cells = cut(G.mark_grid_cells(G.trim_corners(some)))
+    e = emitted(spark, sf).select("acq_date_utc", "cen_lon", "cen_lat", "area_m2", "CO")
+    return rounded(G.unlocated(G.locate_fires(e, cells), ["area_m2", "CO"]), {"area_m2": 2, "CO": 1})
 
 
 def _wrf(name: str) -> Query:
@@ -689,6 +694,24 @@ def period_check(spark, sf):
     return G.validate_period(d, "1998-01-01", "2049-12-31")
 
 
+@query
+def day_islands(spark, sf):
+    """Covered days by file: three files of order days with days left out, and some numbers below 1 or beyond the year."""
+    day = F.to_date("o_orderdate")
+    kept = table(spark, sf, "orders").where(F.expr("datediff(to_date(o_orderdate), date '1990-01-01') % 17 > (o_custkey % 3)"))
+    rows = kept.select(
+        F.concat(F.lit("file"), F.col("o_custkey") % 3).alias("file"), F.year(day).alias("year"),
+        (F.dayofyear(day) + F.when(F.col("o_orderkey") % 997 == 0, -400).when(F.col("o_orderkey") % 991 == 0, 400).otherwise(0)).alias("day"))
+    return G.day_islands(rows)
+
+
+@query
+def period_gaps(spark, sf):
+    """Days of a period without an order of every seventh weekday."""
+    d = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date")).where(F.expr("datediff(date, date '1990-01-01') % 7 <> 3"))
+    return G.period_gaps(d, "1995-02-20", "1998-12-31")
+
+
 # -- pixel tables ------------------------------------------------------------------------------------------------
 
 def _scatter(spark: SparkSession, sf: str) -> DataFrame:
