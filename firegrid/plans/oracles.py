@@ -177,6 +177,26 @@ put("detection_extent", PREP, "select cast(floor(min(lon)) as bigint) x0, cast(f
 put("distinct_dates", PREP, "select acq_date_use, count(*) as n from pnt group by all")
 TILE = "tiled as (select *, printf('h%02dv%02d', cast(floor(lon*cos(radians(lat))/10e0+18e0) as int), cast(floor(9e0-lat/10e0) as int)) as tile from pnt)"
 put("tile_counts", (*PREP, TILE), "select tile, count(*) as n from tiled group by all")
+_PX = f"""px as (select *, lon*cos(radians(lat))/10e0+18e0 as u, 9e0-lat/10e0 as w from pnt),
+pp as (select *, printf('h%02dv%02d', cast(floor(u) as int), cast(floor(w) as int)) as tile, least(floor((w-floor(w))*1200),1199)*1200+least(floor((u-floor(u))*1200),1199) as pos from px)"""
+put("pixel_coverage", (*PREP, _PX, "ok as (select distinct tile, pos from pp where rawid%3=0 or rawid%5=0)"),
+    """select tile, count(*) as n_fire, cast(count(ok.pos) as bigint) as n_contained, cast(coalesce((select count(*) from ok o where o.tile=pp.tile),0) as bigint) as n_pixels
+ from pp left join ok using (tile, pos) group by tile""")
+
+
+def _touched(src: str) -> tuple[str, ...]:
+    """Tiles of boxes (key, x0, x1, y0, y1): every band of ten degrees with the range of x cos(y) on a fine ladder of its ends."""
+    return (
+        f"tv as (select *, unnest(range(cast(floor(9e0-y1/10e0) as int), cast(floor(9e0-y0/10e0) as int)+1)) as v from {src})",
+        "tn as (select *, least(y1, 90e0-v*10e0) as nn, greatest(y0, 80e0-v*10e0) as ss from tv)",
+        "tc as (select *, unnest([cos(radians(nn)), cos(radians(ss)), cos(radians(greatest(ss, least(nn, 0e0))))]) as c from tn where nn>=ss)",
+        "tu as (select key, v, min(least(x0*c, x1*c)) as u0, max(greatest(x0*c, x1*c)) as u1 from tc group by key, v, x0, x1, y0, y1)",
+        "bt as (select distinct key, printf('h%02dv%02d', cast(h as int), cast(v as int)) as tile from (select key, v, unnest(range(cast(floor(u0/10e0+18e0) as int), cast(floor(u1/10e0+18e0) as int)+1)) as h from tu))",
+    )
+
+
+put("box_tiles", (*PREP, "bx as (select cleanid as key, lon-0.25e0 as x0, lon+0.25e0 as x1, lat-0.25e0 as y0, lat+0.25e0 as y1 from pnt)", *_touched("bx")),
+    "select tile, count(*) as n from bt group by tile")
 put("tile_coverage", (*PREP, TILE), """select tile, count(*) as n_fire, bool_or(instrument='MODIS') or not bool_or(rawid%3<>0) as ok, bool_or(rawid%3<>0) and not bool_or(instrument='MODIS') as need from tiled group by tile""")
 put("density_grid", PREP, """, b as (select min(lon) x0, max(lat) y1 from pnt), c as (select cast(floor((lon-x0)/2.0e0) as bigint) idx, cast(floor((y1-lat)/2.0e0) as bigint) jdx, count(*) n from pnt, b group by all),
 t as (select max(n) top from c) select idx, jdx, n, round(case when top>2000 then log10(n) when top>20 then sqrt(n) else n end,6)+0e0 as shade from c, t""")
@@ -274,6 +294,8 @@ _ALONE = "afull where n_sites=1"
 put("area_outlines", (*A_BASE, *SCAN), f"""select ar.fireid, cast(1 as bigint) as n_polygons, cast(coalesce(1-iv.n+coalesce(ov.n,0),0) as bigint) as n_holes, {r('a',6,'area_sqkm')} from ar
  left join (select fireid, count(*) as n from iu group by fireid) iv using (fireid)
  left join (select p.fireid, count(*) as n from iu p join iu q on p.fireid=q.fireid and p.k+1=q.k and p.x0<q.x1 and q.x0<p.x1 group by p.fireid) ov using (fireid)""")
+put("area_tiles", (*A_BASE, *SCAN, f"""bx as (select fireid as key, x0, x1, y-h/2e0 as y0, y+h/2e0 as y1 from iu
+ union all select fireid, lon-fire_dx, lon+fire_dx, lat-fire_dy, lat+fire_dy from {_ALONE})""", *_touched("bx")), "select tile, count(*) as n from bt group by tile")
 VORONOI_ALL = (
     "sd as (select fireid, lon, lat, min(cleanid) as seed from apoint group by fireid, lon, lat)",
     "pr as (select iu.*, s.seed, s.lon-x0 as u, (s.lon-x0)*(s.lon-x0)+(s.lat-y)*(s.lat-y) as c from iu join sd s using (fireid))",

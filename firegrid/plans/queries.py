@@ -17,7 +17,7 @@ from firegrid.functions import dates as D
 from firegrid.functions.geo import box_area_km2, modis_tile
 from firegrid.functions.projection import LAMBERT, LATLON, MERCATOR, POLAR, Domain, ijll, llij
 from firegrid.operators import (
-    cluster as C, compare, emissions as E, grid as G, joins as J, legacy as L, outline as O, prep as P, raster as R, report as S,
+    cluster as C, compare, coverage as Q, emissions as E, grid as G, joins as J, legacy as L, outline as O, prep as P, raster as R, report as S,
     shapes, skim as K, speciesmap as M, subdivide as V, wrf as W, zonal as Z,
 )
 from firegrid.operators.components import connected_components
@@ -177,6 +177,33 @@ def tile_coverage(spark, sf):
     return S.coverage(p, p.where("instrument = 'MODIS'").select(tile), p.where("rawid % 3 <> 0").select(tile))
 
 
+@query
+def pixel_coverage(spark, sf):
+    """Detections on valid pixels of 1200 x 1200 a tile; the valid ones come as two overlapping deliveries."""
+    p = points(spark, sf)
+    delivered = [Q.footprint(p.where(c).select(*Q.pixel_of(F.col("lon"), F.col("lat"), 1200))) for c in ("rawid % 3 = 0", "rawid % 5 = 0")]
+    prints = cut(Q.united(delivered))
+    return Q.contained(p, prints, 1200).join(Q.n_valid(prints), "tile", "left").na.fill(0, ["n_pixels"])
+
+
+@query
+def box_tiles(spark, sf):
+    """Tiles that the neighbourhood boxes of detections touch, widened to half a degree, and how many touch each."""
+    p = points(spark, sf)
+    wide = [(F.col(c) + s * 0.25).alias(n) for n, c, s in (("x0", "lon", -1), ("x1", "lon", 1), ("y0", "lat", -1), ("y1", "lat", 1))]
+    return Q.tile_needs(Q.tiles_of(p.select("cleanid", *wide), ["cleanid"]))
+
+
+@query
+def area_tiles(spark, sf):
+    """Tiles that burned areas touch, strip by strip."""
+    c = C.cluster(points(spark, sf), "aggressive")
+    inside = O.area_intervals(c.hulls, shapes.Shape(shapes.multi_hulls(c.hulls), fill=False))
+    half = F.col("h") / 2.0
+    strips = inside.select("fireid", "x0", "x1", (F.col("y") - half).alias("y0"), (F.col("y") + half).alias("y1"))
+    return Q.tile_needs(Q.tiles_of(strips, ["fireid"]))
+
+
 @query
 def density_grid(spark, sf):
     return rounded(S.density(points(spark, sf), 2.0), {"shade": 6})
