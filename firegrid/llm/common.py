@@ -49,6 +49,14 @@ def map_batches(
     return df.mapInArrow(run, target)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def word_array(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text as an array; null and blank texts have none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE))

@@ -14,7 +14,7 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from firegrid.llm.common import keep_rows, map_batches
+from firegrid.llm.common import keep_rows, map_batches, unused
 from firegrid.session import cut
 
 WINDOW = 13
@@ -201,5 +201,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
 
         return keep_rows(docs, "text", keep)
     found = find_contamination(docs, benchmark, window, max_windows, with_hash=True)
-    bad = found.where(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias("_bad"), F.col("_h").alias("_bad_h")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad")) & (F.xxhash64(docs["text"]) == F.col("_bad_h")), "left_anti")
+    bad_id, bad_h = unused(docs, "_bad"), unused(docs, "_bad_h")
+    bad = found.where(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias(bad_id), F.col("_h").alias(bad_h)).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col(bad_id)) & (F.xxhash64(docs["text"]) == F.col(bad_h)), "left_anti")

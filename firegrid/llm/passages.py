@@ -20,7 +20,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from firegrid.llm.common import map_batches
+from firegrid.llm.common import map_batches, unused
 from firegrid.operators.joins import hot_lookup
 from firegrid.session import cut
 
@@ -182,9 +182,12 @@ def n_removed(spans) -> F.Column:
 
 
 def without_repeats(docs: DataFrame, min_line_words: int = MIN_LINE_WORDS, min_run_words: int = MIN_RUN_WORDS) -> DataFrame:
-    """``docs`` with repeated passages cut out of ``text``; ``_removed`` has the spans in the original text."""
-    found = find_repeats(docs, min_line_words, min_run_words).select(F.col("doc_id").alias("_id"), F.col("spans").alias("_removed")).distinct()
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(F.col("_id")), "left").drop("_id")
+    """``docs`` with repeated passages cut out of ``text``; ``_removed`` has the spans in the original text, in place of a column of that name."""
+    found = find_repeats(docs, min_line_words, min_run_words)
+    docs = docs.drop("_removed")
+    same = unused(docs, "_id")
+    found = found.select(F.col("doc_id").alias(same), F.col("spans").alias("_removed")).distinct()
+    joined = docs.join(found, docs["doc_id"].eqNullSafe(F.col(same)), "left").drop(same)
     parts = F.aggregate(
         "_removed", F.struct(F.lit("").alias("kept"), F.lit(0).alias("at")),
         lambda acc, s: F.struct(F.concat(acc["kept"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"])).alias("kept"), s["end"].alias("at")),

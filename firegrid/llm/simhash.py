@@ -20,7 +20,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from firegrid.llm.common import map_batches
+from firegrid.llm.common import map_batches, unused
 from firegrid.operators.components import connected_components
 from firegrid.operators.joins import hot_lookup
 from firegrid.session import cut
@@ -132,8 +132,9 @@ def keep_first(docs: DataFrame, width: int = 3, crowd: int = CROWD) -> DataFrame
 
 def keep_one(docs: DataFrame, found: DataFrame, prints: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``keep_first`` for the result ``found`` of a search; ``prints`` gives (doc_id, fp) of rows."""
-    first = found.where("component_id IS NOT NULL").select(F.col("component_id").alias("_first")).distinct()
-    named = docs.where("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("_first"), "left_semi")
+    first_id, text = unused(docs, "_first"), unused(docs, "_text")
+    first = found.where("component_id IS NOT NULL").select(F.col("component_id").alias(first_id)).distinct()
+    named = docs.where("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col(first_id), "left_semi")
     # Rows that share an id are few; a group holds the rows of one id, never a component.
     packed = named.select("doc_id", F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("_row")["text"]))
@@ -145,8 +146,8 @@ def keep_one(docs: DataFrame, found: DataFrame, prints: Callable[[DataFrame], Da
     lost = cut(found.where("component_id IS NULL").select(F.col("fp").alias("_lost")).distinct())
     texts = prints(unnamed.select(F.col("text").alias("doc_id"), "text")).join(lost, F.col("fp") == F.col("_lost"))
     least = F.min(F.struct(F.col("doc_id").isNotNull().alias("is_text"), F.col("doc_id").alias("text")))
-    chosen = cut(texts.groupBy("fp").agg(least.alias("t")).select(F.col("t.text").alias("_text")))
-    return named.unionByName(unnamed.join(chosen, F.col("text").eqNullSafe(F.col("_text")), "left_semi").dropDuplicates(["text"]))
+    chosen = cut(texts.groupBy("fp").agg(least.alias("t")).select(F.col("t.text").alias(text)))
+    return named.unionByName(unnamed.join(chosen, F.col("text").eqNullSafe(F.col(text)), "left_semi").dropDuplicates(["text"]))
 
 
 def hex_print(fp: Column) -> Column:
