@@ -409,6 +409,7 @@ ORACLES["zonal_lct_tiled"] = ORACLES["zonal_lct_hist"]
 put("zonal_lct_majority", (*C_BASE, *C_CELL, _HIST.format(p="c")), "select fireid, v_lct, cv_lct from h qualify row_number() over (partition by fireid order by cv_lct desc, v_lct)=1")
 _avg = ", ".join(f"round(avg(case when {b} between 0 and 100 then {b} end),6)+0e0 as v_{b}" for b in ("tree", "herb", "bare"))
 put("zonal_vcf_mean", (*A_BASE, *A_CELL), f"select fireid, {_avg} from aval group by fireid")
+ORACLES["zonal_vcf_runs"] = ORACLES["zonal_vcf_mean"]
 put("zonal_region", PREP, """, k as (select distinct cast(floor((longitude+180)/30) as int) as k from det)
 select cleanid, cast(k.k+1 as int) as v_regnum from pnt left join k on floor((lon+0.0003e0+180)/30)=k.k""")
 put("zonal_frp", PREP, "select rawid%997 as polyid, round(avg(frp),6)+0e0 as v_frp from pnt where rawid%11<>0 group by all")

@@ -407,12 +407,12 @@ def by_runs(c: C.Clusters, raster: Z.Raster) -> DataFrame:
 @query
 def zonal_lct_hist(spark, sf):
     c = C.cluster(points(spark, sf), "aggressive")
-    return rounded(by_runs(c, Z.Raster(pixels(spark, sf))), {"f_lct": 6})
+    return rounded(Z.class_histogram(cut(shapes.pixel_cells(c.hulls, PIXEL_RES)), pixels(spark, sf), "fireid"), {"f_lct": 6})
 
 
 @query
 def zonal_lct_tiled(spark, sf):
-    """The same from a table stored by tile, of which only the touched tiles are read."""
+    """The same by runs of pixels, from a table stored by tile, of which only the touched tiles are read."""
     c = C.cluster(points(spark, sf), "aggressive")
     path = f"{run_dir(spark)}/pixels-{uuid.uuid4().hex}"
     write_pixels(pixels(spark, sf), path, PIXEL_RES)
@@ -422,11 +422,20 @@ def zonal_lct_tiled(spark, sf):
 @query
 def zonal_lct_majority(spark, sf):
     c = C.cluster(points(spark, sf), "conservative")
-    return by_runs(c, Z.Raster(pixels(spark, sf))).where("r_lct = 1").select("fireid", "v_lct", "cv_lct")
+    h = Z.class_histogram(cut(shapes.pixel_cells(c.hulls, PIXEL_RES)), pixels(spark, sf), "fireid")
+    return h.where("r_lct = 1").select("fireid", "v_lct", "cv_lct")
 
 
 @query
 def zonal_vcf_mean(spark, sf):
+    c = C.cluster(points(spark, sf), "aggressive")
+    m = Z.band_means(cut(shapes.pixel_cells(c.hulls, PIXEL_RES)), pixels(spark, sf), ["tree", "herb", "bare"], "fireid")
+    return rounded(m, {"v_tree": 6, "v_herb": 6, "v_bare": 6})
+
+
+@query
+def zonal_vcf_runs(spark, sf):
+    """The same by runs of pixels and running sums."""
     c = C.cluster(points(spark, sf), "aggressive")
     return rounded(by_runs(c, Z.Raster(pixels(spark, sf), ("tree", "herb", "bare"))), {"v_tree": 6, "v_herb": 6, "v_bare": 6})
 
