@@ -105,7 +105,8 @@ def area_totals(fires: DataFrame, extra: list[str] | None = None) -> DataFrame:
 def global_totals(sums: DataFrame, species: list[str]) -> DataFrame:
     """Burned area, biomass and species sums per vegetation type and overall (genveg null).
 
-    ``sums``: rows by vegetation (``emissions.emission_sums``), so that only a few rows are rolled up.
+    ``sums``: rows by vegetation (``emissions.emission_sums``, ``emissions.sums_of_emitted``), so that only a
+    few rows are rolled up.
     """
     return sums.rollup("genveg").agg(*[F.sum(c).alias(c) for c in ("n_fires", "area_m2", "biomass_kg", *species)])
 

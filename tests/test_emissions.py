@@ -140,3 +140,19 @@ def test_v1_cane_box_and_moz4_slots(spark):
     assert [c for c in out.columns if c[:2] in ("m_", "v_")][:4] == ["m_CO2", "m_CO", "m_H2", "m_NO"] and len(out.columns) == 40 + 6
     o = out.first()
     assert o.m_NO == pytest.approx(r.NO * 1e3 / 30.01 + 2.5 * r.NMOC) and o.v_S24 == pytest.approx(2.4 * r.NMOC)
+
+
+def test_whole_chain_totals(spark, monkeypatch):
+    """The query's last step on given fires: the same totals as by sums of biomass, and by adding up."""
+    from firegrid.plans import queries
+
+    rows = fire(spark).unionByName(fire(spark, polyid=1, v_lct=2, area_sqkm=2.5)).unionByName(fire(spark, polyid=2, area_sqkm=3.0))
+    monkeypatch.setattr(queries, "processed", lambda spark, sf: rows)
+    got = {r.genveg: r for r in queries.REGISTRY["detections_to_emissions"](spark, "").collect()}
+    fires = E.emit(E.accepted(E.burned_fires(rows))).collect()
+    assert len(fires) == 3 and set(got) == {None} | {r.genveg for r in fires}
+    for veg, r in got.items():
+        some = [f for f in fires if veg in (None, f.genveg)]
+        assert r.n_fires == len(some)
+        assert r.biomass_kg == pytest.approx(sum(f.area_m2 * f.bmass for f in some), abs=1)
+        assert [r.area_m2, r.CO2, r.CO, r.NMOC] == pytest.approx([sum(f[c] for f in some) for c in ("area_m2", "CO2", "CO", "NMOC")], abs=1)
