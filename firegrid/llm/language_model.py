@@ -10,10 +10,16 @@ row per piece and shard, so nothing is exploded into a row per word:
    sum per document, in whole codes, so that the order of adding does not matter;
 4. the piece adds the sums of its documents up.
 
-A context is a word and a class of its history.  Words above ``HEAVY`` occurrences have several classes: the
-class is a hash of the words further back, as far as these are heavy as well, and of the document where the
-history ends.  So no word, phrase or start of a text fills a shard: a class is a condition of the model like
-the words themselves, and the probabilities of a context still add up to one.
+A context is a word, whatever the size of the corpus.  What follows a word of more than ``CROWD`` occurrences
+would fill a shard, so its pairs and triples, each counted once per piece, are spread by their own hash: pairs by
+both words, triples by the word and the one before it or, where that is as frequent, by all three.  Their
+shards answer with corpus counts, the numbers of different successors are added up over the shards, and the
+piece works the same probabilities out (``_crowded``, ``_counted``, ``_told_apart``).  So no word, phrase or start
+of a text fills a shard, and the limit leaves no trace in the scores.
+
+A caller can ask for another model, in which words above ``heavy`` occurrences have several classes of contexts:
+the class is a hash of the words further back, as far as these are heavy as well, and of the document where the
+history ends.
 """
 
 from __future__ import annotations
@@ -27,13 +33,13 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from firegrid.llm.common import _pieces
-from firegrid.llm.ngram_trie import STEP, Trie, code_of
+from firegrid.llm.ngram_trie import DISCOUNT, STEP, Trie, code_of
 from firegrid.session import cut
 
 # Bytes of text of a piece, and bytes of all texts for one shard of words and of contexts.
 PIECE, WORD_SHARD, SHARD = 8 << 20, 16 << 20, 4 << 20
-# Occurrences of a word (or of a longer context of such words) that one class of contexts holds.
-HEAVY = 1 << 18
+# Occurrences of a word whose successors one shard holds; the limit grows so that at most MAX_CROWDED words exceed it.
+CROWD, MAX_CROWDED = 1 << 20, 2000
 # Words of history that decide the class of a heavy context, before the document itself does.
 HISTORY = 8
 CLASS_BITS = 20
@@ -147,16 +153,17 @@ def _numbered(table: pa.Table, n_shards: int) -> pa.Table:
     payload = [pack(ids[at[e - k : e]], total[at[e - k : e]]) for e, k in zip(stop, n)]
     rest = [0] * (len(n) - 1)
     totals = {"n": ([int(total.sum()), *rest], pa.int64()), "v": ([int((total > 0).sum()), *rest], pa.int64()),
-              "top": ([int(ids.max()), *rest], pa.int64())}
+              "top": ([int(ids.max()), *rest], pa.int64()), "most": ([int(total.max()), *rest], pa.int64())}
     return _frame({"piece": (table["piece"].to_pylist(), pa.int64()), "shard": ([shard] * len(n), pa.int64()), "payload": (payload, pa.binary()), **totals})
 
 
-def contexts(ids: np.ndarray, c: np.ndarray, n: np.ndarray, doc: np.ndarray, end: int, c_end: int, heavy: int) -> tuple[np.ndarray, np.ndarray]:
+def contexts(ids: np.ndarray, c: np.ndarray, n: np.ndarray, doc: np.ndarray, end: int, c_end: int, heavy: int | None) -> tuple[np.ndarray, np.ndarray]:
     """(key, u) of every token: its context, from the words before it, and the word before those.
 
     ``ids`` and ``c`` are the tokens' ids and corpus counts, ``n`` the tokens of each document, ``doc`` a
     number per document that tells documents apart, ``end`` and ``c_end`` the id and count of the end token,
     which also stands before every document.  A key is word << CLASS_BITS | class; unknown words have a negative one.
+    Without ``heavy`` every class is 0.
     """
     start = np.repeat(np.cumsum(n) - n, n)
     at = np.arange(len(ids))
@@ -169,6 +176,8 @@ def contexts(ids: np.ndarray, c: np.ndarray, n: np.ndarray, doc: np.ndarray, end
 
     v, c_v, inside = back(1)
     u, _, _ = back(2)
+    if heavy is None:
+        return np.where(v >= 0, v << CLASS_BITS, UNKNOWN), u
     # Only tokens behind a heavy word go on; each round looks one word further back.
     h = np.zeros(len(ids), np.uint64)
     go = np.flatnonzero(c_v > heavy)
@@ -192,7 +201,130 @@ def unigram(c: np.ndarray, n: int, v: int) -> np.ndarray:
     return (c + 0.5) / (n + 0.5 * (v + 1))
 
 
-def _sent(table: pa.Table, total: int, vocabulary: int, n_shards: int, heavy: int) -> pa.Table:
+def _groups(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the group of each row, a row of each group): rows that agree in all columns, in sorted order."""
+    order = np.lexsort(columns[::-1])
+    fresh = np.zeros(len(order), bool)
+    fresh[:1] = True
+    for c in columns:
+        fresh[1:] |= np.diff(c[order]) != 0
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(fresh) - 1
+    return number, order[fresh]
+
+
+def _count(at: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    return np.bincount(at, n, size).astype(np.int64)
+
+
+def _crowded(at: np.ndarray, tokens: np.ndarray, start: np.ndarray, doc: np.ndarray, learns: np.ndarray,
+             word_ids: np.ndarray, word_c: np.ndarray, n_shards: int, crowd: int) -> tuple[bytes, list[tuple[int, bytes]]]:
+    """(what the piece keeps, payload by shard) for its tokens ``at`` behind crowded words.
+
+    Sent are the different pairs (v, w) and triples (v, u, w) with their training counts; kept is where in the
+    answers a triple of a document finds its numbers.
+    """
+    end, size = tokens[-1], len(word_ids)
+    v, u = (np.where(at - k >= start[at], tokens[np.maximum(at - k, 0)], end) for k in (1, 2))
+    pairs, pair = np.unique(v * size + tokens[at], return_inverse=True)
+    triples, triple = np.unique(pair * size + u, return_inverse=True)
+    v, w = pairs // size, pairs % size
+    of, u = triples // size, triples % size
+    learnt = learns[doc[at]].astype(np.int64)
+    n_pair, n_triple = _count(pair, learnt, len(pairs)), _count(triple, learnt, len(triples))
+    both = word_c[u] > crowd
+    h_v = _mix(np.zeros(len(v), np.uint64), word_ids[v])
+    h_u = _mix(h_v[of], word_ids[u])
+    shard_p = (_mix(h_v, word_ids[w]) % np.uint64(n_shards)).astype(np.int64)
+    shard_t = (np.where(both, _mix(h_u, word_ids[w[of]]), h_u) % np.uint64(n_shards)).astype(np.int64)
+    by_p, by_t = np.argsort(shard_p, kind="stable"), np.argsort(shard_t, kind="stable")
+    # How often a crowded predecessor and the context follow each other is the count of another pair of the piece;
+    # in front of a document stands the end, as often as there are documents.
+    inner = both & (v[of] != end)
+    back = np.where(inner, np.searchsorted(pairs, np.where(inner, u * size + v[of], 0)), -1)
+    place_p, place_t = np.empty(len(pairs), np.int64), np.empty(len(triples), np.int64)
+    place_p[by_p], place_t[by_t] = np.arange(len(pairs)), np.arange(len(triples))
+    back = np.where(inner, place_p[np.maximum(back, 0)], -1)
+    each, first = _groups(doc[at], place_t[triple])
+    kept = pack(
+        doc[at][first], place_t[triple][first], np.bincount(each), word_ids[v][by_p], word_c[v][by_p], word_c[w][by_p],
+        place_p[of][by_t], word_ids[u][by_t], both[by_t].astype(np.uint8), back[by_t], np.array([word_c[end]]))
+    sent = []
+    for s in np.unique(np.concatenate([shard_p, shard_t])).tolist():
+        p, t = by_p[shard_p[by_p] == s], by_t[shard_t[by_t] == s]
+        sent.append((s, pack(word_ids[v[p]], word_ids[w[p]], n_pair[p], word_ids[v[of[t]]], word_ids[u[t]], word_ids[w[of[t]]], n_triple[t],
+                             both[t].astype(np.uint8))))
+    return kept, sent
+
+
+def _counted(table: pa.Table) -> pa.Table:
+    """The corpus counts that the pieces asked one shard for, and in a row of piece -1 how many successors words and pairs have here."""
+    shard, pieces = table["shard"][0].as_py(), table["piece"].to_pylist()
+    asked = [unpack(raw) for raw in table["payload"].to_pylist()]
+    pv, pw, pn, v, u, w, n, both = (np.concatenate([a[k] for a in asked]) for k in range(8))
+    g, first = _groups(pv, pw)
+    n_pair = _count(g, pn, len(first))
+    words, many_words = np.unique(pv[first][n_pair > 0], return_counts=True)
+    t, at = _groups(v, u, w)
+    n_triple = _count(t, n, len(at))
+    c, top = _groups(v[at], u[at])
+    n_pred, many = _count(c, n_triple, len(top)), _count(c, n_triple > 0, len(top))
+    # Behind two crowded words this is but a part: it is added up over the shards.
+    spread = both[at][top] > 0
+    part = spread & (many > 0)
+    stats = pack(
+        np.concatenate([np.full(len(words), -1), u[at][top][part]]), np.concatenate([words, v[at][top][part]]), np.concatenate([many_words, many[part]]))
+    n_pred, many = np.where(spread, 0, n_pred), np.where(spread, 0, many)
+    of = c[t]
+    out, stop_p, stop_t = [stats], 0, 0
+    for a in asked:
+        start_p, stop_p, start_t, stop_t = stop_p, stop_p + len(a[0]), stop_t, stop_t + len(a[3])
+        p, s = slice(start_p, stop_p), slice(start_t, stop_t)
+        out.append(pack(n_pair[g[p]], n_triple[t[s]], n_pred[of[s]], many[of[s]]))
+    return _rows([-1, *pieces], [shard] * len(out), out)
+
+
+def successors(counted: DataFrame, universe: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, numbers): how many words follow crowded words (key: the word) and pairs of them (key: (u + 1) * universe + v), at most
+    MAX_CROWDED words and as many squared pairs.
+    """
+    def listed(batches):
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                u, v, many = unpack(raw)
+                yield pa.record_batch({"key": (u + 1) * universe + v, "many": many})
+
+    rows = counted.where("piece < 0").select("payload").mapInArrow(listed, "key bigint, many bigint")
+    found = rows.groupBy("key").agg(F.sum("many").alias("many")).orderBy("key").toArrow()
+    return found["key"].to_numpy(), found["many"].to_numpy()
+
+
+def _told_apart(kept: bytes, answers: list[bytes], total: int, vocabulary: int, universe: int, known: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """(document, sum of codes) of the triples behind crowded words: the probabilities of ``Trie.pack`` from corpus counts."""
+    keys, numbers = known
+    n_pair, n_triple, n_pred, many = (np.concatenate(a) for a in zip(*map(unpack, answers)))
+    doc, triple, times, v, c_v, c_w, of, u, both, back, c_end = unpack(kept)
+
+    def after(key: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return np.where(keys[at] == key, numbers[at], 0)
+
+    p1 = unigram(c_w, total, vocabulary)
+    backoff = DISCOUNT * after(v) / c_v
+    p2 = np.where(n_pair > 0, (n_pair - DISCOUNT) / c_v, 0.0) + backoff * p1
+    code = np.where(n_pair > 0, code_of(p2), code_of(p1) + code_of(backoff))[of]
+    two = both > 0
+    many = np.where(two, after((u + 1) * universe + v[of]), many)
+    n_pred = np.where(two, np.where(back >= 0, n_pair[np.maximum(back, 0)], c_end[0]), n_pred)
+    seen = many > 0
+    backoff = np.where(seen, DISCOUNT * many / np.maximum(n_pred, 1), 1.0)
+    deep = n_triple > 0
+    p3 = np.where(deep, (n_triple - DISCOUNT) / np.maximum(n_pred, 1) + backoff * p2[of], 1.0)
+    code = np.where(deep, code_of(p3), code + code_of(backoff))
+    return [doc, times * code[triple]]
+
+
+def _sent(table: pa.Table, total: int, vocabulary: int, n_shards: int, heavy: int | None, crowd: int, n_crowded: int) -> pa.Table:
     """Unigram sums of a piece (in a shard of its own, below 0) and its triples by shard of their context."""
     piece = table["piece"][0].as_py()
     rows = sorted(zip(table["shard"].to_pylist(), table["payload"].to_pylist()), key=lambda r: r[0])
@@ -211,15 +343,21 @@ def _sent(table: pa.Table, total: int, vocabulary: int, n_shards: int, heavy: in
     lost = key < 0
     here = np.bincount(doc[lost], q1[lost], len(n)).astype(np.int64)
     own = pack(doc_id, is_null, learns, n, _sums((c > 0).astype(np.int64), n), here)
-    out = [(piece, -1 - piece, pickle.dumps((own, base.tobytes())))]
-    keep = np.flatnonzero(~lost)
+    start = np.repeat(np.cumsum(n) - n, n)
+    at = np.arange(len(ids))
+    crowded = ~lost & (np.where(at > start, c[np.maximum(at - 1, 0)], c_end) > crowd) if heavy is None else np.zeros(len(ids), bool)
+    kept, sent = None, []
+    if crowded.any():
+        kept, sent = _crowded(np.flatnonzero(crowded), tokens, start, doc, learns, word_ids, word_c, n_crowded, crowd)
+    out = [(piece, -1 - piece, pickle.dumps((own, base.tobytes(), kept))), *[(piece, n_shards + s, raw) for s, raw in sent]]
+    keep = np.flatnonzero(~lost & ~crowded)
     # Keys by shard; triples by key, then by the piece's own numbers of their words, then by document.
     keys, of_key = np.unique(key[keep], return_inverse=True)
     shard_of = (_mix(np.zeros(len(keys), np.uint64), keys) % np.uint64(n_shards)).astype(np.int64)
     by_shard = np.lexsort((keys, shard_of))
     rank = np.empty(len(keys), np.int64)
     rank[by_shard] = np.arange(len(keys))
-    start = np.repeat(np.cumsum(n) - n, n)[keep]
+    start = start[keep]
     before = np.where(keep - 2 >= start, tokens[np.maximum(keep - 2, 0)], tokens[-1])
     left, right = rank[of_key] * len(word_ids) + before, tokens[keep] * len(n) + doc[keep]
     order = np.lexsort((right, left))
@@ -240,11 +378,13 @@ def _sent(table: pa.Table, total: int, vocabulary: int, n_shards: int, heavy: in
     return _rows(*map(list, zip(*out)))
 
 
-def _scored(table: pa.Table, total: int, vocabulary: int, top: int) -> pa.Table:
+def _scored(table: pa.Table, total: int, vocabulary: int, top: int, n_shards: int) -> pa.Table:
     """Per piece, the sum of the codes of its triples for each document; a piece's own sums go through."""
     shard = table["shard"][0].as_py()
     if shard < 0:
         return table
+    if shard >= n_shards:
+        return _counted(table)
     pieces = table["piece"].to_pylist()
     parts: list[list[np.ndarray]] = [[] for _ in range(7)]
     for k, raw in enumerate(table["payload"].to_pylist()):
@@ -272,21 +412,24 @@ def _scored(table: pa.Table, total: int, vocabulary: int, top: int) -> pa.Table:
 RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
-def _summed(table: pa.Table, total: int) -> pa.Table:
+def _summed(table: pa.Table, total: int, vocabulary: int, top: int, n_shards: int, known: tuple[np.ndarray, np.ndarray] | None) -> pa.Table:
     rows = sorted(zip(table["shard"].to_pylist(), table["payload"].to_pylist()), key=lambda r: r[0])
-    packed, base = pickle.loads(rows[0][1])
+    packed, base, kept = pickle.loads(rows[0][1])
     doc_id, is_null, learns, n, n_known, codes = unpack(packed)
     codes = codes.copy()
-    for _, raw in rows[1:]:
+    for _, raw in [r for r in rows[1:] if r[0] < n_shards]:
         docs, sums = unpack(raw)
         codes[np.cumsum(docs)] += sums
+    if kept is not None:
+        np.add.at(codes, *_told_apart(kept, [raw for s, raw in rows if s >= n_shards], total, vocabulary, top + 1, known))
     return pa.table({
         "doc_id": pa.array(doc_id, mask=is_null.astype(bool)), "held_out": pa.array(learns == 0), "n_tokens": pa.array(n),
         "n_known": pa.array(n_known), "train_tokens": pa.array(np.full(len(n), total, np.int64)),
         "base_score": pa.array(np.frombuffer(base, np.float64)), "score": pa.array(-codes / STEP)})
 
 
-def score(docs: DataFrame, held_out: Column, piece: int = PIECE, word_shard: int = WORD_SHARD, shard: int = SHARD, heavy: int = HEAVY) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, piece: int = PIECE, word_shard: int = WORD_SHARD, shard: int = SHARD, heavy: int | None = None,
+          crowd: int = CROWD) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``.
 
     The model learns from the rows where ``held_out`` is not true, and scores all of them.  Tokens are the
@@ -297,8 +440,8 @@ def score(docs: DataFrame, held_out: Column, piece: int = PIECE, word_shard: int
 
     Null and empty texts are one token, the end.  Repeated rows and rows with null or equal ids are scored,
     and learnt, one by one; other columns are ignored; without anything to learn every token has
-    probability one; an empty table gives no rows.  The sizes in bytes bound memory; only ``heavy`` is a
-    parameter of the model.
+    probability one; an empty table gives no rows.  The sizes in bytes and ``crowd`` bound memory; only ``heavy`` is a
+    parameter of the model, which does without it.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
@@ -316,13 +459,19 @@ def score(docs: DataFrame, held_out: Column, piece: int = PIECE, word_shard: int
 
     told = cut(named.mapInArrow(tokenise, ROWS))
     numbered = cut(told.where("shard >= 0").groupBy("shard").applyInArrow(
-        lambda t: _numbered(t, n_word_shards), ROWS + ", n bigint, v bigint, top bigint"))
-    sums = numbered.agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.max("top").alias("top")).first()
+        lambda t: _numbered(t, n_word_shards), ROWS + ", n bigint, v bigint, top bigint, most bigint"))
+    sums = numbered.agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.max("top").alias("top"), F.max("most").alias("most")).first()
     total, vocabulary, top = sums.n or 0, sums.v or 0, max(sums.top or 0, 0)
+    limit, n_crowded = max(crowd, total // MAX_CROWDED), 1 + n_shards // 4
     whole = told.where("shard < 0").unionByName(numbered.select("piece", "shard", "payload"))
-    sent = whole.groupBy("piece").applyInArrow(lambda t: _sent(t, total, vocabulary, n_shards, heavy), ROWS)
-    scored = sent.groupBy("shard").applyInArrow(lambda t: _scored(t, total, vocabulary, top), ROWS)
-    return scored.groupBy("piece").applyInArrow(lambda t: _summed(t, total), RESULT)
+    sent = whole.groupBy("piece").applyInArrow(lambda t: _sent(t, total, vocabulary, n_shards, heavy, limit, n_crowded), ROWS)
+    scored = sent.groupBy("shard").applyInArrow(lambda t: _scored(t, total, vocabulary, top, n_shards), ROWS)
+    known = None
+    if heavy is None and (sums.most or 0) > limit:
+        scored = cut(scored)
+        known = successors(scored, top + 1)
+        scored = scored.where("piece >= 0")
+    return scored.groupBy("piece").applyInArrow(lambda t: _summed(t, total, vocabulary, top, n_shards, known), RESULT)
 
 
 def every_fifth(doc_id: Column) -> Column:

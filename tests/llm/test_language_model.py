@@ -190,3 +190,14 @@ def test_long_text_and_better_than_unigrams(spark):
     rows.append((1000, "x1 y1 z1 " * 40_000))
     found = [r for r in lm.score(spark.createDataFrame(rows, SCHEMA), lm.every_fifth(F.col("doc_id"))).collect() if r.held_out]
     assert found and all(r.score > 0.7 * r.base_score for r in found)
+
+
+@pytest.mark.parametrize("crowd", [3, 15, 60])
+def test_crowded_words_leave_no_trace(spark, crowd):
+    """Successors of frequent words are spread over shards; the model and every code stay those of one shard."""
+    rows = corpus(6) + [(k, " ".join(["the of a the the of"] * (k % 7))) for k in range(200, 230)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    order = lambda d: sorted((tuple(r) for r in d.collect()), key=str)
+    whole = lm.score(df, lm.every_fifth(F.col("doc_id")), crowd=10**6)
+    check(whole, brute(rows, 10**9))
+    assert order(lm.score(df, lm.every_fifth(F.col("doc_id")), piece=300, shard=200, crowd=crowd)) == order(whole)
