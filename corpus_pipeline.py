@@ -23,6 +23,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8 or more): the one with the smallest doc_id.
 
+    Linked by SimHash prints, and by MinHash bands where prints lie further apart; every pair is verified on its shingles.
+
     Of repeated rows with that id one stays, the smallest by its columns.  A group without any id keeps one row.
     """
     return similar.keep_first(docs)

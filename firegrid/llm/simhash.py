@@ -13,7 +13,7 @@ This loses no link and writes no more than 65 rows per fingerprint.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from itertools import combinations, islice, repeat
 
 import numpy as np
@@ -45,11 +45,16 @@ def fingerprint(text: bytes | None, width: int = 3) -> int:
     else:
         shingles = map(b" ".join, zip(*(islice(words, i, None) for i in range(width))))
         n = len(words) - width + 1
-    ones = np.zeros(BITS, np.int64)
-    for start in range(0, n, CHUNK):
-        size = min(CHUNK, n - start)
-        h = np.fromiter(map(xxhash.xxh64_intdigest, islice(shingles, size), repeat(SEED)), np.uint64, size)
+    sizes = (min(CHUNK, n - start) for start in range(0, n, CHUNK))
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, islice(shingles, size), repeat(SEED)), np.uint64, size) for size in sizes)
+
+
+def majority(parts: Iterable[np.ndarray]) -> int:
+    """Signed 64-bit SimHash of hashes that come in parts: a bit is set if it is in over half of them."""
+    ones, n = np.zeros(BITS, np.int64), 0
+    for h in parts:
         ones += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+        n += len(h)
     value = int("".join("1" if 2 * c > n else "0" for c in ones), 2)
     return value - (1 << BITS) if value >> (BITS - 1) else value
 

@@ -1,7 +1,9 @@
 """Near duplicates by similarity: documents whose sets of word shingles have a Jaccard similarity of ``least`` or more.
 
-A MinHash signature of ``BANDS`` x ``ROWS`` values proposes pairs: at a similarity of 0.8 a pair shares
-a band with probability 1 - (1 - 0.8^5)^26 = 0.99997, at 0.9 with more.  Every proposed pair is verified on
+SimHash prints of the shingle sets within two bits of each other are linked first, by block joins and the
+Hamming check of ``simhash``, and every such pair is verified on the exact sets.  That finds the closest copies;
+at a similarity of 0.8 prints are some ten bits apart.  So a MinHash signature of ``BANDS`` x ``ROWS`` values proposes the
+other pairs: at a similarity of 0.8 a pair shares a band with probability 1 - (1 - 0.8^5)^26 = 0.99997, at 0.9 with more.  Every proposed pair is verified on
 the exact sets of shingle hashes, so nothing below ``least`` is linked.
 
 Documents with the same shingles are one node.  In a crowded bucket the pairs with its hub (the node in
@@ -17,7 +19,7 @@ from itertools import islice, repeat
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from firegrid.llm import simhash
 from firegrid.llm.common import map_batches
@@ -84,16 +86,18 @@ def nodes_of(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, fp, size, keys): node, number of shingles and band keys of each row of ``docs``."""
+    """(doc_id, fp, size, print, keys): node, number of shingles, SimHash and band keys of each row of ``docs``."""
 
     def run(cols: dict[str, list]) -> dict[str, list]:
         sets = [shingles(t, width) for t in cols["text"]]
         return {
-            "doc_id": cols["doc_id"], "fp": [node_of(s) for s in sets], "size": [len(s) for s in sets], "keys": [bands(s) for s in sets],
+            "doc_id": cols["doc_id"], "fp": [node_of(s) for s in sets], "size": [len(s) for s in sets],
+            "print": [simhash.majority(s[i:i + simhash.CHUNK] for i in range(0, len(s), simhash.CHUNK)) for s in sets],
+            "keys": [bands(s) for s in sets],
         }
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, fp bigint, size bigint, keys array<bigint>"
+    schema = f"doc_id {kind}, fp bigint, size bigint, print bigint, keys array<bigint>"
     return map_batches(docs.select("doc_id", F.col("text").cast("binary").alias("text")), run, schema)
 
 
@@ -124,13 +128,37 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return cut(found.join(wanted.select("fp"), "fp", "left_semi").dropDuplicates(["fp"]))
 
 
+def _fits(a: Column | str, b: Column | str, least: float) -> Column:
+    """Can sets of these sizes be similar?"""
+    return F.least(a, b) >= F.greatest(a, b) * least - 1e-9
+
+
+def by_print(nodes: DataFrame, least: float = LEAST) -> DataFrame:
+    """Pairs (src, dst) of ``nodes`` (fp, size, print) whose SimHash prints differ in at most two bits.
+
+    Nodes of one print are paired with the smallest of them, prints by those (``simhash.links``).
+    """
+    first = F.min(F.struct("fp", "size")).alias("first")
+    prints = cut(nodes.where("size > 0").groupBy("print").agg(first, F.count("*").alias("n")))
+    same = hot_lookup(nodes.where("size > 0").select("fp", "size", "print"), prints.where("n > 1"), ["print"], "n", "fp")
+    same = same.where((F.col("fp") != F.col("first.fp")) & _fits(F.col("size"), F.col("first.size"), least))
+    near = simhash.links(prints.select(F.col("print").alias("fp")))
+    a, b = (prints.select(F.col("print").alias(c), F.col("first").alias(f"_{c}")) for c in ("src", "dst"))
+    near = near.join(a, "src").join(b, "dst").where(_fits(F.col("_src.size"), F.col("_dst.size"), least))
+    return same.select(F.col("first.fp").alias("src"), F.col("fp").alias("dst")).unionByName(
+        near.select(F.col("_src.fp").alias("src"), F.col("_dst.fp").alias("dst")))
+
+
 def links(docs: DataFrame, nodes: DataFrame, width: int = WIDTH, least: float = LEAST) -> DataFrame:
-    """Edges (src, dst) between the nodes (fp, size, keys, first_doc) of ``docs``, whose closure links all similar pairs that share a band."""
+    """Edges (src, dst) between the nodes (fp, size, print, keys, first_doc) of ``docs``, whose closure links all similar pairs that
+    have near prints or share a band."""
+    close = cut(by_print(nodes, least))
     keyed = nodes.select("fp", "size", F.explode("keys").alias("key"))
     shared = cut(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     bucket = cut(hot_lookup(keyed, shared, ["key"], "n", "fp").where("n IS NOT NULL"))
-    sets = _sets(docs, cut(nodes.join(bucket.select("fp").distinct(), "fp", "left_semi").select("fp", "first_doc")), width)
-    fits = lambda a, b: F.least(a, b) >= F.greatest(a, b) * least - 1e-9
+    ends = [close.select(F.col(c).alias("fp")) for c in ("src", "dst")]
+    wanted = bucket.select("fp").unionByName(ends[0]).unionByName(ends[1]).distinct()
+    sets = _sets(docs, cut(nodes.join(wanted, "fp", "left_semi").select("fp", "first_doc")), width)
 
     weight = cut(bucket.groupBy("fp").agg(F.sum("n").alias("weight"), F.count("*").alias("n_key")))
     heavy = cut(hot_lookup(bucket, weight, ["fp"], "n_key", "key"))
@@ -138,8 +166,8 @@ def links(docs: DataFrame, nodes: DataFrame, width: int = WIDTH, least: float =
     hubs = cut(heavy.groupBy("key").agg(hub, F.first("n").alias("n_hub")))
     starred = hot_lookup(heavy, hubs, ["key"], "n_hub", "fp")
     stars = cut(
-        starred.where((F.col("fp") != F.col("hub.fp")) & fits(F.col("size"), F.col("hub.size")))
-        .select(F.col("hub.fp").alias("src"), F.col("fp").alias("dst")).distinct()
+        starred.where((F.col("fp") != F.col("hub.fp")) & _fits(F.col("size"), F.col("hub.size"), least))
+        .select(F.col("hub.fp").alias("src"), F.col("fp").alias("dst")).unionByName(close).distinct()
     )
     edges = _verified(stars, sets, least)
 
@@ -238,8 +266,7 @@ def _across(placed: DataFrame, sets: DataFrame, least: float) -> DataFrame:
         F.col("fp").alias("dst"), F.col("size").alias("size_b"), F.col("component").alias("of_b"))
     same = (F.col("main") == F.col("main_b")) & (F.col("shingle") == F.col("shingle_b")) & (F.col("n_b") <= F.col("reach_a")) & (F.col("n_a") <= F.col("reach_b"))
     once = (F.col("of_b") == F.col("main")) | (F.col("src") < F.col("dst"))
-    fits = F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * least - 1e-9
-    met = a.join(b, same & (F.col("of_a") != F.col("of_b")) & once & fits).select("src", "dst")
+    met = a.join(b, same & (F.col("of_a") != F.col("of_b")) & once & _fits("size_a", "size_b", least)).select("src", "dst")
 
     slack = F.col("n") - ratio * F.col("size")
     nearest = deltas.groupBy("main").agg(F.min(F.struct(slack.alias("slack"), "fp")).alias("near"), F.count("*").alias("n_rows"))
@@ -252,7 +279,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, least: float = LEAST) -
     """(doc_id, fp, component_id, n_copies): one row per row of ``docs``, as ``simhash.near_duplicates``; ``fp`` is the hash of the shingle set."""
     rows = cut(signatures(docs, width))
     first = F.min(F.col("doc_id")).alias("first_doc")
-    nodes = cut(rows.groupBy("fp").agg(F.count("*").alias("n_copies"), first, F.first("size").alias("size"), F.first("keys").alias("keys")))
+    nodes = cut(rows.groupBy("fp").agg(F.count("*").alias("n_copies"), first, F.first("size").alias("size"), F.first("print").alias("print"), F.first("keys").alias("keys")))
     return simhash.labelled(rows.select("doc_id", "fp"), nodes.select("fp", "n_copies", "first_doc"), links(docs, nodes, width, least))
 
 

@@ -120,3 +120,20 @@ def test_a_family_around_a_passage_takes_no_pairs(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in similar.near_duplicates(docs).collect()}
     assert got == dict(enumerate(label.tolist()))
     assert sum(looked_at) < 20 * len(texts), looked_at
+
+
+def test_prints_link_first(spark):
+    """SimHash prints within two bits propose pairs of their own, and what they propose is verified."""
+    rng = random.Random(9)
+    bases = [" ".join(f"w{rng.randrange(4000)}" for _ in range(600)) for _ in range(20)]
+    texts = bases + [b + " tail" for b in bases] + [None, "a b"]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    rows = similar.signatures(docs).withColumnRenamed("doc_id", "first_doc").drop("keys").cache()
+    node = {r.first_doc: r for r in rows.collect()}
+    near = {(a, b) for a in range(40) for b in range(40) if a < b and bin((node[a].print ^ node[b].print) & (2**64 - 1)).count("1") <= 2}
+    found = {tuple(sorted((r.src, r.dst))) for r in similar.by_print(rows).collect()}
+    assert len(near) >= 15 and found == {tuple(sorted((node[a].fp, node[b].fp))) for a, b in near}
+    # Without any band the prints alone link these pairs.
+    nodes = rows.withColumn("keys", F.array().cast("array<bigint>"))
+    linked = {tuple(sorted((r.src, r.dst))) for r in similar.links(docs, nodes).collect()}
+    assert linked == found
