@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from firegrid.operators.report import area_totals
 
+# Not more than Spark writes to one file per partition without sorting them in memory first.
+KEY_PARTS = 200
+
 # Decimals kept when two outputs are compared.
 DIGITS = {"cen_lon": 5, "cen_lat": 5, "area_sqkm": 5, "f_lct": 3, "v_tree": 3, "v_herb": 3, "v_bare": 3}
 
@@ -54,9 +57,14 @@ def compare_outputs(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def compare_by_fire(tables: dict[str, DataFrame]) -> DataFrame:
-    """Area by (fireid, land cover), two decimals, one column per output."""
+    """Area by (fireid, land cover), two decimals, one column per output.
+
+    Nearly every row has a key of its own, so rows go to their key's partition before any are added up: a task
+    that reads much of the input keeps no table of its keys.
+    """
     parts = None
     for name, t in tables.items():
-        one = t.groupBy("fireid", "v_lct").agg(F.round(F.sum(F.col("area_sqkm") * F.col("f_lct")), 2).alias("area")).withColumn("output", F.lit(name))
+        one = t.select("fireid", "v_lct", (F.col("area_sqkm") * F.col("f_lct")).alias("_area"), F.lit(name).alias("_output"))
         parts = one if parts is None else parts.unionByName(one)
-    return parts.groupBy("fireid", "v_lct").pivot("output", list(tables)).agg(F.first("area"))
+    sums = [F.round(F.sum(F.when(F.col("_output") == name, F.col("_area"))), 2).alias(name) for name in tables]
+    return parts.repartition(KEY_PARTS, "fireid", "v_lct").groupBy("fireid", "v_lct").agg(*sums)
