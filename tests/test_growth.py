@@ -35,3 +35,19 @@ def test_areas_by_fire_are_added_up_behind_one_exchange(spark):
     assert out.columns == ["fireid", "v_lct", "x", "y"]
     assert got == {(1, 5): (2.0, 2.0), (2, None): (3.0, None), (None, 4): (1.0, 2.0), (3, 1): (None, None), (4, 2): (None, 1.23)}
     assert plan(out).count("Exchange ") == 1
+
+
+def test_hulls_are_exchanged_not_their_strips(spark):
+    rows = shapes.merge_intervals(shapes.strips(boxes(spark)))
+    assert ", strip#" not in "".join(line for line in plan(rows).splitlines() if "Exchange " in line)
+    assert rows.count() == rows.select("fireid", "strip", "x0").distinct().count() > 300  # several bands
+
+
+def test_only_answers_of_a_seed_search_are_stored(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(subdivide, "cut", lambda df: stored.append(df.columns) or df.localCheckpoint())
+    items = spark.createDataFrame([(1, 0.1, 0.1), (1, 3.0, 3.0), (2, 0.0, 0.0)], "fireid long, px double, py double")
+    seeds = spark.createDataFrame([(1, 5, 0.1, 0.101), (1, 6, 0.1, 0.102)], "fireid long, seed long, lon double, lat double")
+    got = {(r.fireid, r.px): r.polyid for r in subdivide.nearest_seed(items, seeds).collect()}
+    assert got == {(1, 0.1): 5, (1, 3.0): 6, (2, 0.0): None}
+    assert stored and all("cand" not in c for c in stored)
