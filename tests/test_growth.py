@@ -43,6 +43,21 @@ def test_hulls_are_exchanged_not_their_strips(spark):
     assert rows.count() == rows.select("fireid", "strip", "x0").distinct().count() > 300  # several bands
 
 
+def test_links_take_one_exchange_and_cross_bands(spark):
+    inside = spark.createDataFrame([(7, s, 0.5 + s, 1.0, 0.0 if s % 2 else 1.0, 3.0) for s in range(3 * shapes.BAND_STRIPS)], "k long, strip int, y double, h double, x0 double, x1 double")
+    found = O.links(inside, ["k"])
+    assert plan(found).count("Exchange ") == 1
+    ends = [r.end for r in found.collect()]
+    assert len(ends) == len(set(ends)) == 6 * shapes.BAND_STRIPS
+
+
+def test_rings_are_the_same_on_both_sides_of_the_limit(spark):
+    inside = O.area_intervals(boxes(spark, 12))
+    want = sorted(map(str, O.rings(inside, ["fireid"]).collect()))
+    for limit in (1, 700):
+        assert sorted(map(str, O.rings(inside, ["fireid"], limit).collect())) == want
+
+
 def test_only_answers_of_a_seed_search_are_stored(spark, monkeypatch):
     stored = []
     monkeypatch.setattr(subdivide, "cut", lambda df: stored.append(df.columns) or df.localCheckpoint())
