@@ -66,3 +66,34 @@ def test_only_answers_of_a_seed_search_are_stored(spark, monkeypatch):
     got = {(r.fireid, r.px): r.polyid for r in subdivide.nearest_seed(items, seeds).collect()}
     assert got == {(1, 0.1): 5, (1, 3.0): 6, (2, 0.0): None}
     assert stored and all("cand" not in c for c in stored)
+
+
+def test_stored_pairs_are_ids(spark, monkeypatch):
+    stored = []
+    keep = C.cut
+    monkeypatch.setattr(C, "cut", lambda df: stored.append(df.columns) or keep(df))
+    day = F.lit("2024-01-01").cast("date")
+    p = spark.range(6).select(
+        F.col("id").alias("cleanid"), day.alias("acq_date_use"), (F.col("id") * 0.004).alias("lon"), F.lit(0.0).alias("lat"),
+        F.lit("MODIS").alias("instrument"), F.lit(1.0).alias("scan"), F.lit(1.0).alias("track"))
+    assert C.cluster(p).points.select("fireid").distinct().count() == 1
+    assert ["a_site", "b_site"] in stored and not any("a_lon" in c for c in stored)
+
+
+@pytest.mark.parametrize("radius", [0.01, 0.25])
+def test_near_pairs_on_bin_borders(spark, radius):
+    rows = [(10 * i + j, radius * i / 2, radius * j * 0.999) for i in range(-4, 5) for j in range(10)]
+    df = spark.createDataFrame(rows, "id long, lon double, lat double").withColumn("g", F.lit(1))
+    got = sorted((r.a_id, r.b_id) for r in near_pairs(df, ["g"], "id", radius).collect())
+    near = lambda a, b: ((a[1] - b[1]) ** 2 + (a[2] - b[2]) ** 2) ** 0.5 < radius
+    assert got == sorted((a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and near(a, b))
+
+
+def test_pixels_near_detections_are_listed_block_by_block(spark, monkeypatch):
+    d = spark.createDataFrame([(0.631, -0.005), (0.645, -0.005), (-7.2, 3.3)], "longitude double, latitude double")
+    monkeypatch.setattr(queries, "detections", lambda *_: d)
+    got = queries.pixels(spark, "", 0.01, 2)
+    seen = {(math.floor(x / 0.01), math.floor(y / 0.01)) for x, y in [(0.631, -0.005), (0.645, -0.005), (-7.2, 3.3)]}
+    want = {(x + i, y + j) for x, y in seen for i in range(-2, 3) for j in range(-2, 3)}
+    assert sorted((r.ix, r.iy) for r in got.collect()) == sorted(want)
+    assert "(ix#" not in "".join(line for line in plan(got).splitlines() if "Exchange " in line)
