@@ -26,9 +26,9 @@ def _pieces(batch: pa.RecordBatch, limit: int | None) -> Iterator[pa.RecordBatch
 
 
 def map_batches(
-    df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str, piece_bytes: int | None = PIECE_BYTES,
+    df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str, piece_bytes: int | None = PIECE_BYTES, as_lists: bool = True,
 ) -> DataFrame:
-    """Run ``fn`` on every Arrow batch, in pieces of about ``piece_bytes``; columns go in and come out as lists.
+    """Run ``fn`` on every Arrow batch, in pieces of about ``piece_bytes``; columns go in as lists, or Arrow arrays, and come out as either.
 
     The lists are turned into the Arrow types of ``schema``, which may have fewer or more rows than the
     input.  Pieces bound the Python objects alive at a time; a function that adds up a whole batch
@@ -43,8 +43,9 @@ def map_batches(
         arrow = pa.schema([(n, to_arrow_type(t)) for n, t in fields])
         for batch in batches:
             for piece in _pieces(batch, piece_bytes):
-                out = fn({n: piece.column(i).to_pylist() for i, n in enumerate(piece.schema.names)})
-                yield pa.RecordBatch.from_arrays([pa.array(out[n], arrow.field(n).type) for n, _ in fields], schema=arrow)
+                out = fn({n: piece.column(i).to_pylist() if as_lists else piece.column(i) for i, n in enumerate(piece.schema.names)})
+                made = [out[n].cast(arrow.field(n).type) if isinstance(out[n], pa.Array) else pa.array(out[n], arrow.field(n).type) for n, _ in fields]
+                yield pa.RecordBatch.from_arrays(made, schema=arrow)
 
     return df.mapInArrow(run, target)
 
