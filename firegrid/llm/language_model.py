@@ -102,6 +102,9 @@ ROWS = "piece bigint, shard bigint, payload binary"
 
 def _tokenised(piece: int, ids: list, texts: list, learns: list, n_shards: int) -> pa.RecordBatch:
     """The piece's texts as numbers of its words (shard -1), and its words with their training counts by shard."""
+    # The texts to learn from come first: their number tells which these are.
+    order = sorted(range(len(texts)), key=lambda k: not learns[k])
+    ids, texts, learns = ([x[k] for k in order] for x in (ids, texts, learns))
     words, n = [], []
     for t in texts:
         own = t.encode().lower().split() if t else []  # bytes: A-Z only, ASCII white space only
@@ -121,7 +124,11 @@ def _tokenised(piece: int, ids: list, texts: list, learns: list, n_shards: int)
     n = np.array(n, np.int64)
     learns = np.array([bool(x) for x in learns], bool)
     counts = np.bincount(tokens[np.repeat(learns, n)], minlength=len(distinct))
-    own = pack(np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], np.uint8), learns.astype(np.uint8), n, tokens)
+    # Frequent words get small numbers, which ``_sent`` finds out from the counts.
+    often = np.bincount(tokens, minlength=len(distinct))
+    rank = np.empty(len(often), np.int64)
+    rank[np.argsort(-often, kind="stable")] = np.arange(len(often))
+    own = pack(np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], np.uint8), learns.astype(np.uint8), n, often, rank[tokens])
     out = [(piece, -1, own)]
     stop = 0
     for shard, some in shards.items():
@@ -248,7 +255,7 @@ def _crowded(at: np.ndarray, tokens: np.ndarray, start: np.ndarray, doc: np.ndar
     each, first = _groups(doc[at], place_t[triple])
     kept = pack(
         doc[at][first], place_t[triple][first], np.bincount(each), word_ids[v][by_p], word_c[v][by_p], word_c[w][by_p],
-        place_p[of][by_t], word_ids[u][by_t], both[by_t].astype(np.uint8), back[by_t], np.array([word_c[end]]))
+        place_p[of][by_t], np.where(both, word_ids[u], 0)[by_t], both[by_t].astype(np.uint8), back[by_t], np.array([word_c[end]]))
     sent = []
     for s in np.unique(np.concatenate([shard_p, shard_t])).tolist():
         p, t = by_p[shard_p[by_p] == s], by_t[shard_t[by_t] == s]
@@ -324,11 +331,30 @@ def _told_apart(kept: bytes, answers: list[bytes], total: int, vocabulary: int,
     return [doc, times * code[triple]]
 
 
+def _packed_triples(key: np.ndarray, u: np.ndarray, w: np.ndarray, c: np.ndarray, doc: np.ndarray, times: np.ndarray, n_learns: int) -> bytes:
+    """Triples in order of their keys and predecessors: what rises is sent as steps, and a word's count once."""
+    keys, first, n_key = np.unique(key, return_index=True, return_counts=True)
+    step = np.diff(u, prepend=0)
+    step[first] = u[first] + 1  # an unknown word has -1
+    some, at, of = np.unique(w, return_index=True, return_inverse=True)
+    return pack(np.diff(keys, prepend=0), n_key, step, of, doc, times, np.array([n_learns]), np.diff(some, prepend=0), c[at])
+
+
+def _triples(packed: bytes) -> tuple[np.ndarray, ...]:
+    """(key, u, w, count of w, document, times, whether it is learnt) as they were packed."""
+    keys, n_key, step, of, doc, times, n_learns, some, known = unpack(packed)
+    first = np.cumsum(n_key) - n_key
+    u = np.cumsum(step)
+    u -= np.repeat(u[first] - step[first], n_key) + 1
+    return np.repeat(np.cumsum(keys), n_key), u, np.cumsum(some)[of], known[of], doc, times, doc < n_learns[0]
+
+
 def _sent(table: pa.Table, total: int, vocabulary: int, n_shards: int, heavy: int | None, crowd: int, n_crowded: int) -> pa.Table:
     """Unigram sums of a piece (in a shard of its own, below 0) and its triples by shard of their context."""
     piece = table["piece"][0].as_py()
     rows = sorted(zip(table["shard"].to_pylist(), table["payload"].to_pylist()), key=lambda r: r[0])
-    doc_id, is_null, learns, n, tokens = unpack(rows[0][1])
+    doc_id, is_null, learns, n, often, tokens = unpack(rows[0][1])
+    tokens = np.argsort(-often, kind="stable")[tokens]
     answers = [unpack(r) for _, r in rows[1:]]
     word_ids, word_c = (np.concatenate([a[k] for a in answers]) for k in (0, 1))
     ids, c = word_ids[tokens], word_c[tokens]
@@ -351,15 +377,14 @@ def _sent(table: pa.Table, total: int, vocabulary: int, n_shards: int, heavy: in
         kept, sent = _crowded(np.flatnonzero(crowded), tokens, start, doc, learns, word_ids, word_c, n_crowded, crowd)
     out = [(piece, -1 - piece, pickle.dumps((own, base.tobytes(), kept))), *[(piece, n_shards + s, raw) for s, raw in sent]]
     keep = np.flatnonzero(~lost & ~crowded)
-    # Keys by shard; triples by key, then by the piece's own numbers of their words, then by document.
+    # Keys by shard; triples by key, then by the ids of their words, then by document.
     keys, of_key = np.unique(key[keep], return_inverse=True)
     shard_of = (_mix(np.zeros(len(keys), np.uint64), keys) % np.uint64(n_shards)).astype(np.int64)
     by_shard = np.lexsort((keys, shard_of))
     rank = np.empty(len(keys), np.int64)
     rank[by_shard] = np.arange(len(keys))
-    start = start[keep]
-    before = np.where(keep - 2 >= start, tokens[np.maximum(keep - 2, 0)], tokens[-1])
-    left, right = rank[of_key] * len(word_ids) + before, tokens[keep] * len(n) + doc[keep]
+    universe = int(word_ids.max()) + 2
+    left, right = rank[of_key] * universe + u[keep] + 1, (ids[keep] + 1) * len(n) + doc[keep]
     order = np.lexsort((right, left))
     left, right = left[order], right[order]
     fresh = np.ones(len(keep), bool)
@@ -367,14 +392,11 @@ def _sent(table: pa.Table, total: int, vocabulary: int, n_shards: int, heavy: in
     first = np.flatnonzero(fresh)
     times = np.diff(first, append=len(keep))
     at = keep[order[first]]
-    key, u, w, doc, c, shard = key[at], u[at], ids[at], doc[at], c[at], shard_of[by_shard][left[first] // len(word_ids)]
+    key, u, w, doc, c, shard = key[at], u[at], ids[at], doc[at], c[at], shard_of[by_shard][left[first] // universe]
     starts = np.flatnonzero(np.diff(shard, prepend=-1)).tolist()
+    n_learns = int(learns.sum())
     for s, e in zip(starts, [*starts[1:], len(shard)]):
-        keys, n_key = np.unique(key[s:e], return_counts=True)
-        some, at = np.unique(w[s:e], return_index=True)
-        known = c[s:e][at]
-        out.append((piece, int(shard[s]), pack(
-            np.diff(keys, prepend=0), n_key, u[s:e], np.searchsorted(some, w[s:e]), doc[s:e], times[s:e], learns, np.diff(some, prepend=0), known)))
+        out.append((piece, int(shard[s]), _packed_triples(key[s:e], u[s:e], w[s:e], c[s:e], doc[s:e], times[s:e], n_learns)))
     return _rows(*map(list, zip(*out)))
 
 
@@ -388,9 +410,8 @@ def _scored(table: pa.Table, total: int, vocabulary: int, top: int, n_shards: in
     pieces = table["piece"].to_pylist()
     parts: list[list[np.ndarray]] = [[] for _ in range(7)]
     for k, raw in enumerate(table["payload"].to_pylist()):
-        keys, n_key, u, w, doc, times, learns, some, known = unpack(raw)
-        own = (np.repeat(np.cumsum(keys), n_key), u, np.cumsum(some)[w], known[w], doc, times * learns[doc], times)
-        for part, x in zip(parts, own):
+        *own, times, learnt = _triples(raw)
+        for part, x in zip(parts, (*own, times * learnt, times)):
             part.append(x)
     n_rows = [len(x) for x in parts[0]]
     key, u, w, c, doc, learnt, times = (np.concatenate(p) for p in parts)

@@ -199,17 +199,28 @@ class Trie:
         return np.concatenate([self._codes(*(x[i : i + BLOCK] for x in (key, u, w, q1))) for i in blocks])
 
     def _codes(self, key: np.ndarray, u: np.ndarray, w: np.ndarray, q1: np.ndarray) -> np.ndarray:
-        c, in_c = self._find(self.contexts, key, key >= 0)
+        # Triples that follow each other in one context, or also share the predecessor, search for it once.
+        new_key = np.diff(key, prepend=-2) != 0
+        run, key = np.cumsum(new_key) - 1, key[new_key]
+        contexts, known = self._find(self.contexts, key, key >= 0)
+        c, in_c = contexts[run], known[run]
         s, in_s = self._find(self.succ, c * self.universe + w, in_c & (w >= 0))
-        p, in_p = self._find(self.pred, c * self.universe + u, in_c & (u >= 0))
+        new = new_key | (np.diff(u, prepend=-2) != 0)
+        p, in_p = self._find(self.pred, c[new] * self.universe + u[new], in_c[new] & (u[new] >= 0))
+        pair = np.cumsum(new) - 1
+        p, in_p = p[pair], in_p[pair]
         out = q1.copy()
         out[in_c] += self.context_backoff[c[in_c]]
         out[in_s] = self.succ_code[s[in_s]]
         out[in_p] += self.pred_backoff[p[in_p]]
         both = np.flatnonzero(in_s & in_p)
-        c, s, p = c[both], s[both], p[both]
-        first, last = self.succ_at[c], self.succ_at[c + 1]
-        at = self.pair_at[c] + (p - self.pred_at[c]) * (last - first) + (s - first)
+        run, s, p = run[both], s[both], p[both]
+        starts = np.zeros((4, len(key)), np.int64)
+        found = contexts[known]
+        if len(found):
+            starts[:, known] = self.pair_at[found], self.pred_at[found], self.succ_at[found], self.succ_at[found + 1]
+        pairs, preds, first, last = starts[:, run]
+        at = pairs + (p - preds) * (last - first) + (s - first)
         t, found = self._find(self.deep, at, np.ones(len(at), bool))
         out[both[found]] = self.deep_code[t[found]]
         return out

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -201,3 +202,48 @@ def test_crowded_words_leave_no_trace(spark, crowd):
     whole = lm.score(df, lm.every_fifth(F.col("doc_id")), crowd=10**6)
     check(whole, brute(rows, 10**9))
     assert order(lm.score(df, lm.every_fifth(F.col("doc_id")), piece=300, shard=200, crowd=crowd)) == order(whole)
+
+
+@given(st.lists(st.tuples(st.integers(0, 6), st.integers(-1, 60), st.integers(-1, 9), st.integers(0, 8)), min_size=1, max_size=60), st.integers(0, 9))
+def test_triples_are_sent_in_steps(rows, n_learns):
+    rows = sorted(set(rows))
+    key, u, w, doc = (np.array(x, np.int64) for x in zip(*rows))
+    key, c, times = key << lm.CLASS_BITS, (w + 1) * 1000, doc + 1
+    got = lm._triples(lm._packed_triples(key, u, w, c, doc, times, n_learns))
+    assert all(a.tolist() == b.tolist() for a, b in zip(got, (key, u, w, c, doc, times, doc < n_learns)))
+
+
+def payloads(n_shards):
+    """Bytes of what a piece of 4000 short documents tells its shards."""
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(50)}" for _ in range(8)) for _ in range(4000)]
+    told = pa.Table.from_batches([lm._tokenised(0, list(range(4000)), texts, [rng.random() < 0.7 for _ in texts], 1)])
+    shard = np.array(told["shard"].to_pylist())
+    numbered = lm._numbered(told.filter(pa.array(shard >= 0)), 1)
+    whole = pa.concat_tables([told.filter(pa.array(shard < 0)), numbered.select(["piece", "shard", "payload"])])
+    sent = lm._sent(whole, numbered["n"][0].as_py(), numbered["v"][0].as_py(), n_shards, None, 10**9, 1)
+    return sum(len(p) for p, s in zip(sent["payload"].to_pylist(), sent["shard"].to_pylist()) if s >= 0), len(set(sent["shard"].to_pylist())) - 1
+
+
+def test_payloads_do_not_repeat_the_documents():
+    """Which documents are learnt is one number, not a list in every shard's payload."""
+    (one, n_one), (many, n_many) = payloads(1), payloads(10**6)
+    assert n_one == 1 and n_many > 40
+    assert many - one < 400 * n_many
+
+
+def test_trie_searches_a_context_once(monkeypatch):
+    """Neighbours of one context, or of one predecessor in it, are found by one search."""
+    rng = random.Random(5)
+    seen, key, u, w, n = triples(rng, 600, contexts=4, words=12)
+    order = np.lexsort((w, u, key))
+    key, u, w, n = key[order], u[order], w[order], n[order]
+    p1 = np.full(len(w), 0.05)
+    trie = Trie.mapped(Trie.pack(key, u, w, n, p1, 31))
+    asked, find = [], Trie._find
+    monkeypatch.setattr(Trie, "_find", staticmethod(lambda level, x, valid: asked.append(len(x)) or find(level, x, valid)))
+    together = trie.codes(key, u, w, code_of(p1))
+    assert asked[0] == len(set(key.tolist())) and asked[2] == len(set(zip(key.tolist(), u.tolist()))) < asked[1] == len(key)
+    mixed = rng.sample(range(len(key)), len(key))
+    alone = trie.codes(key[mixed], u[mixed], w[mixed], code_of(p1))
+    assert alone.tolist() == together[mixed].tolist()
