@@ -18,7 +18,6 @@ import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import xxhash
@@ -38,7 +37,8 @@ MIN_SHARE = 0.96
 MAX_FEATURES = 5_000
 MAX_SHARED = 200_000
 MAX_LETTERS = 48
-CACHE = 200_000
+# Characters of tokens and of what they give that a task keeps at a time; a token counts OVERHEAD more.
+CACHE_CHARS, OVERHEAD = 8 << 20, 100
 # Bytes of text whose features are added up before they are sent on.
 COUNT_BYTES = 8 << 20
 
@@ -144,7 +144,6 @@ def disguised(core: str) -> bool:
     return any(c.isalpha() for c in core)
 
 
-@lru_cache(CACHE)
 def single(token: str) -> str:
     """The letter, digit or look-alike that a token consists of, without punctuation around it; '' for other tokens."""
     if len(token) == 1:
@@ -155,12 +154,15 @@ def single(token: str) -> str:
     return core if len(core) == 1 else ""
 
 
-def spaced_runs(tokens: list[str]) -> list[str]:
-    """Runs of single characters, whatever the gaps between them, with three letters or look-alikes and a true letter."""
+def spaced_runs(tokens: list[str], one: Callable[[str], str] = single) -> list[str]:
+    """Runs of single characters, whatever the gaps between them, with three letters or look-alikes and a true letter.
+
+    ``one`` tells the character of a token, as ``single`` does.
+    """
     out: list[str] = []
     run: list[str] = []
     for token in [*tokens, ""]:
-        c = "" if len(token) > 1 and token.isalpha() else single(token)
+        c = "" if len(token) > 1 and token.isalpha() else one(token)
         if c:
             run.append(c)
         elif run:
@@ -171,11 +173,31 @@ def spaced_runs(tokens: list[str]) -> list[str]:
 
 
 class Restorer:
-    """Restored words of texts; what a token gives is kept in a bounded cache."""
+    """Restored words of texts; what a token gives is kept, up to ``CACHE_CHARS``, and goes with the task."""
 
     def __init__(self, model: LetterModel, keep: Callable[[Iterable[str]], Iterable[str]] = tuple):
         self.model, self.keep = model, keep
         self.known: dict[str, tuple[str, ...]] = {}
+        self.ones: dict[str, str] = {}
+        self.room = CACHE_CHARS
+
+    def take(self, *kept: str) -> None:
+        """Room for a token and what it gives; without any left, all that is kept goes."""
+        size = OVERHEAD + sum(map(len, kept))
+        if size > self.room:
+            self.known.clear()
+            self.ones.clear()
+            self.room = CACHE_CHARS
+        self.room -= size
+
+    def one(self, token: str) -> str:
+        """``single`` of a token."""
+        got = self.ones.get(token)
+        if got is None:
+            got = single(token)
+            self.take(token)
+            self.ones[token] = got
+        return got
 
     def readings(self, word: str) -> list[str]:
         """Words of a lower-case token: its letters as written, and the restored reading of a disguised one."""
@@ -198,9 +220,9 @@ class Restorer:
         """``keep`` of the readings of one lower-case token."""
         got = self.known.get(word)
         if got is None:
-            if len(self.known) >= CACHE:
-                self.known.clear()
-            got = self.known[word] = tuple(self.keep(self.readings(word)))
+            got = tuple(self.keep(self.readings(word)))
+            self.take(word, *got)
+            self.known[word] = got
         return got
 
     def words(self, text: str | None) -> set[str]:
@@ -209,7 +231,7 @@ class Restorer:
         out: set[str] = set()
         for word in set(tokens):
             out.update(self.of(word))
-        for run in spaced_runs(tokens):
+        for run in spaced_runs(tokens, self.one):
             out.update(self.keep(restore(run, self.model)))
         return out
 

@@ -156,6 +156,20 @@ def test_disguises(spark, corpus):
         assert model.score(text) < 0.5, text
 
 
+def test_what_a_task_keeps_of_tokens_is_bounded():
+    """Long tokens fill the room as many short ones do, and no token outlives its task."""
+    letters = toxicity.LetterModel([("__a", 1), ("_ab", 1), ("ab_", 1)])
+    restorer = toxicity.Restorer(letters, toxicity.features)
+    token = "abcdefghij" * 500
+    for i in range(5000):
+        restorer.of(f"{token}{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[i // 100 % 10]}{'efghijklmn'[i // 1000]}")
+        restorer.one(f"#{i}")
+    held = sum(len(k) + sum(map(len, v)) for k, v in restorer.known.items()) + sum(map(len, restorer.ones))
+    assert 0 < held <= toxicity.CACHE_CHARS
+    assert restorer.words("s t u p i d") == toxicity.Restorer(letters, toxicity.features).words("s t u p i d")
+    assert not hasattr(toxicity.single, "cache_info")
+
+
 def test_spaced_disguises(spark, corpus):
     """Single characters beside punctuation, mixed with look-alikes, with wide gaps and over line ends."""
     _, _, docs, lab = corpus
