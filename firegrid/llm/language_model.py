@@ -6,8 +6,9 @@ row per piece and shard, so nothing is exploded into a row per word:
 1. a piece sends its different words, counted, to shards by the word's hash; a word shard adds them up and
    answers with their ids (frequent words first) and corpus counts;
 2. the piece sums up the unigram scores, and sends its triples of words to shards by context;
-3. a context shard counts the training triples, builds its trie, and answers all triples of a piece with one
-   sum per document, in whole codes, so that the order of adding does not matter;
+3. a context shard counts the training triples, builds a trie for one part of its contexts after the other, and
+   answers all triples of a piece with one sum per document, in whole codes, so that the order of adding does
+   not matter;
 4. the piece adds the sums of its documents up.
 
 A context is a word, whatever the size of the corpus.  What follows a word of more than ``CROWD`` occurrences
@@ -36,8 +37,10 @@ from firegrid.llm.common import _pieces
 from firegrid.llm.ngram_trie import DISCOUNT, STEP, Trie, code_of
 from firegrid.session import cut
 
-# Bytes of text of a piece, and bytes of all texts for one shard of words and of contexts.
-PIECE, WORD_SHARD, SHARD = 8 << 20, 16 << 20, 4 << 20
+# Bytes of text of a piece, bytes of all texts for one shard of words, and the least and most for one of contexts: these
+# grow with the corpus before there are more than SHARDS of them, so that a piece sends few rows.  A shard is
+# worked on in parts of PART bytes, so that a task holds one small trie at a time.
+PIECE, WORD_SHARD, SHARD, MOST_SHARD, SHARDS, PART = 8 << 20, 16 << 20, 4 << 20, 16 << 20, 48, 2 << 20
 # Occurrences of a word whose successors one shard holds; the limit grows so that at most MAX_CROWDED words exceed it.
 CROWD, MAX_CROWDED = 1 << 20, 2000
 # Words of history that decide the class of a heavy context, before the document itself does.
@@ -100,6 +103,18 @@ class Numbers(dict):
 ROWS = "piece bigint, shard bigint, payload binary"
 
 
+def _halves(ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks as bytes of two-byte numbers, whose repeated phrases compress, and what the largest of these leave over."""
+    return np.minimum(ranks, 0xFFFF).astype("<u2").view(np.uint8), ranks[ranks >= 0xFFFF] - 0xFFFF
+
+
+def _ranks(halves: np.ndarray, over: np.ndarray) -> np.ndarray:
+    """The ranks that ``_halves`` packed."""
+    ranks = halves.astype(np.uint8).view("<u2").astype(np.int64)
+    ranks[ranks == 0xFFFF] += over
+    return ranks
+
+
 def _tokenised(piece: int, ids: list, texts: list, learns: list, n_shards: int) -> pa.RecordBatch:
     """The piece's texts as numbers of its words (shard -1), and its words with their training counts by shard."""
     # The texts to learn from come first: their number tells which these are.
@@ -128,12 +143,13 @@ def _tokenised(piece: int, ids: list, texts: list, learns: list, n_shards: int)
     often = np.bincount(tokens, minlength=len(distinct))
     rank = np.empty(len(often), np.int64)
     rank[np.argsort(-often, kind="stable")] = np.arange(len(often))
-    own = pack(np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], np.uint8), learns.astype(np.uint8), n, often, rank[tokens])
+    own = pack(
+        np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], np.uint8), learns.astype(np.uint8), n, often, *_halves(rank[tokens]))
     out = [(piece, -1, own)]
     stop = 0
     for shard, some in shards.items():
         start, stop = stop, stop + len(some)
-        packed = zstandard.ZstdCompressor(level=1).compress(b"\n".join(some))
+        packed = zstandard.ZstdCompressor(level=6).compress(b"\n".join(some))
         out.append((piece, shard, pickle.dumps((packed, pack(counts[start:stop])))))
     return _rows(*map(list, zip(*out))).combine_chunks().to_batches()[0]
 
@@ -353,8 +369,8 @@ def _sent(table: pa.Table, total: int, vocabulary: int, n_shards: int, heavy: in
     """Unigram sums of a piece (in a shard of its own, below 0) and its triples by shard of their context."""
     piece = table["piece"][0].as_py()
     rows = sorted(zip(table["shard"].to_pylist(), table["payload"].to_pylist()), key=lambda r: r[0])
-    doc_id, is_null, learns, n, often, tokens = unpack(rows[0][1])
-    tokens = np.argsort(-often, kind="stable")[tokens]
+    doc_id, is_null, learns, n, often, *halves = unpack(rows[0][1])
+    tokens = np.argsort(-often, kind="stable")[_ranks(*halves)]
     answers = [unpack(r) for _, r in rows[1:]]
     word_ids, word_c = (np.concatenate([a[k] for a in answers]) for k in (0, 1))
     ids, c = word_ids[tokens], word_c[tokens]
@@ -400,7 +416,7 @@ def _sent(table: pa.Table, total: int, vocabulary: int, n_shards: int, heavy: in
     return _rows(*map(list, zip(*out)))
 
 
-def _scored(table: pa.Table, total: int, vocabulary: int, top: int, n_shards: int) -> pa.Table:
+def _scored(table: pa.Table, total: int, vocabulary: int, top: int, n_shards: int, n_parts: int) -> pa.Table:
     """Per piece, the sum of the codes of its triples for each document; a piece's own sums go through."""
     shard = table["shard"][0].as_py()
     if shard < 0:
@@ -408,26 +424,33 @@ def _scored(table: pa.Table, total: int, vocabulary: int, top: int, n_shards: in
     if shard >= n_shards:
         return _counted(table)
     pieces = table["piece"].to_pylist()
-    parts: list[list[np.ndarray]] = [[] for _ in range(7)]
-    for k, raw in enumerate(table["payload"].to_pylist()):
-        *own, times, learnt = _triples(raw)
-        for part, x in zip(parts, (*own, times * learnt, times)):
-            part.append(x)
-    n_rows = [len(x) for x in parts[0]]
-    key, u, w, c, doc, learnt, times = (np.concatenate(p) for p in parts)
-    del parts
-    p1 = unigram(c, total, vocabulary)
-    seen = learnt > 0
-    trie = Trie.mapped(Trie.pack(key[seen], u[seen], w[seen], learnt[seen], p1[seen], top + 1))
-    codes = trie.codes(key, u, w, code_of(p1)) * times
-    out, stop = [], 0
-    for k, size in enumerate(n_rows):
-        start, stop = stop, stop + size
-        docs, at = np.unique(doc[start:stop], return_inverse=True)
-        sums = np.zeros(len(docs), np.int64)
-        np.add.at(sums, at, codes[start:stop])
-        out.append(pack(np.diff(docs, prepend=0), sums))
-    return _rows(pieces, [shard] * len(pieces), out)
+    # All triples of the shard in small numbers, with the place of their document's sum.
+    word, count = (np.int32 if most < 1 << 31 else np.int64 for most in (top, total))
+    kinds = (np.int64, word, word, count, np.int32, np.int32, bool)
+    columns: list[list[np.ndarray]] = [[] for _ in kinds]
+    docs: list[np.ndarray] = []
+    n_sums = 0
+    for raw in table["payload"].to_pylist():
+        *own, doc, times, learnt = _triples(raw)
+        some, at = np.unique(doc, return_inverse=True)
+        for column, x, kind in zip(columns, (*own, n_sums + at, times, learnt), kinds):
+            column.append(x.astype(kind))
+        docs.append(some)
+        n_sums += len(some)
+    sums = np.zeros(n_sums, np.int64)
+    whole = []
+    while columns:
+        whole.append(np.concatenate(columns.pop(0)))
+    of = _mix(np.ones(len(whole[0]), np.uint64), whole[0]) % np.uint64(n_parts)
+    for k in range(n_parts):
+        here = np.flatnonzero(of == k)
+        key, u, w, c, at, times = (x[here].astype(np.int64) for x in whole[:-1])
+        seen = whole[-1][here]
+        p1 = unigram(c, total, vocabulary)
+        trie = Trie.mapped(Trie.pack(key[seen], u[seen], w[seen], times[seen], p1[seen], top + 1))
+        np.add.at(sums, at, trie.codes(key, u, w, code_of(p1)) * times)
+    stops = np.cumsum([len(some) for some in docs])
+    return _rows(pieces, [shard] * len(pieces), [pack(np.diff(some, prepend=0), sums[e - len(some) : e]) for some, e in zip(docs, stops)])
 
 
 RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
@@ -449,8 +472,8 @@ def _summed(table: pa.Table, total: int, vocabulary: int, top: int, n_shards: in
         "base_score": pa.array(np.frombuffer(base, np.float64)), "score": pa.array(-codes / STEP)})
 
 
-def score(docs: DataFrame, held_out: Column, piece: int = PIECE, word_shard: int = WORD_SHARD, shard: int = SHARD, heavy: int | None = None,
-          crowd: int = CROWD) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, piece: int = PIECE, word_shard: int = WORD_SHARD, shard: int | None = None, heavy: int | None = None,
+          crowd: int = CROWD, part: int = PART) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``.
 
     The model learns from the rows where ``held_out`` is not true, and scores all of them.  Tokens are the
@@ -466,7 +489,9 @@ def score(docs: DataFrame, held_out: Column, piece: int = PIECE, word_shard: int
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    shard = shard or min(max(SHARD, size // SHARDS), MOST_SHARD)
     n_word_shards, n_shards = 1 + size // word_shard, 1 + size // shard
+    n_parts = 1 + min(size, shard) // part
     named = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.coalesce(~held_out, F.lit(True)))
 
     def tokenise(batches):
@@ -483,10 +508,10 @@ def score(docs: DataFrame, held_out: Column, piece: int = PIECE, word_shard: int
         lambda t: _numbered(t, n_word_shards), ROWS + ", n bigint, v bigint, top bigint, most bigint"))
     sums = numbered.agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.max("top").alias("top"), F.max("most").alias("most")).first()
     total, vocabulary, top = sums.n or 0, sums.v or 0, max(sums.top or 0, 0)
-    limit, n_crowded = max(crowd, total // MAX_CROWDED), 1 + n_shards // 4
+    limit, n_crowded = max(crowd, total // MAX_CROWDED), 1 + size // (4 * min(shard, SHARD))
     whole = told.where("shard < 0").unionByName(numbered.select("piece", "shard", "payload"))
     sent = whole.groupBy("piece").applyInArrow(lambda t: _sent(t, total, vocabulary, n_shards, heavy, limit, n_crowded), ROWS)
-    scored = sent.groupBy("shard").applyInArrow(lambda t: _scored(t, total, vocabulary, top, n_shards), ROWS)
+    scored = sent.groupBy("shard").applyInArrow(lambda t: _scored(t, total, vocabulary, top, n_shards, n_parts), ROWS)
     known = None
     if heavy is None and (sums.most or 0) > limit:
         scored = cut(scored)

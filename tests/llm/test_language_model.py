@@ -232,6 +232,41 @@ def test_payloads_do_not_repeat_the_documents():
     assert many - one < 400 * n_many
 
 
+def test_repeated_phrases_compress():
+    """Numbers of words go as whole two-byte numbers, in which phrases repeat; rare words beyond these come back."""
+    rng = random.Random(4)
+    phrases = [" ".join(f"w{rng.randrange(30000)}" for _ in range(8)) for _ in range(500)]
+    texts = [" ".join(rng.choice(phrases) for _ in range(10)) for _ in range(400)]
+    own = lm._tokenised(0, list(range(400)), texts, [True] * 400, 1)["payload"][0].as_py()
+    *_, n, often, halves, over = lm.unpack(own)
+    assert len(own) < 32400  # less than a byte a token
+    assert n.sum() == len(lm._ranks(halves, over)) == 32400
+    ranks = np.array([0, 65534, 65535, 65536, 3, 200000, 1])
+    assert lm._ranks(*lm.unpack(lm.pack(*lm._halves(ranks)))).tolist() == ranks.tolist()
+
+
+@pytest.mark.parametrize("n_parts", [2, 7])
+def test_a_shard_is_worked_on_in_parts(monkeypatch, n_parts):
+    """A shard's contexts go through several small tries, with the sums of one large trie; a piece sends one row to it."""
+    rng = random.Random(6)
+    pieces = []
+    for piece in range(3):
+        rows = sorted({(rng.randrange(40), rng.randrange(20), rng.randrange(20), rng.randrange(9)) for _ in range(300)})
+        key, u, w, doc = (np.array(x, np.int64) for x in zip(*rows))
+        pieces.append(lm._packed_triples(key << lm.CLASS_BITS, u, w, w + 1, doc, doc % 3 + 1, 6))
+    table = lm._rows([0, 1, 2], [0, 0, 0], pieces)
+    sizes, built = [], Trie.pack
+    monkeypatch.setattr(Trie, "pack", classmethod(lambda cls, key, *rest: sizes.append(len(key)) or built(key, *rest)))
+    whole, parts = (lm._scored(table, 1000, 20, 19, 1, n) for n in (1, n_parts))
+    assert [lm.unpack(x)[1].tolist() for x in whole["payload"].to_pylist()] == [lm.unpack(x)[1].tolist() for x in parts["payload"].to_pylist()]
+    assert len(sizes) == 1 + n_parts and sum(sizes[1:]) == sizes[0] and max(sizes[1:]) < sizes[0]
+    assert parts["piece"].to_pylist() == [0, 1, 2]
+
+
+def test_an_exchange_shard_holds_several_parts():
+    assert lm.MOST_SHARD >= 8 * lm.PART and lm.SHARD >= 2 * lm.PART
+
+
 def test_trie_searches_a_context_once(monkeypatch):
     """Neighbours of one context, or of one predecessor in it, are found by one search."""
     rng = random.Random(5)
