@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from firegrid.operators import cluster as C, compare, outline as O, shapes, subdivide
 from firegrid.operators.joins import near_pairs
 from firegrid.plans import queries
+from firegrid.session import cut
 
 
 def plan(df):
@@ -51,6 +52,69 @@ def test_links_take_one_exchange_and_cross_bands(spark):
     assert len(ends) == len(set(ends)) == 6 * shapes.BAND_STRIPS
 
 
+KEYS = ["fireid", "polyid"]
+
+
+def shares(spark, max_pairs=O.MAX_FIRE_PAIRS):
+    """Shares of three areas with holes (one has a single seed), of one without seeds and of a lone site."""
+    hulls = boxes(spark, 48).withColumn("fireid", F.expr("if(ax < 2.005, 9, fireid)"))
+    rng = random.Random(8)
+    seeds = [(f, 100 * f + i, 2 + rng.random() * 0.05, 1 + rng.random() * 0.05) for f, n in ((0, 12), (1, 25), (2, 1), (5, 3)) for i in range(n)]
+    seeds += [(1, 199, 2.01, 1.02), (1, 198, 2.01, 1.02), (1, 197, 2.01, 1.04), (7, 700, 3.0, 1.0)]
+    lone = spark.createDataFrame([(7, 3.0, 1.0, 0.01, 0.02, 3.0, 1.0, 0.01, 0.02, True), (8, 3.0, 1.0, 0.01, 0.02, 3.0, 1.0, 0.01, 0.02, True)], hulls.schema)
+    hulls = hulls.unionByName(lone)
+    shape = shapes.Shape(shapes.multi_hulls(hulls), fill=False)
+    return cut(O.sub_intervals(hulls, spark.createDataFrame(seeds, "fireid long, seed long, lon double, lat double"), shape, max_pairs))
+
+
+def test_shares_are_one_row_each_and_measured_without_an_exchange(spark):
+    inside = shares(spark)
+    assert inside.count() == inside.select(*KEYS).distinct().count() == 12 + 27 - 1 + 1 + 1  # of the coinciding seeds one
+    assert "Exchange" not in plan(O.perimeters(inside, KEYS))
+    assert inside.where("fireid IN (5, 8, 9)").isEmpty()
+
+
+def test_shares_are_the_same_on_both_sides_of_the_limit(spark):
+    def flat(df):
+        return sorted((r.fireid, r.polyid, r.strip, r.x0, r.x1, r.y, r.h) for r in O._unpacked(df, KEYS).collect())
+
+    few = shares(spark)
+    many, some = shares(spark, 0), shares(spark, 5_000)
+    assert few.where("NOT whole").isEmpty() and many.where("whole").isEmpty()
+    assert 0 < some.where("whole").count() < few.count()
+    want = flat(few)
+    assert len(want) > 2000 and len({r[:3] for r in want}) < len(want)  # several intervals on a strip
+    for other in (many, some):
+        got = flat(other)
+        assert [r[:5] for r in got] == [r[:5] for r in want]
+        assert all(a[5:] == pytest.approx(b[5:], rel=1e-12) for a, b in zip(got, want))
+        for keys in (KEYS, ["polyid"]):
+            a, b = ({r.polyid: r for r in O.perimeters(df, keys).collect()} for df in (few, other))
+            assert a.keys() == b.keys()
+            assert all(a[k][len(keys):] == pytest.approx(b[k][len(keys):], rel=1e-9) for k in a)
+        a, b = (sorted((r.fireid, r.ring, r.outer, r.is_outer, len(r.points), r.points) for r in O.rings(df, KEYS).collect()) for df in (few, other))
+        assert [r[:5] for r in a] == [r[:5] for r in b] and not all(r[3] for r in a)
+        assert all(tuple(p) == pytest.approx(tuple(q)) for r, s in zip(a, b) for p, q in zip(r[5], s[5]))
+
+
+def test_shares_that_bear_one_id_are_one_area(spark):
+    cols = "fireid long, polyid long, south double, h double, strip array<int>, x0 array<double>, x1 array<double>, whole boolean"
+    rows = [(1, 5, 0.0, 1.0, [0], [0.0], [1.0], True), (2, 5, 0.0, 1.0, [1], [0.0], [1.0], True), (3, 6, 0.0, 1.0, [0], [0.0], [2.0], True)]
+    inside = spark.createDataFrame(rows, cols)
+    got = {r.polyid: (r.area_deg2, r.perimeter_deg) for r in O.perimeters(inside, ["polyid"]).collect()}
+    assert got == {5: (2.0, 6.0), 6: (2.0, 6.0)}
+    assert sorted(r.polyid for r in O.rings(inside, ["polyid"]).collect()) == [5, 6]
+    assert O.perimeters(inside, KEYS).count() == 3
+
+
+def test_sites_without_a_place_keep_their_row(spark):
+    hulls = boxes(spark, 0).unionByName(spark.createDataFrame(
+        [(1, None, 1.0, 0.01, 0.01, None, 1.0, 0.01, 0.01, True), (2, 3.0, 1.0, 0.01, 0.01, 3.0, 1.0, 0.01, 0.01, True)], boxes(spark, 1).schema))
+    seeds = spark.createDataFrame([(1, 10, None, 1.0), (2, 20, 3.0, 1.0)], "fireid long, seed long, lon double, lat double")
+    got = {r.polyid: (r.area_deg2, r.perimeter_deg, r.compactness) for r in O.perimeters(cut(O.sub_intervals(hulls, seeds)), KEYS).collect()}
+    assert got[10] == (None, 0.0, 0.0) and got[20] == pytest.approx((0.0004, 0.08, math.pi / 4))
+
+
 def test_rings_are_the_same_on_both_sides_of_the_limit(spark):
     inside = O.area_intervals(boxes(spark, 12))
     want = sorted(map(str, O.rings(inside, ["fireid"]).collect()))
