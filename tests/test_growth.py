@@ -70,7 +70,7 @@ def shares(spark, max_pairs=O.MAX_FIRE_PAIRS):
 def test_shares_are_one_row_each_and_measured_without_an_exchange(spark):
     inside = shares(spark)
     assert inside.count() == inside.select(*KEYS).distinct().count() == 12 + 27 - 1 + 1 + 1  # of the coinciding seeds one
-    assert "Exchange" not in plan(O.perimeters(inside, KEYS))
+    assert "Exchange" not in plan(O.perimeters(inside, KEYS)) and "Exchange" not in plan(O.rings(inside, KEYS))
     assert inside.where("fireid IN (5, 8, 9)").isEmpty()
 
 
